@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.functions.nulls import null_safe_condition
 from sylvan.operators.keysets import DEFAULT_MAX_LITERAL_KEYS
 
 # Largest row count of a lookup table that may be broadcast.
@@ -25,21 +25,27 @@ def null_safe_join(
 
     The result keeps one copy of each key column (the left one, or the right
     one where only the right side matched). ``<=>`` still plans as an equi
-    sort-merge / hash join, never a nested loop.
+    sort-merge / hash join, never a nested loop. Columns are addressed by
+    position, so names that differ only in case (``Lat``/``lat``) are fine.
     """
-    l, r = left.alias("_l"), right.alias("_r")
-    cond = null_safe_condition(l, r, on, not_null)
-    joined = l.join(r, cond, how)
-    if how in ("left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti"):
-        return joined
-    keys = [
-        (F.coalesce(F.col(f"_l.`{k}`"), F.col(f"_r.`{k}`")) if how in ("right", "full", "outer", "full_outer")
-         else F.col(f"_l.`{k}`")).alias(k)
+    lcols, rcols = list(left.columns), list(right.columns)
+    l = left.toDF(*[f"_l{i}" for i in range(len(lcols))])
+    r = right.toDF(*[f"_r{i}" for i in range(len(rcols))])
+    li = {k: f"_l{lcols.index(k)}" for k in on}
+    ri = {k: f"_r{rcols.index(k)}" for k in on}
+    parts = [
+        (l[li[k]] == r[ri[k]]) if k in not_null else l[li[k]].eqNullSafe(r[ri[k]])
         for k in on
     ]
-    rest_l = [F.col(f"_l.`{c}`") for c in left.columns if c not in on]
-    rest_r = [F.col(f"_r.`{c}`") for c in right.columns if c not in on]
-    return joined.select(*keys, *rest_l, *rest_r)
+    joined = l.join(r, reduce(lambda a, b: a & b, parts), how)
+    if how in ("left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti"):
+        return joined.toDF(*lcols)
+    outer_right = how in ("right", "right_outer", "full", "outer", "full_outer")
+    keys = [F.coalesce(F.col(li[k]), F.col(ri[k])) if outer_right else F.col(li[k]) for k in on]
+    rest_l = [(F.col(f"_l{i}"), c) for i, c in enumerate(lcols) if c not in on]
+    rest_r = [(F.col(f"_r{i}"), c) for i, c in enumerate(rcols) if c not in on]
+    names = list(on) + [c for _, c in rest_l] + [c for _, c in rest_r]
+    return joined.select(*keys, *[c for c, _ in rest_l], *[c for c, _ in rest_r]).toDF(*names)
 
 
 def null_safe_semi(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

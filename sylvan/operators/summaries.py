@@ -78,22 +78,19 @@ def exact_quantiles(
     """
     spark = long.sparkSession
     values = long.select(F.col(group).alias("_g"), F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    counts = {r["_g"]: r["_n"] for r in values.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).collect()}
     positioned, _ = with_global_position(values, ["_g", "_v"], position="_pos")
-    offsets, running = {}, 0
-    for g in sorted(counts):
-        offsets[g] = running
-        running += counts[g]
+    # each group is a run of consecutive positions: its first position and size
+    groups = positioned.groupBy("_g").agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n")).collect()
     wanted: dict[int, None] = {}
     plan = []
-    for g in sorted(counts):
-        n = counts[g]
+    for row in groups:
+        g, start, n = row["_g"], row["_start"], row["_n"]
         for p in probs:
             h = (n - 1) * p
             lo, hi = math.floor(h), math.ceil(h)
-            plan.append((g, p, offsets[g] + lo + 1, offsets[g] + hi + 1, h - lo))
-            wanted[offsets[g] + lo + 1] = None
-            wanted[offsets[g] + hi + 1] = None
+            plan.append((g, p, start + lo, start + hi, h - lo))
+            wanted[start + lo] = None
+            wanted[start + hi] = None
     picked = {}
     if wanted:
         rows = positioned.where(F.col("_pos").isin(list(wanted))).select("_pos", "_v").collect()
@@ -148,33 +145,67 @@ def summary_of_summaries(
     return stats
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
+# Exact ``percentile`` keeps one counter per distinct value of a column in
+# each task; columns estimated above this many distinct values take the
+# distributed (range partition + positions) path instead.
+MAX_DISTINCT_IN_MEMORY = 200_000
+
+
+def describe_numeric(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    method: str = "exact",
+    max_distinct_in_memory: int = MAX_DISTINCT_IN_MEMORY,
+) -> DataFrame:
     """``summary()`` of numeric columns: one row per column with
     ``min, q1, median, mean, q3, max, n_na`` (A10, numeric part).
 
-    ``method="exact"`` uses the distributed exact quantiles; ``"approx"``
-    one pass of ``approx_percentile`` (bounded memory, rank error 1/10000).
+    One wide aggregate gives min / mean / max / missing counts and an HLL
+    estimate of distinct values for every column (no unpivot, partial
+    aggregation in the scan stage). Quartiles are exact: a second wide
+    aggregate with ``percentile`` for columns with few distinct values,
+    ``exact_quantiles`` (distributed sort) for the others. ``method="approx"``
+    uses ``percentile_approx`` instead (bounded memory, one pass).
+    The result has one row per input column, built from those aggregates.
     """
+    spark = df.sparkSession
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    long = _long_numeric(df, [], columns)
-    stats = long.groupBy("column").agg(
-        F.min("value").alias("min"),
-        F.avg("value").alias("mean"),
-        F.max("value").alias("max"),
-        F.count_if(F.col("value").isNull()).alias("n_na"),
-    )
+    columns = list(columns)
+    vals = {c: nan_to_null(F.col(f"`{c}`")) for c in columns}
+    aggs = []
+    for i, c in enumerate(columns):
+        v = vals[c]
+        aggs += [
+            F.min(v).alias(f"min{i}"),
+            F.avg(v).alias(f"mean{i}"),
+            F.max(v).alias(f"max{i}"),
+            F.count_if(v.isNull()).alias(f"na{i}"),
+            F.approx_count_distinct(v).alias(f"ndv{i}"),
+        ]
+    stats = df.agg(*aggs).first() if columns else None
+    quart: dict[str, list] = {}
     if method == "approx":
-        aq = long.groupBy("column").agg(F.percentile_approx("value", list(QUARTILES), 10000).alias("_q"))
-        quart = aq.select("column", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+        row = df.agg(*[F.percentile_approx(vals[c], list(QUARTILES), 10000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+        quart = {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * 3 for i, c in enumerate(columns)}
     elif method == "exact":
-        qs = exact_quantiles(long, "column", "value")
-        quart = qs.groupBy("column").pivot("prob", list(QUARTILES)).agg(F.first("quantile"))
-        quart = quart.toDF("column", "q1", "median", "q3")
-        quart = F.broadcast(quart)  # one row per column of the input schema
+        small = [c for i, c in enumerate(columns) if stats[f"ndv{i}"] <= max_distinct_in_memory]
+        large = [c for c in columns if c not in small]
+        if small:
+            row = df.agg(*[F.percentile(vals[c], list(QUARTILES)).alias(f"q{i}") for i, c in enumerate(small)]).first()
+            quart.update({c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * 3 for i, c in enumerate(small)})
+        if large:
+            qs = exact_quantiles(_long_numeric(df, [], large), "column", "value").collect()
+            for c in large:
+                quart[c] = [next((r.quantile for r in qs if r.column == c and r.prob == p), None) for p in QUARTILES]
     else:
         raise ValueError("method must be 'exact' or 'approx'")
-    return stats.join(quart, "column", "left").select("column", "min", "q1", "median", "mean", "q3", "max", "n_na")
+    out = [
+        (c, stats[f"min{i}"], *quart[c][:2], stats[f"mean{i}"], quart[c][2], stats[f"max{i}"], stats[f"na{i}"])
+        for i, c in enumerate(columns)
+    ]
+    schema = "column string, min double, q1 double, median double, mean double, q3 double, max double, n_na long"
+    return spark.createDataFrame(out, schema)
 
 
 def describe_strings(df: DataFrame, columns: Sequence[str] | None = None, maxsum: int = 7) -> DataFrame:

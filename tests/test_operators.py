@@ -195,3 +195,14 @@ def test_text_export_scan(spark):
     assert [r.Comment for r in landed.orderBy("ord").limit(1).collect()] == ['say "hi"']
     out = trait_table(landed)
     assert out.count() == 7
+
+
+def test_describe_numeric_paths_agree(spark):
+    from sylvan.operators.summaries import describe_numeric
+
+    lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    in_memory = {r.column: tuple(r) for r in describe_numeric(lineitem).collect()}
+    distributed = {r.column: tuple(r) for r in describe_numeric(lineitem, max_distinct_in_memory=0).collect()}
+    assert in_memory == distributed
+    approx = {r.column: r for r in describe_numeric(lineitem, method="approx").collect()}
+    assert approx.keys() == in_memory.keys()

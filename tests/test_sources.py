@@ -54,3 +54,31 @@ def test_write_chunks(spark):
     back = spark.read.parquet(out)
     sizes = sorted(r["count"] for r in back.groupBy("chunk").count().collect())
     assert sizes == [2, 3, 3, 3]
+
+
+def test_streaming_landing(spark):
+    import os
+
+    from sylvan.plans.traits import trait_table
+    from sylvan.streaming import land_exports
+    from test_trait_table import GOLDEN
+
+    base = tempfile.mkdtemp(prefix="sylvan-stream-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    header = ["Dataset", "AccSpeciesName", "ObservationID", "TraitID", "DataID", "DataName", "OrigValueStr", "UnitName"]
+    lines = ["\t".join(header)]
+    for line in GOLDEN.strip().splitlines():
+        t, o, d, n, ds, sp, v, u = line.split("|")
+        lines.append("\t".join([ds, sp, o, t, d, n, v, u]))
+    half = len(lines) // 2
+    with open(os.path.join(src, "a.txt"), "w") as fh:
+        fh.write("\n".join(lines[:half]) + "\n")
+    with open(os.path.join(src, "b.txt"), "w") as fh:
+        fh.write("\n".join([lines[0]] + lines[half:]) + "\n")
+    schema = ", ".join(f"`{c}` string" for c in header)
+    q = land_exports(spark, src, os.path.join(base, "out"), os.path.join(base, "ckpt"), schema)
+    q.awaitTermination(120)
+    landed = spark.read.parquet(os.path.join(base, "out"))
+    assert landed.count() == 25 and landed.select("ord").distinct().count() == 25
+    assert trait_table(landed).count() == 7

@@ -30,6 +30,7 @@ from sylvan.operators.filters import exclude_values
 from sylvan.operators.joins import lookup_join, null_safe_join
 from sylvan.operators.keysets import KeySet
 from sylvan.operators.reshape import map_to_columns, pivot_names, pivot_to_map
+from sylvan.session import write_intermediate
 from sylvan.sources.catalog import EXCLUDED_DATA_IDS, INVERTED_DOMAINS, TRAIT_CATALOG, trait_catalog
 
 
@@ -56,19 +57,28 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
-def explode_observations_by_trait(df: DataFrame, cols: ExportColumns = COLS, into: str = TRAIT) -> DataFrame:
+def explode_observations_by_trait(
+    df: DataFrame, cols: ExportColumns = COLS, into: str = TRAIT, skew_safe: bool = True
+) -> DataFrame:
     """For every trait t, the rows of t plus every covariate row
     (trait NULL) of the observations that carry t, tagged ``into = t``.
 
     One equi-join replaces the per-trait rescans: each observation's trait
     set is a partial ``collect_set`` (at most the number of distinct traits),
     and covariate rows are exploded over it. NULL observations never match.
+
+    With ``skew_safe`` the trait-set table (one row per observation) is
+    written to the shared checkpoint folder first, so both join inputs are
+    plain shuffle stages and AQE can split an observation that holds a large
+    share of the export across tasks (it then re-shuffles only that run).
     """
     traits_of_obs = (
         df.where(_c(cols.trait).isNotNull() & _c(cols.obs).isNotNull())
         .groupBy(_c(cols.obs))
         .agg(F.collect_set(_c(cols.trait)).alias("_traits"))
     )
+    if skew_safe:
+        traits_of_obs = write_intermediate(traits_of_obs, "traits-of-observation")
     rows = df.where(_c(cols.obs).isNotNull()).join(traits_of_obs, cols.obs)
     tags = F.when(_c(cols.trait).isNull(), F.col("_traits")).otherwise(F.array(_c(cols.trait)))
     out = rows.select(F.explode(tags).alias(into), *[_c(c) for c in df.columns])

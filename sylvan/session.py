@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even when that costs a later shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
@@ -72,3 +74,13 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
 
     root = checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_intermediate(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: cuts lineage, survives executor loss, and the re-read table has no
+    known partitioning, so a join on it gets its own shuffle stage."""
+    spark = df.sparkSession
+    path = shared_scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

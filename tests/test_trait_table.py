@@ -165,3 +165,51 @@ def test_plan_shuffles_only_on_observation(spark, capsys):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert exchanges and all("hashpartitioning(ObservationID" in line for line in exchanges), exchanges
     assert "SinglePartition" not in plan
+
+
+def test_hot_observation_is_split(spark, capsys):
+    """One observation holds a third of the rows: AQE splits its join
+    partition, and the result equals the plan without the side table."""
+    from pyspark.sql import functions as F
+
+    n = 60000
+    df = spark.range(n).select(
+        F.col("id").alias("ord"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1).alias("ObservationID"),
+        F.when(F.col("id") % 7 == 0, F.lit(4)).when(F.col("id") % 11 == 0, F.lit(3116)).cast("int").alias("TraitID"),
+        F.when(F.col("id") % 7 == 0, F.lit(1)).when(F.col("id") % 11 == 0, F.lit(2))
+        .otherwise((F.col("id") % 5 + 10)).cast("int").alias("DataID"),
+        F.concat(F.lit("n"), (F.col("id") % 13).cast("string")).alias("DataName"),
+        F.concat(F.lit("d"), (F.col("id") % 2).cast("string")).alias("Dataset"),
+        F.lit("sp").alias("AccSpeciesName"),
+        (F.col("id") % 100).cast("string").alias("OrigValueStr"),
+        F.lit("u").alias("UnitName"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = tr.trait_table(df, as_="map")
+        rows = out.collect()
+        capsys.readouterr()
+        out.explain()
+        plan = capsys.readouterr().out
+        exploded = tr.explode_observations_by_trait(df, skew_safe=False)
+        keep = tr.kept_items(tr.select_data_items(tr.data_item_overview(df)))
+        plain = tr.standardise_traits(
+            tr.combine_values_covariates(
+                tr.extract_trait_values(exploded, keep), tr.extract_covariates(exploded, keep), as_="map"
+            )
+        ).collect()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert "SortMergeJoin(skew=true)" in plan
+    canon = lambda r: (r.observation_id, r.dataset, r.orig_value_str, r.trait_domain, tuple(sorted(r.covariates.items())))
+    assert sorted(map(canon, rows)) == sorted(map(canon, plain))
+    assert len(rows) > 0

@@ -190,6 +190,7 @@ def test_hot_observation_is_split(spark, capsys):
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
     for k, v in settings.items():
         spark.conf.set(k, v)

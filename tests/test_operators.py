@@ -206,3 +206,12 @@ def test_describe_numeric_paths_agree(spark):
     assert in_memory == distributed
     approx = {r.column: r for r in describe_numeric(lineitem, method="approx").collect()}
     assert approx.keys() == in_memory.keys()
+
+
+def test_exact_quantiles_with_hot_value(spark):
+    rows = [("g", 7.0)] * 300 + [("g", float(i)) for i in range(600)] + [("h", float(i % 13)) for i in range(101)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r.g, r.prob): r.quantile for r in exact_quantiles(df, "g", "v").collect()}
+    want = df.groupBy("g").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("q")).collect()
+    for r in want:
+        assert [got[(r.g, p)] for p in (0.25, 0.5, 0.75)] == list(r.q)

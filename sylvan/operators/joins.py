@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.operators.keysets import DEFAULT_MAX_LITERAL_KEYS
+from sylvan.operators.keysets import DEFAULT_MAX_LITERAL_KEYS, bounded_broadcast
 
 # Largest row count of a lookup table that may be broadcast.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -48,14 +48,21 @@ def null_safe_join(
     return joined.select(*keys, *[c for c, _ in rest_l], *[c for c, _ in rest_r]).toDF(*names)
 
 
-def null_safe_semi(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key tuple occurs in ``right`` (``%in%``)."""
-    return null_safe_join(left, right.select(*on).distinct(), on, "left_semi")
+def null_safe_semi(left: DataFrame, right: DataFrame, on: Sequence[str], max_broadcast: int = DEFAULT_MAX_LITERAL_KEYS) -> DataFrame:
+    """Rows of ``left`` whose key tuple occurs in ``right`` (``%in%``).
 
+    A key set of at most ``max_broadcast`` tuples is broadcast (the probe
+    side is not shuffled, so a hot key costs nothing extra); a larger one is
+    a shuffle semi join."""
+    keys = bounded_broadcast(right.select(*on).distinct(), max_broadcast)
+    return null_safe_join(left, keys, on, "left_semi")
 
-def null_safe_anti(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key tuple does not occur in ``right`` (``!%in%``)."""
-    return null_safe_join(left, right.select(*on).distinct(), on, "left_anti")
+
+def null_safe_anti(left: DataFrame, right: DataFrame, on: Sequence[str], max_broadcast: int = DEFAULT_MAX_LITERAL_KEYS) -> DataFrame:
+    """Rows of ``left`` whose key tuple does not occur in ``right``
+    (``!%in%``); broadcast behind the same size check as ``null_safe_semi``."""
+    keys = bounded_broadcast(right.select(*on).distinct(), max_broadcast)
+    return null_safe_join(left, keys, on, "left_anti")
 
 
 def lookup_join(

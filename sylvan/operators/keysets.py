@@ -57,3 +57,13 @@ class KeySet:
             return df.where(~test if anti else test)
         cond = df[column].eqNullSafe(self.frame["_key"])
         return df.join(self.frame, cond, "left_anti" if anti else "left_semi")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_LITERAL_KEYS) -> DataFrame:
+    """``df`` as a broadcast of its fetched rows when it has at most
+    ``max_rows`` rows (checked with a ``limit(max_rows+1)`` fetch, so it is
+    computed once), else ``df`` unchanged for a shuffle join."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return df

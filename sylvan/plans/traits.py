@@ -28,7 +28,7 @@ from sylvan.functions.numeric import if_else_na, reciprocal, to_number_or_null
 from sylvan.operators.dedup import keep_first
 from sylvan.operators.filters import exclude_values
 from sylvan.operators.joins import lookup_join, null_safe_join
-from sylvan.operators.keysets import KeySet
+from sylvan.operators.keysets import KeySet, bounded_broadcast
 from sylvan.operators.reshape import map_to_columns, pivot_names, pivot_to_map
 from sylvan.session import write_intermediate
 from sylvan.sources.catalog import EXCLUDED_DATA_IDS, INVERTED_DOMAINS, TRAIT_CATALOG, trait_catalog
@@ -105,6 +105,23 @@ def kept_items(selected: DataFrame, cols: ExportColumns = COLS) -> KeySet:
     return KeySet.of(selected, cols.data_id)
 
 
+class PerTraitKeep:
+    """Kept items per trait: a (trait, item) pair is kept
+    only for its own trait, so a covariate row becomes a value only where the
+    same item was measured for that trait. Pairs are a size-checked
+    broadcast, else a shuffle semi/anti join."""
+
+    def __init__(self, selected: DataFrame, cols: ExportColumns = COLS, into: str = TRAIT):
+        self.into = into
+        self.pairs = bounded_broadcast(selected.select(into, cols.data_id).distinct())
+
+    def keep(self, df: DataFrame, column: str) -> DataFrame:
+        return null_safe_join(df, self.pairs, [self.into, column], "left_semi")
+
+    def drop(self, df: DataFrame, column: str) -> DataFrame:
+        return null_safe_join(df, self.pairs, [self.into, column], "left_anti")
+
+
 def extract_trait_values(exploded: DataFrame, keep: KeySet, cols: ExportColumns = COLS, into: str = TRAIT) -> DataFrame:
     """C4: rows whose item is kept (also covariate rows: the set is global),
     first row per (trait, dataset, species, observation) in file order, then
@@ -253,10 +270,20 @@ def trait_table(
     how: str = "inner",
     names: Sequence[str] | None = None,
     cols: ExportColumns = COLS,
+    keep_scope: str = "global",
 ) -> DataFrame:
-    """The whole chain C1..C8 on a long export (the flagship query)."""
+    """The whole chain C1..C8 on a long export (the flagship query).
+
+    ``keep_scope="global"`` is the original's rule (an item kept for any
+    trait is a value item for all); ``"per_trait"`` keeps it per trait."""
     exploded = explode_observations_by_trait(df, cols)
-    keep = kept_items(select_data_items(data_item_overview(df, cols), exclude, cols), cols)
+    selected = select_data_items(data_item_overview(df, cols), exclude, cols)
+    if keep_scope == "global":
+        keep = kept_items(selected, cols)
+    elif keep_scope == "per_trait":
+        keep = PerTraitKeep(selected, cols)
+    else:
+        raise ValueError("keep_scope must be 'global' or 'per_trait'")
     values = extract_trait_values(exploded, keep, cols)
     covariates = extract_covariates(exploded, keep, exclude, cols)
     merged = combine_values_covariates(values, covariates, how, as_, names, cols)

@@ -214,3 +214,15 @@ def test_hot_observation_is_split(spark, capsys):
     canon = lambda r: (r.observation_id, r.dataset, r.orig_value_str, r.trait_domain, tuple(sorted(r.covariates.items())))
     assert sorted(map(canon, rows)) == sorted(map(canon, plain))
     assert len(rows) > 0
+
+
+def test_keep_scope_per_trait(spark):
+    """Golden fixture: item 4 is kept for trait 4 only, so the covariate row
+    23 (item 4) is no value for trait 3117 any more: trait 3117 on
+    observation 109 takes its own row (25 -> 1/25) and row 23 becomes a
+    covariate named SSD."""
+    df = spark.createDataFrame(golden_rows(), SCHEMA)
+    got = {(r.observation_id, r.orig_value_str): r for r in tr.trait_table(df, as_="map", keep_scope="per_trait").collect()}
+    r = got[(109, "25")]
+    assert r.trait_value == 1 / 25 and r.covariates == {"Longitude": "11", "SSD": "0.6"}
+    assert (100, "0.45") in got and (109, "0.6") not in got

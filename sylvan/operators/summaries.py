@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from sylvan.functions.nulls import is_missing
 from sylvan.functions.numeric import nan_to_null
 from sylvan.operators.ordering import with_weighted_position
+from sylvan.session import write_intermediate
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -227,14 +228,17 @@ def describe_strings(df: DataFrame, columns: Sequence[str] | None = None, maxsum
     Per column: all levels in level order when they fit, else the ``maxsum-1``
     most frequent (ties by level) and ``(Other)`` with the rest; ``NA's``
     when there are missing values (one line less then). Rows
-    (column, value, n, rank). The top-k uses ``row_number() <= k``, which
+    (column, value, n, rank). The level counts are computed once and written
+    to the checkpoint folder; the top-k uses ``row_number() <= k``, which
     Spark limits map-side, so a column with millions of levels stays cheap.
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     items = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in columns]
     long = df.select(F.explode(F.array(*items)).alias("_x")).select("_x.column", "_x.value")
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # one pass over the input; levels, NA counts and top levels all read the
+    # written (column, value, n) table
+    counts = write_intermediate(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "level-counts")
     levels = counts.where(F.col("value").isNotNull()).groupBy("column").agg(
         F.count(F.lit(1)).alias("_levels"), F.sum("n").alias("_total")
     )

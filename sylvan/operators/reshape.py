@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sylvan.operators.ordering import with_global_position
+
 # Above this many names the wide form is refused; use the map form.
 DEFAULT_MAX_PIVOT_COLUMNS = 10_000
 
@@ -83,24 +85,38 @@ def nest_by(
     columns: Sequence[str],
     into: str = "data",
     order: str | None = None,
+    max_items: int | None = None,
 ) -> DataFrame:
     """One row per key with an ``array<struct>`` of the other columns.
 
-    With ``order``, elements keep that order. A group becomes one row, so use
-    it on groups of bounded size; the pipeline itself never nests.
+    With ``order``, elements keep that order. Without ``max_items`` a group
+    becomes one row, so keep it for groups of bounded size (the pipeline
+    itself never nests). With ``max_items`` (needs ``order``, a total order)
+    each group is cut into consecutive pieces of at most that many rows,
+    numbered by a ``piece`` column: rows get global positions under
+    (keys, order) without any single-partition step, and a piece is a run
+    of ``max_items`` positions, so no task ever holds more than that.
     """
     fields = [F.col(f"`{c}`") for c in columns]
+    by = [F.col(f"`{k}`") for k in keys]
+    if max_items is not None:
+        if order is None:
+            raise ValueError("max_items needs order=")
+        positioned, _ = with_global_position(df, [*keys, order], position="_pos")
+        df = positioned.withColumn("piece", F.floor((F.col("_pos") - 1) / max_items).cast("long"))
+        by = [*by, F.col("piece")]
     if order is None:
         packed = F.collect_list(F.struct(*fields))
     else:
         items = F.sort_array(F.collect_list(F.struct(F.col(f"`{order}`").alias("_o"), F.struct(*fields).alias("_v"))))
         packed = F.transform(items, lambda x: x["_v"])
-    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(packed.alias(into))
+    return df.groupBy(*by).agg(packed.alias(into))
 
 
 def unnest(df: DataFrame, column: str) -> DataFrame:
-    """Rows back out of an ``array<struct>``; empty arrays drop the row."""
-    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
+    """Rows back out of an ``array<struct>``; empty arrays drop the row.
+    A ``piece`` column from ``nest_by(max_items=)`` is dropped."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in (column, "piece")]
     return df.select(*rest, F.inline(F.col(f"`{column}`")))
 
 

@@ -57,32 +57,48 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
+def observation_index(df: DataFrame, cols: ExportColumns = COLS, write: bool = True) -> DataFrame:
+    """One row per observation that carries a trait: its trait set, the item
+    ids of its trait rows, and whether one of them is NULL. Partial
+    aggregates (sets bounded by the number of distinct traits and items).
+
+    With ``write`` the table is written to the shared checkpoint folder and
+    read back, so a join on it is a plain shuffle stage (AQE can then split a
+    hot observation of the other side) and later steps read it cheaply.
+    """
+    index = (
+        df.where(_c(cols.trait).isNotNull() & _c(cols.obs).isNotNull())
+        .groupBy(_c(cols.obs))
+        .agg(
+            F.collect_set(_c(cols.trait)).alias("_traits"),
+            F.collect_set(_c(cols.data_id)).alias("_items"),
+            F.max(_c(cols.data_id).isNull()).alias("_null_item"),
+        )
+    )
+    return write_intermediate(index, "observation-index") if write else index
+
+
 def explode_observations_by_trait(
-    df: DataFrame, cols: ExportColumns = COLS, into: str = TRAIT, skew_safe: bool = True
+    df: DataFrame,
+    cols: ExportColumns = COLS,
+    into: str = TRAIT,
+    skew_safe: bool = True,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """For every trait t, the rows of t plus every covariate row
     (trait NULL) of the observations that carry t, tagged ``into = t``.
 
     One equi-join replaces the per-trait rescans: each observation's trait
-    set is a partial ``collect_set`` (at most the number of distinct traits),
-    and covariate rows are exploded over it. NULL observations never match.
-
-    With ``skew_safe`` the trait-set table (one row per observation) is
-    written to the shared checkpoint folder first, so both join inputs are
-    plain shuffle stages and AQE can split an observation that holds a large
-    share of the export across tasks (it then re-shuffles only that run).
+    set (``observation_index``) is joined on the observation id and
+    covariate rows are exploded over it. NULL observations never match.
+    ``skew_safe`` writes the index first (see ``observation_index``).
     """
-    traits_of_obs = (
-        df.where(_c(cols.trait).isNotNull() & _c(cols.obs).isNotNull())
-        .groupBy(_c(cols.obs))
-        .agg(F.collect_set(_c(cols.trait)).alias("_traits"))
-    )
-    if skew_safe:
-        traits_of_obs = write_intermediate(traits_of_obs, "traits-of-observation")
+    if index is None:
+        index = observation_index(df, cols, write=skew_safe)
+    traits_of_obs = index.select(_c(cols.obs), "_traits")
     rows = df.where(_c(cols.obs).isNotNull()).join(traits_of_obs, cols.obs)
     tags = F.when(_c(cols.trait).isNull(), F.col("_traits")).otherwise(F.array(_c(cols.trait)))
-    out = rows.select(F.explode(tags).alias(into), *[_c(c) for c in df.columns])
-    return out
+    return rows.select(F.explode(tags).alias(into), *[_c(c) for c in df.columns])
 
 
 def data_item_overview(df: DataFrame, cols: ExportColumns = COLS, into: str = TRAIT) -> DataFrame:
@@ -105,6 +121,19 @@ def kept_items(selected: DataFrame, cols: ExportColumns = COLS) -> KeySet:
     return KeySet.of(selected, cols.data_id)
 
 
+def kept_items_from_index(
+    index: DataFrame, exclude: Sequence[int] = EXCLUDED_DATA_IDS, cols: ExportColumns = COLS
+) -> KeySet:
+    """The same set as ``kept_items(select_data_items(data_item_overview(df)))``
+    read from the (small, written) observation index instead of the export."""
+    item_type = index.schema["_items"].dataType.elementType
+    items = F.when(
+        F.col("_null_item"), F.array_union("_items", F.array(F.lit(None).cast(item_type)))
+    ).otherwise(F.col("_items"))
+    ids = index.select(F.explode(items).alias(cols.data_id))
+    return KeySet.of(exclude_values(ids, cols.data_id, exclude), cols.data_id)
+
+
 class PerTraitKeep:
     """Kept items per trait: a (trait, item) pair is kept
     only for its own trait, so a covariate row becomes a value only where the
@@ -276,12 +305,12 @@ def trait_table(
 
     ``keep_scope="global"`` is the original's rule (an item kept for any
     trait is a value item for all); ``"per_trait"`` keeps it per trait."""
-    exploded = explode_observations_by_trait(df, cols)
-    selected = select_data_items(data_item_overview(df, cols), exclude, cols)
+    index = observation_index(df, cols)
+    exploded = explode_observations_by_trait(df, cols, index=index)
     if keep_scope == "global":
-        keep = kept_items(selected, cols)
+        keep = kept_items_from_index(index, exclude, cols)
     elif keep_scope == "per_trait":
-        keep = PerTraitKeep(selected, cols)
+        keep = PerTraitKeep(select_data_items(data_item_overview(df, cols), exclude, cols), cols)
     else:
         raise ValueError("keep_scope must be 'global' or 'per_trait'")
     values = extract_trait_values(exploded, keep, cols)

@@ -215,3 +215,14 @@ def test_exact_quantiles_with_hot_value(spark):
     want = df.groupBy("g").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("q")).collect()
     for r in want:
         assert [got[(r.g, p)] for p in (0.25, 0.5, 0.75)] == list(r.q)
+
+
+def test_nest_in_bounded_pieces(spark):
+    rows = [(1, f"x{i:03d}", i) for i in range(25)] + [(2, "y", 0)]
+    df = spark.createDataFrame(rows, "g int, s string, o int")
+    nested = nest_by(df, ["g"], ["s", "o"], "items", order="o", max_items=4).collect()
+    assert max(len(r["items"]) for r in nested) <= 4
+    pieces = sorted((r.g, r.piece, [i.o for i in r["items"]]) for r in nested)
+    assert [o for g, _, os in pieces if g == 1 for o in os] == list(range(25))
+    back = unnest(spark.createDataFrame(nested), "items")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)

@@ -269,26 +269,35 @@ def standardise_traits(
     Output: dataset, acc_species_name, trait_value, trait_domain,
     trait_full_name, observation_id, orig_value_str, unit_name, covariates...
     For a trait missing from the catalog, value and unit become NULL.
+    Columns are handled by position, so covariates named like a fixed column
+    (``Dataset``, ``name``) or differing only in case get ``_2`` suffixes.
     """
     spark = merged.sparkSession
     invert = INVERTED_DOMAINS if invert is None else invert
     rows = len(TRAIT_CATALOG) if catalog is None else None
     catalog = trait_catalog(spark) if catalog is None else catalog
-    # the key is called "name" while names are cleaned, so a covariate of
-    # that name is suffixed like in the original, then the key is dropped
-    step = merged.withColumnRenamed(into, "name").withColumn("trait_value", to_number_or_null(_c(cols.value)))
-    step = lookup_join(step, catalog, "name", "trait_id_value", lookup_rows=rows)
-    step = step.toDF(*clean_name_list(step.columns)).drop("name")
-    domain = F.col("trait_domain")
-    value, unit = F.col("trait_value"), F.col("unit_name")
+    original = list(merged.columns)
+    # fixed columns come first in the merged layout, covariates after them
+    i_key, i_obs = original.index(into), original.index(cols.obs)
+    i_value, i_unit = original.index(cols.value), original.index(cols.unit)
+    tmp = [f"_c{i}" for i in range(len(original))]
+    step = merged.toDF(*tmp).withColumn("_value", to_number_or_null(F.col(tmp[i_value])))
+    lookup = catalog.toDF("_id", "_domain", "_full")
+    step = lookup_join(step, lookup, tmp[i_key], "_id", lookup_rows=rows)
+    # the key is called "name" while names are cleaned (as in the original),
+    # so a covariate "name" becomes "name_2"; then the key is dropped
+    names = ["name" if i == i_key else n for i, n in enumerate(original)]
+    names += ["trait_value", catalog.columns[1], catalog.columns[2]]
+    final = dict(zip([*tmp, "_value", "_domain", "_full"], clean_name_list(names)))
+    domain, value, unit = F.col("_domain"), F.col("_value"), F.col(tmp[i_unit])
     for dom, new_unit in invert.items():
         value = if_else_na(domain == dom, reciprocal(value), value)
         unit = if_else_na(domain == dom, F.lit(new_unit), unit)
-    step = step.withColumns({"trait_value": value, "unit_name": unit})
-    moved = ["trait_value", "trait_domain", "trait_full_name"]
-    rest = [c for c in step.columns if c not in moved]
-    at = rest.index("observation_id")
-    return step.select(*[F.col(f"`{c}`") for c in rest[:at] + moved + rest[at:]])
+    step = step.withColumns({"_value": value, tmp[i_unit]: unit})
+    moved = ["_value", "_domain", "_full"]
+    rest = [t for i, t in enumerate(tmp) if i != i_key]
+    at = rest.index(tmp[i_obs])
+    return step.select(*[F.col(t).alias(final[t]) for t in rest[:at] + moved + rest[at:]])
 
 
 def trait_table(

@@ -226,3 +226,23 @@ def test_keep_scope_per_trait(spark):
     r = got[(109, "25")]
     assert r.trait_value == 1 / 25 and r.covariates == {"Longitude": "11", "SSD": "0.6"}
     assert (100, "0.45") in got and (109, "0.6") not in got
+
+
+def test_colliding_covariate_names(spark):
+    """Covariates named like fixed columns, or differing only in case, get
+    ``_2`` suffixes after cleaning, as in the original (N15)."""
+    rows = golden_rows()
+    extra = [
+        (26, None, 100, 70, "Dataset", "DS1", "Abies alba", "site A", None),
+        (27, None, 100, 71, "name", "DS1", "Abies alba", "n1", None),
+        (28, None, 100, 72, "LATITUDE", "DS1", "Abies alba", "48", None),
+    ]
+    df = spark.createDataFrame(rows + extra, SCHEMA)
+    out = tr.trait_table(df)
+    assert out.columns == [
+        "dataset", "acc_species_name", "trait_value", "trait_domain", "trait_full_name",
+        "observation_id", "orig_value_str", "unit_name",
+        "latitude", "longitude", "dataset_2", "name_2", "latitude_2", "maturity",
+    ]
+    r = {(x.observation_id, x.orig_value_str): x for x in out.collect()}[(100, "0.45")]
+    assert (r.dataset, r.dataset_2, r.name_2, r.latitude, r.latitude_2) == ("DS1", "site A", "n1", "48.1", "48")

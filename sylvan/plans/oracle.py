@@ -63,6 +63,19 @@ TT as (select M.Dataset as dataset, M.AccSpeciesName as acc_species_name,
               else M.UnitName end as unit_name,
          M.latitude, M."Light Level" as light_level, M.err, M."NA" as na
        from M left join CAT c on cast(M.trait as varchar) = c.trait_id_value),
+TL as (select V.Dataset as dataset, V.AccSpeciesName as acc_species_name,
+         case when c.trait_domain is null then null
+              when c.trait_domain = 'Leaf mass per area'
+                then (case when try_cast(V.OrigValueStr as double) = 0 then 'inf'::double
+                           else 1.0 / try_cast(V.OrigValueStr as double) end)
+              else try_cast(V.OrigValueStr as double) end as trait_value,
+         c.trait_domain, c.trait_full_name, V.ObservationID as observation_id, V.OrigValueStr as orig_value_str,
+         case when c.trait_domain is null then null when c.trait_domain = 'Leaf mass per area' then 'mg/mm2'
+              else V.UnitName end as unit_name,
+         CL.DataName as covariate, CL.OrigValueStr as covariate_value
+       from V join CL on V.trait = CL.trait and V.Dataset is not distinct from CL.Dataset
+         and V.AccSpeciesName is not distinct from CL.AccSpeciesName and V.ObservationID = CL.ObservationID
+       left join CAT c on cast(V.trait as varchar) = c.trait_id_value),
 SS as (select trait_domain, acc_species_name, count(*) as n, avg(v) as mean, stddev_samp(v) as sd,
               min(v) as min, max(v) as max
        from (select *, case when isnan(trait_value) then null else trait_value end as v from TT)
@@ -183,6 +196,7 @@ SQL: dict[str, str] = {
     "trait_merged": BASE + "select * from M",
     "trait_merged_join": BASE + "select * from M",
     "trait_table": BASE + "select * from TT",
+    "trait_table_long": BASE + "select * from TL",
     "species_summary": BASE + "select * from SS",
     "group_summary_part": "select p_brand, p_type, count(*) as n, avg(v) as mean, stddev_samp(v) as sd, min(v) as min, "
     "max(v) as max from (select *, case when isnan(p_retailprice) then null else p_retailprice end as v from part) "
@@ -214,6 +228,7 @@ SQL: dict[str, str] = {
     "AccSpeciesName as scrubbed_species_binomial, try_cast(OrigValueStr as double) as trait_value, "
     "UnitName as unit, Dataset as project_pi from T",
     "nest_roundtrip": "select n_regionkey, n_nationkey, n_name from nation",
+    "nest_pieces_roundtrip": "select o_custkey, o_orderkey, o_totalprice from orders",
     "null_profile": _null_profile(),
     "describe_numeric": _describe_numeric(
         "lineitem",

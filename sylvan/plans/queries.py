@@ -88,6 +88,14 @@ def q_trait_table(spark, sf_dir):
     return tr.trait_table(eav_view(spark, sf_dir))
 
 
+def q_trait_table_long(spark, sf_dir):
+    """The map form of the trait table (the scalable one), one row per
+    measurement and covariate (maps are flattened for the comparison)."""
+    wide = tr.trait_table(eav_view(spark, sf_dir), as_="map")
+    fixed = [c for c in wide.columns if c != "covariates"]
+    return wide.select(*fixed, F.explode("covariates").alias("covariate", "covariate_value"))
+
+
 def q_species_summary(spark, sf_dir):
     return group_summary(q_trait_table(spark, sf_dir), ["trait_domain", "acc_species_name"], "trait_value")
 
@@ -197,6 +205,13 @@ def q_nest_roundtrip(spark, sf_dir):
     return unnest(nested, "nations")
 
 
+def q_nest_pieces_roundtrip(spark, sf_dir):
+    """Orders nested per customer in pieces of at most 4, then unnested."""
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    nested = nest_by(orders, ["o_custkey"], ["o_orderkey", "o_totalprice"], into="orders", order="o_orderkey", max_items=4)
+    return unnest(nested, "orders")
+
+
 def q_describe_numeric(spark, sf_dir):
     return describe_numeric(read_table(spark, sf_dir, "lineitem"))
 
@@ -267,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "trait_merged": q_trait_merged,
     "trait_merged_join": q_trait_merged_join,
     "trait_table": q_trait_table,
+    "trait_table_long": q_trait_table_long,
     "species_summary": q_species_summary,
     "group_summary_part": q_group_summary_part,
     "domain_summary": q_domain_summary,
@@ -281,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "clean_names": q_clean_names,
     "conform_records": q_conform_records,
     "nest_roundtrip": q_nest_roundtrip,
+    "nest_pieces_roundtrip": q_nest_pieces_roundtrip,
     "null_profile": q_null_profile,
     "describe_numeric": q_describe_numeric,
     "describe_strings": q_describe_strings,

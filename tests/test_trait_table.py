@@ -246,3 +246,12 @@ def test_colliding_covariate_names(spark):
     ]
     r = {(x.observation_id, x.orig_value_str): x for x in out.collect()}[(100, "0.45")]
     assert (r.dataset, r.dataset_2, r.name_2, r.latitude, r.latitude_2) == ("DS1", "site A", "n1", "48.1", "48")
+
+
+def test_empty_export(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert tr.trait_table(df, as_="map").count() == 0
+    assert tr.trait_table(df).columns[:8] == [
+        "dataset", "acc_species_name", "trait_value", "trait_domain", "trait_full_name",
+        "observation_id", "orig_value_str", "unit_name",
+    ]

@@ -24,6 +24,39 @@ TAXONOMY_COLUMNS = [
 CITATION_COLUMNS = ["source_citation"]
 
 
+def read_record_source(
+    spark: SparkSession,
+    path: str | None = None,
+    url: str | None = None,
+    table: str | None = None,
+    partition_column: str | None = None,
+    lower_bound: int | None = None,
+    upper_bound: int | None = None,
+    num_partitions: int | None = None,
+    properties: dict | None = None,
+) -> DataFrame:
+    """The trait-record database as a DataFrame: landed parquet at ``path``,
+    or a JDBC table read in ``num_partitions`` parallel ranges of
+    ``partition_column``. Filters on ``trait_name`` are pushed into either
+    source by Spark. (The JDBC branch is not exercised by the tests: they may
+    not start a database.)"""
+    if path is not None:
+        return spark.read.parquet(path)
+    if url is None or table is None:
+        raise ValueError("give path= or url= and table=")
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for key, value in (properties or {}).items():
+        reader = reader.option(key, value)
+    if partition_column is not None:
+        reader = (
+            reader.option("partitionColumn", partition_column)
+            .option("lowerBound", lower_bound)
+            .option("upperBound", upper_bound)
+            .option("numPartitions", num_partitions)
+        )
+    return reader.load()
+
+
 def trait_names(source: DataFrame, column: str = "trait_name") -> DataFrame:
     """Available trait names (S3)."""
     return source.select(column).distinct()

@@ -32,22 +32,25 @@ def head_ordered(df: DataFrame, order: Sequence[str | Column], n: int = 1000) ->
     return df.orderBy(*_cols(order)).limit(n)
 
 
-def _range_sorted_checkpoint(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+def _range_sorted_checkpoint(
+    df: DataFrame, order: Sequence[str | Column], num_partitions: int | None
+) -> tuple[DataFrame, int]:
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _cols(order)
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    # a user-given partition count is kept as is by AQE (no coalescing)
+    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True), n
 
 
-def _partition_offsets(ranged: DataFrame, weight: Column) -> tuple[list[int], int]:
+def _partition_offsets(ranged: DataFrame, partitions: int, weight: Column) -> tuple[list[int], int]:
     """Prefix sums of ``weight`` over the partitions, in partition order."""
     totals = {
         r["_pid"]: r["_n"]
         for r in ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.sum(weight).alias("_n")).collect()
     }
     offsets, running = [], 0
-    for pid in range(ranged.rdd.getNumPartitions()):
+    for pid in range(max(partitions, max(totals, default=-1) + 1)):
         offsets.append(running)
         running += int(totals.get(pid) or 0)
     return offsets, running
@@ -63,8 +66,8 @@ def with_global_position(
 
     Returns the positioned frame and the row count.
     """
-    ranged = _range_sorted_checkpoint(df, order, num_partitions)
-    offsets, total = _partition_offsets(ranged, F.lit(1))
+    ranged, partitions = _range_sorted_checkpoint(df, order, num_partitions)
+    offsets, total = _partition_offsets(ranged, partitions, F.lit(1))
     pid = F.spark_partition_id()
     inside = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
@@ -85,8 +88,8 @@ def with_weighted_position(
     ``cumsum`` over the partition's sorted Arrow batches (``mapInPandas``)."""
     from pyspark import TaskContext
 
-    ranged = _range_sorted_checkpoint(df, order, num_partitions)
-    offsets, total = _partition_offsets(ranged, F.col(weight))
+    ranged, partitions = _range_sorted_checkpoint(df, order, num_partitions)
+    offsets, total = _partition_offsets(ranged, partitions, F.col(weight))
     schema = T.StructType([*ranged.schema.fields, T.StructField(end, T.LongType())])
 
     def running_end(batches):

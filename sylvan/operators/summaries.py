@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -291,7 +291,3 @@ def null_profile(df: DataFrame) -> DataFrame:
 def count_rows(df: DataFrame) -> int:
     """``nrow`` (A11)."""
     return df.count()
-
-
-def total_order(*cols: str) -> list[Column]:
-    return [F.col(c) for c in cols]

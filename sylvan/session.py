@@ -52,7 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster it must be set by the deployment (``spark.checkpoint.dir``);
     only a local-mode session (tests, benchmarks) gets a scratch folder here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

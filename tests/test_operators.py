@@ -226,3 +226,19 @@ def test_nest_in_bounded_pieces(spark):
     assert [o for g, _, os in pieces if g == 1 for o in os] == list(range(25))
     back = unnest(spark.createDataFrame(nested), "items")
     assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_convert_columns_and_quality_report(spark):
+    from pyspark.sql import types as T
+
+    from sylvan.operators.columns import convert_columns
+    from sylvan.plans.records import quality_report
+
+    df = spark.createDataFrame([("a", 1.0, "x"), ("b", None, None), ("a", 3.0, "y")], "s string, v double, t string")
+    upper = convert_columns(df, T.StringType, F.upper)
+    assert upper.columns == df.columns and [r.s for r in upper.collect()] == ["A", "B", "A"]
+    report = quality_report(df)
+    numeric = report["numeric"].collect()[0]
+    assert (numeric.column, numeric.min, numeric.median, numeric.max, numeric.n_na) == ("v", 1.0, 2.0, 3.0, 1)
+    assert {(r.column, r.value): r.n for r in report["strings"].collect()}[("t", "NA's")] == 1
+    assert {r.column: r.pct for r in report["missing"].collect()} == {"s": 0.0, "v": 1 / 3 * 100, "t": 1 / 3 * 100}

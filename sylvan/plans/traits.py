@@ -324,6 +324,12 @@ def trait_table(
         raise ValueError("keep_scope must be 'global' or 'per_trait'")
     values = extract_trait_values(exploded, keep, cols)
     covariates = extract_covariates(exploded, keep, exclude, cols)
+    if as_ == "columns" and names is None:
+        # the names must be known before the plan: write the deduplicated
+        # covariates once, read them for the names and for the pivot, instead
+        # of shuffling the export's covariate rows a second time
+        covariates = write_intermediate(covariates, "covariates")
+        names = covariate_names(covariates, cols)
     merged = combine_values_covariates(values, covariates, how, as_, names, cols)
     return standardise_traits(merged, catalog, cols=cols)
 

@@ -87,7 +87,8 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     positioned, _ = with_weighted_position(counted, ["_g", "_v"], "_n", end="_end")
-    positioned = positioned.withColumn("_start", F.col("_end") - F.col("_n") + 1)
+    # read twice below; a lost block is recomputed from the checkpoint
+    positioned = positioned.withColumn("_start", F.col("_end") - F.col("_n") + 1).persist()
     # each group is a run of consecutive positions: its first position and size
     groups = positioned.groupBy("_g").agg(F.min("_start").alias("_first"), F.sum("_n").alias("_size")).collect()
     wanted: dict[int, None] = {}
@@ -109,6 +110,7 @@ def exact_quantiles(
         rows = positioned.where(cond).select("_start", "_end", "_v").collect()
         for r in wanted:
             picked[r] = next(x["_v"] for x in rows if x["_start"] <= r <= x["_end"])
+    positioned.unpersist()
     out = [(g, float(p), _interpolate(picked[lo], picked[hi], frac)) for g, p, lo, hi, frac in plan]
     gtype = long.schema[group].dataType
     schema = T.StructType(

@@ -2,17 +2,21 @@
 
 Physical shape of the whole chain (check with ``trait_table(...).explain()``):
 
-* two shuffles, both on the observation id: the export's rows, and the
-  partially aggregated trait set of each observation;
-* everything after the fan-out join (keep-first windows for values and
-  covariates, then one aggregate that pivots the covariates and pairs them
-  with the values) needs the rows clustered by keys that all contain the
-  observation id, so it runs in the same stage without another exchange;
-* the kept data items and the trait catalog are size-checked literals /
-  broadcasts, which leave that partitioning intact.
-
-AQE's skew-join split guards the one place where a hot observation could
-land in one task.
+* a small observation index (one row per observation: trait set and item
+  ids, partial aggregates) is written to the checkpoint folder; it gives
+  the fan-out join its right side and the global kept-item set;
+* the export is shuffled once, on the observation id; everything after the
+  fan-out join (keep-first windows for values and covariates, then one
+  aggregate that pivots the covariates and pairs them with the values)
+  groups by keys that contain the observation id, so it runs without
+  another exchange (map form, or columns form with known names);
+* the kept items and the exclusion list are literals in the scan filter,
+  the catalog is a fixed-size broadcast: neither moves the export;
+* the columns form discovers its column names from the deduplicated
+  covariates, written once and read for the names and the pivot.
+
+Because the index is a plain shuffle stage, AQE can split a hot observation
+of the export across tasks (``spark.sql.adaptive.forceOptimizeSkewedJoin``).
 """
 
 from __future__ import annotations

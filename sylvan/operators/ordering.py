@@ -4,7 +4,8 @@ Global positions never go through a single partition: the rows are range
 partitioned on the order, sorted inside each partition and checkpointed to
 the shared checkpoint folder (so a lost executor cannot re-sample different
 range bounds), then each row's position is the row count of all earlier
-partitions plus its index inside its own partition.
+partitions plus its index inside its own partition. The weighted variant
+does the same with a running sum of a count column (for value counts).
 """
 
 from __future__ import annotations

@@ -76,8 +76,9 @@ def exact_quantiles(
     partitioned on (group, value) and given count-weighted positions (see
     ``with_weighted_position``). Only the rows covering the needed ranks
     (two per probability and group) are fetched. Task memory does not grow
-    with a group's size or with a value's frequency.
-    Returns (group, prob, quantile).
+    with a group's size or with a value's frequency. Meant for few groups
+    (e.g. the columns of a table): the group list and the picked rows go
+    through the driver. Returns (group, prob, quantile).
     """
     spark = long.sparkSession
     counted = (

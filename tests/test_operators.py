@@ -242,3 +242,21 @@ def test_convert_columns_and_quality_report(spark):
     assert (numeric.column, numeric.min, numeric.median, numeric.max, numeric.n_na) == ("v", 1.0, 2.0, 3.0, 1)
     assert {(r.column, r.value): r.n for r in report["strings"].collect()}[("t", "NA's")] == 1
     assert {r.column: r.pct for r in report["missing"].collect()} == {"s": 0.0, "v": 1 / 3 * 100, "t": 1 / 3 * 100}
+
+
+def test_export_ordinal_follows_file_order_across_splits(spark):
+    from sylvan.sources.export import read_trait_export
+
+    folder = tempfile.mkdtemp(prefix="sylvan-splits-")
+    header = "ObservationID\tTraitID\tDataID\tOrigValueStr"
+    for name, start in (("a.txt", 0), ("b.txt", 5000)):
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(header + "\n" + "\n".join(f"{i}\t\t1\tv{i}" for i in range(start, start + 5000)) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_trait_export(spark, folder)
+        assert df.rdd.getNumPartitions() > 4
+        got = [r.ObservationID for r in df.orderBy("ord").select("ObservationID").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == list(range(10000))

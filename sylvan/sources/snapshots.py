@@ -15,8 +15,9 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # zstd levels of the named compression presets
 PRESETS = {"fast": 1, "balanced": 3, "high": 9, "archive": 19}
@@ -26,9 +27,23 @@ def new_version() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
 
 
+def _hashable(c: Column, dtype: T.DataType) -> Column:
+    """Maps have no stable hash in Spark: use their entries, sorted."""
+    if isinstance(dtype, T.MapType):
+        entries = F.map_entries(c)
+        inner = T.StructType([T.StructField("key", dtype.keyType), T.StructField("value", dtype.valueType)])
+        return F.array_sort(F.transform(entries, lambda e: _hashable(e, inner)))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda e: _hashable(e, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[_hashable(c[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+    return c
+
+
 def fingerprint(df: DataFrame) -> tuple[int, int]:
     """Order-independent (rows, hash sum) of a table."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    cols = [_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    h = F.xxhash64(*cols).cast("decimal(38,0)")
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias("h")).first()
     return int(row["n"]), int(row["h"])
 

@@ -82,3 +82,49 @@ def test_streaming_landing(spark):
     landed = spark.read.parquet(os.path.join(base, "out"))
     assert landed.count() == 25 and landed.select("ord").distinct().count() == 25
     assert trait_table(landed).count() == 7
+
+
+def test_workflow_jobs(spark):
+    import os
+
+    from sylvan.plans.jobs import ingest_job, records_job, trait_export_job
+    from test_trait_table import GOLDEN
+
+    base = tempfile.mkdtemp(prefix="sylvan-jobs-")
+    header = ["Dataset", "AccSpeciesName", "ObservationID", "TraitID", "DataID", "DataName", "OrigValueStr", "UnitName"]
+    lines = ["\t".join(header)]
+    for line in GOLDEN.strip().splitlines():
+        t, o, d, n, ds, sp, v, u = line.split("|")
+        lines.append("\t".join([ds, sp, o, t, d, n, v, u]))
+    export = os.path.join(base, "export.txt")
+    with open(export, "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    out = trait_export_job(spark, export, os.path.join(base, "e1"))
+    assert out["table"].count() == 7
+    assert out["species"].count() == 7
+    assert out["domains"].count() == 0  # no species has more than 50 rows
+
+    source = spark.createDataFrame(
+        [("leaf area", i, f"sp{i % 3}", str(i), "mm2", "cite") for i in range(10)]
+        + [("seed mass", 100 + i, "sp1", "n/a" if i == 0 else str(i), "mg", None) for i in range(5)]
+        + [("other trait", 200, "sp1", "1", "u", None)],
+        "trait_name string, id long, scrubbed_species_binomial string, trait_value string, unit string, source_citation string",
+    )
+    source_path = os.path.join(base, "source")
+    source.write.parquet(source_path)
+    root = os.path.join(base, "records")
+    from sylvan.sources.catalog import WANTED_TRAITS
+
+    assert ingest_job(spark, source_path, root) == sorted(WANTED_TRAITS)
+    e3 = records_job(spark, root, os.path.join(base, "e3"))
+    assert e3["records"].count() == 15
+    chunks = spark.read.parquet(os.path.join(base, "e3", "data_traits_bien"))
+    assert sorted(r["count"] for r in chunks.groupBy("chunk").count().collect()) == [3, 4, 4, 4]
+    assert {r.column for r in e3["missing"].collect()} == set(e3["records"].columns)
+
+
+def test_fingerprint_of_maps_ignores_entry_order(spark):
+    a = spark.sql("select 1 as k, map('x', 1, 'y', 2) as m, array(map('p', 'q')) as am")
+    b = spark.sql("select 1 as k, map('y', 2, 'x', 1) as m, array(map('p', 'q')) as am")
+    c = spark.sql("select 1 as k, map('y', 3, 'x', 1) as m, array(map('p', 'q')) as am")
+    assert fingerprint(a) == fingerprint(b) != fingerprint(c)

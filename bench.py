@@ -28,6 +28,7 @@ from sylvan.plans.traits import trait_table_per_trait_loop  # noqa: E402
 
 HEADLINE = [
     "trait_table",
+    "trait_table_long",
     "species_summary",
     "domain_summary",
     "null_profile",

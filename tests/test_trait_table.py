@@ -255,3 +255,11 @@ def test_empty_export(spark):
         "dataset", "acc_species_name", "trait_value", "trait_domain", "trait_full_name",
         "observation_id", "orig_value_str", "unit_name",
     ]
+
+
+def test_left_join_keeps_values_without_covariates(spark):
+    df = spark.createDataFrame(golden_rows(), SCHEMA)
+    got = {(r.observation_id, r.orig_value_str): r for r in tr.trait_table(df, how="left").collect()}
+    assert len(got) == 8
+    r = got[(103, "12.5")]
+    assert r.trait_domain == "Leaf nitrogen content per unit mass" and r.latitude is None and r.maturity is None

@@ -97,7 +97,10 @@ def q_trait_table_long(spark, sf_dir):
 
 
 def q_species_summary(spark, sf_dir):
-    return group_summary(q_trait_table(spark, sf_dir), ["trait_domain", "acc_species_name"], "trait_value")
+    # the summary needs the rows, not covariate columns: the map form has the
+    # same rows and skips the column-name pass
+    table = tr.trait_table(eav_view(spark, sf_dir), as_="map")
+    return group_summary(table, ["trait_domain", "acc_species_name"], "trait_value")
 
 
 def q_domain_summary(spark, sf_dir):

@@ -97,7 +97,7 @@ def missing_items(
 
     ``match="exact"``: equality (an anti equi-join).
     ``match="contains"``: the item occurs as a substring of some present name,
-    the substring test of the reference. A size-checked requested list is
+    the original workflow's substring test. A size-checked requested list is
     matched in one pass over ``present`` with a literal array; a large one
     uses an exact equi-join on each item's rarest 3-gram (every 3-gram of an
     item occurs in any name that contains it), then verifies with ``instr``.

@@ -105,7 +105,7 @@ def with_weighted_position(
 
 
 def chunk_bounds(total: int, n_chunks: int) -> list[tuple[int, int]]:
-    """Truncating rule of the reference: chunk k covers the 1-based positions
+    """Truncating rule of the original workflow: chunk k covers the 1-based positions
     ``floor(k*N/n) + 1`` .. ``floor(k*N/n) + max(N div n, 1)``; for N = 0
     every chunk is empty. Rows past a chunk end are lost when N mod n > 0."""
     if total == 0:
@@ -125,7 +125,7 @@ def assign_chunks(
     """Split rows, in ``order``, into ``n_chunks`` consecutive chunks.
 
     ``mode="lossless"``: every row in exactly one chunk, sizes differ by at
-    most one (as ``ntile``). ``mode="truncating"``: the reference's bounds,
+    most one (as ``ntile``). ``mode="truncating"``: the original bounds,
     which drop ``N mod n`` rows and, for N < n, repeat rows.
     """
     positioned, total = with_global_position(df, order, position)

@@ -45,11 +45,11 @@ def ingest_job(spark: SparkSession, source_path: str, record_root: str, force: b
 
 def records_job(spark: SparkSession, record_root: str, out_root: str, n_chunks: int = 4) -> dict[str, DataFrame]:
     """Newest stored sources -> drop empty ones -> union -> conform ->
-    quality report -> chunked output ``data_traits_bien/chunk=<k>``, rows
+    quality report -> chunked output ``trait_records/chunk=<k>``, rows
     in (trait name, record id) order."""
     records = conform_records(combine_sources(spark, record_root))
     report = quality_report(records)
-    write_chunks(records, f"{out_root}/data_traits_bien", ["trait_name", "id"], n_chunks, preset="archive")
+    write_chunks(records, f"{out_root}/trait_records", ["trait_name", "id"], n_chunks, preset="archive")
     return {"records": records, **report}
 
 

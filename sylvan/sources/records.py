@@ -100,7 +100,7 @@ def ingest_traits(
     """Store the requested traits that are not yet under ``root`` (all of
     them when ``force``), one snapshot per trait, in a single write (C11).
 
-    ``match="contains"`` is the reference's presence test (a stored name
+    ``match="contains"`` is the original presence test (a stored name
     containing the trait name counts as present). Returns the traits that
     were fetched (requested and missing); one without records writes
     nothing, like an empty download that the combine step would discard.

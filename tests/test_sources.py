@@ -118,7 +118,7 @@ def test_workflow_jobs(spark):
     assert ingest_job(spark, source_path, root) == sorted(WANTED_TRAITS)
     e3 = records_job(spark, root, os.path.join(base, "e3"))
     assert e3["records"].count() == 15
-    chunks = spark.read.parquet(os.path.join(base, "e3", "data_traits_bien"))
+    chunks = spark.read.parquet(os.path.join(base, "e3", "trait_records"))
     assert sorted(r["count"] for r in chunks.groupBy("chunk").count().collect()) == [3, 4, 4, 4]
     assert {r.column for r in e3["missing"].collect()} == set(e3["records"].columns)
 

@@ -82,6 +82,13 @@ def test_streaming_landing(spark):
     landed = spark.read.parquet(os.path.join(base, "out"))
     assert landed.count() == 25 and landed.select("ord").distinct().count() == 25
     assert trait_table(landed).count() == 7
+    # a restart processes only new files: nothing twice, the new one once
+    land_exports(spark, src, os.path.join(base, "out"), os.path.join(base, "ckpt"), schema).awaitTermination(120)
+    assert spark.read.parquet(os.path.join(base, "out")).count() == 25
+    with open(os.path.join(src, "c.txt"), "w") as fh:
+        fh.write("\n".join([lines[0], lines[1]]) + "\n")
+    land_exports(spark, src, os.path.join(base, "out"), os.path.join(base, "ckpt"), schema).awaitTermination(120)
+    assert spark.read.parquet(os.path.join(base, "out")).count() == 26
 
 
 def test_workflow_jobs(spark):

@@ -240,6 +240,7 @@ SQL: dict[str, str] = {
     "chunks_truncating": _chunks("truncating"),
     "head_ordered": "select * from events order by event_id limit 1000",
     "latest_snapshot": "select 'customer' as name, c.*, n.n_name from customer c join nation n on c.c_nationkey = n.n_nationkey",
+    "available_traits": "select distinct event_type as trait_name from events",
     "ingest_selected": "select event_type as trait_name, cast(event_id as varchar) as id, "
     "'user ' || cast(user_id as varchar) as scrubbed_species_binomial, "
     "try_cast(cast(value as varchar) as double) as trait_value, 'u' as unit, props as source_citation "

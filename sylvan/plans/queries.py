@@ -28,7 +28,7 @@ from sylvan.plans import traits as tr
 from sylvan.plans.eav_view import eav_view, read_table
 from sylvan.plans.records import combine_sources, conform_records
 from sylvan.session import shared_scratch
-from sylvan.sources.records import ingest_traits
+from sylvan.sources.records import ingest_traits, trait_names
 from sylvan.sources.snapshots import read_latest, save_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,12 +252,9 @@ def q_latest_snapshot(spark, sf_dir):
     return read_latest(spark, root, ["customer"])
 
 
-def q_ingest_selected(spark, sf_dir):
-    """Ingest three traits from a record source derived from ``events``
-    (one partitioned write), ingest again (nothing missing, nothing
-    written), then combine the stored sources and conform them."""
+def _record_source(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
-    source = events.select(
+    return events.select(
         F.col("event_type").alias("trait_name"),
         F.col("event_id").alias("id"),
         F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("scrubbed_species_binomial"),
@@ -266,6 +263,18 @@ def q_ingest_selected(spark, sf_dir):
         F.col("props").alias("source_citation"),
         F.lit("fam").alias("verbatim_family"),
     )
+
+
+def q_available_traits(spark, sf_dir):
+    """S3: trait names available at the record source."""
+    return trait_names(_record_source(spark, sf_dir))
+
+
+def q_ingest_selected(spark, sf_dir):
+    """Ingest three traits from a record source derived from ``events``
+    (one partitioned write), ingest again (nothing missing, nothing
+    written), then combine the stored sources and conform them."""
+    source = _record_source(spark, sf_dir)
     root = shared_scratch(spark, "records")
     wanted = ["purchase", "signup", "view"]
     ingest_traits(source, wanted, root)
@@ -309,5 +318,6 @@ QUERIES: dict[str, Query] = {
     "chunks_truncating": q_chunks_truncating,
     "head_ordered": q_head_ordered,
     "latest_snapshot": q_latest_snapshot,
+    "available_traits": q_available_traits,
     "ingest_selected": q_ingest_selected,
 }

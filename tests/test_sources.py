@@ -135,3 +135,28 @@ def test_fingerprint_of_maps_ignores_entry_order(spark):
     b = spark.sql("select 1 as k, map('y', 2, 'x', 1) as m, array(map('p', 'q')) as am")
     c = spark.sql("select 1 as k, map('y', 3, 'x', 1) as m, array(map('p', 'q')) as am")
     assert fingerprint(a) == fingerprint(b) != fingerprint(c)
+
+
+def test_combine_sources_input_variations(spark):
+    """Sources without ``method``, with an extra column, empty, all missing,
+    and an unparsable value: union by name, empty ones dropped."""
+    root = tempfile.mkdtemp(prefix="sylvan-combine-")
+    base = "trait_name string, id long, scrubbed_species_binomial string, trait_value string, unit string, longitude double"
+    full = spark.createDataFrame(
+        [("leaf area", 1, "Abies alba", "2.5", "mm2", 16.2, "m1"), ("leaf area", 2, "Abies alba", "x1", "mm2", None, "m2")],
+        base + ", method string",
+    )
+    no_method = spark.createDataFrame([("seed mass", 3, "Picea abies", "1e-3", "mg", 10.0)], base)
+    extra = spark.createDataFrame([("stem wood density", 4, "Picea abies", "0.4", "g/cm3", None, "x")], base + ", `Extra Col` string")
+    empty = spark.createDataFrame([], base)
+    all_missing = spark.createDataFrame([(None, None, None, None, None, None)], base)
+    for name, df in [("leaf area", full), ("seed mass", no_method), ("stem wood density", extra), ("empty", empty), ("blank", all_missing)]:
+        save_snapshot(df, root, name)
+    combined = combine_sources(spark, root)
+    assert set(combined.columns) >= {"name", "method", "extra_col", "longitude"}
+    assert sorted(r.name for r in combined.select("name").distinct().collect()) == ["leaf area", "seed mass", "stem wood density"]
+    conformed = {r.id: r for r in conform_records(combined).collect()}
+    assert conformed["1"].trait_value == 2.5 and conformed["1"].method == "m1"
+    assert conformed["2"].trait_value is None  # "x1" does not parse
+    assert conformed["3"].trait_value == 0.001 and conformed["3"].method is None
+    assert conformed["4"].longitude is None and "extra_col" not in conform_records(combined).columns

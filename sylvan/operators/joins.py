@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.operators.keysets import DEFAULT_MAX_LITERAL_KEYS, bounded_broadcast
+from sylvan.session import write_intermediate
 
 # Largest row count of a lookup table that may be broadcast.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -142,7 +143,9 @@ def _contained_items_by_gram(items: DataFrame, names: DataFrame) -> DataFrame:
     any_name = len(names.limit(1).collect()) > 0
     found.append(items.where((F.length("_item") == 0) & F.lit(any_name)))
     long_items = items.where(F.length("_item") >= 3)
-    name_grams = _grams(distinct_names, "_name", 3)
+    # written first, so the join below reads it as a plain shuffle stage and
+    # AQE can split a very frequent gram across tasks
+    name_grams = write_intermediate(_grams(distinct_names, "_name", 3), "name-grams")
     frequency = name_grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_freq"))
     item_grams = _grams(long_items, "_item", 3)
     rarest = (

@@ -129,19 +129,24 @@ def summary_of_summaries(
     by: str = "trait_domain",
     min_n: int = 50,
     n_col: str = "n",
+    approx: bool = False,
 ) -> DataFrame:
     """R ``summary()`` of each group's rows, for groups of ``summary`` with
     ``n > min_n`` and a non-missing ``by`` (``split`` drops NA) (A5).
 
     One row per (group, column): ``length`` (rows), and for numeric columns
     ``min, q1, median, mean, q3, max, n_na``. The input is already one row
-    per (group, member), so ``percentile`` holds at most one group's members.
+    per (group, member), so ``percentile`` holds at most one group's members;
+    ``approx=True`` uses ``percentile_approx`` instead.
     """
     kept = summary.where((F.col(n_col) > min_n) & F.col(f"`{by}`").isNotNull())
     numeric = [f.name for f in kept.schema.fields if f.name != by and isinstance(f.dataType, T.NumericType)]
     others = [f.name for f in kept.schema.fields if f.name != by and f.name not in numeric]
     long = _long_numeric(kept, [by], numeric)
-    q = F.percentile(F.col("value"), list(QUARTILES))
+    if approx:  # bounded memory per group (rank error 1/10000)
+        q = F.percentile_approx(F.col("value"), list(QUARTILES), 10000)
+    else:
+        q = F.percentile(F.col("value"), list(QUARTILES))
     stats = long.groupBy(by, "column").agg(
         F.count(F.lit(1)).alias("length"),
         F.min("value").alias("min"),

@@ -260,3 +260,17 @@ def test_export_ordinal_follows_file_order_across_splits(spark):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == list(range(10000))
+
+
+def test_summary_of_summaries_exact_and_approx(spark):
+    from sylvan.operators.summaries import summary_of_summaries
+
+    rows = [("d", f"s{i}", 60 + i, float(i), 1.0, 0.0, 2.0 * i) for i in range(9)] + [("e", "x", 10, 1.0, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "trait_domain string, acc_species_name string, n long, mean double, sd double, min double, max double")
+    exact = {(r.trait_domain, r.column): r for r in summary_of_summaries(df).collect()}
+    approx = {(r.trait_domain, r.column): r for r in summary_of_summaries(df, approx=True).collect()}
+    assert exact.keys() == approx.keys() and {k[0] for k in exact} == {"d"}
+    m = exact[("d", "mean")]
+    assert (m.min, m.q1, m.median, m.q3, m.max, m.n_na, m.length) == (0.0, 2.0, 4.0, 6.0, 8.0, 0, 9)
+    assert exact[("d", "acc_species_name")].length == 9
+    assert approx[("d", "mean")].median == 4.0

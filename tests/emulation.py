@@ -23,8 +23,9 @@ def parse(text):
     return None
 
 
-def emulate_trait_table(rows, exclude, catalog, invert):
-    """rows: dicts in file order. Returns a list of result dicts."""
+def emulate_trait_table(rows, exclude, catalog, invert, scope="global"):
+    """rows: dicts in file order. Returns a list of result dicts.
+    ``scope="per_trait"`` keeps an item only for the trait it was seen with."""
     traits = sorted({r["TraitID"] for r in rows if r["TraitID"] is not None})
     selection = {}
     for t in traits:
@@ -36,9 +37,10 @@ def emulate_trait_table(rows, exclude, catalog, invert):
         for r in selection[t]:
             if r["TraitID"] == t and (t, r["DataID"], r["DataName"]) not in overview:
                 overview.append((t, r["DataID"], r["DataName"]))
-    keep = [item for _, item, _ in overview if item not in exclude]
+    keep_all = [item for _, item, _ in overview if item not in exclude]
     result = []
     for t in traits:
+        keep = keep_all if scope == "global" else [i for t2, i, _ in overview if t2 == t and i not in exclude]
         values = {}
         for r in selection[t]:
             if r["DataID"] in keep:

@@ -263,3 +263,15 @@ def test_left_join_keeps_values_without_covariates(spark):
     assert len(got) == 8
     r = got[(103, "12.5")]
     assert r.trait_domain == "Leaf nitrogen content per unit mass" and r.latitude is None and r.maturity is None
+
+
+def test_per_trait_scope_matches_emulation(spark):
+    catalog = {a: (b, c) for a, b, c in TRAIT_CATALOG}
+    for seed in (21, 22):
+        rows = _random_rows(seed)
+        dicts = [dict(zip(SCHEMA.names, r)) for r in rows]
+        expected = emulate_trait_table(dicts, EXCLUDED_DATA_IDS, catalog, INVERTED_DOMAINS, scope="per_trait")
+        df = spark.createDataFrame(rows, SCHEMA)
+        got = tr.trait_table(df, as_="map", keep_scope="per_trait").collect()
+        assert sorted((_canon(r.asDict()) for r in got), key=repr) == sorted(map(_canon, expected), key=repr)
+        assert expected

@@ -274,3 +274,18 @@ def test_summary_of_summaries_exact_and_approx(spark):
     assert (m.min, m.q1, m.median, m.q3, m.max, m.n_na, m.length) == (0.0, 2.0, 4.0, 6.0, 8.0, 0, 9)
     assert exact[("d", "acc_species_name")].length == 9
     assert approx[("d", "mean")].median == 4.0
+
+
+def test_missing_contains_paths_match_brute_force(spark):
+    import random
+
+    rng = random.Random(7)
+    word = lambda lo, hi: "".join(rng.choice("abc ") for _ in range(rng.randint(lo, hi)))
+    items = sorted({word(0, 5) for _ in range(80)})
+    names = [word(3, 12) for _ in range(60)]
+    expected = sorted(i for i in items if not any(i in n for n in names))
+    requested = spark.createDataFrame([(i,) for i in items], "item string")
+    present = spark.createDataFrame([(n,) for n in names], "name string")
+    literal = sorted(r.item for r in missing_items(requested, present, match="contains").collect())
+    by_gram = sorted(r.item for r in missing_items(requested, present, match="contains", max_literal=1).collect())
+    assert literal == expected and by_gram == expected

@@ -289,3 +289,40 @@ def test_missing_contains_paths_match_brute_force(spark):
     literal = sorted(r.item for r in missing_items(requested, present, match="contains").collect())
     by_gram = sorted(r.item for r in missing_items(requested, present, match="contains", max_literal=1).collect())
     assert literal == expected and by_gram == expected
+
+
+def _r_factor_summary(values, maxsum=7):
+    """Literal emulation of R's summary() of a factor as called by
+    summary.data.frame: levels sorted; if there are more than fit, the most
+    frequent ones (stable on level order), then (Other), then NA's."""
+    nas = sum(v is None for v in values)
+    levels = sorted({v for v in values if v is not None})
+    counts = [(lvl, sum(v == lvl for v in values)) for lvl in levels]
+    limit = maxsum - 1 if nas else maxsum
+    if len(levels) > limit:
+        ordered = sorted(range(len(counts)), key=lambda i: -counts[i][1])  # stable
+        keep = ordered[: limit - 1]
+        shown = [counts[i] for i in keep] + [("(Other)", sum(counts[i][1] for i in ordered[limit - 1:]))]
+    else:
+        shown = counts
+    if nas:
+        shown.append(("NA's", nas))
+    return [(name, n, rank) for rank, (name, n) in enumerate(shown, start=1)]
+
+
+def test_describe_strings_matches_r_emulation(spark):
+    import random
+
+    rng = random.Random(3)
+    columns = {}
+    for c, n_levels in enumerate([1, 5, 6, 7, 8, 12]):
+        pool = [f"l{j:02d}" for j in range(n_levels)]
+        columns[f"c{c}"] = [rng.choice(pool + [None] * (c % 2)) for _ in range(60)]
+    names = sorted(columns)
+    rows = list(zip(*[columns[n] for n in names]))
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    got = {}
+    for r in describe_strings(df).collect():
+        got.setdefault(r.column, []).append((r.value, r.n, r.rank))
+    for n in names:
+        assert sorted(got[n], key=lambda x: x[2]) == _r_factor_summary(columns[n]), n

@@ -326,3 +326,36 @@ def test_describe_strings_matches_r_emulation(spark):
         got.setdefault(r.column, []).append((r.value, r.n, r.rank))
     for n in names:
         assert sorted(got[n], key=lambda x: x[2]) == _r_factor_summary(columns[n]), n
+
+
+def test_describe_numeric_matches_numpy_type7(spark):
+    import random
+
+    import numpy as np
+
+    from sylvan.operators.summaries import describe_numeric
+
+    rng = random.Random(5)
+    a = [rng.choice([None, float("nan")]) if rng.random() < 0.1 else rng.uniform(-50, 50) for _ in range(257)]
+    b = [rng.choice([None, 1.0, 2.0, 2.0, 3.0]) for _ in range(257)]
+    df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
+    for method_kwargs in ({}, {"max_distinct_in_memory": 0}):
+        got = {r.column: r for r in describe_numeric(df, **method_kwargs).collect()}
+        for name, col in (("a", a), ("b", b)):
+            vals = np.array([v for v in col if v is not None and not math.isnan(v)])
+            q = np.percentile(vals, [25, 50, 75], method="linear")
+            r = got[name]
+            assert np.allclose([r.q1, r.median, r.q3], q, rtol=1e-12, atol=1e-12)
+            assert (r.min, r.max, r.n_na) == (vals.min(), vals.max(), len(col) - len(vals))
+            assert math.isclose(r.mean, vals.mean(), rel_tol=1e-12)
+
+
+def test_group_summary_missing_rules(spark):
+    from sylvan.operators.summaries import group_summary
+
+    rows = [("g", 1.0), ("g", float("nan")), ("g", None), ("g", 3.0), ("h", None), ("h", float("nan")), ("k", 5.0)]
+    got = {r.k: r for r in group_summary(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").collect()}
+    assert (got["g"].n, got["g"].mean, got["g"].min, got["g"].max) == (4, 2.0, 1.0, 3.0)
+    assert math.isclose(got["g"].sd, math.sqrt(2.0))
+    assert (got["h"].n, got["h"].mean, got["h"].sd, got["h"].min) == (2, None, None, None)
+    assert (got["k"].n, got["k"].sd) == (1, None)  # sd of one value is NA in R

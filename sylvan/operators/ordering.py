@@ -33,6 +33,16 @@ def head_ordered(df: DataFrame, order: Sequence[str | Column], n: int = 1000) ->
     return df.orderBy(*_cols(order)).limit(n)
 
 
+def first_group(df: DataFrame, key: str) -> DataFrame:
+    """Rows of the first group in key order (``[[1]]`` of a per-group list,
+    O4). One scalar aggregate fetches the smallest key; the filter on it is a
+    literal, so it can reach the scan."""
+    first = df.agg(F.min(F.col(f"`{key}`")).alias("_k")).first()["_k"]
+    if first is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(f"`{key}`") == F.lit(first))
+
+
 def _range_sorted_checkpoint(
     df: DataFrame, order: Sequence[str | Column], num_partitions: int | None
 ) -> tuple[DataFrame, int]:

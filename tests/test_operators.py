@@ -359,3 +359,11 @@ def test_group_summary_missing_rules(spark):
     assert math.isclose(got["g"].sd, math.sqrt(2.0))
     assert (got["h"].n, got["h"].mean, got["h"].sd, got["h"].min) == (2, None, None, None)
     assert (got["k"].n, got["k"].sd) == (1, None)  # sd of one value is NA in R
+
+
+def test_first_group(spark):
+    from sylvan.operators.ordering import first_group
+
+    df = spark.createDataFrame([(3116, "a"), (4, "b"), (4, "c"), (None, "d")], "t int, v string")
+    assert sorted(r.v for r in first_group(df, "t").collect()) == ["b", "c"]
+    assert first_group(spark.createDataFrame([], "t int"), "t").count() == 0

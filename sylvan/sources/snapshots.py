@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sylvan.operators.reshape import union_by_name
+
 # zstd levels of the named compression presets
 PRESETS = {"fast": 1, "balanced": 3, "high": 9, "archive": 19}
 
@@ -119,3 +121,43 @@ def read_latest(spark: SparkSession, root: str, names=None, merge_schema: bool =
     picked = data.where(current.isin(keys))
     cols = ["name"] + [c for c in picked.columns if c not in ("name", "version")]
     return picked.select(*[F.col(f"`{c}`") for c in cols]).withColumn("name", F.col("name").cast("string"))
+
+
+# Entries of a flat snapshot folder: "<name>_<YYYY-MM-DD>[_<n>][.ext]"
+ENTRY_PATTERN = r"^(.*?)_(\d{4}-\d{2}-\d{2}(?:_\d+)?)(?:\.[A-Za-z0-9]+)?$"
+
+
+def read_latest_files(spark: SparkSession, folder: str, names=None) -> DataFrame:
+    """Newest version of every logical name in a flat folder whose entries
+    are named ``<name>_<date>[_<n>].parquet`` (files or parquet folders),
+    as one table with a ``name`` column (S6 for an existing folder).
+
+    The manifest is a ``binaryFile`` listing without the file contents; the
+    name / version split and the newest-per-name choice run in Spark; only
+    the chosen entries (one per name) come to the driver. They are read and
+    unioned by column name with the type check of ``union_by_name``.
+    """
+    base = folder.rstrip("/").rsplit("/", 1)[-1]
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(folder)
+        .select("path")
+    )
+    entry = F.regexp_extract("path", rf"/{base}/([^/]+)", 1)
+    manifest = listing.select(
+        F.regexp_extract("path", rf"^(.*/{base}/[^/]+)", 1).alias("entry_path"),
+        F.regexp_extract(entry, ENTRY_PATTERN, 1).alias("name"),
+        F.regexp_extract(entry, ENTRY_PATTERN, 2).alias("version"),
+    ).where(F.col("version") != "")
+    if names is not None:
+        manifest = manifest.where(F.col("name").isin(list(names)))
+    chosen = manifest.groupBy("name").agg(F.max_by("entry_path", "version").alias("entry_path")).collect()
+    if not chosen:
+        raise FileNotFoundError(f"no versioned entries in {folder}")
+    frames = [
+        spark.read.parquet(r["entry_path"]).select(F.lit(r["name"]).alias("name"), "*")
+        for r in sorted(chosen, key=lambda r: r["name"])
+    ]
+    return union_by_name(frames)

@@ -160,3 +160,21 @@ def test_combine_sources_input_variations(spark):
     assert conformed["2"].trait_value is None  # "x1" does not parse
     assert conformed["3"].trait_value == 0.001 and conformed["3"].method is None
     assert conformed["4"].longitude is None and "extra_col" not in conform_records(combined).columns
+
+
+def test_read_latest_files_flat_folder(spark):
+    import os
+
+    from sylvan.sources.snapshots import read_latest_files
+
+    folder = os.path.join(tempfile.mkdtemp(prefix="sylvan-flat-"), "store")
+    entries = {
+        "leaf area_2023-01-01.parquet": [(1, "old")],
+        "leaf area_2023-05-01.parquet": [(2, "new"), (3, "new")],
+        "seed mass_2023-02-01.parquet": [(4, "only")],
+        "notes.parquet": [(9, "no version")],
+    }
+    for entry, rows in entries.items():
+        spark.createDataFrame(rows, "id int, v string").write.parquet(os.path.join(folder, entry))
+    got = sorted((r.name, r.id, r.v) for r in read_latest_files(spark, folder).collect())
+    assert got == [("leaf area", 2, "new"), ("leaf area", 3, "new"), ("seed mass", 4, "only")]

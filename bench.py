@@ -24,7 +24,7 @@ sys.path.insert(0, ROOT)
 from sylvan import get_session  # noqa: E402
 from sylvan.plans import queries as Q  # noqa: E402
 from sylvan.plans.eav_view import eav_view  # noqa: E402
-from sylvan.plans.traits import trait_table_per_trait_loop  # noqa: E402
+from tools.naive_loop import trait_table_per_trait_loop  # noqa: E402
 
 HEADLINE = [
     "trait_table",

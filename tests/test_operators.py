@@ -367,3 +367,14 @@ def test_first_group(spark):
     df = spark.createDataFrame([(3116, "a"), (4, "b"), (4, "c"), (None, "d")], "t int, v string")
     assert sorted(r.v for r in first_group(df, "t").collect()) == ["b", "c"]
     assert first_group(spark.createDataFrame([], "t int"), "t").count() == 0
+
+
+def test_export_scan_decodes_latin1(spark):
+    from sylvan.sources.export import read_trait_export
+
+    folder = tempfile.mkdtemp(prefix="sylvan-latin1-")
+    text = "ObservationID\tAccSpeciesName\tOrigValueStr\n1\tGröße Pflanze\t5\n2\tNA\t6\n"
+    with open(os.path.join(folder, "e.txt"), "wb") as fh:
+        fh.write(text.encode("latin-1"))
+    rows = read_trait_export(spark, folder).orderBy("ord").collect()
+    assert [r.AccSpeciesName for r in rows] == ["Größe Pflanze", None]

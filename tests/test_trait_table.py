@@ -277,3 +277,15 @@ def test_per_trait_scope_matches_emulation(spark):
         got = tr.trait_table(df, as_="map", keep_scope="per_trait").collect()
         assert sorted((_canon(r.asDict()) for r in got), key=repr) == sorted(map(_canon, expected), key=repr)
         assert expected
+
+
+def test_custom_catalog(spark):
+    df = spark.createDataFrame(golden_rows(), SCHEMA)
+    catalog = spark.createDataFrame(
+        [("4", "Wood density", "SSD"), ("999", "Other domain", "Other trait")], "id string, domain string, label string"
+    )
+    out = tr.trait_table(df, catalog=catalog, as_="map")
+    assert out.columns[:6] == ["dataset", "acc_species_name", "trait_value", "domain", "label", "observation_id"]
+    got = {(r.observation_id, r.orig_value_str): r for r in out.collect()}
+    assert got[(105, "7")].trait_value == 7.0 and got[(105, "7")].domain == "Other domain"
+    assert got[(101, "20")].domain is None and got[(101, "20")].trait_value is None  # now unmapped

@@ -41,3 +41,7 @@ def test_entry_smoke(spark):
         "observation_id", "orig_value_str", "unit_name",
     ]
     assert out.count() > 0
+
+
+def test_entry_schema_is_stable(spark):
+    assert entry.entry(spark).schema == entry.entry(spark).schema

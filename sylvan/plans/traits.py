@@ -313,6 +313,7 @@ def trait_table(
     names: Sequence[str] | None = None,
     cols: ExportColumns = COLS,
     keep_scope: str = "global",
+    invert: dict[str, str] | None = None,
 ) -> DataFrame:
     """The whole chain C1..C8 on a long export (the flagship query).
 
@@ -335,4 +336,4 @@ def trait_table(
         covariates = write_intermediate(covariates, "covariates")
         names = covariate_names(covariates, cols)
     merged = combine_values_covariates(values, covariates, how, as_, names, cols)
-    return standardise_traits(merged, catalog, cols=cols)
+    return standardise_traits(merged, catalog, invert, cols=cols)

@@ -289,3 +289,9 @@ def test_custom_catalog(spark):
     got = {(r.observation_id, r.orig_value_str): r for r in out.collect()}
     assert got[(105, "7")].trait_value == 7.0 and got[(105, "7")].domain == "Other domain"
     assert got[(101, "20")].domain is None and got[(101, "20")].trait_value is None  # now unmapped
+
+
+def test_no_inversion_when_invert_is_empty(spark):
+    df = spark.createDataFrame(golden_rows(), SCHEMA)
+    got = {(r.observation_id, r.orig_value_str): r for r in tr.trait_table(df, as_="map", invert={}).collect()}
+    assert got[(101, "20")].trait_value == 20.0 and got[(101, "20")].unit_name == "mm2 mg-1"

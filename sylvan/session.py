@@ -87,3 +87,41 @@ def write_intermediate(df, name: str):
     path = shared_scratch(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+class Scratch:
+    """Written intermediates of one job, under the shared checkpoint folder.
+
+    ``save`` writes a table and reads it back (lineage is cut, a lost executor
+    costs nothing that was saved); ``drop`` deletes one table as soon as its
+    last reader has run, ``close`` deletes the rest. Use it as a context
+    manager where the result is consumed inside the block.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = shared_scratch(spark, name)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def save(self, df, name: str):
+        df.write.parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def drop(self, name: str) -> None:
+        self._delete(self.path(name))
+
+    def close(self) -> None:
+        self._delete(self.root)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()

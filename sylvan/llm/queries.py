@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
-from sylvan.llm import simhash
+from sylvan.llm import packing, simhash
 from sylvan.llm.common import read
 
 #: Parameters of the near-duplicate query and the pipeline's stage.
@@ -17,5 +17,14 @@ def op1_simhash(spark, sf_dir):
     return groups.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op2_packing(spark, sf_dir):
+    pieces = packing.pack_documents(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0
+    )
+    return pieces.select(
+        "doc_id", "start", "length", packing.ids_crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_packing": op2_packing}
 ORACLE_SQL: dict[str, str] = {}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sylvan.llm import packing, simhash
+from sylvan.llm import packing, simhash, tokenfile
 from sylvan.llm.common import read
+from sylvan.session import Scratch
 
 #: Parameters of the near-duplicate query and the pipeline's stage.
 SIMHASH_SHINGLE = 3
@@ -26,5 +27,17 @@ def op2_packing(spark, sf_dir):
     )
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_packing": op2_packing}
+def op3_tokenfile(spark, sf_dir):
+    path = Scratch(spark, "tokenfile").path("blocks")
+    tokenfile.write_tokens(
+        read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, alphabet=50257
+    )
+    return tokenfile.read_tokens(spark, path, with_ids=False)
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
+    "op3_tokenfile": op3_tokenfile,
+}
 ORACLE_SQL: dict[str, str] = {}

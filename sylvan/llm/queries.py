@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from sylvan.llm import packing, simhash, tokenfile
+from sylvan.llm import bpe, packing, simhash, tokenfile
 from sylvan.llm.common import read
 from sylvan.session import Scratch
 
@@ -35,9 +36,19 @@ def op3_tokenfile(spark, sf_dir):
     return tokenfile.read_tokens(spark, path, with_ids=False)
 
 
+def op10_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode_documents(encoded, ranks, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_tokenfile": op3_tokenfile,
+    "op10_bpe": op10_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -36,7 +36,7 @@ from sylvan.llm.common import small_batches, texts_of
 #: The pattern for which ``tokens.SPLIT`` is the same on ``tokens.PLAIN`` texts.
 GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Unicode white space, as the rank files' library has it in \s.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 #: Matches held by one Python worker, and the longest match held (bytes).
 CACHE_MATCHES = 500_000

@@ -19,7 +19,7 @@ import numpy as np
 # The vocabulary's split pattern; [^\W\d_] and \d stand for \p{L} and \p{N},
 # the same on the characters that PLAIN admits.
 SPLIT = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+""")
-PLAIN = re.compile("[\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞]*")
+PLAIN = re.compile("[\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e]*")
 
 #: Pieces held by one Python worker; the cache starts afresh beyond it.
 CACHE_PIECES = 500_000

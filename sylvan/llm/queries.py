@@ -5,13 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, packing, simhash, tokenfile
+from sylvan.llm import bpe, packing, simhash, tokenfile, urls
 from sylvan.llm.common import read
 from sylvan.session import Scratch
 
 #: Parameters of the near-duplicate query and the pipeline's stage.
 SIMHASH_SHINGLE = 3
 SIMHASH_DISTANCE = 2
+#: Rules of the url query.
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
 
 
 def op1_simhash(spark, sf_dir):
@@ -36,6 +44,10 @@ def op3_tokenfile(spark, sf_dir):
     return tokenfile.read_tokens(spark, path, with_ids=False)
 
 
+def op5_urls(spark, sf_dir):
+    return urls.filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -49,6 +61,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_tokenfile": op3_tokenfile,
+    "op5_urls": op5_urls,
     "op10_bpe": op10_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_urls": urls.oracle_sql(URL_RULES)}

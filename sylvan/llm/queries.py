@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, packing, simhash, tokenfile, urls
+from sylvan.llm import bpe, packing, simhash, tokenfile, toxicity, training, urls
 from sylvan.llm.common import read
 from sylvan.session import Scratch
 
@@ -48,6 +48,16 @@ def op5_urls(spark, sf_dir):
     return urls.filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), "toxic", modulus=3, held_out=1)
+    scored = toxicity.score_documents(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", training.is_held_out("doc_id", 3, 1).alias("held_out"), F.col("toxicity").alias("score"),
+        F.col("is_toxic").cast("int").alias("predicted"),
+    )
+
+
 def op10_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -62,6 +72,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_tokenfile": op3_tokenfile,
     "op5_urls": op5_urls,
+    "op7_toxicity": op7_toxicity,
     "op10_bpe": op10_bpe,
 }
 ORACLE_SQL: dict[str, str] = {"op5_urls": urls.oracle_sql(URL_RULES)}

@@ -111,7 +111,7 @@ def best_threshold(scores: np.ndarray, y: np.ndarray, weight: np.ndarray) -> flo
     f1[np.append(s[1:] == s[:-1], False)] = -1  # equal scores fall on one side
     at = int(np.argmax(f1))
     below = s[at + 1] if at + 1 < len(s) else 0.0
-    return float(np.clip((s[at] + below) / 2, 0.02, 0.98))
+    return float(np.clip((s[at] + below) / 2, 0.15, 0.85))
 
 
 def move_threshold(scores: np.ndarray, found: np.ndarray | float, to: float) -> np.ndarray:

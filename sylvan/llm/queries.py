@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, packing, simhash, tokenfile, toxicity, training, urls
+from sylvan.llm import bpe, packing, quality, simhash, tokenfile, toxicity, training, urls
 from sylvan.llm.common import read
 from sylvan.session import Scratch
 
@@ -58,6 +58,16 @@ def op7_toxicity(spark, sf_dir):
     )
 
 
+def op9_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), "quality", modulus=5, held_out=0)
+    scored = quality.score_documents(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", training.is_held_out("doc_id", 5, 0).alias("held_out"), F.col("quality").alias("score"),
+        F.col("is_good").cast("int").alias("predicted"),
+    )
+
+
 def op10_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -73,6 +83,7 @@ QUERIES = {
     "op3_tokenfile": op3_tokenfile,
     "op5_urls": op5_urls,
     "op7_toxicity": op7_toxicity,
+    "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
 ORACLE_SQL: dict[str, str] = {"op5_urls": urls.oracle_sql(URL_RULES)}

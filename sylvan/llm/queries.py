@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, packing, quality, simhash, tokenfile, toxicity, training, urls
+from sylvan.llm import bpe, lines, packing, quality, simhash, tokenfile, toxicity, training, urls
 from sylvan.llm.common import read
 from sylvan.session import Scratch
 
@@ -58,6 +58,12 @@ def op7_toxicity(spark, sf_dir):
     )
 
 
+def op8_lines(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = lines.fit(docs, read(spark, sf_dir, "labels"))
+    return lines.judge_lines(docs, model).drop("content_share")
+
+
 def op9_quality(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     model = quality.fit(docs, read(spark, sf_dir, "labels"), "quality", modulus=5, held_out=0)
@@ -83,6 +89,7 @@ QUERIES = {
     "op3_tokenfile": op3_tokenfile,
     "op5_urls": op5_urls,
     "op7_toxicity": op7_toxicity,
+    "op8_lines": op8_lines,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }

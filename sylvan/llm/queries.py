@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, lines, packing, quality, simhash, tokenfile, toxicity, training, urls
+from sylvan.llm import bpe, lines, packing, pii, quality, simhash, tokenfile, toxicity, training, urls
 from sylvan.llm.common import read
 from sylvan.session import Scratch
 
@@ -48,6 +48,15 @@ def op5_urls(spark, sf_dir):
     return urls.filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_pii(spark, sf_dir):
+    found = pii.find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+        pii.digest(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op7_toxicity(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), "toxic", modulus=3, held_out=1)
@@ -88,6 +97,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_tokenfile": op3_tokenfile,
     "op5_urls": op5_urls,
+    "op6_pii": op6_pii,
     "op7_toxicity": op7_toxicity,
     "op8_lines": op8_lines,
     "op9_quality": op9_quality,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, lines, packing, pii, quality, simhash, tokenfile, toxicity, training, urls
+from sylvan.llm import bpe, lines, neighbours, packing, pii, quality, simhash, tokenfile, toxicity, training, urls
 from sylvan.llm.common import read
 from sylvan.session import Scratch
 
@@ -44,6 +44,10 @@ def op3_tokenfile(spark, sf_dir):
     return tokenfile.read_tokens(spark, path, with_ids=False)
 
 
+def op4_neighbours(spark, sf_dir):
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_urls(spark, sf_dir):
     return urls.filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -96,6 +100,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_tokenfile": op3_tokenfile,
+    "op4_neighbours": op4_neighbours,
     "op5_urls": op5_urls,
     "op6_pii": op6_pii,
     "op7_toxicity": op7_toxicity,

@@ -27,7 +27,7 @@ to its documents is an ordinary shuffled join.
 Corner cases: a null or empty text has no spans; a text of any length is
 searched whole; repeated rows are found alike (each counts as a document);
 null ids are kept; an empty table gives an empty result. Other columns are
-carried through.
+carried in a struct, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -166,9 +166,9 @@ def disclosures(found: DataFrame, documents: DataFrame, total: int, scratch: Scr
 
 
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows with ``base`` (spans of the four kinds) and ``added`` (spans of
-    kind ``term``, whose value is ``generalise`` or ``remove``); both are arrays
-    of (kind, start, stop, value)."""
+    """Per row: ``row`` (all its columns), ``whole_text``, ``base`` (spans of
+    the four kinds) and ``added`` (spans of kind ``term``, whose value is
+    ``generalise`` or ``remove``); both are arrays of (kind, start, stop, value)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "pii")
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -201,7 +201,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     with_terms = joined.withColumn("added", F.transform(clear, action)).select("row", "text", "base", "added")
     without = marked.where(F.size("base") == 0).select("row", "text", "base", no_span.alias("added"))
-    return with_terms.unionByName(without).select("row.*", F.col("text").alias("whole_text"), "base", "added")
+    return with_terms.unionByName(without).select("row", F.col("text").alias("whole_text"), "base", "added")
 
 
 def digest(spans: Column) -> Column:
@@ -237,3 +237,17 @@ def sanitised(text: Column, base: Column, added: Column) -> Column:
         lambda state: F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text))),
     )
     return F.when(F.size(base) + F.size(added) > 0, done).otherwise(text)
+
+
+def sanitise_documents(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The rows with personal data replaced in the text (a null text stays
+    null) and its length renewed, where there is such a column."""
+    found = find_personal_data(docs, text_col)
+    new = F.when(F.col(f"row.`{text_col}`").isNotNull(), sanitised(F.col("whole_text"), F.col("base"), F.col("added")))
+    changed = found.withColumn("new_text", new)
+    renewed = {text_col: F.col("new_text")}
+    if length_col in docs.columns:
+        longer = F.length("new_text").cast(docs.schema[length_col].dataType)
+        untouched = F.size("base") + F.size("added") == 0
+        renewed[length_col] = F.when(untouched, F.col(f"row.`{length_col}`")).otherwise(longer)
+    return changed.select(*[renewed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

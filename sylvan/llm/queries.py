@@ -56,7 +56,7 @@ def op6_pii(spark, sf_dir):
     found = pii.find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
-        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+        "row.doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
         pii.digest(F.concat("base", "added")).alias("spans"),
     )
 

@@ -1,12 +1,12 @@
 """Token ids of texts by a public byte-level BPE vocabulary of the tokenizers
-library, with a bounded cache of word pieces.
-
-The library's own result is reproduced, not approximated: the vocabulary's
-split pattern cuts a text into pieces that are encoded one by one, so a piece
-has the same ids wherever it stands. Frequent pieces are looked up; pieces not
-seen yet are encoded by the library. A text with characters on which the
-pattern's classes differ between regex engines, or that holds a special
-token's string, goes to the library whole.
+library, with a bounded cache of words.
+
+The library's own result is reproduced, not approximated. Its split pattern
+never joins what stands before a single space or line feed with what stands
+after it, so where a text has no other white space and no two such characters
+in a row, the stretches between them have the same ids wherever they stand.
+Stretches seen before are looked up; new ones are encoded by the library. Any
+other text goes to the library whole.
 """
 
 from __future__ import annotations
@@ -16,20 +16,53 @@ import re
 
 import numpy as np
 
-# The vocabulary's split pattern; [^\W\d_] and \d stand for \p{L} and \p{N},
-# the same on the characters that PLAIN admits.
+# The split pattern of these vocabularies; [^\W\d_] and \d stand for \p{L} and
+# \p{N}, the same on the characters that PLAIN admits.
 SPLIT = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+""")
-PLAIN = re.compile("[\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e]*")
+PLAIN = re.compile("[\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞]*")
+# characters of which only space and line feed are white space
+WORDS = re.compile("[\n -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞]*")
+# ends of a text count as white space for the pattern: a line feed there is not alone
+RUNS = ("  ", " \n", "\n ", "\n\n")
 
-#: Pieces held by one Python worker; the cache starts afresh beyond it.
-CACHE_PIECES = 500_000
-#: Characters whose pieces are looked up together.
+MARKS = ".,;:!?"
+
+#: Words held by one Python worker; the cache starts afresh beyond it.
+CACHE_WORDS = 400_000
+#: Characters whose words are looked up together, and words encoded together.
 AT_ONCE = 2_000_000
+WORDS_AT_ONCE = 2_000
+
+_held: dict[str, WordEncoder] = {}
+
+
+class Held(dict):
+    """Word -> its ids (bytes); a word not seen yet gets an empty value, to be
+    filled before the batch is put together."""
 
-_held: dict[str, PieceEncoder] = {}
+    def __init__(self):
+        self.new: list[str] = []
 
+    def __missing__(self, word: str) -> bytearray:
+        value = self[word] = bytearray()
+        self.new.append(word)
+        return value
 
-class PieceEncoder:
+
+def cut(text: str) -> list[str]:
+    """The stretches of a text: a line feed opens one, a space before one is
+    left out, and the first one is marked."""
+    if not text:
+        return []
+    words = text.replace("\n", " \n").split(" ")
+    if words[0]:
+        words[0] = "\x01" + words[0]
+    else:  # the text starts with the white space of the second stretch
+        del words[0]
+    return words
+
+
+class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids (as bytes)."""
 
     def __init__(self, path: str):
@@ -38,45 +71,76 @@ class PieceEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
-
-    def _by_library(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        # bytes of each id: the vocabulary writes a byte as one character
+        tokens = [self.library.id_to_token(i) or "" for i in range(self.library.get_vocab_size())]
+        self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.marks = {m: self._ids(m).tobytes() for m in MARKS}
+        self.held = Held()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _by_words(self, text: str) -> bool:
+        return (
+            WORDS.fullmatch(text) is not None
+            and not any(run in text for run in RUNS)
+            and not any(s in text for s in self.special)
+        )
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        held: list[list[str] | None] = []
+        batch: list[list | None] = []
         size, first = 0, 0
         for at, text in enumerate(texts):
-            plain = PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
-            held.append(SPLIT.findall(text) if plain else None)
+            batch.append(list(map(self.held.__getitem__, cut(text))) if self._by_words(text) else None)
             size += len(text)
             if size > AT_ONCE or at == len(texts) - 1:
-                self._learn(held)
-                get = self.pieces.__getitem__
-                out += [
-                    self._by_library(texts[first + k]) if cut is None else b"".join(map(get, cut))
-                    for k, cut in enumerate(held)
-                ]
-                held, size, first = [], 0, at + 1
+                self._learn()
+                out += [self._ids(texts[first + k]).tobytes() if ids is None else b"".join(ids) for k, ids in enumerate(batch)]
+                batch, size, first = [], 0, at + 1
         return out
 
-    def _learn(self, held: list[list[str] | None]) -> None:
-        """Encode the pieces not seen yet, all in one call of the library."""
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        seen = set().union(*[cut for cut in held if cut])
-        new = [p for p in seen if p not in self.pieces]
-        if not new:
-            return
-        found = self.library.encode(new, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4").tobytes()
-        after = (4 * np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(new)))).tolist()
-        self.pieces.update((p, ids[a:b]) for p, a, b in zip(new, [0, *after], after))
-
-
-def encoder(path: str) -> PieceEncoder:
+    def _learn(self) -> None:
+        """Encode the words not seen yet: given to the library as running text,
+        which it cuts between them, and taken apart by their bytes."""
+        held, new = self.held, self.held.new
+        held.new = []
+        alone: list[str] = []
+        ended: list[str] = []
+        words: list[str] = []
+        for word in new:
+            if word in ("", "\n") or word[0] == "\x01":
+                alone.append(word)
+            elif word[-1] in MARKS and word[:-1].isalpha():
+                ended.append(word)
+                held[word[:-1]]  # may be new as well
+            else:
+                words.append(word)
+        words += held.new
+        held.new = []
+        for word in alone:
+            self._fill(word, self._ids(word[1:] if word[:1] == "\x01" else word or " ").tobytes())
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at : at + WORDS_AT_ONCE]
+            spaced = [w if w[0] == "\n" else " " + w for w in some]
+            ids = self._ids("".join(spaced))
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in spaced])) + 1
+            raw, last = ids.tobytes(), 0
+            for word, end in zip(some, (4 * ends).tolist()):
+                self._fill(word, raw[last:end])
+                last = end
+        for word in ended:  # letters, then a single mark: two matches of the pattern
+            self._fill(word, held[word[:-1]] + self.marks[word[-1]])
+        if len(held) > CACHE_WORDS:
+            self.held = Held()
+
+    def _fill(self, word: str, ids: bytes) -> None:
+        self.held[word] += ids  # for the batch that has met it
+        self.held[word] = bytes(ids)
+
+
+def encoder(path: str) -> WordEncoder:
     """The encoder of a vocabulary file, one per Python worker."""
     if path not in _held:
-        _held[path] = PieceEncoder(path)
+        _held[path] = WordEncoder(path)
     return _held[path]

@@ -5,7 +5,6 @@ from sylvan.functions.nulls import (
     in_values,
     is_missing,
     not_in_values,
-    null_safe_condition,
 )
 from sylvan.functions.numeric import (
     if_else_na,
@@ -19,7 +18,6 @@ __all__ = [
     "clean_name_list",
     "in_values",
     "not_in_values",
-    "null_safe_condition",
     "is_missing",
     "to_number_or_null",
     "reciprocal",

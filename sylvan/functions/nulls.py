@@ -7,8 +7,7 @@ spell the two-valued forms out with built-in column expressions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import reduce
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,25 +34,6 @@ def not_in_values(c: str | Column, values: Iterable) -> Column:
     return ~in_values(c, values)
 
 
-def null_safe_condition(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    not_null: Sequence[str] = (),
-) -> Column:
-    """Join condition matching NULL to NULL on every key.
-
-    Keys listed in ``not_null`` are known to hold no NULL and use plain
-    equality, which keeps an existing hash partitioning on them usable by the
-    join (``<=>`` plans on ``coalesce(k)`` / ``isnull(k)`` instead of ``k``).
-    """
-    parts = [
-        (left[k] == right[k]) if k in not_null else left[k].eqNullSafe(right[k])
-        for k in keys
-    ]
-    return reduce(lambda a, b: a & b, parts)
-
-
 def is_missing(df: DataFrame, name: str) -> Column:
     """R's ``is.na``: TRUE for NULL and, on floating columns, for NaN."""
     c = F.col(f"`{name}`")

@@ -18,7 +18,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     the shuffle, so a hot key is cut to one row per map task before it moves.
     NULL keys form their own group, as in R.
     """
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(
+        *[F.col(f"`{o}`") if isinstance(o, str) else o for o in order]
+    )
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 

@@ -14,18 +14,13 @@ from sylvan.operators.keysets import KeySet
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``drop_na``: rows with a missing value (NULL, or NaN on floats) go."""
-    columns = list(columns or df.columns)
+    columns = list(df.columns if columns is None else columns)
     if not columns:
         return df
     missing = reduce(lambda a, b: a | b, [is_missing(df, c) for c in columns])
     return df.where(~missing)
 
 
-def keep_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
-    """Rows whose value is in a constant list (two-valued, F10)."""
-    return df.where(in_values(F.col(f"`{column}`"), values))
-
-
 def exclude_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     """Rows whose value is not in a constant list; NULL survives."""
     return df.where(~in_values(F.col(f"`{column}`"), values))
@@ -33,7 +28,7 @@ def exclude_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
 
 def has_data(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """TRUE when at least one of ``columns`` is not missing on the row."""
-    columns = list(columns or df.columns)
+    columns = list(df.columns if columns is None else columns)
     if not columns:
         return F.lit(False)
     return reduce(lambda a, b: a | b, [~is_missing(df, c) for c in columns])
@@ -57,10 +52,10 @@ def discard_empty(frames: Iterable[DataFrame]) -> list[DataFrame]:
 def discard_empty_sources(df: DataFrame, source: str, columns: Sequence[str] | None = None) -> DataFrame:
     """F11 on a combined table: keep rows of sources with some value.
 
-    The per-source test is a partial aggregate; the surviving source list is
-    size-checked before it becomes a literal filter.
+    The per-source test is a partial aggregate; the surviving sources are
+    joined back (null-safe semi join).
     """
-    columns = [c for c in (columns or df.columns) if c != source]
+    columns = [c for c in (df.columns if columns is None else columns) if c != source]
     flagged = df.groupBy(source).agg(F.max(has_data(df, columns)).alias("_any")).where("_any")
     return KeySet.of(flagged, source).keep(df, source)
 

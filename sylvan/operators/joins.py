@@ -8,11 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.operators.keysets import DEFAULT_MAX_LITERAL_KEYS, bounded_broadcast
-from sylvan.session import write_intermediate
-
-# Largest row count of a lookup table that may be broadcast.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+from sylvan.session import Scratch, write_intermediate
 
 
 def null_safe_join(
@@ -49,39 +45,21 @@ def null_safe_join(
     return joined.select(*keys, *[c for c, _ in rest_l], *[c for c, _ in rest_r]).toDF(*names)
 
 
-def null_safe_semi(left: DataFrame, right: DataFrame, on: Sequence[str], max_broadcast: int = DEFAULT_MAX_LITERAL_KEYS) -> DataFrame:
-    """Rows of ``left`` whose key tuple occurs in ``right`` (``%in%``).
-
-    A key set of at most ``max_broadcast`` tuples is broadcast (the probe
-    side is not shuffled, so a hot key costs nothing extra); a larger one is
-    a shuffle semi join."""
-    keys = bounded_broadcast(right.select(*on).distinct(), max_broadcast)
-    return null_safe_join(left, keys, on, "left_semi")
+def null_safe_semi(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose key tuple occurs in ``right`` (``%in%``)."""
+    return null_safe_join(left, right.select(*on).distinct(), on, "left_semi")
 
 
-def null_safe_anti(left: DataFrame, right: DataFrame, on: Sequence[str], max_broadcast: int = DEFAULT_MAX_LITERAL_KEYS) -> DataFrame:
-    """Rows of ``left`` whose key tuple does not occur in ``right``
-    (``!%in%``); broadcast behind the same size check as ``null_safe_semi``."""
-    keys = bounded_broadcast(right.select(*on).distinct(), max_broadcast)
-    return null_safe_join(left, keys, on, "left_anti")
+def null_safe_anti(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose key tuple does not occur in ``right`` (``!%in%``)."""
+    return null_safe_join(left, right.select(*on).distinct(), on, "left_anti")
 
 
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    left_key: str,
-    right_key: str,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    lookup_rows: int | None = None,
-) -> DataFrame:
-    """Left join on ``cast(left_key as string) = right_key``.
-
-    The lookup side is broadcast only when its size is known to be small:
-    ``lookup_rows`` for a fixed table, else a bounded count.
-    """
-    if lookup_rows is None:
-        lookup_rows = len(lookup.limit(max_broadcast_rows + 1).collect())
-    side = F.broadcast(lookup) if lookup_rows <= max_broadcast_rows else lookup
+def lookup_join(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, fixed: bool = False) -> DataFrame:
+    """Left join on ``cast(left_key as string) = right_key`` (J2). Only a
+    ``fixed`` table (one that the library states itself) gets a broadcast
+    hint; the size of any other is left to Spark."""
+    side = F.broadcast(lookup) if fixed else lookup
     cond = df[left_key].cast("string") == side[right_key]
     return df.join(side, cond, "left").drop(side[right_key])
 
@@ -92,37 +70,27 @@ def missing_items(
     item: str = "item",
     present_col: str = "name",
     match: str = "exact",
-    max_literal: int = DEFAULT_MAX_LITERAL_KEYS,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Requested items with no present counterpart.
 
     ``match="exact"``: equality (an anti equi-join).
     ``match="contains"``: the item occurs as a substring of some present name,
-    the original workflow's substring test. A size-checked requested list is
-    matched in one pass over ``present`` with a literal array; a large one
-    uses an exact equi-join on each item's rarest 3-gram (every 3-gram of an
-    item occurs in any name that contains it), then verifies with ``instr``.
+    the original workflow's substring test: an exact equi-join on each item's
+    rarest 3-gram (every 3-gram of an item occurs in any name that contains
+    it), then ``instr`` verifies the pairs that are left.
     """
     items = requested.select(F.col(item).alias("_item")).where(F.col("_item").isNotNull()).distinct()
     names = present.select(F.col(present_col).alias("_name")).where(F.col("_name").isNotNull())
     if match == "exact":
         found = names.select(F.col("_name").alias("_item")).distinct()
     elif match == "contains":
-        found = _contained_items(items, names, max_literal)
+        found = _contained_items(items, names, scratch)
     else:
         raise ValueError("match must be 'exact' or 'contains'")
     return items.join(found, "_item", "left_anti").select(F.col("_item").alias(item))
 
 
-def _contained_items(items: DataFrame, names: DataFrame, max_literal: int) -> DataFrame:
-    rows = items.limit(max_literal + 1).collect()
-    if len(rows) <= max_literal:
-        candidates = F.array(*[F.lit(r["_item"]) for r in rows]) if rows else F.array().cast("array<string>")
-        hits = F.filter(candidates, lambda x: F.instr(F.col("_name"), x) > 0)
-        return names.select(F.explode(hits).alias("_item")).distinct()
-    return _contained_items_by_gram(items, names)
-
-
 def _grams(df: DataFrame, text: str, length: int) -> DataFrame:
     n = F.length(F.col(text))
     starts = F.sequence(F.lit(1), F.greatest(n - length + 1, F.lit(1)))
@@ -131,7 +99,7 @@ def _grams(df: DataFrame, text: str, length: int) -> DataFrame:
     )
 
 
-def _contained_items_by_gram(items: DataFrame, names: DataFrame) -> DataFrame:
+def _contained_items(items: DataFrame, names: DataFrame, scratch: Scratch | None) -> DataFrame:
     found = []
     distinct_names = names.distinct()
     # items shorter than 3 characters: join on the whole item as the gram
@@ -139,13 +107,12 @@ def _contained_items_by_gram(items: DataFrame, names: DataFrame) -> DataFrame:
         short = items.where(F.length("_item") == length).select("_item", F.col("_item").alias("_gram"))
         hits = short.join(_grams(distinct_names, "_name", length).select("_gram").distinct(), "_gram")
         found.append(hits.select("_item"))
-    # the empty item is contained in any name: a bounded existence check
-    any_name = len(names.limit(1).collect()) > 0
-    found.append(items.where((F.length("_item") == 0) & F.lit(any_name)))
+    # the empty item is contained in any name
+    found.append(names.limit(1).select(F.lit("").alias("_item")))
     long_items = items.where(F.length("_item") >= 3)
     # written first, so the join below reads it as a plain shuffle stage and
     # AQE can split a very frequent gram across tasks
-    name_grams = write_intermediate(_grams(distinct_names, "_name", 3), "name-grams")
+    name_grams = write_intermediate(_grams(distinct_names, "_name", 3), "name-grams", scratch)
     frequency = name_grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_freq"))
     item_grams = _grams(long_items, "_item", 3)
     rarest = (

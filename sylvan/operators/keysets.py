@@ -1,11 +1,9 @@
-"""Membership in a data-derived key set, broadcast only behind a size check.
+"""Membership in a key set (the kept data items, the sources with data).
 
-A key set (the kept data items, the sources with data, the requested names)
-is usually tiny, but nothing proves it. ``KeySet.of`` counts it with a
-bounded ``limit(n+1)`` fetch: when it fits, membership becomes an ``InSet``
-literal evaluated inside the scan's codegen stage (no join, no shuffle, the
-partitioning of the probed side is untouched); when it does not fit, the
-test becomes a null-safe shuffle semi/anti join, and AQE picks the strategy.
+A constant list becomes an ``InSet`` literal inside the scan's codegen stage.
+A key set derived from data is a plain null-safe semi / anti join with no
+hint, whatever its size: Spark's own size estimate and AQE choose between a
+broadcast and a shuffle, and AQE splits a hot key of the probed side.
 """
 
 from __future__ import annotations
@@ -18,9 +16,6 @@ from pyspark.sql import functions as F
 
 from sylvan.functions.nulls import in_values
 
-# Largest key set turned into a literal; above it the join path is used.
-DEFAULT_MAX_LITERAL_KEYS = 50_000
-
 
 @dataclass(frozen=True)
 class KeySet:
@@ -28,21 +23,13 @@ class KeySet:
     frame: DataFrame | None
 
     @classmethod
-    def of(cls, keys: DataFrame, column: str, max_literal: int = DEFAULT_MAX_LITERAL_KEYS) -> KeySet:
-        distinct = keys.select(F.col(f"`{column}`").alias("_key")).distinct()
-        rows = distinct.limit(max_literal + 1).collect()
-        if len(rows) <= max_literal:
-            return cls(tuple(r["_key"] for r in rows), None)
-        return cls(None, distinct)
+    def of(cls, keys: DataFrame, column: str) -> KeySet:
+        return cls(None, keys.select(F.col(f"`{column}`").alias("_key")).distinct())
 
     @classmethod
     def literal(cls, values: Sequence) -> KeySet:
         return cls(tuple(values), None)
 
-    @property
-    def is_literal(self) -> bool:
-        return self.values is not None
-
     def keep(self, df: DataFrame, column: str) -> DataFrame:
         """Rows whose ``column`` is in the set (NULL matches NULL)."""
         return self._filter(df, column, anti=False)
@@ -55,15 +42,11 @@ class KeySet:
         if self.values is not None:
             test = in_values(F.col(f"`{column}`"), self.values)
             return df.where(~test if anti else test)
-        cond = df[column].eqNullSafe(self.frame["_key"])
+        cond = F.col(f"`{column}`").eqNullSafe(F.col("_key"))
         return df.join(self.frame, cond, "left_anti" if anti else "left_semi")
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_LITERAL_KEYS) -> DataFrame:
-    """``df`` as a broadcast of its fetched rows when it has at most
-    ``max_rows`` rows (checked with a ``limit(max_rows+1)`` fetch, so it is
-    computed once), else ``df`` unchanged for a shuffle join."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return df
+    def mark(self, df: DataFrame, column: str, into: str) -> DataFrame:
+        """Every row, with ``into`` telling whether its ``column`` is in the set."""
+        keys = self.frame.withColumn("_in", F.lit(True))
+        joined = df.join(keys, F.col(f"`{column}`").eqNullSafe(F.col("_key")), "left")
+        return joined.withColumn(into, F.coalesce("_in", F.lit(False))).drop("_key", "_in")

@@ -35,12 +35,17 @@ def head_ordered(df: DataFrame, order: Sequence[str | Column], n: int = 1000) ->
 
 def first_group(df: DataFrame, key: str) -> DataFrame:
     """Rows of the first group in key order (``[[1]]`` of a per-group list,
-    O4). One scalar aggregate fetches the smallest key; the filter on it is a
-    literal, so it can reach the scan."""
-    first = df.agg(F.min(F.col(f"`{key}`")).alias("_k")).first()["_k"]
-    if first is None:
-        return df.where(F.lit(False))
-    return df.where(F.col(f"`{key}`") == F.lit(first))
+    O4): a join with the one smallest key."""
+    first = df.agg(F.min(F.col(f"`{key}`")).alias("_k"))
+    return df.join(F.broadcast(first), F.col(f"`{key}`") == F.col("_k"), "left_semi")  # one row
+
+
+def cluster_by_first(df: DataFrame, key: str, ordinal: str, into: str) -> DataFrame:
+    """Add ``into``: the smallest ``ordinal`` of the row's ``key``. Ordering by
+    (``into``, ``ordinal``) puts the groups in order of first appearance and
+    keeps the order inside each."""
+    first = df.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.min(F.col(f"`{ordinal}`")).alias(into))
+    return df.join(first, F.col(f"`{key}`").eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def _range_sorted_checkpoint(
@@ -50,10 +55,17 @@ def _range_sorted_checkpoint(
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _cols(order)
+    # rows that are equal under the order spread by the hash of the whole row
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType)]
+    cols = [*cols, F.xxhash64(*plain)] if plain else cols
     # a user-given partition count is kept as is by AQE (no coalescing)
     return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True), n
 
 
+def _holds_map(dtype: T.DataType) -> bool:
+    return "map<" in dtype.simpleString()
+
+
 def _partition_offsets(ranged: DataFrame, partitions: int, weight: Column) -> tuple[list[int], int]:
     """Prefix sums of ``weight`` over the partitions, in partition order."""
     totals = {

@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 from sylvan.operators.ordering import with_global_position
 
-# Above this many names the wide form is refused; use the map form.
-DEFAULT_MAX_PIVOT_COLUMNS = 10_000
+# Column that numbers the pieces of a nested group; ``unnest`` drops it.
+PIECE = "__sylvan_piece"
+# Rows of a piece, unless the caller says otherwise.
+PIECE_ROWS = 10_000
 
 
 def pivot_to_map(
@@ -32,22 +34,12 @@ def pivot_to_map(
     return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.map_from_entries(entries).alias(into))
 
 
-def pivot_names(
-    df: DataFrame,
-    names_from: str,
-    order: Sequence[str | Column],
-    max_columns: int = DEFAULT_MAX_PIVOT_COLUMNS,
-) -> list[str]:
-    """Distinct names in order of first appearance under ``order``.
-
-    A small aggregate (one row per name) fetched with a bound.
-    """
+def pivot_names(df: DataFrame, names_from: str, order: Sequence[str | Column]) -> list[str]:
+    """Distinct names in order of first appearance under ``order``: one row
+    per name, which the columns form needs before its schema can exist."""
     first = F.min(F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])).alias("_first")
     names = df.groupBy(F.col(f"`{names_from}`").alias("_name")).agg(first).orderBy("_first")
-    rows = names.limit(max_columns + 1).collect()
-    if len(rows) > max_columns:
-        raise ValueError(f"more than {max_columns} pivot names; use the map form")
-    return [r["_name"] for r in rows]
+    return [r["_name"] for r in names.select("_name").collect()]
 
 
 def map_to_columns(df: DataFrame, map_col: str, names: Iterable[str]) -> DataFrame:
@@ -63,20 +55,12 @@ def pivot_wider(
     names_from: str,
     values_from: str,
     names: Sequence[str] | None = None,
-    order: Sequence[str | Column] | None = None,
-    as_: str = "columns",
     into: str = "covariates",
 ) -> DataFrame:
-    """Long -> wide. ``as_="map"`` gives one map column; ``"columns"`` one
-    column per name, named in first-appearance order (``names`` fixes them)."""
+    """Long -> wide: one map column, or, with ``names`` (see ``pivot_names``),
+    one column per name."""
     wide = pivot_to_map(df, keys, names_from, values_from, into)
-    if as_ == "map":
-        return wide
-    if names is None:
-        if order is None:
-            raise ValueError("columns form needs names= or order=")
-        names = pivot_names(df, names_from, order)
-    return map_to_columns(wide, into, names)
+    return wide if names is None else map_to_columns(wide, into, names)
 
 
 def nest_by(
@@ -85,38 +69,32 @@ def nest_by(
     columns: Sequence[str],
     into: str = "data",
     order: str | None = None,
-    max_items: int | None = None,
+    max_items: int = PIECE_ROWS,
 ) -> DataFrame:
-    """One row per key with an ``array<struct>`` of the other columns.
-
-    With ``order``, elements keep that order. Without ``max_items`` a group
-    becomes one row, so keep it for groups of bounded size (the pipeline
-    itself never nests). With ``max_items`` (needs ``order``, a total order)
-    each group is cut into consecutive pieces of at most that many rows,
-    numbered by a ``piece`` column: rows get global positions under
-    (keys, order) without any single-partition step, and a piece is a run
-    of ``max_items`` positions, so no task ever holds more than that.
+    """Each key's other columns as ``array<struct>`` (A7), in pieces of at most
+    ``max_items`` rows.
+
+    Pieces are consecutive runs in ``order`` (without it, in the order of the
+    columns), numbered by a reserved column that ``unnest`` drops; a group of
+    at most ``max_items`` rows is one row. Rows get global positions under
+    (keys, order) without any single-partition step, and a piece is a run of
+    positions inside the group, so no task ever holds more than that.
     """
     fields = [F.col(f"`{c}`") for c in columns]
     by = [F.col(f"`{k}`") for k in keys]
-    if max_items is not None:
-        if order is None:
-            raise ValueError("max_items needs order=")
-        positioned, _ = with_global_position(df, [*keys, order], position="_pos")
-        df = positioned.withColumn("piece", F.floor((F.col("_pos") - 1) / max_items).cast("long"))
-        by = [*by, F.col("piece")]
-    if order is None:
-        packed = F.collect_list(F.struct(*fields))
-    else:
-        items = F.sort_array(F.collect_list(F.struct(F.col(f"`{order}`").alias("_o"), F.struct(*fields).alias("_v"))))
-        packed = F.transform(items, lambda x: x["_v"])
-    return df.groupBy(*by).agg(packed.alias(into))
+    sort = [order] if order else list(columns)
+    positioned, _ = with_global_position(df, [*keys, *sort], position="_pos")
+    # runs of one key are consecutive: its first position numbers its pieces
+    first = positioned.groupBy(*by).agg(F.min("_pos").alias("_first")).toDF(*[f"_k{i}" for i in range(len(keys))], "_first")
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    cut = positioned.join(first, same).withColumn(PIECE, F.floor((F.col("_pos") - F.col("_first")) / max_items).cast("long"))
+    items = F.sort_array(F.collect_list(F.struct(F.col("_pos").alias("_o"), F.struct(*fields).alias("_v"))))
+    return cut.groupBy(*by, F.col(PIECE)).agg(F.transform(items, lambda x: x["_v"]).alias(into))
 
 
 def unnest(df: DataFrame, column: str) -> DataFrame:
-    """Rows back out of an ``array<struct>``; empty arrays drop the row.
-    A ``piece`` column from ``nest_by(max_items=)`` is dropped."""
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in (column, "piece")]
+    """Rows back out of an ``array<struct>``; empty arrays drop the row."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in (column, PIECE)]
     return df.select(*rest, F.inline(F.col(f"`{column}`")))
 
 

@@ -7,8 +7,8 @@ p, h = (n-1)p, lo = floor(h), hi = ceil(h), and the value is
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from sylvan.functions.nulls import is_missing
 from sylvan.functions.numeric import nan_to_null
 from sylvan.operators.ordering import with_weighted_position
-from sylvan.session import write_intermediate
+from sylvan.session import Scratch, write_intermediate
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -57,71 +57,72 @@ def _long_numeric(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> D
     )
 
 
-def _interpolate(lo: float, hi: float, frac: float) -> float:
-    if frac == 0 or lo == hi:
-        return lo
-    return (1 - frac) * lo + frac * hi
+def value_counts(long: DataFrame, by: Sequence[str], value: str, scratch: Scratch | None = None) -> DataFrame:
+    """(by..., _v, _n): how often each value occurs, missing ones included. A
+    partial aggregate: a value that a third of the rows share is one row.
+    Written, as the summaries below read it more than once."""
+    counted = long.groupBy(*[F.col(f"`{b}`") for b in by], F.col(f"`{value}`").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    return write_intermediate(counted, "value-counts", scratch)
+
+
+def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: Sequence[float] = QUARTILES) -> DataFrame:
+    """Exact type-7 quantiles (by..., prob, quantile) from ``value_counts``.
+
+    The counts are range partitioned on (by, value) and get count-weighted
+    positions (see ``with_weighted_position``). A group is a run of
+    consecutive positions, so its ranks are positions; each is joined to the
+    one row that covers it. No task holds a group, nothing but partition
+    totals goes through the driver.
+    """
+    known = counts.where(F.col("_v").isNotNull()).select(*[F.col(f"`{b}`") for b in by], "_v", "_n")
+    positioned, _ = with_weighted_position(known, [*by, "_v"], "_n", end="_end")
+    positioned = positioned.withColumn("_start", F.col("_end") - F.col("_n") + 1)
+    keys = [f"_b{i}" for i in range(len(by))]
+    groups = positioned.groupBy(*[F.col(f"`{b}`") for b in by]).agg(F.min("_start").alias("_first"), F.sum("_n").alias("_size"))
+    groups = groups.toDF(*keys, "_first", "_size")
+    ranks = groups.select(*keys, "_first", "_size", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+    h = (F.col("_size") - 1) * F.col("prob")
+    ranks = ranks.withColumns({"_lo": F.col("_first") + F.floor(h), "_hi": F.col("_first") + F.ceil(h), "_frac": h - F.floor(h)})
+    same = reduce(lambda a, b: a & b, [F.col(f"`{b}`").eqNullSafe(F.col(k)) for b, k in zip(by, keys)])
+    covers = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) <= F.col("_end"))
+    picked = positioned.join(ranks, same & (covers("_lo") | covers("_hi")))
+    ends = picked.groupBy(*[F.col(f"`{b}`") for b in by], "prob").agg(
+        F.max(F.when(covers("_lo"), F.col("_v"))).alias("_x"), F.max(F.when(covers("_hi"), F.col("_v"))).alias("_y"),
+        F.max("_frac").alias("_frac"),
+    )
+    value = F.when((F.col("_frac") == 0) | (F.col("_x") == F.col("_y")), F.col("_x")).otherwise(
+        (1 - F.col("_frac")) * F.col("_x") + F.col("_frac") * F.col("_y")
+    )
+    return ends.select(*[F.col(f"`{b}`") for b in by], "prob", value.alias("quantile"))
 
 
 def exact_quantiles(
-    long: DataFrame,
-    group: str,
-    value: str,
-    probs: Sequence[float] = QUARTILES,
+    long: DataFrame, group: str, value: str, probs: Sequence[float] = QUARTILES, scratch: Scratch | None = None
 ) -> DataFrame:
-    """Exact type-7 quantiles of ``value`` per ``group``, fully distributed.
-
-    Values are first counted per (group, value) — a partial aggregate, so a
-    value repeated in a third of the rows becomes one row — then range
-    partitioned on (group, value) and given count-weighted positions (see
-    ``with_weighted_position``). Only the rows covering the needed ranks
-    (two per probability and group) are fetched. Task memory does not grow
-    with a group's size or with a value's frequency. Meant for few groups
-    (e.g. the columns of a table): the group list and the picked rows go
-    through the driver. Returns (group, prob, quantile).
-    """
-    spark = long.sparkSession
-    counted = (
-        long.select(F.col(group).alias("_g"), F.col(value).alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .groupBy("_g", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    """Exact type-7 quantiles of ``value`` per ``group``: (group, prob, quantile)."""
+    return quantiles_of_counts(value_counts(long, [group], value, scratch), [group], probs)
+
+
+def _summary(long: DataFrame, by: Sequence[str], scratch: Scratch | None) -> DataFrame:
+    """R ``summary()`` of ``value`` per group of a long table: (by..., length,
+    min, q1, median, mean, q3, max, n_na), everything from the value counts."""
+    counts = value_counts(long, by, "value", scratch)
+    keys = [F.col(f"`{b}`") for b in by]
+    known = F.when(F.col("_v").isNotNull(), F.col("_n"))
+    stats = counts.groupBy(*keys).agg(
+        F.sum("_n").alias("length"), F.min("_v").alias("min"),
+        F.try_divide(F.sum(F.col("_v") * F.col("_n")), F.sum(known)).alias("mean"), F.max("_v").alias("max"),
+        F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).cast("long").alias("n_na"),
     )
-    positioned, _ = with_weighted_position(counted, ["_g", "_v"], "_n", end="_end")
-    # read twice below; a lost block is recomputed from the checkpoint
-    positioned = positioned.withColumn("_start", F.col("_end") - F.col("_n") + 1).persist()
-    # each group is a run of consecutive positions: its first position and size
-    groups = positioned.groupBy("_g").agg(F.min("_start").alias("_first"), F.sum("_n").alias("_size")).collect()
-    wanted: dict[int, None] = {}
-    plan = []
-    for row in groups:
-        g, first, n = row["_g"], row["_first"], row["_size"]
-        for p in probs:
-            h = (n - 1) * p
-            lo, hi = math.floor(h), math.ceil(h)
-            plan.append((g, p, first + lo, first + hi, h - lo))
-            wanted[first + lo] = None
-            wanted[first + hi] = None
-    picked = {}
-    if wanted:
-        covers = [(F.col("_start") <= r) & (F.col("_end") >= r) for r in wanted]
-        cond = covers[0]
-        for c in covers[1:]:
-            cond = cond | c
-        rows = positioned.where(cond).select("_start", "_end", "_v").collect()
-        for r in wanted:
-            picked[r] = next(x["_v"] for x in rows if x["_start"] <= r <= x["_end"])
-    positioned.unpersist()
-    out = [(g, float(p), _interpolate(picked[lo], picked[hi], frac)) for g, p, lo, hi, frac in plan]
-    gtype = long.schema[group].dataType
-    schema = T.StructType(
-        [
-            T.StructField(group, gtype),
-            T.StructField("prob", T.DoubleType()),
-            T.StructField("quantile", T.DoubleType()),
-        ]
+    quarter = lambda p: F.max(F.when(F.col("prob") == p, F.col("quantile")))
+    names = [f"_q{i}" for i in range(len(by))]
+    quartiles = quantiles_of_counts(counts, by).groupBy(*keys).agg(
+        quarter(0.25).alias("q1"), quarter(0.5).alias("median"), quarter(0.75).alias("q3")
+    ).toDF(*names, "q1", "median", "q3")
+    same = reduce(lambda a, b: a & b, [F.col(f"`{b}`").eqNullSafe(F.col(n)) for b, n in zip(by, names)])
+    return stats.join(quartiles, same, "left").select(
+        *keys, "length", "min", "q1", "median", "mean", "q3", "max", "n_na"
     )
-    return spark.createDataFrame(out, schema)
 
 
 def summary_of_summaries(
@@ -129,37 +130,18 @@ def summary_of_summaries(
     by: str = "trait_domain",
     min_n: int = 50,
     n_col: str = "n",
-    approx: bool = False,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """R ``summary()`` of each group's rows, for groups of ``summary`` with
     ``n > min_n`` and a non-missing ``by`` (``split`` drops NA) (A5).
 
     One row per (group, column): ``length`` (rows), and for numeric columns
-    ``min, q1, median, mean, q3, max, n_na``. The input is already one row
-    per (group, member), so ``percentile`` holds at most one group's members;
-    ``approx=True`` uses ``percentile_approx`` instead.
+    ``min, q1, median, mean, q3, max, n_na``.
     """
     kept = summary.where((F.col(n_col) > min_n) & F.col(f"`{by}`").isNotNull())
     numeric = [f.name for f in kept.schema.fields if f.name != by and isinstance(f.dataType, T.NumericType)]
     others = [f.name for f in kept.schema.fields if f.name != by and f.name not in numeric]
-    long = _long_numeric(kept, [by], numeric)
-    if approx:  # bounded memory per group (rank error 1/10000)
-        q = F.percentile_approx(F.col("value"), list(QUARTILES), 10000)
-    else:
-        q = F.percentile(F.col("value"), list(QUARTILES))
-    stats = long.groupBy(by, "column").agg(
-        F.count(F.lit(1)).alias("length"),
-        F.min("value").alias("min"),
-        q.alias("_q"),
-        F.avg("value").alias("mean"),
-        F.max("value").alias("max"),
-        F.count_if(F.col("value").isNull()).alias("n_na"),
-    )
-    stats = stats.select(
-        by, "column", "length", "min",
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), "mean",
-        F.col("_q")[2].alias("q3"), "max", "n_na",
-    )
+    stats = _summary(_long_numeric(kept, [by], numeric), [by, "column"], scratch)
     if others:
         text = kept.select(by, F.explode(F.array(*[F.lit(c) for c in others])).alias("column"))
         text = text.groupBy(by, "column").agg(F.count(F.lit(1)).alias("length"))
@@ -167,70 +149,58 @@ def summary_of_summaries(
     return stats
 
 
-# Exact ``percentile`` keeps one counter per distinct value of a column in
-# each task; columns estimated above this many distinct values take the
-# distributed (range partition + positions) path instead.
-MAX_DISTINCT_IN_MEMORY = 200_000
+def _one_row_each(df: DataFrame, columns: Sequence[str], stats: DataFrame) -> DataFrame:
+    """A summary row for every column, also of a table without rows."""
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(stats.drop("length"), "column", "left").fillna(0, ["n_na"])
 
 
-def describe_numeric(
-    df: DataFrame,
-    columns: Sequence[str] | None = None,
-    method: str = "exact",
-    max_distinct_in_memory: int = MAX_DISTINCT_IN_MEMORY,
-) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, scratch: Scratch | None = None) -> DataFrame:
     """``summary()`` of numeric columns: one row per column with
     ``min, q1, median, mean, q3, max, n_na`` (A10, numeric part).
 
-    One wide aggregate gives min / mean / max / missing counts and an HLL
-    estimate of distinct values for every column (no unpivot, partial
-    aggregation in the scan stage). Quartiles are exact: a second wide
-    aggregate with ``percentile`` for columns with few distinct values,
-    ``exact_quantiles`` (distributed sort) for the others. ``method="approx"``
-    uses ``percentile_approx`` instead (bounded memory, one pass).
-    The result has one row per input column, built from those aggregates.
+    The columns are unpivoted and counted per value in one pass over the
+    table; everything else comes from these counts, on one distributed path
+    whatever the number of distinct values.
     """
-    spark = df.sparkSession
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    columns = list(columns)
-    vals = {c: nan_to_null(F.col(f"`{c}`")) for c in columns}
-    aggs = []
-    for i, c in enumerate(columns):
-        v = vals[c]
-        aggs += [
-            F.min(v).alias(f"min{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.max(v).alias(f"max{i}"),
-            F.count_if(v.isNull()).alias(f"na{i}"),
-            F.approx_count_distinct(v).alias(f"ndv{i}"),
-        ]
-    stats = df.agg(*aggs).first() if columns else None
-    quart: dict[str, list] = {}
-    if method == "approx":
-        row = df.agg(*[F.percentile_approx(vals[c], list(QUARTILES), 10000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-        quart = {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * 3 for i, c in enumerate(columns)}
-    elif method == "exact":
-        small = [c for i, c in enumerate(columns) if stats[f"ndv{i}"] <= max_distinct_in_memory]
-        large = [c for c in columns if c not in small]
-        if small:
-            row = df.agg(*[F.percentile(vals[c], list(QUARTILES)).alias(f"q{i}") for i, c in enumerate(small)]).first()
-            quart.update({c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * 3 for i, c in enumerate(small)})
-        if large:
-            qs = exact_quantiles(_long_numeric(df, [], large), "column", "value").collect()
-            for c in large:
-                quart[c] = [next((r.quantile for r in qs if r.column == c and r.prob == p), None) for p in QUARTILES]
-    else:
-        raise ValueError("method must be 'exact' or 'approx'")
-    out = [
-        (c, stats[f"min{i}"], *quart[c][:2], stats[f"mean{i}"], quart[c][2], stats[f"max{i}"], stats[f"na{i}"])
-        for i, c in enumerate(columns)
-    ]
-    schema = "column string, min double, q1 double, median double, mean double, q3 double, max double, n_na long"
-    return spark.createDataFrame(out, schema)
+    stats = _summary(_long_numeric(df, [], list(columns)), ["column"], scratch) if columns else None
+    if stats is None:
+        return df.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
+    return _one_row_each(df, columns, stats)
+
+
+SUMMARY_SCHEMA = "column string, min double, q1 double, median double, mean double, q3 double, max double, n_na long"
+
+
+def describe_dates(df: DataFrame, columns: Sequence[str] | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """``summary()`` of date and timestamp columns, as timestamps (A10)."""
+    kinds = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if columns is None:
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+    seconds = df.select(*[(F.unix_micros(F.col(f"`{c}`").cast("timestamp")) / 1e6).alias(c) for c in columns])
+    out = describe_numeric(seconds, columns, scratch)
+    moments = ["min", "q1", "median", "mean", "q3", "max"]
+    return out.withColumns({m: F.timestamp_micros(F.round(F.col(m) * 1e6).cast("long")) for m in moments})
 
 
-def describe_strings(df: DataFrame, columns: Sequence[str] | None = None, maxsum: int = 7) -> DataFrame:
+def describe_logical(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``summary()`` of boolean columns: (column, value, n) with the values
+    FALSE, TRUE and NA's that occur (A10)."""
+    if columns is None:
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string, n long")
+    items = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in columns]
+    long = df.select(F.explode(F.array(*items)).alias("_x")).select("_x.column", "_x.value")
+    shown = F.when(F.col("value").isNull(), "NA's").otherwise(F.upper(F.col("value").cast("string")))
+    return long.groupBy("column", shown.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def describe_strings(
+    df: DataFrame, columns: Sequence[str] | None = None, maxsum: int = 7, scratch: Scratch | None = None
+) -> DataFrame:
     """``summary()`` of text columns as factors (A10, string part).
 
     Per column: all levels in level order when they fit, else the ``maxsum-1``
@@ -246,7 +216,7 @@ def describe_strings(df: DataFrame, columns: Sequence[str] | None = None, maxsum
     long = df.select(F.explode(F.array(*items)).alias("_x")).select("_x.column", "_x.value")
     # one pass over the input; levels, NA counts and top levels all read the
     # written (column, value, n) table
-    counts = write_intermediate(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "level-counts")
+    counts = write_intermediate(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "level-counts", scratch)
     levels = counts.where(F.col("value").isNotNull()).groupBy("column").agg(
         F.count(F.lit(1)).alias("_levels"), F.sum("n").alias("_total")
     )
@@ -296,6 +266,6 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.explode(F.array(*items)).alias("_x")).select("_x.column", "_x.pct")
 
 
-def count_rows(df: DataFrame) -> int:
-    """``nrow`` (A11)."""
-    return df.count()
+def count_rows(df: DataFrame) -> DataFrame:
+    """``nrow`` (A11): one row, ``n``."""
+    return df.agg(F.count(F.lit(1)).alias("n"))

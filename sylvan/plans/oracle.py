@@ -167,6 +167,45 @@ def _null_profile() -> str:
     return f"with T as ({duckdb_sql()}) {parts}"
 
 
+def _chunks_written(mode: str) -> str:
+    """Traits in order of first appearance, rows in file order inside each."""
+    inside = (
+        """cast(case when pos <= (N % 4) * (N // 4 + 1) then (pos - 1) // (N // 4 + 1)
+            else (N % 4) + (pos - 1 - (N % 4) * (N // 4 + 1)) // greatest(N // 4, 1) end as varchar) as k from P"""
+        if mode == "lossless"
+        else """cast(c.k as varchar) as k from P join (values (0), (1), (2), (3)) c(k)
+  on P.pos between (c.k * N) // 4 + 1 and (c.k * N) // 4 + greatest(N // 4, 1)"""
+    )
+    return f"""
+with E as (select *, min(event_id) over (partition by event_type) as first from events),
+P as (select *, row_number() over (order by first, event_id) as pos, count(*) over () as N from E)
+select 'data_traits_' || k as snapshot_name, event_type as trait_name,
+  cast(case when event_id % 5 > 0 then event_id % 7 end as varchar) as id,
+  'user ' || cast(user_id as varchar) as scrubbed_species_binomial, try_cast(cast(value as varchar) as double) as trait_value,
+  'u' as unit, cast(event_id as varchar) as url_source, props as source_citation
+from (select P.*, {inside})
+"""
+
+
+def _quality_report() -> str:
+    numeric = ["o_orderkey", "o_custkey", "o_totalprice"]
+    stats = ["min", "q1", "median", "mean", "q3", "max", "n_na"]
+    unpivot = lambda part, rel: " union all ".join(
+        f"select '{part}' as part, \"column\", '{s}' as item, cast({s} as double) as value from {rel}" for s in stats
+    )
+    days = "(select epoch(cast(cast(o_orderdate as date) as timestamp)) as o_orderdate from orders)"
+    missing = [*numeric, "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    return f"""
+with N as ({_describe_numeric("orders", numeric)}), D as ({_describe_numeric(days, ["o_orderdate"])}),
+L as (select case when o_custkey % 10 > 0 then o_totalprice > 150000 end as large from orders)
+{unpivot("numeric", "N")} union all {unpivot("dates", "D")}
+union all select 'strings', "column", value, n from ({_describe_strings("orders", ["o_orderstatus", "o_orderpriority"])})
+union all select 'logical', 'large', case when large is null then 'NA''s' else upper(cast(large as varchar)) end, count(*) from L group by large
+union all select 'missing', 'large', 'pct', cast(count(*) filter (where large is null) as double) / count(*) * 100 from L
+union all {" union all ".join(f"select 'missing', '{c}', 'pct', cast(count(*) filter (where {c} is null) as double) / count(*) * 100 from orders" for c in missing)}
+"""
+
+
 DOMAIN_SUMMARY = (
     BASE
     + """,
@@ -239,10 +278,34 @@ SQL: dict[str, str] = {
     "chunks_lossless": _chunks("lossless"),
     "chunks_truncating": _chunks("truncating"),
     "head_ordered": "select * from events order by event_id limit 1000",
-    "latest_snapshot": "select 'customer' as name, c.*, n.n_name from customer c join nation n on c.c_nationkey = n.n_nationkey",
+    "latest_snapshot": "select 'customer' as snapshot_name, c.*, n.n_name from customer c join nation n on c.c_nationkey = n.n_nationkey",
     "available_traits": "select distinct event_type as trait_name from events",
     "ingest_selected": "select event_type as trait_name, cast(event_id as varchar) as id, "
     "'user ' || cast(user_id as varchar) as scrubbed_species_binomial, "
     "try_cast(cast(value as varchar) as double) as trait_value, 'u' as unit, props as source_citation "
     "from events where event_type in ('purchase', 'signup', 'view')",
+    "trait_table_from_export": BASE + "select * from TT",
+    "clean_names_letters": 'select o_orderkey as umol, o_custkey as orsted, o_orderstatus as strasse, o_totalprice as delta13_c, '
+    "o_orderdate as grosse_m2, o_orderpriority as ano from orders",
+    "nest_user_piece": "select o_custkey, o_custkey % 3 as piece, o_orderkey from orders",
+    "snapshot_null_shift": "select 't' as snapshot_name, cast(null as varchar) as x, n_name as y from nation",
+    "snapshot_renamed_column": "select 't' as snapshot_name, n_nationkey as key, n_name as label from nation",
+    "snapshot_empty_newest": "select 'full' as snapshot_name, * from region",
+    "snapshot_type_change": "select 't' as snapshot_name, 'r' || r_regionkey as r_regionkey, r_name from region",
+    "snapshot_own_name_column": "select 'nations' as snapshot_name, n_nationkey as version, n_name as name from nation",
+    "snapshot_numeric_name": "select '007' as snapshot_name, * from region",
+    "snapshot_version_order": "select 'x' as snapshot_name, r_regionkey, r_name from region where r_regionkey > 0 "
+    "union all select 'undated', n_nationkey, n_name from nation",
+    "ingest_unchanged": "select event_type as trait_name, cast(1 as bigint) as versions, count(*) as n from events "
+    "where event_type in ('purchase', 'signup', 'view') group by event_type",
+    "chunks_written_lossless": _chunks_written("lossless"),
+    "chunks_written_truncating": _chunks_written("truncating"),
+    "quality_report": _quality_report(),
+    "convert_columns": "select c_custkey, upper(c_name) as c_name, c_nationkey, c_acctbal, upper(c_mktsegment) as c_mktsegment from customer",
+    "row_count": "select count(*) as n from lineitem",
+    "any_all": "select p_brand, coalesce(bool_or(t), false) as any_large, coalesce(bool_and(t), true) as all_large from "
+    "(select p_brand, case when p_brand <> 'Brand#11' then p_retailprice > 1000 end as t from part) group by p_brand",
+    "first_group": "select * from part where p_brand = (select min(p_brand) from part)",
+    "logical_names": "select p_partkey, p_name as name, case when p_partkey % 3 > 0 then '2023-05-0' || (p_partkey % 3) else '' end as date, "
+    "cast(case when p_partkey % 6 = 1 then 12 else 0 end as bigint) as number from part",
 }

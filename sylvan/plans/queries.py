@@ -10,14 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from sylvan.operators.columns import clean_names, enframe, relocate, select_any_of
+from sylvan.functions.names import entry_version, logical_name
+from sylvan.operators.columns import clean_names, convert_columns, enframe, relocate, select_any_of
 from sylvan.operators.dedup import distinct_values, keep_first
-from sylvan.operators.filters import discard_empty_sources, drop_incomplete
+from sylvan.operators.filters import all_true, any_true, discard_empty_sources, drop_incomplete
 from sylvan.operators.joins import missing_items, null_safe_anti, null_safe_semi
-from sylvan.operators.ordering import arrange, assign_chunks, head_ordered
+from sylvan.operators.ordering import arrange, assign_chunks, first_group, head_ordered
 from sylvan.operators.reshape import nest_by, union_by_name, unnest
 from sylvan.operators.summaries import (
+    count_rows,
     describe_numeric,
     describe_strings,
     group_summary,
@@ -26,10 +29,11 @@ from sylvan.operators.summaries import (
 )
 from sylvan.plans import traits as tr
 from sylvan.plans.eav_view import eav_view, read_table
-from sylvan.plans.records import combine_sources, conform_records
-from sylvan.session import shared_scratch
+from sylvan.plans.records import combine_sources, conform_records, quality_report, write_record_chunks
+from sylvan.session import Scratch, shared_scratch
+from sylvan.sources.export import land_export, read_landed, read_trait_export
 from sylvan.sources.records import ingest_traits, trait_names
-from sylvan.sources.snapshots import read_latest, save_snapshot
+from sylvan.sources.snapshots import read_latest, read_latest_files, save_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,7 +89,20 @@ def q_trait_merged_join(spark, sf_dir):
 
 
 def q_trait_table(spark, sf_dir):
-    return tr.trait_table(eav_view(spark, sf_dir))
+    return tr.trait_table(eav_view(spark, sf_dir), as_="columns")
+
+
+def q_trait_table_from_export(spark, sf_dir):
+    """S1, S1a, S5 -> C9: the long table written as tab-separated files in file
+    order, scanned, landed and turned into the trait table."""
+    scratch = Scratch(spark, "export")
+    text = eav_view(spark, sf_dir).repartitionByRange(4, "ord").sortWithinPartitions("ord").drop("ord")
+    (
+        text.write.option("sep", "\t").option("header", "true").option("nullValue", "NA").option("encoding", "ISO-8859-1")
+        .option("quote", "").csv(scratch.path("text"))
+    )
+    land_export(read_trait_export(spark, scratch.path("text")), scratch.path("landed"))
+    return tr.trait_table(read_landed(spark, scratch.path("landed")), as_="columns")
 
 
 def q_trait_table_long(spark, sf_dir):
@@ -202,6 +219,12 @@ def q_clean_names(spark, sf_dir):
     return clean_names(renamed)
 
 
+def q_clean_names_letters(spark, sf_dir):
+    """Letters outside ASCII, some of which do not decompose."""
+    orders = read_table(spark, sf_dir, "orders")
+    return clean_names(orders.toDF("µmol", "Ørsted", "Straße", "δ13C", "Größe (m²)", "año"))
+
+
 def q_nest_roundtrip(spark, sf_dir):
     nation = read_table(spark, sf_dir, "nation")
     nested = nest_by(nation, ["n_regionkey"], ["n_nationkey", "n_name"], into="nations", order="n_nationkey")
@@ -215,6 +238,12 @@ def q_nest_pieces_roundtrip(spark, sf_dir):
     return unnest(nested, "orders")
 
 
+def q_nest_user_piece(spark, sf_dir):
+    """A table with a column called ``piece`` keeps it."""
+    orders = read_table(spark, sf_dir, "orders").selectExpr("o_custkey", "o_custkey % 3 as piece", "o_orderkey")
+    return unnest(nest_by(orders, ["o_custkey", "piece"], ["o_orderkey"], into="orders", max_items=3), "orders")
+
+
 def q_describe_numeric(spark, sf_dir):
     return describe_numeric(read_table(spark, sf_dir, "lineitem"))
 
@@ -252,6 +281,67 @@ def q_latest_snapshot(spark, sf_dir):
     return read_latest(spark, root, ["customer"])
 
 
+def _saved_in_turn(spark, name, *tables):
+    root = shared_scratch(spark, "snapshots")
+    for table in tables:
+        save_snapshot(table, root, name)
+    return root
+
+
+def q_snapshot_null_shift(spark, sf_dir):
+    """A NULL that moves to another column is a change."""
+    nation = read_table(spark, sf_dir, "nation")
+    first = nation.selectExpr("n_name as x", "cast(null as string) as y")
+    return read_latest(spark, _saved_in_turn(spark, "t", first, first.select(F.col("y").alias("x"), F.col("x").alias("y"))))
+
+
+def q_snapshot_renamed_column(spark, sf_dir):
+    """So is another column name with the same values."""
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return read_latest(spark, _saved_in_turn(spark, "t", nation, nation.toDF("key", "label")))
+
+
+def q_snapshot_empty_newest(spark, sf_dir):
+    """A version without rows hides the older one; other names stay."""
+    region = read_table(spark, sf_dir, "region")
+    root = _saved_in_turn(spark, "emptied", region, region.where("false"))
+    save_snapshot(region, root, "full")
+    return read_latest(spark, root)
+
+
+def q_snapshot_type_change(spark, sf_dir):
+    """An older version of another type does not matter."""
+    region = read_table(spark, sf_dir, "region")
+    return read_latest(spark, _saved_in_turn(spark, "t", region, region.withColumn("r_regionkey", F.concat(F.lit("r"), "r_regionkey"))))
+
+
+def q_snapshot_own_name_column(spark, sf_dir):
+    """A table's own columns ``name`` and ``version`` are kept."""
+    nation = read_table(spark, sf_dir, "nation").selectExpr("n_nationkey as version", "n_name as name")
+    return read_latest(spark, _saved_in_turn(spark, "nations", nation))
+
+
+def q_snapshot_numeric_name(spark, sf_dir):
+    """Names that look like numbers are text."""
+    region = read_table(spark, sf_dir, "region")
+    root = _saved_in_turn(spark, "007", region)
+    save_snapshot(region, root, "7")
+    return read_latest(spark, root, ["007"])
+
+
+def q_snapshot_version_order(spark, sf_dir):
+    """S6 on a flat folder: version 10 of a day is newer than 9; an entry
+    without a date is read where there is no other."""
+    folder = shared_scratch(spark, "folder.v1")
+    region = read_table(spark, sf_dir, "region")
+    nation = read_table(spark, sf_dir, "nation")
+    region.limit(1).write.parquet(f"{folder}/x.parquet")
+    region.where("r_regionkey = 0").write.parquet(f"{folder}/x_2023-05-01_9.parquet")
+    region.where("r_regionkey > 0").write.parquet(f"{folder}/x_2023-05-01_10.parquet")
+    nation.selectExpr("n_nationkey as r_regionkey", "n_name as r_name").write.parquet(f"{folder}/undated.parquet")
+    return read_latest_files(spark, folder)
+
+
 def _record_source(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
     return events.select(
@@ -282,6 +372,88 @@ def q_ingest_selected(spark, sf_dir):
     return conform_records(combine_sources(spark, root))
 
 
+def q_ingest_unchanged(spark, sf_dir):
+    """Two forced ingests of the same records make one version each."""
+    source = _record_source(spark, sf_dir)
+    root = shared_scratch(spark, "records")
+    for _ in range(2):
+        ingest_traits(source, ["purchase", "signup", "view", "no such trait"], root, force=True)
+    manifest = spark.read.parquet(f"{root}/manifest")
+    return manifest.groupBy(F.col("name").alias("trait_name")).agg(F.count(F.lit(1)).alias("versions"), F.max("rows").alias("n"))
+
+
+def _chunked_records(spark, sf_dir, mode):
+    """E3's last part: sources ingested, combined in file order, conformed,
+    written as chunks, read back. Ids repeat or are NULL."""
+    events = _record_source(spark, sf_dir).repartitionByRange(3, "id").sortWithinPartitions("id")
+    odd = events.withColumn("url_source", F.col("id").cast("string")).withColumn("id", F.when(F.col("id") % 5 > 0, F.col("id") % 7))
+    root, out = shared_scratch(spark, "records"), shared_scratch(spark, "chunks")
+    save_snapshot(odd, root, "all")
+    records = conform_records(combine_sources(spark, root, ordinal="ord"), ordinal="ord")
+    write_record_chunks(records, out, "data_traits", "ord", mode=mode)
+    write_record_chunks(records, out, "data_traits", "ord", mode=mode)  # unchanged
+    return read_latest(spark, out)
+
+
+def q_chunks_written_lossless(spark, sf_dir):
+    return _chunked_records(spark, sf_dir, "lossless")
+
+
+def q_chunks_written_truncating(spark, sf_dir):
+    return _chunked_records(spark, sf_dir, "truncating")
+
+
+def q_quality_report(spark, sf_dir):
+    """C14 as one long table: (part, column, item, value)."""
+    orders = read_table(spark, sf_dir, "orders").withColumn("large", F.when(F.col("o_custkey") % 10 > 0, F.col("o_totalprice") > 150000))
+    report = quality_report(orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date")))
+    stats = ["min", "q1", "median", "mean", "q3", "max"]
+
+    def long(part, df, items):
+        pairs = F.array(*[F.struct(F.lit(i).alias("item"), v.cast("double").alias("value")) for i, v in items])
+        return df.select(F.lit(part).alias("part"), "column", F.explode(pairs).alias("_x")).select("part", "column", "_x.item", "_x.value")
+
+    named = lambda part, df: df.select(F.lit(part).alias("part"), "column", F.col("value").alias("item"), F.col("n").cast("double").alias("value"))
+    seconds = [(c, F.unix_micros(c) / 1e6) for c in stats]
+    return (
+        long("numeric", report["numeric"], [(c, F.col(c)) for c in [*stats, "n_na"]])
+        .unionByName(named("strings", report["strings"]))
+        .unionByName(named("logical", report["logical"]))
+        .unionByName(long("dates", report["dates"], [*seconds, ("n_na", F.col("n_na"))]))
+        .unionByName(long("missing", report["missing"], [("pct", F.col("pct"))]))
+    )
+
+
+def q_convert_columns(spark, sf_dir):
+    """Every text column upper-cased (``across``)."""
+    return convert_columns(read_table(spark, sf_dir, "customer"), StringType, F.upper)
+
+
+def q_row_count(spark, sf_dir):
+    """A11."""
+    return count_rows(read_table(spark, sf_dir, "lineitem"))
+
+
+def q_any_all(spark, sf_dir):
+    """A12 per group, with a group of NULLs only."""
+    part = read_table(spark, sf_dir, "part")
+    test = F.when(F.col("p_brand") != "Brand#11", F.col("p_retailprice") > 1000)
+    return part.groupBy("p_brand").agg(any_true(test).alias("any_large"), all_true(test).alias("all_large"))
+
+
+def q_first_group(spark, sf_dir):
+    """O4."""
+    return first_group(read_table(spark, sf_dir, "part"), "p_brand")
+
+
+def q_logical_names(spark, sf_dir):
+    """X10 on entry names derived from the part names."""
+    part = read_table(spark, sf_dir, "part")
+    entry = F.concat("p_name", F.when(F.col("p_partkey") % 3 > 0, F.concat(F.lit("_2023-05-0"), F.col("p_partkey") % 3)).otherwise(""), F.when(F.col("p_partkey") % 6 == 1, "_12").otherwise(""), F.lit(".qs"))
+    version = entry_version(entry)
+    return part.select("p_partkey", logical_name(entry).alias("name"), version["date"].alias("date"), version["number"].alias("number"))
+
+
 QUERIES: dict[str, Query] = {
     "trait_ids": q_trait_ids,
     "explode_by_trait": q_explode_by_trait,
@@ -320,4 +492,23 @@ QUERIES: dict[str, Query] = {
     "latest_snapshot": q_latest_snapshot,
     "available_traits": q_available_traits,
     "ingest_selected": q_ingest_selected,
+    "trait_table_from_export": q_trait_table_from_export,
+    "clean_names_letters": q_clean_names_letters,
+    "nest_user_piece": q_nest_user_piece,
+    "snapshot_null_shift": q_snapshot_null_shift,
+    "snapshot_renamed_column": q_snapshot_renamed_column,
+    "snapshot_empty_newest": q_snapshot_empty_newest,
+    "snapshot_type_change": q_snapshot_type_change,
+    "snapshot_own_name_column": q_snapshot_own_name_column,
+    "snapshot_numeric_name": q_snapshot_numeric_name,
+    "snapshot_version_order": q_snapshot_version_order,
+    "ingest_unchanged": q_ingest_unchanged,
+    "chunks_written_lossless": q_chunks_written_lossless,
+    "chunks_written_truncating": q_chunks_written_truncating,
+    "quality_report": q_quality_report,
+    "convert_columns": q_convert_columns,
+    "row_count": q_row_count,
+    "any_all": q_any_all,
+    "first_group": q_first_group,
+    "logical_names": q_logical_names,
 }

@@ -10,61 +10,75 @@ from pyspark.sql import functions as F
 from sylvan.functions.numeric import to_number_or_null
 from sylvan.operators.columns import clean_names, select_any_of
 from sylvan.operators.filters import discard_empty_sources
-from sylvan.operators.ordering import assign_chunks
-from sylvan.operators.summaries import describe_numeric, describe_strings, null_profile
+from sylvan.operators.ordering import assign_chunks, cluster_by_first
+from sylvan.operators.summaries import describe_dates, describe_logical, describe_numeric, describe_strings, null_profile
+from sylvan.session import Scratch
 from sylvan.sources.catalog import RECORD_COLUMNS, RECORD_NEST_ORDER
-from sylvan.sources.snapshots import PRESETS, read_latest
+from sylvan.sources.snapshots import PART, SNAPSHOT, read_latest, save_parts
 
 
-def combine_sources(spark: SparkSession, root: str, names: Sequence[str] | None = None) -> DataFrame:
+def combine_sources(spark: SparkSession, root: str, names: Sequence[str] | None = None, ordinal: str | None = None) -> DataFrame:
     """Newest snapshot of every source under ``root`` (or of ``names``),
     sources without any value dropped, unioned by column name, names cleaned.
-    The source name stays in column ``name``."""
-    data = read_latest(spark, root, names)
-    return clean_names(discard_empty_sources(data, "name"))
+    The source name stays in column ``snapshot_name``; ``ordinal`` (a clean
+    name) adds the rows' order in the files."""
+    data = read_latest(spark, root, names, ordinal=ordinal)
+    columns = [c for c in data.columns if c not in (SNAPSHOT, ordinal)]
+    return clean_names(discard_empty_sources(data, SNAPSHOT, columns))
 
 
-def conform_records(df: DataFrame) -> DataFrame:
+def conform_records(df: DataFrame, ordinal: str | None = None) -> DataFrame:
     """Keep the known record columns that exist, id as text, value as a
     number (NULL when not a number), ``trait_name`` first, then the per-trait
-    columns in their fixed order. The original's nest-by-trait / unnest pair
-    only reorders columns, so it is a projection here (no grouping)."""
-    kept = select_any_of(df, RECORD_COLUMNS)
+    columns in their fixed order, then ``ordinal``. The original's
+    nest-by-trait / unnest pair reorders columns (a projection here) and puts
+    the rows of a trait together, traits in order of first appearance:
+    see ``write_record_chunks``."""
+    kept = select_any_of(df, [*RECORD_COLUMNS, *([ordinal] if ordinal else [])])
     typed = kept
     if "id" in kept.columns:
         typed = typed.withColumn("id", F.col("id").cast("string"))
     if "trait_value" in kept.columns:
         typed = typed.withColumn("trait_value", to_number_or_null("trait_value"))
-    order = ["trait_name"] + [c for c in RECORD_NEST_ORDER if c in typed.columns]
+    order = ["trait_name", *RECORD_NEST_ORDER, *([ordinal] if ordinal else [])]
     return typed.select(*[c for c in order if c in typed.columns])
 
 
-def quality_report(df: DataFrame, maxsum: int = 7) -> dict[str, DataFrame]:
-    """C14: the table summary (numbers and text as factors) and the percent
-    of missing values per column."""
+def quality_report(df: DataFrame, maxsum: int = 7, scratch: Scratch | None = None) -> dict[str, DataFrame]:
+    """C14: the table summary (numbers, text as factors, logical values, dates)
+    and the percent of missing values per column."""
     return {
-        "numeric": describe_numeric(df),
-        "strings": describe_strings(df, maxsum=maxsum),
+        "numeric": describe_numeric(df, scratch=scratch),
+        "strings": describe_strings(df, maxsum=maxsum, scratch=scratch),
+        "logical": describe_logical(df),
+        "dates": describe_dates(df, scratch=scratch),
         "missing": null_profile(df),
     }
 
 
 def write_chunks(
     df: DataFrame,
-    path: str,
+    root: str,
+    name: str,
     order: Sequence[str | Column],
     n_chunks: int = 4,
     mode: str = "lossless",
     preset: str = "archive",
-) -> DataFrame:
-    """Write the rows in ``order`` as ``n_chunks`` consecutive chunks,
-    ``<path>/chunk=<k>/``, in one job. Returns the chunked frame."""
-    chunked = assign_chunks(df, order, n_chunks, mode)
-    (
-        chunked.write.mode("overwrite")
-        .option("compression", "zstd")
-        .option("parquet.compression.codec.zstd.level", str(PRESETS[preset]))
-        .partitionBy("chunk")
-        .parquet(path)
-    )
-    return chunked
+    drop: Sequence[str] = (),
+) -> dict[str, str]:
+    """Write the rows in ``order`` as ``n_chunks`` consecutive chunks, in
+    one job: snapshots ``<name>_0``, ``<name>_1`` ... under ``root``, each
+    skipped if its newest version holds the same rows. ``drop``: columns that
+    only order the rows. Returns the versions published."""
+    position, chunk = "__sylvan_pos", PART
+    chunked = assign_chunks(df, order, n_chunks, mode, chunk=chunk, position=position).drop(position, *drop)
+    return save_parts(chunked, root, {k: f"{name}_{k}" for k in range(n_chunks)}, preset)
+
+
+def write_record_chunks(
+    df: DataFrame, root: str, name: str, ordinal: str, key: str = "trait_name", n_chunks: int = 4, mode: str = "lossless"
+) -> dict[str, str]:
+    """The original's chunks: traits in order of first appearance, rows in file
+    order inside each; the ordinal is not written."""
+    clustered = cluster_by_first(df, key, ordinal, "__sylvan_first")
+    return write_chunks(clustered, root, name, ["__sylvan_first", ordinal], n_chunks, mode, drop=["__sylvan_first", ordinal])

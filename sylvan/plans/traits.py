@@ -5,18 +5,16 @@ Physical shape of the whole chain (check with ``trait_table(...).explain()``):
 * a small observation index (one row per observation: trait set and item
   ids, partial aggregates) is written to the checkpoint folder; it gives
   the fan-out join its right side and the global kept-item set;
-* the export is shuffled once, on the observation id; everything after the
-  fan-out join (keep-first windows for values and covariates, then one
-  aggregate that pivots the covariates and pairs them with the values)
-  groups by keys that contain the observation id, so it runs without
-  another exchange (map form, or columns form with known names);
-* the kept items and the exclusion list are literals in the scan filter,
-  the catalog is a fixed-size broadcast: neither moves the export;
-* the columns form discovers its column names from the deduplicated
-  covariates, written once and read for the names and the pivot.
-
-Because the index is a plain shuffle stage, AQE can split a hot observation
-of the export across tasks (``spark.sql.adaptive.forceOptimizeSkewedJoin``).
+* the export is scanned once more: rows are marked as kept or not and reduced
+  to the first row of each key before the fan-out. The reduction is cut to one
+  row per key on the map side, so a hot observation needs no session setting;
+* what is left is joined to the index on the observation id, and one aggregate
+  pairs values with covariates (no further exchange: its keys contain the
+  observation id);
+* the catalog is the library's own fixed table and is broadcast; the sizes of
+  data-derived key sets are left to Spark;
+* the columns form writes the grouped measurements once and reads them for the
+  names and for the result.
 """
 
 from __future__ import annotations
@@ -28,14 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions.names import clean_name_list
+from sylvan.functions.nulls import in_values
 from sylvan.functions.numeric import if_else_na, reciprocal, to_number_or_null
 from sylvan.operators.dedup import keep_first
 from sylvan.operators.filters import exclude_values
 from sylvan.operators.joins import lookup_join, null_safe_join
-from sylvan.operators.keysets import KeySet, bounded_broadcast
+from sylvan.operators.keysets import KeySet
 from sylvan.operators.reshape import map_to_columns, pivot_names, pivot_to_map
-from sylvan.session import write_intermediate
-from sylvan.sources.catalog import EXCLUDED_DATA_IDS, INVERTED_DOMAINS, TRAIT_CATALOG, trait_catalog
+from sylvan.session import Scratch, write_intermediate
+from sylvan.sources.catalog import EXCLUDED_DATA_IDS, INVERTED_DOMAINS, trait_catalog
 
 
 @dataclass(frozen=True)
@@ -61,7 +60,9 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
-def observation_index(df: DataFrame, cols: ExportColumns = COLS, write: bool = True) -> DataFrame:
+def observation_index(
+    df: DataFrame, cols: ExportColumns = COLS, write: bool = True, scratch: Scratch | None = None
+) -> DataFrame:
     """One row per observation that carries a trait: its trait set, the item
     ids of its trait rows, and whether one of them is NULL. Partial
     aggregates (sets bounded by the number of distinct traits and items).
@@ -79,7 +80,7 @@ def observation_index(df: DataFrame, cols: ExportColumns = COLS, write: bool = T
             F.max(_c(cols.data_id).isNull()).alias("_null_item"),
         )
     )
-    return write_intermediate(index, "observation-index") if write else index
+    return write_intermediate(index, "observation-index", scratch) if write else index
 
 
 def explode_observations_by_trait(
@@ -121,7 +122,7 @@ def select_data_items(overview: DataFrame, exclude: Sequence[int] = EXCLUDED_DAT
 
 
 def kept_items(selected: DataFrame, cols: ExportColumns = COLS) -> KeySet:
-    """The global set of kept data item ids (N6), size-checked."""
+    """The global set of kept data item ids."""
     return KeySet.of(selected, cols.data_id)
 
 
@@ -141,12 +142,11 @@ def kept_items_from_index(
 class PerTraitKeep:
     """Kept items per trait: a (trait, item) pair is kept
     only for its own trait, so a covariate row becomes a value only where the
-    same item was measured for that trait. Pairs are a size-checked
-    broadcast, else a shuffle semi/anti join."""
+    same item was measured for that trait."""
 
     def __init__(self, selected: DataFrame, cols: ExportColumns = COLS, into: str = TRAIT):
         self.into = into
-        self.pairs = bounded_broadcast(selected.select(into, cols.data_id).distinct())
+        self.pairs = selected.select(into, cols.data_id).distinct()
 
     def keep(self, df: DataFrame, column: str) -> DataFrame:
         return null_safe_join(df, self.pairs, [self.into, column], "left_semi")
@@ -278,8 +278,8 @@ def standardise_traits(
     """
     spark = merged.sparkSession
     invert = INVERTED_DOMAINS if invert is None else invert
-    rows = len(TRAIT_CATALOG) if catalog is None else None
-    catalog = trait_catalog(spark) if catalog is None else catalog
+    fixed = catalog is None  # the library's own short table
+    catalog = trait_catalog(spark) if fixed else catalog
     original = list(merged.columns)
     # fixed columns come first in the merged layout, covariates after them
     i_key, i_obs = original.index(into), original.index(cols.obs)
@@ -287,7 +287,7 @@ def standardise_traits(
     tmp = [f"_c{i}" for i in range(len(original))]
     step = merged.toDF(*tmp).withColumn("_value", to_number_or_null(F.col(tmp[i_value])))
     lookup = catalog.toDF("_id", "_domain", "_full")
-    step = lookup_join(step, lookup, tmp[i_key], "_id", lookup_rows=rows)
+    step = lookup_join(step, lookup, tmp[i_key], "_id", fixed=fixed)
     # the key is called "name" while names are cleaned (as in the original),
     # so a covariate "name" becomes "name_2"; then the key is dropped
     names = ["name" if i == i_key else n for i, n in enumerate(original)]
@@ -304,6 +304,48 @@ def standardise_traits(
     return step.select(*[F.col(t).alias(final[t]) for t in rest[:at] + moved + rest[at:]])
 
 
+def first_measurements(
+    df: DataFrame,
+    index: DataFrame,
+    keep: KeySet,
+    exclude: Sequence[int] = EXCLUDED_DATA_IDS,
+    cols: ExportColumns = COLS,
+    into: str = TRAIT,
+) -> DataFrame:
+    """C1 and C4-C6 in one pass over the export: one row per (trait, dataset,
+    species, observation) with the first value row (``_value``: value, unit)
+    and the first row of each covariate name (``_covariates``: name, value,
+    order), null covariates left out.
+
+    Which row comes first does not depend on the trait that a covariate row is
+    fanned out to, so rows are reduced before the fan-out: one ``row_number``
+    over (observation, dataset, species, own trait, is-value, name), which
+    Spark cuts to one row per key on the map side. Only what is left meets the
+    observation's trait set, so an observation with very many rows costs one
+    task no more than its distinct names and traits.
+    """
+    known = df.where(_c(cols.obs).isNotNull())
+    marked = keep.mark(known, cols.data_id, "_kept")
+    is_covariate = _c(cols.trait).isNull()
+    not_excluded = ~in_values(_c(cols.data_id), exclude)
+    marked = marked.where(F.col("_kept") | (is_covariate & not_excluded))
+    name = F.when(~F.col("_kept"), F.coalesce(_c(cols.data_name), F.lit("NA")))
+    rows = marked.select(
+        *[_c(c) for c in (cols.obs, cols.dataset, cols.species, cols.trait, cols.value, cols.unit, cols.order)],
+        F.col("_kept"), name.alias("_name"),
+    )
+    first = keep_first(rows, [cols.obs, cols.dataset, cols.species, cols.trait, "_kept", "_name"], [_c(cols.order)])
+    traits = index.select(_c(cols.obs), "_traits")
+    tags = F.when(is_covariate, F.col("_traits")).otherwise(F.array(_c(cols.trait)))
+    tagged = first.join(traits, cols.obs).withColumn(into, F.explode(tags))
+    value = F.struct(_c(cols.order).alias("o"), _c(cols.value).alias("v"), _c(cols.unit).alias("u"))
+    covariate = F.struct(F.col("_name").alias("k"), _c(cols.value).alias("v"), _c(cols.order).alias("o"))
+    return tagged.groupBy(into, _c(cols.dataset), _c(cols.species), _c(cols.obs)).agg(
+        F.min_by(F.when(F.col("_kept"), value), F.when(F.col("_kept"), _c(cols.order))).alias("_value"),
+        F.collect_list(F.when(~F.col("_kept") & _c(cols.value).isNotNull(), covariate)).alias("_covariates"),
+    )
+
+
 def trait_table(
     df: DataFrame,
     catalog: DataFrame | None = None,
@@ -314,26 +356,40 @@ def trait_table(
     cols: ExportColumns = COLS,
     keep_scope: str = "global",
     invert: dict[str, str] | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """The whole chain C1..C8 on a long export (the flagship query).
 
     ``keep_scope="global"`` is the original's rule (an item kept for any
-    trait is a value item for all); ``"per_trait"`` keeps it per trait."""
-    index = observation_index(df, cols)
-    exploded = explode_observations_by_trait(df, cols, index=index)
-    if keep_scope == "global":
-        keep = kept_items_from_index(index, exclude, cols)
-    elif keep_scope == "per_trait":
-        keep = PerTraitKeep(select_data_items(data_item_overview(df, cols), exclude, cols), cols)
-    else:
+    trait is a value item for all); ``"per_trait"`` keeps it per trait, which
+    makes the choice of rows depend on the trait, so it runs on the fan-out."""
+    if keep_scope == "per_trait":
+        exploded = explode_observations_by_trait(df, cols, index=observation_index(df, cols, scratch=scratch))
+        pairs = PerTraitKeep(select_data_items(data_item_overview(df, cols), exclude, cols), cols)
+        values = extract_trait_values(exploded, pairs, cols)
+        covariates = extract_covariates(exploded, pairs, exclude, cols)
+        if as_ == "columns" and names is None:
+            covariates = write_intermediate(covariates, "covariates", scratch)
+            names = covariate_names(covariates, cols)
+        merged = combine_values_covariates(values, covariates, how, as_, names, cols)
+        return standardise_traits(merged, catalog, invert, cols=cols)
+    if keep_scope != "global":
         raise ValueError("keep_scope must be 'global' or 'per_trait'")
-    values = extract_trait_values(exploded, keep, cols)
-    covariates = extract_covariates(exploded, keep, exclude, cols)
+    index = observation_index(df, cols, scratch=scratch)
+    grouped = first_measurements(df, index, kept_items_from_index(index, exclude, cols), exclude, cols)
     if as_ == "columns" and names is None:
-        # the names must be known before the plan: write the deduplicated
-        # covariates once, read them for the names and for the pivot, instead
-        # of shuffling the export's covariate rows a second time
-        covariates = write_intermediate(covariates, "covariates")
-        names = covariate_names(covariates, cols)
-    merged = combine_values_covariates(values, covariates, how, as_, names, cols)
+        # the schema needs the names first: write the groups, read them twice
+        grouped = write_intermediate(grouped, "measurements", scratch)
+        each = grouped.select(TRAIT, F.explode("_covariates").alias("c")).select(TRAIT, F.col("c.k").alias("k"), F.col("c.o").alias("o"))
+        names = pivot_names(each, "k", [TRAIT, "o"])
+    has_value, has_cov = F.col("_value.v").isNotNull(), F.size("_covariates") > 0
+    wanted = {"inner": has_value & has_cov, "left": has_value, "right": has_cov, "full": has_value | has_cov}[how]
+    entries = F.map_from_entries(F.transform("_covariates", lambda c: F.struct(c["k"], c["v"])))
+    merged = grouped.where(wanted).select(
+        TRAIT, _c(cols.dataset), _c(cols.species), _c(cols.obs),
+        F.when(has_value, F.col("_value.v")).alias(cols.value), F.when(has_value, F.col("_value.u")).alias(cols.unit),
+        entries.alias("covariates"),
+    )
+    if as_ == "columns":
+        merged = map_to_columns(merged, "covariates", names)
     return standardise_traits(merged, catalog, invert, cols=cols)

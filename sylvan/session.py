@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -71,22 +74,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _fresh(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex[:12]}"
+
+
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for written intermediates."""
-    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{_fresh(name)}"
 
-    root = checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever file system Spark finds it in."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-def write_intermediate(df, name: str):
+
+def write_intermediate(df, name: str, scratch: Scratch | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: cuts lineage, survives executor loss, and the re-read table has no
-    known partitioning, so a join on it gets its own shuffle stage."""
+    known partitioning, so a join on it gets its own shuffle stage. With
+    ``scratch`` the table goes when that scope is closed."""
     spark = df.sparkSession
-    path = shared_scratch(spark, name)
+    path = f"{scratch.root}/{_fresh(name)}" if scratch else shared_scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Scratch:
@@ -109,16 +121,11 @@ class Scratch:
         df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def _delete(self, path: str) -> None:
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
-
     def drop(self, name: str) -> None:
-        self._delete(self.path(name))
+        delete_path(self.spark, self.path(name))
 
     def close(self) -> None:
-        self._delete(self.root)
+        delete_path(self.spark, self.root)
 
     def __enter__(self) -> Scratch:
         return self

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.operators.joins import missing_items
-from sylvan.sources.snapshots import PRESETS, latest_versions, new_version
+from sylvan.sources.snapshots import PART, latest_versions, save_parts
 
 # Column groups that the record reader can leave out.
 TAXONOMY_COLUMNS = [
@@ -102,8 +102,9 @@ def ingest_traits(
 
     ``match="contains"`` is the original presence test (a stored name
     containing the trait name counts as present). Returns the traits that
-    were fetched (requested and missing); one without records writes
-    nothing, like an empty download that the combine step would discard.
+    were fetched (requested and missing); one without records, like an empty
+    download, writes nothing, and neither does one whose records equal its
+    newest snapshot.
     """
     spark = source.sparkSession
     if force:
@@ -114,15 +115,8 @@ def ingest_traits(
         todo = [r["item"] for r in missing_items(requested, present, match=match).collect()]
     if not todo:
         return []
-    version = new_version()
     records = read_trait_records(source, todo, taxonomy, citation, column)
-    (
-        records.withColumn("name", F.col(column))
-        .withColumn("version", F.lit(version))
-        .write.mode("append")
-        .option("compression", "zstd")
-        .option("parquet.compression.codec.zstd.level", str(PRESETS[preset]))
-        .partitionBy("name", "version")
-        .parquet(root)
-    )
+    numbers = {k: name for k, name in enumerate(sorted(todo))}
+    of = F.create_map(*[F.lit(x) for k, name in numbers.items() for x in (name, k)])
+    save_parts(records.withColumn(PART, of[F.col(column)]), root, numbers, preset, keep_empty=False)
     return sorted(todo)

@@ -1,29 +1,61 @@
 """Versioned snapshots: save a named, dated table; read the newest.
 
-Layout (one parquet dataset, Hive-style partitions):
+Layout:
 
-    <root>/name=<logical name>/version=<UTC yyyyMMddHHmmssSSSSSS>/part-*.parquet
-    <root>/_fingerprints/name=.../version=.../part-*.parquet   (row count, hash)
+    <root>/data/<id>/part-*.parquet        the rows of one version
+    <root>/manifest/part-*.parquet         one row per version, appended last
 
-A save is skipped when the table equals the newest snapshot of that name,
-judged by an order-independent fingerprint computed on the executors:
-``(count(*), sum(cast(xxhash64(all columns) as decimal(38,0))))``.
+A manifest row holds the name, version, path, schema, row count and hash of a
+version, all as plain columns (nothing passes through partition names, which
+would guess types). A version exists once its manifest row does, also without
+rows; a reader opens the paths it has chosen and no others.
+
+A save writes the data once; the row count and an order-independent hash are
+observed during that write. If they and the schema (names and types) equal the
+newest version of the name, the staged data is deleted and nothing is
+published.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sylvan.functions.names import entry_version, logical_name
 from sylvan.operators.reshape import union_by_name
+from sylvan.session import delete_path
 
 # zstd levels of the named compression presets
 PRESETS = {"fast": 1, "balanced": 3, "high": 9, "archive": 19}
 
+MANIFEST = "name string, version string, path string, columns string, rows long, hash string, written long"
+# Reserved column that splits one write into several named tables.
+PART = "__sylvan_part"
+# Column of ``read_latest`` that names the source.
+SNAPSHOT = "snapshot_name"
+
+
+@dataclass(frozen=True)
+class Version:
+    name: str
+    version: str
+    path: str
+    columns: str
+    rows: int
+    hash: str
+
+    @property
+    def content(self) -> tuple:
+        fields = json.loads(self.columns)["fields"]
+        return [(f["name"], json.dumps(f["type"])) for f in fields], self.rows, self.hash
+
 
 def new_version() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
@@ -42,32 +74,57 @@ def _hashable(c: Column, dtype: T.DataType) -> Column:
     return c
 
 
-def fingerprint(df: DataFrame) -> tuple[int, int]:
-    """Order-independent (rows, hash sum) of a table."""
-    cols = [_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
-    h = F.xxhash64(*cols).cast("decimal(38,0)")
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias("h")).first()
-    return int(row["n"]), int(row["h"])
+def row_hash(schema: T.StructType) -> Column:
+    """Hash of a row. Each column enters as (position, is null, value), so a
+    NULL that changes its place changes the hash."""
+    parts = []
+    for i, f in enumerate(schema.fields):
+        c = F.col(f"`{f.name}`")
+        parts += [F.lit(i), c.isNull(), _hashable(c, f.dataType)]
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("long")
+
 
+def _measures(schema: T.StructType, part: Column | None = None, tag: str = "") -> list[Column]:
+    h = row_hash(schema).cast("decimal(38,0)")
+    one = F.lit(1)
+    if part is not None:
+        h, one = F.when(part, h), F.when(part, one)
+    total = F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string")
+    return [F.count(one).alias(f"rows{tag}"), total.alias(f"hash{tag}")]
 
-def _read_or_none(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
+
+def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
-    except AnalysisException:
+        return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
+    except AnalysisException:  # no version was ever published here
         return None
 
 
-def latest_versions(spark: SparkSession, root: str, names=None) -> dict[str, str]:
-    """Newest version of each logical name under ``root`` (a small result:
-    one row per name)."""
-    data = _read_or_none(spark, root)
-    if data is None or "name" not in data.columns:
+def newest(spark: SparkSession, root: str, names=None) -> dict[str, Version]:
+    """Newest version of each logical name (one row per name)."""
+    manifest = _manifest(spark, root)
+    if manifest is None:
         return {}
-    data = data.select(F.col("name").cast("string"), F.col("version").cast("string"))
     if names is not None:
-        data = data.where(F.col("name").isin(list(names)))
-    rows = data.groupBy("name").agg(F.max("version").alias("version")).collect()
-    return {r["name"]: r["version"] for r in rows}
+        manifest = manifest.where(F.col("name").isin([str(n) for n in names]))
+    row = F.struct("name", "version", "path", "columns", "rows", "hash")
+    rows = manifest.groupBy("name").agg(F.max_by(row, F.struct("written", "version")).alias("r")).select("r.*").collect()
+    return {r["name"]: Version(**r.asDict()) for r in rows}
+
+
+def latest_versions(spark: SparkSession, root: str, names=None) -> dict[str, str]:
+    """Newest version string of each logical name under ``root``."""
+    return {n: v.version for n, v in newest(spark, root, names).items()}
+
+
+def _publish(spark: SparkSession, root: str, versions: list[Version]) -> None:
+    written = int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1e6)
+    rows = [(v.name, v.version, v.path, v.columns, v.rows, v.hash, written) for v in versions]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+
+
+def _writer(df: DataFrame, preset: str):
+    return df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(PRESETS[preset]))
 
 
 def save_snapshot(
@@ -80,64 +137,97 @@ def save_snapshot(
 ) -> str | None:
     """Write ``df`` as a new version of ``name``; return the version, or None
     when skipped because the newest snapshot holds the same rows."""
+    saved = save_parts(df.withColumn(PART, F.lit(0)), root, {0: name}, preset, skip_unchanged, version)
+    return saved.get(name)
+
+
+def save_parts(
+    df: DataFrame,
+    root: str,
+    names: dict[int, str],
+    preset: str = "high",
+    skip_unchanged: bool = True,
+    version: str | None = None,
+    keep_empty: bool = True,
+) -> dict[str, str]:
+    """Write the rows of each number in column ``PART`` as a new version of
+    ``names[number]``, all in one job. Returns the versions published: not
+    those that equal the newest one, nor, without ``keep_empty``, those
+    without rows."""
     spark = df.sparkSession
-    fp = fingerprint(df)
-    if skip_unchanged:
-        prints = _read_or_none(spark, f"{root}/_fingerprints")
-        if prints is not None:
-            newest = (
-                prints.where(F.col("name").cast("string") == name)
-                .orderBy(F.col("version").cast("string").desc())
-                .limit(1)
-                .collect()
-            )
-            if newest and (int(newest[0]["rows"]), int(newest[0]["hash"])) == fp:
-                return None
+    staged = f"{root}/data/{uuid.uuid4().hex}"
+    plain = T.StructType([f for f in df.schema.fields if f.name != PART])
+    measures = [m for k in names for m in _measures(plain, F.col(PART) == k, str(k))]
+    seen = Observation(f"snapshot-{uuid.uuid4().hex}")
+    _writer(df.observe(seen, *measures), preset).partitionBy(PART).parquet(staged)
+    got = seen.get
     version = version or new_version()
-    (
-        df.write.mode("errorifexists")
-        .option("compression", "zstd")
-        .option("parquet.compression.codec.zstd.level", str(PRESETS[preset]))
-        .parquet(f"{root}/name={name}/version={version}")
-    )
-    spark.createDataFrame([(fp[0], str(fp[1]))], "rows long, hash string").coalesce(1).write.mode(
-        "errorifexists"
-    ).parquet(f"{root}/_fingerprints/name={name}/version={version}")
-    return version
+    old = newest(spark, root, names.values()) if skip_unchanged else {}
+    fresh, gone = [], []
+    for k, name in names.items():
+        path = f"{staged}/{PART}={k}"
+        made = Version(name, version, path, plain.json(), got[f"rows{k}"], got[f"hash{k}"])
+        same = name in old and old[name].content == made.content
+        if same or (made.rows == 0 and not keep_empty):
+            gone.append(path)
+        else:
+            fresh.append(made)
+    if fresh:
+        for path in gone:
+            delete_path(spark, path)
+        _publish(spark, root, fresh)
+    else:
+        delete_path(spark, staged)
+    return {v.name: v.version for v in fresh}
 
 
-def read_latest(spark: SparkSession, root: str, names=None, merge_schema: bool = True) -> DataFrame:
-    """All newest snapshots under ``root`` as one table with a ``name``
-    column (S6). Sources with different columns are unioned by name
-    (``mergeSchema``); incompatible types fail at read time. The version
-    choice is a literal partition filter, so older versions are never read.
-    """
-    chosen = latest_versions(spark, root, names)
-    if not chosen:
-        raise FileNotFoundError(f"no snapshots under {root}")
-    data = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(root)
-    keys = [F.struct(F.lit(n).alias("n"), F.lit(v).alias("v")) for n, v in sorted(chosen.items())]
-    current = F.struct(F.col("name").cast("string").alias("n"), F.col("version").cast("string").alias("v"))
-    picked = data.where(current.isin(keys))
-    cols = ["name"] + [c for c in picked.columns if c not in ("name", "version")]
-    return picked.select(*[F.col(f"`{c}`") for c in cols]).withColumn("name", F.col("name").cast("string"))
+def open_version(spark: SparkSession, found: Version) -> DataFrame:
+    """The rows of one version; a version without rows is an empty table."""
+    schema = T.StructType.fromJson(json.loads(found.columns))
+    if found.rows == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(found.path)
 
 
-# Entries of a flat snapshot folder: "<name>_<YYYY-MM-DD>[_<n>][.ext]"
-ENTRY_PATTERN = r"^(.*?)_(\d{4}-\d{2}-\d{2}(?:_\d+)?)(?:\.[A-Za-z0-9]+)?$"
+def read_latest(spark: SparkSession, root: str, names=None, name_col: str = SNAPSHOT, ordinal: str | None = None) -> DataFrame:
+    """All newest snapshots under ``root`` as one table, with the logical name
+    in ``name_col`` (S6). Only the chosen versions are opened; they are unioned
+    by column name with the type check of ``union_by_name``. ``ordinal`` adds a
+    total order: (place of the name, file, split, row in the split)."""
+    chosen = newest(spark, root, names)
+    if not chosen:
+        raise FileNotFoundError(f"no snapshots under {root}")
+    frames = []
+    for place, name in enumerate(sorted(chosen)):
+        frame = open_version(spark, chosen[name])
+        taken = {name_col, ordinal} & set(frame.columns)
+        if taken:
+            raise ValueError(f"snapshot {name!r} has a column {sorted(taken)[0]!r}; give another name")
+        extra = [F.lit(name).alias(name_col)]
+        if ordinal is not None:
+            empty = chosen[name].rows == 0
+            order = F.struct(
+                F.lit(place).alias("source"),
+                (F.lit("") if empty else F.col("_metadata.file_path")).alias("file"),
+                (F.lit(0).cast("long") if empty else F.col("_metadata.file_block_start")).alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            )
+            extra.append(order.alias(ordinal))
+        frames.append(frame.select(*extra, *[F.col(f"`{c}`") for c in frame.columns]))
+    return union_by_name(frames)
 
 
-def read_latest_files(spark: SparkSession, folder: str, names=None) -> DataFrame:
+def read_latest_files(spark: SparkSession, folder: str, names=None, name_col: str = SNAPSHOT) -> DataFrame:
     """Newest version of every logical name in a flat folder whose entries
-    are named ``<name>_<date>[_<n>].parquet`` (files or parquet folders),
-    as one table with a ``name`` column (S6 for an existing folder).
+    are named ``<name>[_<date>[_<n>]].parquet`` (files or parquet folders),
+    as one table with the name in ``name_col`` (S6 for an existing folder).
 
-    The manifest is a ``binaryFile`` listing without the file contents; the
-    name / version split and the newest-per-name choice run in Spark; only
-    the chosen entries (one per name) come to the driver. They are read and
-    unioned by column name with the type check of ``union_by_name``.
+    The listing is a ``binaryFile`` scan without the file contents; the name /
+    version split and the newest-per-name choice run in Spark, by date and
+    number (an entry without a date is the oldest); only the chosen entries
+    (one per name) come to the driver. They are read and unioned by column
+    name with the type check of ``union_by_name``.
     """
-    base = folder.rstrip("/").rsplit("/", 1)[-1]
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -145,19 +235,23 @@ def read_latest_files(spark: SparkSession, folder: str, names=None) -> DataFrame
         .load(folder)
         .select("path")
     )
-    entry = F.regexp_extract("path", rf"/{base}/([^/]+)", 1)
-    manifest = listing.select(
-        F.regexp_extract("path", rf"^(.*/{base}/[^/]+)", 1).alias("entry_path"),
-        F.regexp_extract(entry, ENTRY_PATTERN, 1).alias("name"),
-        F.regexp_extract(entry, ENTRY_PATTERN, 2).alias("version"),
-    ).where(F.col("version") != "")
+    # the entry is what follows the folder's path (without its scheme)
+    here = folder.split("://")[-1].rstrip("/") + "/"
+    length = F.instr(F.col("path"), here) + len(here) - 1
+    entry = F.substring_index(F.substring(F.col("path"), length + 1, F.length("path")), "/", 1)
+    entries = listing.select(
+        F.concat(F.substring(F.col("path"), F.lit(1), length), entry).alias("entry_path"),
+        logical_name(entry).alias("name"), entry_version(entry).alias("version"),
+    )
     if names is not None:
-        manifest = manifest.where(F.col("name").isin(list(names)))
-    chosen = manifest.groupBy("name").agg(F.max_by("entry_path", "version").alias("entry_path")).collect()
+        entries = entries.where(F.col("name").isin([str(n) for n in names]))
+    chosen = entries.groupBy("name").agg(F.max_by("entry_path", "version").alias("entry_path")).collect()
     if not chosen:
-        raise FileNotFoundError(f"no versioned entries in {folder}")
-    frames = [
-        spark.read.parquet(r["entry_path"]).select(F.lit(r["name"]).alias("name"), "*")
-        for r in sorted(chosen, key=lambda r: r["name"])
-    ]
+        raise FileNotFoundError(f"no entries in {folder}")
+    frames = []
+    for r in sorted(chosen, key=lambda r: r["name"]):
+        frame = spark.read.parquet(r["entry_path"])
+        if name_col in frame.columns:
+            raise ValueError(f"entry {r['name']!r} has a column {name_col!r}; give another name")
+        frames.append(frame.select(F.lit(r["name"]).alias(name_col), "*"))
     return union_by_name(frames)

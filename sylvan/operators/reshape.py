@@ -55,11 +55,14 @@ def pivot_wider(
     names_from: str,
     values_from: str,
     names: Sequence[str] | None = None,
+    order: Sequence[str | Column] | None = None,
     into: str = "covariates",
 ) -> DataFrame:
-    """Long -> wide: one map column, or, with ``names`` (see ``pivot_names``),
-    one column per name."""
+    """Long -> wide: one map column, or, with ``names``, one column per name;
+    ``order`` looks the names up first (``pivot_names``)."""
     wide = pivot_to_map(df, keys, names_from, values_from, into)
+    if names is None and order is not None:
+        names = pivot_names(df, names_from, order)
     return wide if names is None else map_to_columns(wide, into, names)
 
 

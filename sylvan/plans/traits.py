@@ -127,16 +127,22 @@ def kept_items(selected: DataFrame, cols: ExportColumns = COLS) -> KeySet:
 
 
 def kept_items_from_index(
-    index: DataFrame, exclude: Sequence[int] = EXCLUDED_DATA_IDS, cols: ExportColumns = COLS
+    index: DataFrame,
+    exclude: Sequence[int] = EXCLUDED_DATA_IDS,
+    cols: ExportColumns = COLS,
+    scratch: Scratch | None = None,
 ) -> KeySet:
     """The same set as ``kept_items(select_data_items(data_item_overview(df)))``
-    read from the (small, written) observation index instead of the export."""
+    read from the written observation index instead of the export. The set is
+    written too: Spark then knows its size before it plans the join that marks
+    the export's rows, and broadcasts it only below its own threshold."""
     item_type = index.schema["_items"].dataType.elementType
     items = F.when(
         F.col("_null_item"), F.array_union("_items", F.array(F.lit(None).cast(item_type)))
     ).otherwise(F.col("_items"))
     ids = index.select(F.explode(items).alias(cols.data_id))
-    return KeySet.of(exclude_values(ids, cols.data_id, exclude), cols.data_id)
+    kept = exclude_values(ids, cols.data_id, exclude).distinct()
+    return KeySet(None, write_intermediate(kept.select(_c(cols.data_id).alias("_key")), "kept-items", scratch))
 
 
 class PerTraitKeep:
@@ -376,7 +382,7 @@ def trait_table(
     if keep_scope != "global":
         raise ValueError("keep_scope must be 'global' or 'per_trait'")
     index = observation_index(df, cols, scratch=scratch)
-    grouped = first_measurements(df, index, kept_items_from_index(index, exclude, cols), exclude, cols)
+    grouped = first_measurements(df, index, kept_items_from_index(index, exclude, cols, scratch), exclude, cols)
     if as_ == "columns" and names is None:
         # the schema needs the names first: write the groups, read them twice
         grouped = write_intermediate(grouped, "measurements", scratch)

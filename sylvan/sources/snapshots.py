@@ -93,6 +93,12 @@ def _measures(schema: T.StructType, part: Column | None = None, tag: str = "") -
     return [F.count(one).alias(f"rows{tag}"), total.alias(f"hash{tag}")]
 
 
+def fingerprint(df: DataFrame) -> tuple[int, str]:
+    """Order-independent (rows, hash sum) of a table, as the manifest has it."""
+    row = df.agg(*_measures(df.schema)).first()
+    return row["rows"], row["hash"]
+
+
 def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")

@@ -11,7 +11,7 @@ from sylvan.functions import (
     reciprocal,
     to_number_or_null,
 )
-from sylvan.functions.names import logical_name
+from sylvan.functions.names import entry_version, logical_name
 
 
 def test_clean_name_cases():
@@ -24,7 +24,8 @@ def test_clean_name_cases():
     assert clean_name("Order#Date") == "order_number_date"
     assert clean_name("priority%") == "priority_percent"
     assert clean_name("1st value") == "x1st_value"
-    assert clean_name("Größe (cm)") == "groe_cm"
+    assert clean_name("Größe (cm)") == "grosse_cm"
+    assert [clean_name(n) for n in ("µmol", "Ørsted", "Straße", "δ13C", "Łódź")] == ["umol", "orsted", "strasse", "delta13_c", "lodz"]
     assert clean_name("  --weird--  ") == "weird"
     assert clean_name("") == "x"
 
@@ -34,9 +35,15 @@ def test_clean_name_list_suffixes_repeats():
     assert clean_name_list(["name", "Dataset", "name"]) == ["name", "dataset", "name_2"]
 
 
-def test_logical_name():
-    assert logical_name("leaf area_2023-05-01.qs") == "leaf area"
-    assert logical_name("seed mass.parquet") == "seed mass"
+def test_logical_name_and_version(spark):
+    entries = ["leaf area_2023-05-01.qs", "seed mass.parquet", "x_2023-05-01_9.qs", "x_2023-05-01_10.qs", "a_2023", "x.y_2023-01-02"]
+    df = spark.createDataFrame([(e,) for e in entries], "e string")
+    rows = df.select(logical_name(F.col("e")).alias("n"), entry_version(F.col("e")).alias("v")).collect()
+    assert [(r.n, r.v.date, r.v.number) for r in rows] == [
+        ("leaf area", "2023-05-01", 0), ("seed mass", "", 0), ("x", "2023-05-01", 9), ("x", "2023-05-01", 10), ("a_2023", "", 0),
+        ("x.y", "2023-01-02", 0),
+    ]
+    assert rows[3].v > rows[2].v
 
 
 def test_to_number_or_null(spark):

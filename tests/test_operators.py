@@ -11,7 +11,7 @@ from sylvan.operators.filters import all_true, any_true, discard_empty, is_empty
 from sylvan.operators.joins import missing_items, null_safe_join
 from sylvan.operators.keysets import KeySet
 from sylvan.operators.ordering import assign_chunks, chunk_bounds, with_global_position
-from sylvan.operators.reshape import nest_by, pivot_wider, union_by_name, unnest
+from sylvan.operators.reshape import PIECE, nest_by, pivot_wider, union_by_name, unnest
 from sylvan.operators.summaries import describe_strings, exact_quantiles, null_profile
 
 
@@ -89,26 +89,25 @@ def test_null_safe_join_and_semi(spark):
     assert sorted(map(tuple, full), key=repr) == sorted([(None, 1, 10), ("a", 2, 20), ("b", None, 30)], key=repr)
 
 
-def test_keyset_literal_and_join_paths(spark):
+def test_keyset_constant_and_data(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
-    keys = spark.createDataFrame([(1,), (None,)], "x int")
-    small = KeySet.of(keys, "x")
-    big = KeySet.of(keys, "x", max_literal=1)
-    assert small.is_literal and not big.is_literal
-    for ks in (small, big):
+    keys = spark.createDataFrame([(1,), (None,), (1,)], "x int")
+    for ks in (KeySet.literal([1, None]), KeySet.of(keys, "x")):
         assert sorted(map(repr, (r.x for r in ks.keep(df, "x").collect()))) == ["1", "None"]
         assert [r.x for r in ks.drop(df, "x").collect()] == [2]
+    marked = KeySet.of(keys, "x").mark(df, "x", "in")
+    assert sorted(map(repr, map(tuple, marked.collect()))) == sorted(map(repr, [(1, True), (2, False), (None, True)]))
 
 
-def test_missing_items_both_paths(spark):
+def test_missing_items(spark):
     requested = spark.createDataFrame([(w,) for w in ["leaf area", "seed mass", "ab", "z", "", "whole plant height"]], "item string")
     present = spark.createDataFrame([("leaf area per leaf dry mass_2023",), ("seed mass",), ("cab",)], "name string")
     exact = sorted(r.item for r in missing_items(requested, present, match="exact").collect())
     assert exact == ["", "ab", "leaf area", "whole plant height", "z"]
     contains = sorted(r.item for r in missing_items(requested, present, match="contains").collect())
     assert contains == ["whole plant height", "z"]
-    by_gram = sorted(r.item for r in missing_items(requested, present, match="contains", max_literal=2).collect())
-    assert by_gram == contains
+    nothing = present.where("false")
+    assert missing_items(requested, nothing, match="contains").count() == 6
 
 
 def test_pivot_first_appearance_order(spark):
@@ -197,15 +196,17 @@ def test_text_export_scan(spark):
     assert out.count() == 7
 
 
-def test_describe_numeric_paths_agree(spark):
+def test_describe_numeric_against_percentile(spark):
     from sylvan.operators.summaries import describe_numeric
 
     lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    in_memory = {r.column: tuple(r) for r in describe_numeric(lineitem).collect()}
-    distributed = {r.column: tuple(r) for r in describe_numeric(lineitem, max_distinct_in_memory=0).collect()}
-    assert in_memory == distributed
+    exact = {r.column: r for r in describe_numeric(lineitem).collect()}
+    names = list(exact)
+    row = lineitem.agg(*[F.percentile(c, [0.25, 0.5, 0.75]) for c in names]).first()
+    assert [[exact[c].q1, exact[c].median, exact[c].q3] for c in names] == [list(q) for q in row]
     approx = {r.column: r for r in describe_numeric(lineitem, method="approx").collect()}
-    assert approx.keys() == in_memory.keys()
+    assert approx.keys() == exact.keys()
+    assert all(exact[c].q1 <= approx[c].median <= exact[c].q3 for c in names)
 
 
 def test_exact_quantiles_with_hot_value(spark):
@@ -222,7 +223,8 @@ def test_nest_in_bounded_pieces(spark):
     df = spark.createDataFrame(rows, "g int, s string, o int")
     nested = nest_by(df, ["g"], ["s", "o"], "items", order="o", max_items=4).collect()
     assert max(len(r["items"]) for r in nested) <= 4
-    pieces = sorted((r.g, r.piece, [i.o for i in r["items"]]) for r in nested)
+    pieces = sorted((r.g, r[PIECE], [i.o for i in r["items"]]) for r in nested)
+    assert [len(os) for g, _, os in pieces] == [4, 4, 4, 4, 4, 4, 1, 1]
     assert [o for g, _, os in pieces if g == 1 for o in os] == list(range(25))
     back = unnest(spark.createDataFrame(nested), "items")
     assert sorted(map(tuple, back.collect())) == sorted(rows)
@@ -276,7 +278,7 @@ def test_summary_of_summaries_exact_and_approx(spark):
     assert approx[("d", "mean")].median == 4.0
 
 
-def test_missing_contains_paths_match_brute_force(spark):
+def test_missing_contains_matches_brute_force(spark):
     import random
 
     rng = random.Random(7)
@@ -286,9 +288,7 @@ def test_missing_contains_paths_match_brute_force(spark):
     expected = sorted(i for i in items if not any(i in n for n in names))
     requested = spark.createDataFrame([(i,) for i in items], "item string")
     present = spark.createDataFrame([(n,) for n in names], "name string")
-    literal = sorted(r.item for r in missing_items(requested, present, match="contains").collect())
-    by_gram = sorted(r.item for r in missing_items(requested, present, match="contains", max_literal=1).collect())
-    assert literal == expected and by_gram == expected
+    assert sorted(r.item for r in missing_items(requested, present, match="contains").collect()) == expected
 
 
 def _r_factor_summary(values, maxsum=7):
@@ -339,15 +339,36 @@ def test_describe_numeric_matches_numpy_type7(spark):
     a = [rng.choice([None, float("nan")]) if rng.random() < 0.1 else rng.uniform(-50, 50) for _ in range(257)]
     b = [rng.choice([None, 1.0, 2.0, 2.0, 3.0]) for _ in range(257)]
     df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
-    for method_kwargs in ({}, {"max_distinct_in_memory": 0}):
-        got = {r.column: r for r in describe_numeric(df, **method_kwargs).collect()}
-        for name, col in (("a", a), ("b", b)):
-            vals = np.array([v for v in col if v is not None and not math.isnan(v)])
-            q = np.percentile(vals, [25, 50, 75], method="linear")
-            r = got[name]
-            assert np.allclose([r.q1, r.median, r.q3], q, rtol=1e-12, atol=1e-12)
-            assert (r.min, r.max, r.n_na) == (vals.min(), vals.max(), len(col) - len(vals))
-            assert math.isclose(r.mean, vals.mean(), rel_tol=1e-12)
+    got = {r.column: r for r in describe_numeric(df).collect()}
+    for name, col in (("a", a), ("b", b)):
+        vals = np.array([v for v in col if v is not None and not math.isnan(v)])
+        q = np.percentile(vals, [25, 50, 75], method="linear")
+        r = got[name]
+        assert np.allclose([r.q1, r.median, r.q3], q, rtol=1e-12, atol=1e-12)
+        assert (r.min, r.max, r.n_na) == (vals.min(), vals.max(), len(col) - len(vals))
+        assert math.isclose(r.mean, vals.mean(), rel_tol=1e-12)
+
+
+def test_describe_dates_logical_and_no_rows(spark):
+    import datetime as dt
+
+    from sylvan.operators.summaries import describe_dates, describe_logical, describe_numeric
+
+    rows = [(dt.date(2024, 1, d), True if d % 2 else None) for d in (1, 2, 3, 5)] + [(None, False)]
+    df = spark.createDataFrame(rows, "d date, b boolean")
+    r = describe_dates(df).first()
+    assert (r.column, r.min, r.median, r.max, r.n_na) == ("d", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 12), dt.datetime(2024, 1, 5), 1)
+    assert {x.value: x.n for x in describe_logical(df).collect()} == {"TRUE": 3, "FALSE": 1, "NA's": 1}
+    empty = describe_numeric(spark.createDataFrame([], "a int, b double")).collect()
+    assert sorted((x.column, x.min, x.n_na) for x in empty) == [("a", None, 0), ("b", None, 0)]
+
+
+def test_drop_incomplete_of_no_columns_and_odd_order_names(spark):
+    from sylvan.operators.filters import drop_incomplete
+
+    df = spark.createDataFrame([(None, 1), (2, None), (2, 0)], ["k", "a.b"])
+    assert drop_incomplete(df, []).count() == 3 and drop_incomplete(df).count() == 1
+    assert sorted(map(str, map(tuple, keep_first(df, ["k"], ["a.b"]).collect()))) == ["(2, None)", "(None, 1)"]
 
 
 def test_group_summary_missing_rules(spark):

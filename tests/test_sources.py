@@ -1,5 +1,8 @@
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from sylvan.plans.records import combine_sources, conform_records, write_chunks
 from sylvan.sources.records import ingest_traits, read_trait_records
 from sylvan.sources.snapshots import fingerprint, latest_versions, read_latest, save_snapshot
@@ -17,7 +20,7 @@ def test_snapshot_roundtrip_and_skip(spark):
     v2 = save_snapshot(c, root, "t", version="20240102000000000000")
     assert latest_versions(spark, root) == {"t": v2}
     got = read_latest(spark, root).collect()
-    assert [(r.name, r.id, r.v) for r in got] == [("t", 3, "z")]
+    assert [(r.snapshot_name, r.id, r.v) for r in got] == [("t", 3, "z")]
 
 
 def test_ingest_combine_conform(spark):
@@ -50,10 +53,41 @@ def test_ingest_combine_conform(spark):
 def test_write_chunks(spark):
     out = tempfile.mkdtemp(prefix="sylvan-chunks-") + "/chunks"
     df = spark.range(11).withColumnRenamed("id", "k")
-    write_chunks(df, out, ["k"], 4, "lossless")
-    back = spark.read.parquet(out)
-    sizes = sorted(r["count"] for r in back.groupBy("chunk").count().collect())
-    assert sizes == [2, 3, 3, 3]
+    assert sorted(write_chunks(df, out, "c", ["k"], 4, "lossless")) == ["c_0", "c_1", "c_2", "c_3"]
+    back = read_latest(spark, out)
+    assert back.columns == ["snapshot_name", "k"]
+    sizes = [r["count"] for r in back.groupBy("snapshot_name").count().orderBy("snapshot_name").collect()]
+    assert sizes == [3, 3, 3, 2]
+    assert write_chunks(df, out, "c", ["k"], 4, "lossless") == {}  # unchanged
+    assert list(write_chunks(df.withColumn("k", F.when(F.col("k") < 10, F.col("k")).otherwise(99)), out, "c", ["k"], 4)) == ["c_3"]
+
+
+def test_equal_order_keys_spread(spark):
+    from sylvan.operators.ordering import with_global_position
+
+    df = spark.range(20_000).selectExpr("1 as k", "id as v")
+    placed, total = with_global_position(df, ["k"], num_partitions=8)
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert total == 20_000 and len(sizes) > 1 and max(sizes) < 10_000
+    assert placed.select("pos").distinct().count() == 20_000
+
+
+def test_scratch_scope_leaves_nothing(spark):
+    import os
+
+    from sylvan.operators.summaries import describe_numeric, describe_strings
+    from sylvan.plans.traits import trait_table
+    from sylvan.session import Scratch
+    from test_trait_table import SCHEMA, golden_rows
+
+    with Scratch(spark, "scope") as scratch:
+        assert trait_table(spark.createDataFrame(golden_rows(), SCHEMA), scratch=scratch).count() == 7
+        table = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "v double, s string")
+        assert describe_numeric(table, scratch=scratch).count() == 1
+        assert describe_strings(table, scratch=scratch).count() == 2
+        root = scratch.root.removeprefix("file:")
+        assert len(os.listdir(root)) >= 4
+    assert not os.path.exists(root)
 
 
 def test_streaming_landing(spark):
@@ -125,8 +159,9 @@ def test_workflow_jobs(spark):
     assert ingest_job(spark, source_path, root) == sorted(WANTED_TRAITS)
     e3 = records_job(spark, root, os.path.join(base, "e3"))
     assert e3["records"].count() == 15
-    chunks = spark.read.parquet(os.path.join(base, "e3", "trait_records"))
-    assert sorted(r["count"] for r in chunks.groupBy("chunk").count().collect()) == [3, 4, 4, 4]
+    chunks = read_latest(spark, os.path.join(base, "e3"))
+    assert sorted(r["count"] for r in chunks.groupBy("snapshot_name").count().collect()) == [3, 4, 4, 4]
+    assert "ord" not in chunks.columns
     assert {r.column for r in e3["missing"].collect()} == set(e3["records"].columns)
 
 
@@ -153,8 +188,8 @@ def test_combine_sources_input_variations(spark):
     for name, df in [("leaf area", full), ("seed mass", no_method), ("stem wood density", extra), ("empty", empty), ("blank", all_missing)]:
         save_snapshot(df, root, name)
     combined = combine_sources(spark, root)
-    assert set(combined.columns) >= {"name", "method", "extra_col", "longitude"}
-    assert sorted(r.name for r in combined.select("name").distinct().collect()) == ["leaf area", "seed mass", "stem wood density"]
+    assert set(combined.columns) >= {"snapshot_name", "method", "extra_col", "longitude"}
+    assert sorted(r.snapshot_name for r in combined.select("snapshot_name").distinct().collect()) == ["leaf area", "seed mass", "stem wood density"]
     conformed = {r.id: r for r in conform_records(combined).collect()}
     assert conformed["1"].trait_value == 2.5 and conformed["1"].method == "m1"
     assert conformed["2"].trait_value is None  # "x1" does not parse
@@ -176,5 +211,40 @@ def test_read_latest_files_flat_folder(spark):
     }
     for entry, rows in entries.items():
         spark.createDataFrame(rows, "id int, v string").write.parquet(os.path.join(folder, entry))
-    got = sorted((r.name, r.id, r.v) for r in read_latest_files(spark, folder).collect())
-    assert got == [("leaf area", 2, "new"), ("leaf area", 3, "new"), ("seed mass", 4, "only")]
+    got = sorted((r.snapshot_name, r.id, r.v) for r in read_latest_files(spark, folder).collect())
+    # every name of the folder is read, also one without a version
+    assert got == [("leaf area", 2, "new"), ("leaf area", 3, "new"), ("notes", 9, "no version"), ("seed mass", 4, "only")]
+
+
+def test_snapshot_changes_that_a_plain_hash_misses(spark):
+    root = tempfile.mkdtemp(prefix="sylvan-snap-")
+    first = spark.createDataFrame([("x", None)], "a string, b string")
+    moved = spark.createDataFrame([(None, "x")], "a string, b string")
+    assert fingerprint(first) != fingerprint(moved)
+    for table in (first, moved, moved.toDF("c", "d"), moved.toDF("c", "d").where("false")):
+        assert save_snapshot(table, root, "t") is not None
+        assert save_snapshot(table, root, "t") is None
+    assert read_latest(spark, root).columns == ["snapshot_name", "c", "d"] and read_latest(spark, root).count() == 0
+
+
+def test_snapshot_key_column_never_overwrites(spark):
+    root = tempfile.mkdtemp(prefix="sylvan-snap-")
+    save_snapshot(spark.createDataFrame([(1, "x")], "snapshot_name int, v string"), root, "t")
+    with pytest.raises(ValueError):
+        read_latest(spark, root)
+    assert read_latest(spark, root, name_col="source").columns == ["source", "snapshot_name", "v"]
+
+
+def test_record_chunks_keep_file_order(spark):
+    from sylvan.plans.records import write_record_chunks
+
+    out = tempfile.mkdtemp(prefix="sylvan-chunks-")
+    rows = [("b", "9", 0), ("a", "10", 1), ("b", None, 2), ("a", "9", 3), ("b", "9", 4), (None, "1", 5), ("a", "9", 6), ("c", "2", 7)]
+    df = spark.createDataFrame(rows, "trait_name string, id string, ord int")
+    write_record_chunks(df, out, "data", "ord")
+    got = {}
+    for r in read_latest(spark, out).collect():
+        got.setdefault(r.snapshot_name, []).append((r.trait_name, r.id))
+    # b first, then a, then NULL, then c
+    want = [[("b", "9"), ("b", None)], [("b", "9"), ("a", "10")], [("a", "9"), ("a", "9")], [(None, "1"), ("c", "2")]]
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {f"data_{k}": sorted(v, key=str) for k, v in enumerate(want)}

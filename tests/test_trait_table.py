@@ -165,13 +165,30 @@ def test_plan_shuffles_only_on_observation(spark, capsys):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert exchanges and all("hashpartitioning(ObservationID" in line for line in exchanges), exchanges
+    # without broadcasts the rows meet the kept items on the item id, else all goes by the observation
+    items = [line for line in exchanges if "hashpartitioning(coalesce(DataID" in line or "hashpartitioning(coalesce(_key" in line]
+    rest = [line for line in exchanges if line not in items]
+    assert len(items) == 2 and rest and all("hashpartitioning(ObservationID" in line for line in rest), exchanges
     assert "SinglePartition" not in plan
 
 
-def test_hot_observation_is_split(spark, capsys):
-    """One observation holds a third of the rows: AQE splits its join
-    partition, and the result equals the plan without the side table."""
+def test_rows_are_reduced_before_the_fan_out(spark, capsys):
+    """Default settings: the kept items are broadcast (their written size is
+    known), and each key is cut to one row before the shuffle."""
+    df = spark.createDataFrame(golden_rows(), SCHEMA)
+    capsys.readouterr()
+    tr.trait_table(df, as_="map").explain()
+    plan = capsys.readouterr().out
+    limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert any("Partial" in line for line in limits) and any("Final" in line for line in limits)
+    assert plan.index("Generate explode") < plan.index("WindowGroupLimit")  # plans print from the result down
+    assert plan.count("Scan ExistingRDD[ord") == 1  # the export is scanned once besides the index
+
+
+def test_hot_observation(spark, capsys):
+    """One observation holds a third of the rows: with default settings its
+    rows are cut to one per key before they are shuffled, and the result equals
+    the plan that fans out first."""
     from pyspark.sql import functions as F
 
     n = 60000
@@ -187,32 +204,19 @@ def test_hot_observation_is_split(spark, capsys):
         (F.col("id") % 100).cast("string").alias("OrigValueStr"),
         F.lit("u").alias("UnitName"),
     )
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        out = tr.trait_table(df, as_="map")
-        rows = out.collect()
-        capsys.readouterr()
-        out.explain()
-        plan = capsys.readouterr().out
-        exploded = tr.explode_observations_by_trait(df, skew_safe=False)
-        keep = tr.kept_items(tr.select_data_items(tr.data_item_overview(df)))
-        plain = tr.standardise_traits(
-            tr.combine_values_covariates(
-                tr.extract_trait_values(exploded, keep), tr.extract_covariates(exploded, keep), as_="map"
-            )
-        ).collect()
-    finally:
-        for k in settings:
-            spark.conf.unset(k)
-    assert "SortMergeJoin(skew=true)" in plan
+    out = tr.trait_table(df, as_="map")
+    rows = out.collect()
+    capsys.readouterr()
+    out.explain()
+    plan = capsys.readouterr().out
+    exploded = tr.explode_observations_by_trait(df, skew_safe=False)
+    keep = tr.kept_items(tr.select_data_items(tr.data_item_overview(df)))
+    plain = tr.standardise_traits(
+        tr.combine_values_covariates(
+            tr.extract_trait_values(exploded, keep), tr.extract_covariates(exploded, keep), as_="map"
+        )
+    ).collect()
+    assert "WindowGroupLimit" in plan
     canon = lambda r: (r.observation_id, r.dataset, r.orig_value_str, r.trait_domain, tuple(sorted(r.covariates.items())))
     assert sorted(map(canon, rows)) == sorted(map(canon, plain))
     assert len(rows) > 0

@@ -52,6 +52,8 @@ LEAST_CONTEXTS = 3
 GENERALISE, REMOVE = 0.8, 0.95
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
+#: Reserved field of carried rows: a table may have no other column than its text.
+ROW_MARK = "__sylvan_row"
 SPAN = "struct<kind:string,start:int,stop:int,value:string>"
 
 
@@ -149,11 +151,9 @@ def disclosures(found: DataFrame, documents: DataFrame, total: int, scratch: Scr
     )
     pairs = near.select("entity", "term", "rid").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_et"))
     candidates = scratch.save(together.select("entity", "term").join(pairs, ["entity", "term"]), "candidates")
-    wanted = candidates.select("term").distinct()
-    df_t = (
-        documents.select(F.explode(terms_of(F.col("text"))).alias("term"))
-        .join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-    )
+    # all terms are counted first: a common word is one row for each task by
+    # then (Spark would move a semi join on the candidates below the count)
+    df_t = documents.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
     df_e = (
         found.select("rid", F.explode(F.array_distinct(F.transform("base", entity))).alias("entity"))
         .groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
@@ -166,16 +166,17 @@ def disclosures(found: DataFrame, documents: DataFrame, total: int, scratch: Scr
 
 
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Per row: ``row`` (all its columns), ``whole_text``, ``base`` (spans of
-    the four kinds) and ``added`` (spans of kind ``term``, whose value is
-    ``generalise`` or ``remove``); both are arrays of (kind, start, stop, value)."""
+    """Per row: ``row`` (its columns but for the text), ``source`` (the text as
+    it was), ``text`` (empty for null), ``base`` (spans of the four kinds) and
+    ``added`` (spans of kind ``term``, whose value is ``generalise`` or
+    ``remove``); both are arrays of (kind, start, stop, value)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "pii")
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"))
-    marked = scratch.save(
-        rows.withColumn("base", base_spans(F.col("text"))).withColumn("rid", F.monotonically_increasing_id()), "marked"
-    )
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*others, F.lit(1).alias(ROW_MARK)).alias("row"), F.col(f"`{text_col}`").alias("source"))
+    spans = base_spans(F.coalesce("source", F.lit("")))
+    written = scratch.save(rows.withColumn("base", spans).withColumn("rid", F.monotonically_increasing_id()), "marked")
+    marked = written.withColumn("text", F.coalesce("source", F.lit("")))
     found = marked.where(F.size("base") > 0)
     total = marked.count()
     terms = scratch.save(disclosures(found, marked, total, scratch), "terms")
@@ -199,9 +200,9 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.when(removed, "remove").otherwise("generalise").alias("value"),
         )
 
-    with_terms = joined.withColumn("added", F.transform(clear, action)).select("row", "text", "base", "added")
-    without = marked.where(F.size("base") == 0).select("row", "text", "base", no_span.alias("added"))
-    return with_terms.unionByName(without).select("row", F.col("text").alias("whole_text"), "base", "added")
+    with_terms = joined.withColumn("added", F.transform(clear, action)).select("row", "source", "text", "base", "added")
+    without = marked.where(F.size("base") == 0).select("row", "source", "text", "base", no_span.alias("added"))
+    return with_terms.unionByName(without)
 
 
 def digest(spans: Column) -> Column:
@@ -243,11 +244,11 @@ def sanitise_documents(docs: DataFrame, text_col: str = "text", length_col: str
     """The rows with personal data replaced in the text (a null text stays
     null) and its length renewed, where there is such a column."""
     found = find_personal_data(docs, text_col)
-    new = F.when(F.col(f"row.`{text_col}`").isNotNull(), sanitised(F.col("whole_text"), F.col("base"), F.col("added")))
+    new = F.when(F.col("source").isNotNull(), sanitised(F.col("text"), F.col("base"), F.col("added")))
     changed = found.withColumn("new_text", new)
     renewed = {text_col: F.col("new_text")}
     if length_col in docs.columns:
         longer = F.length("new_text").cast(docs.schema[length_col].dataType)
         untouched = F.size("base") + F.size("added") == 0
         renewed[length_col] = F.when(untouched, F.col(f"row.`{length_col}`")).otherwise(longer)
-    return changed.select(*[renewed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return changed.select(*[renewed[c].alias(c) if c in renewed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -12,9 +12,9 @@ neighbour graph, queries search it greedily.
    it, and compares these members with each other where at least one of the
    two is new to the list. Improvements go to the members, whose lists keep the best
    ``width``. Rounds end when few entries change. Lists and vectors meet by
-   joins in blocks of nodes that are near in a random order: a member's vector
-   travels once for each block that needs it, not once for each list, and a
-   task holds one block.
+   joins in blocks of ``BLOCK`` nodes that are near in a random order: a
+   member's vector travels once for each block that needs it, the finds of one
+   block for another travel in one row, and a task holds one block.
 4. Search: a query starts from its own node's list if it is a row of the table,
    else from entry nodes; each round expands the best nodes not yet expanded, scores
    their neighbours in double precision and keeps the best ``beam``. Rounds are
@@ -39,14 +39,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sylvan.operators.ordering import with_global_position
 from sylvan.session import Scratch
 
 WIDTH = 40  # neighbours in a node's list
 REVERSE = 40  # sampled nodes that list a node
 RUN, ORDERS, CODE_BITS = 64, 4, 12
 BLOCK = 4096  # nodes in a block; queries in a block: a fourth
-MOST_ROUNDS, LEAST_CHANGE = 8, 0.01
-SEARCH_ROUNDS, EXPAND, BEAM = 4, 16, 80
+MOST_ROUNDS, LEAST_CHANGE = 8, 0.005
+SEARCH_ROUNDS, EXPAND, BEAM = 5, 32, 160
 ENTRIES = 256
 
 LISTS = "id long, ids array<long>, sims array<float>"
@@ -130,80 +131,105 @@ def first_lists(keyed: DataFrame, width: int, order: int) -> DataFrame:
     return placed.select("id", "code", "scale").mapInPandas(work, LISTS)
 
 
-def merge_lists(nodes: DataFrame, found: DataFrame, width: int) -> DataFrame:
-    """Nodes with their lists renewed from ``found`` (rows of LISTS): the best
-    ``width`` of old and found entries; entries that were not there are fresh."""
-    # as many rows for a node as blocks (or orders) have met it, each of at most ``width`` entries
-    gathered = found.groupBy("id").agg(F.flatten(F.collect_list("ids")).alias("new_ids"), F.flatten(F.collect_list("sims")).alias("new_sims"))
+def merge_first(nodes: DataFrame, found: DataFrame, width: int) -> DataFrame:
+    """Nodes with the best ``width`` entries of their first lists, all fresh."""
+    # one list for each order
+    gathered = found.groupBy("id").agg(F.flatten(F.collect_list("ids")).alias("ids"), F.flatten(F.collect_list("sims")).alias("sims"))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for old, old_sims, new, new_sims in zip(batch["ids"], batch["sims"], batch["new_ids"], batch["new_sims"]):
-                if new is None:
-                    out.append((old, old_sims, np.zeros(len(old), dtype=bool)))
-                    continue
-                ids = np.concatenate([old, new]).astype(np.int64)
-                sims = np.concatenate([old_sims, new_sims]).astype(np.float32)
-                fresh = np.arange(len(ids)) >= len(old)
-                ids, first = np.unique(ids, return_index=True)
-                best = np.lexsort((ids, -sims[first]))[:width]
-                out.append((ids[best], sims[first][best], fresh[first][best]))
+            for ids, sims in zip(batch["ids"], batch["sims"]):
+                ids, first = np.unique(np.asarray([] if ids is None else ids, dtype=np.int64), return_index=True)
+                sims = np.asarray([] if sims is None else sims, dtype=np.float32)[first]
+                best = np.lexsort((ids, -sims))[:width]
+                out.append((ids[best], sims[best], np.ones(len(best), dtype=bool)))
             lists = pd.DataFrame(out, columns=["ids", "sims", "fresh"], index=batch.index)
             yield pd.concat([batch[["id", "block", "code", "scale"]], lists], axis=1)
 
-    return nodes.drop("fresh").join(gathered, "id", "left").mapInPandas(work, NODES)
+    return nodes.join(gathered, "id", "left").mapInPandas(work, NODES)
+
+
+def _ranks(groups: np.ndarray) -> np.ndarray:
+    """Place of each entry in its run of equal ``groups``."""
+    starts = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
+    return np.arange(len(groups)) - np.repeat(starts, np.diff(np.append(starts, len(groups))))
 
 
 def _compare(centres: pd.DataFrame, members: pd.DataFrame, width: int) -> pd.DataFrame:
     """One block: for each centre compare its members; per member the best
-    finds that beat the worst entry of its list."""
+    finds that beat the worst entry of its list, packed by the member's block."""
     if not len(centres) or not len(members):
-        return pd.DataFrame({"id": [], "ids": [], "sims": []})
+        return pd.DataFrame({"home": [], "member": [], "other": [], "sim": []})
     ids = members["id"].to_numpy()
     order = np.argsort(ids, kind="stable")
-    ids = ids[order]
+    ids, home = ids[order], members["home"].to_numpy()[order]
     x, worst = _codes(members)[order], members["worst"].to_numpy(dtype=np.float32)[order]
-    held: list[tuple[np.ndarray, np.ndarray]] = []
     pending: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
-    def reduce(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def reduce(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         pairs, first = np.unique(np.concatenate([p for p, _ in parts]), return_index=True)
         sims = np.concatenate([s for _, s in parts])[first]
-        who = pairs // len(ids)
-        best = np.lexsort((-sims, who))
-        who = who[best]
-        starts = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-        rank = np.arange(len(who)) - np.repeat(starts, np.diff(np.append(starts, len(who))))
-        kept = best[rank < width]
-        return [(pairs[kept], sims[kept])]
+        best = np.lexsort((-sims, pairs // len(ids)))
+        kept = best[_ranks((pairs // len(ids))[best]) < width] if len(best) else best
+        return pairs[kept], sims[kept]
 
     for near, fresh in zip(centres["members"], centres["fresh"]):
-        at, new = np.searchsorted(ids, near), np.asarray(fresh, dtype=bool)
-        some = x[at]
-        sims = some @ some.T
+        near, new = np.asarray(near, dtype=np.int64), np.asarray(fresh, dtype=bool)
+        some, place = np.unique(near, return_inverse=True)  # a node may stand on both sides
+        new = np.bincount(place, weights=new) > 0
+        at = np.searchsorted(ids, some)
+        rows = x[at]
+        sims = rows @ rows.T
         better = (sims > worst[at][:, None]) & (new[:, None] | new[None, :])
         np.fill_diagonal(better, False)
         a, b = np.nonzero(better)
         pending.append((at[a].astype(np.int64) * len(ids) + at[b], sims[a, b]))
         size += len(a)
         if size > 1_500_000:
-            held = reduce(held + pending)
-            pending, size = [], 0
-    held = reduce(held + pending)
-    pairs, sims = held[0]
-    if not len(pairs):
-        return pd.DataFrame({"id": [], "ids": [], "sims": []})
-    order = np.argsort(pairs // len(ids), kind="stable")
-    who, other, sims = (pairs // len(ids))[order], ids[(pairs % len(ids))[order]], sims[order]
-    cuts = np.flatnonzero(who[1:] != who[:-1]) + 1
-    return pd.DataFrame({"id": ids[who[np.append(0, cuts)]], "ids": np.split(other, cuts), "sims": np.split(sims, cuts)})
+            pending = [reduce(pending)]
+            size = len(pending[0][0])
+    pairs, sims = reduce(pending)
+    who, other = pairs // len(ids), ids[pairs % len(ids)]
+    out = []
+    for block in np.unique(home[who]):
+        of = home[who] == block
+        out.append((block, ids[who[of]].tobytes(), other[of].tobytes(), sims[of].astype(np.float32).tobytes()))
+    return pd.DataFrame(out, columns=["home", "member", "other", "sim"])
+
+
+FINDS = "home int, member binary, other binary, sim binary"
+
+
+def _renew(nodes: pd.DataFrame, finds: pd.DataFrame, width: int) -> pd.DataFrame:
+    """One block's nodes: the best ``width`` of old and found entries; entries
+    that were not there are fresh."""
+    names = nodes["id"].to_numpy()
+    order = np.argsort(names, kind="stable")
+    sizes = np.fromiter(map(len, nodes["ids"]), dtype=np.int64, count=len(nodes))
+    who = [np.repeat(np.arange(len(nodes)), sizes)]
+    other = [np.concatenate([np.asarray(x, dtype=np.int64) for x in nodes["ids"]])] if len(nodes) else [np.zeros(0, dtype=np.int64)]
+    sim = [np.concatenate([np.asarray(x, dtype=np.float32) for x in nodes["sims"]])] if len(nodes) else [np.zeros(0, dtype=np.float32)]
+    for member, found, value in zip(finds["member"], finds["other"], finds["sim"]):
+        who.append(order[np.searchsorted(names[order], np.frombuffer(member, dtype=np.int64))])
+        other.append(np.frombuffer(found, dtype=np.int64))
+        sim.append(np.frombuffer(value, dtype=np.float32))
+    fresh = np.arange(sum(map(len, who))) >= len(who[0])
+    who, other, sim = np.concatenate(who), np.concatenate(other), np.concatenate(sim)
+    once = np.lexsort((fresh, other, who))  # an old entry before a find of the same
+    first = np.append(True, (who[once][1:] != who[once][:-1]) | (other[once][1:] != other[once][:-1]))[: len(once)]
+    once = once[first]
+    best = once[np.lexsort((other[once], -sim[once], who[once]))]
+    best = best[_ranks(who[best]) < width] if len(best) else best
+    cuts = np.searchsorted(who[best], np.arange(1, len(nodes)))
+    lists = {"ids": np.split(other[best], cuts), "sims": np.split(sim[best], cuts), "fresh": np.split(fresh[best], cuts)}
+    return nodes[["id", "block", "code", "scale"]].assign(**{k: pd.Series(v, index=nodes.index, dtype=object) for k, v in lists.items()})
 
 
 def descend(nodes: DataFrame, width: int, reverse: int, turn: int) -> DataFrame:
-    """One round's finds (rows of LISTS)."""
-    listed = nodes.select("id", "block", F.explode(F.arrays_zip("ids", "fresh")).alias("e"))
+    """One round: the nodes with renewed lists."""
+    listed = nodes.select("id", F.explode(F.arrays_zip("ids", "fresh")).alias("e"))
     listed = listed.select("id", F.col("e.ids").alias("other"), F.col("e.fresh").alias("fresh"))
     # who lists a node: a sample, new ones first; the rank limit holds before the shuffle
     dealt = Window.partitionBy("other").orderBy(F.desc("fresh"), F.xxhash64("id", F.lit(turn)), "id")
@@ -212,19 +238,16 @@ def descend(nodes: DataFrame, width: int, reverse: int, turn: int) -> DataFrame:
         listing.select(F.col("other").alias("centre"), F.col("id").alias("member"), "fresh")
     )
     centres = (
-        both.groupBy("centre").agg(F.collect_list(F.struct("member", "fresh")).alias("m"))  # width + reverse at most
-        .where(F.exists("m", lambda m: m["fresh"]))
-        .withColumn("by_member", F.expr("map_from_entries(transform(array_distinct(m.member), x -> struct(x, exists(m, y -> y.member = x and y.fresh))))"))
-        .select(F.col("centre").alias("id"), F.map_keys("by_member").alias("members"), F.map_values("by_member").alias("fresh"))
+        both.groupBy("centre")  # width + reverse at most
+        .agg(F.collect_list("member").alias("members"), F.collect_list("fresh").alias("fresh"), F.max("fresh").alias("any"))
+        .where("any").select(F.col("centre").alias("id"), "members", "fresh")
         .join(nodes.select("id", "block"), "id")
     )
     needed = centres.select(F.col("block").alias("at"), F.explode("members").alias("id")).distinct()
     worst = F.when(F.size("sims") >= width, F.array_min("sims")).otherwise(F.lit(float("-inf")).cast("float"))
-    vectors = needed.join(nodes.select("id", "code", "scale", worst.alias("worst")), "id")
-    return (
-        centres.groupBy("block").cogroup(vectors.groupBy("at"))
-        .applyInPandas(lambda c, m: _compare(c, m, width), LISTS)
-    )
+    vectors = needed.join(nodes.select("id", F.col("block").alias("home"), "code", "scale", worst.alias("worst")), "id")
+    finds = centres.groupBy("block").cogroup(vectors.groupBy("at")).applyInPandas(lambda c, m: _compare(c, m, width), FINDS)
+    return nodes.groupBy("block").cogroup(finds.groupBy("home")).applyInPandas(lambda n, f: _renew(n, f, width), NODES)
 
 
 def neighbour_graph(
@@ -232,17 +255,16 @@ def neighbour_graph(
 ) -> DataFrame:
     """NN-descent: a written table of NODES."""
     keyed = scratch.save(order_keys(nodes, size, seed), "keyed")
-    total = keyed.count()
-    blocks = max(1, -(-total // BLOCK))
-    placed = keyed.select("id", "code", "scale", "key0").repartitionByRange(blocks, "key0", "id")
-    empty = [F.array().cast(f"array<{t}>").alias(n) for n, t in (("ids", "long"), ("sims", "float"), ("fresh", "boolean"))]
-    bare = scratch.save(placed.select("id", F.spark_partition_id().alias("block"), "code", "scale", *empty), "bare")
+    # blocks of equal size in the first random order
+    placed, _ = with_global_position(keyed.select("id", "code", "scale", "key0"), ["key0", "id"], position="at")
+    block = F.floor((F.col("at") - 1) / BLOCK).cast("int").alias("block")
+    bare = scratch.save(placed.select("id", block, "code", "scale"), "bare")
     found = first_lists(keyed, width, 0)
     for order in range(1, ORDERS):
         found = found.unionByName(first_lists(keyed, width, order))
-    graph = scratch.save(merge_lists(bare, found, width), "graph-0")
+    graph = scratch.save(merge_first(bare, found, width), "graph-0")
     for turn in range(1, MOST_ROUNDS + 1):
-        following = scratch.save(merge_lists(graph, descend(graph, width, reverse, turn), width), f"graph-{turn}")
+        following = scratch.save(descend(graph, width, reverse, turn), f"graph-{turn}")
         scratch.drop(f"graph-{turn - 1}")
         graph = following
         row = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("ids"))).first()

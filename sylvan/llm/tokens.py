@@ -29,6 +29,8 @@ MARKS = ".,;:!?"
 
 #: Words held by one Python worker; the cache starts afresh beyond it.
 CACHE_WORDS = 400_000
+#: Longer words are not kept, so the cache is bounded in bytes too.
+LONGEST_HELD = 64
 #: Characters whose words are looked up together, and words encoded together.
 AT_ONCE = 2_000_000
 WORDS_AT_ONCE = 2_000
@@ -131,6 +133,8 @@ class WordEncoder:
                 last = end
         for word in ended:  # letters, then a single mark: two matches of the pattern
             self._fill(word, held[word[:-1]] + self.marks[word[-1]])
+        for word in [w for w in (*alone, *ended, *words) if len(w) > LONGEST_HELD]:
+            del held[word]  # the batch still has its value
         if len(held) > CACHE_WORDS:
             self.held = Held()
 

@@ -38,6 +38,7 @@ def test_word_cache_gives_the_librarys_ids():
     encoder = tokens.WordEncoder(JSON)
     assert encoder.encode(texts) == want
     assert encoder.encode(texts) == want  # from the cache
+    assert max(map(len, encoder.held)) <= tokens.LONGEST_HELD
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 257, 5000, 70_000])

@@ -131,6 +131,39 @@ def first_lists(keyed: DataFrame, width: int, order: int) -> DataFrame:
     return placed.select("id", "code", "scale").mapInPandas(work, LISTS)
 
 
+def deliver(needed: DataFrame, table: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """What blocks ask for, in one row for each pair of blocks: ``needed`` (at,
+    id) are met by the rows of ``table`` in the block of that id. ``columns``
+    (column: numpy type) are packed in the order of the ids."""
+    home = F.floor(F.col("id") / BLOCK).cast("int").alias("home")
+    asked = needed.distinct().groupBy(home, "at").agg(F.collect_list("id").alias("wanted"))  # BLOCK ids at most
+
+    def pack(rows: pd.DataFrame, requests: pd.DataFrame) -> pd.DataFrame:
+        names = rows["id"].to_numpy()
+        order = np.argsort(names, kind="stable")
+        out = []
+        for at, wanted in zip(requests["at"], requests["wanted"]):
+            wanted = np.sort(np.asarray(wanted, dtype=np.int64))
+            some = rows.iloc[order[np.searchsorted(names[order], wanted)]]
+            packed = [
+                b"".join(some[c]) if kind == "bytes" else np.array(some[c].tolist(), dtype=kind).tobytes()
+                for c, kind in columns.items()
+            ]
+            out.append((at, wanted.tobytes(), *packed))
+        return pd.DataFrame(out, columns=["at", "id", *columns])
+
+    held = table.select("id", *columns, F.floor(F.col("id") / BLOCK).cast("int").alias("held"))
+    schema = "at int, id binary, " + ", ".join(f"{c} binary" for c in columns)
+    return held.groupBy("held").cogroup(asked.groupBy("home")).applyInPandas(pack, schema)
+
+
+def _unpack(rows: pd.DataFrame, **kinds) -> list[np.ndarray]:
+    """Ids in ascending order and the packed columns (flat) in that order."""
+    rows = rows.assign(first=[int(np.frombuffer(x, dtype=np.int64)[0]) for x in rows["id"]]).sort_values("first")
+    whole = {"id": np.int64} | kinds
+    return [np.frombuffer(b"".join(rows[c]), dtype=kind) for c, kind in whole.items()]
+
+
 def merge_first(nodes: DataFrame, found: DataFrame, width: int) -> DataFrame:
     """Nodes with the best ``width`` entries of their first lists, all fresh."""
     # one list for each order
@@ -161,10 +194,9 @@ def _compare(centres: pd.DataFrame, members: pd.DataFrame, width: int) -> pd.Dat
     finds that beat the worst entry of its list, packed by the member's block."""
     if not len(centres) or not len(members):
         return pd.DataFrame({"home": [], "member": [], "other": [], "sim": []})
-    ids = members["id"].to_numpy()
-    order = np.argsort(ids, kind="stable")
-    ids, home = ids[order], members["home"].to_numpy()[order]
-    x, worst = _codes(members)[order], members["worst"].to_numpy(dtype=np.float32)[order]
+    ids, codes, scale, worst = _unpack(members, code=np.int8, scale=np.float32, worst=np.float32)
+    home = ids // BLOCK
+    x = codes.reshape(len(ids), -1).astype(np.float32) * scale[:, None]
     pending: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
@@ -240,25 +272,25 @@ def descend(nodes: DataFrame, width: int, reverse: int, turn: int) -> DataFrame:
     centres = (
         both.groupBy("centre")  # width + reverse at most
         .agg(F.collect_list("member").alias("members"), F.collect_list("fresh").alias("fresh"), F.max("fresh").alias("any"))
-        .where("any").select(F.col("centre").alias("id"), "members", "fresh")
-        .join(nodes.select("id", "block"), "id")
+        .where("any")
+        .select(F.floor(F.col("centre") / BLOCK).cast("int").alias("block"), "members", "fresh")
     )
-    needed = centres.select(F.col("block").alias("at"), F.explode("members").alias("id")).distinct()
+    needed = centres.select(F.col("block").alias("at"), F.explode("members").alias("id"))
     worst = F.when(F.size("sims") >= width, F.array_min("sims")).otherwise(F.lit(float("-inf")).cast("float"))
-    vectors = needed.join(nodes.select("id", F.col("block").alias("home"), "code", "scale", worst.alias("worst")), "id")
+    vectors = deliver(needed, nodes.select("id", "code", "scale", worst.alias("worst")), {"code": "bytes", "scale": "float32", "worst": "float32"})
     finds = centres.groupBy("block").cogroup(vectors.groupBy("at")).applyInPandas(lambda c, m: _compare(c, m, width), FINDS)
     return nodes.groupBy("block").cogroup(finds.groupBy("home")).applyInPandas(lambda n, f: _renew(n, f, width), NODES)
 
 
 def neighbour_graph(
     nodes: DataFrame, size: int, scratch: Scratch, width: int = WIDTH, reverse: int = REVERSE, seed: int = 1
-) -> DataFrame:
-    """NN-descent: a written table of NODES."""
-    keyed = scratch.save(order_keys(nodes, size, seed), "keyed")
-    # blocks of equal size in the first random order
-    placed, _ = with_global_position(keyed.select("id", "code", "scale", "key0"), ["key0", "id"], position="at")
-    block = F.floor((F.col("at") - 1) / BLOCK).cast("int").alias("block")
-    bare = scratch.save(placed.select("id", block, "code", "scale"), "bare")
+) -> tuple[DataFrame, DataFrame]:
+    """NN-descent: a written table of NODES, and (id, vec_id) for its ids. A
+    node's id is its place in the first random order, so that its block, a run
+    of ``BLOCK`` places, is known from the id alone."""
+    placed, _ = with_global_position(order_keys(nodes, size, seed), ["key0", "id"], position="at")
+    keyed = scratch.save(placed.withColumnRenamed("id", "vec_id").withColumn("id", F.col("at") - 1).drop("at"), "keyed")
+    bare = keyed.select("id", F.floor(F.col("id") / BLOCK).cast("int").alias("block"), "code", "scale")
     found = first_lists(keyed, width, 0)
     for order in range(1, ORDERS):
         found = found.unionByName(first_lists(keyed, width, order))
@@ -270,7 +302,7 @@ def neighbour_graph(
         row = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("ids"))).first()
         if (row[0] or 0) <= LEAST_CHANGE * (row[1] or 1):
             break
-    return graph
+    return graph, keyed.select("id", "vec_id")
 
 
 BEAMS = "query long, block int, ids array<long>, sims array<double>, done array<boolean>"
@@ -280,10 +312,8 @@ def _advance(state: pd.DataFrame, vectors: pd.DataFrame, size: int, beam: int) -
     """One block of queries: score the candidates, keep the best ``beam``."""
     if not len(state):
         return state[["query", "block"]].assign(ids=[], sims=[], done=[])
-    names = vectors["id"].to_numpy()
-    order = np.argsort(names, kind="stable")
-    names = names[order]
-    x = _matrix(vectors["vector"], size).astype(np.float64)[order]
+    names, x = _unpack(vectors, vector=np.float32) if len(vectors) else (np.zeros(0, dtype=np.int64), np.zeros(0))
+    x = x.reshape(-1, size).astype(np.float64)
     out = []
     for query, block, vector, ids, sims, done, new in zip(
         state["query"], state["block"], state["vector"], state["ids"], state["sims"], state["done"], state["new"]
@@ -311,7 +341,7 @@ def search_graph(
     def step(state: DataFrame, name: str) -> DataFrame:
         """``state``: BEAMS columns, vector and ``new`` candidates."""
         state = scratch.save(state, f"{name}-todo")
-        needed = state.select(F.col("block").alias("at"), F.explode("new").alias("id")).distinct().join(vectors, "id")
+        needed = deliver(state.select(F.col("block").alias("at"), F.explode("new").alias("id")), vectors, {"vector": "float32"})
         moved = state.groupBy("block").cogroup(needed.groupBy("at")).applyInPandas(
             lambda s, v: _advance(s, v, size, beam), BEAMS
         )
@@ -347,7 +377,11 @@ def nearest(
     spark = table.sparkSession
     scratch = Scratch(spark, "neighbours")
     nodes, members, size = distinct_vectors(table, id_col, vector_col, k, scratch)
-    graph = neighbour_graph(nodes, size, scratch, seed=seed)
+    graph, numbers = neighbour_graph(nodes, size, scratch, seed=seed)
+    # from here on a node goes by its number
+    numbers = numbers.withColumnRenamed("id", "number")
+    renamed = lambda df: df.join(numbers.withColumnRenamed("vec_id", "id"), "id").drop("id").withColumnRenamed("number", "id")
+    nodes, members = scratch.save(renamed(nodes), "numbered-nodes"), scratch.save(renamed(members), "numbered-members")
 
     # queries by node: rows of one vector are searched for once
     rows = table.select(F.col(id_col), F.col(vector_col).alias("vector")).where(

@@ -11,14 +11,19 @@ neighbour graph, queries search it greedily.
    node brings together its list and a bounded sample of the nodes that list
    it, and compares these members with each other where at least one of the
    two is new to the list. Improvements go to the members, whose lists keep the best
-   ``width``. Rounds end when few entries change. Lists and vectors meet by
+   ``width``. Rounds end when few entries change (a share under
+   ``LEAST_CHANGE``), however many that takes. Lists and vectors meet by
    joins in blocks of ``BLOCK`` nodes that are near in a random order: a
    member's vector travels once for each block that needs it, the finds of one
    block for another travel in one row, and a task holds one block.
 4. Search: a query starts from its own node's list if it is a row of the table,
    else from entry nodes; each round expands the best nodes not yet expanded, scores
-   their neighbours in double precision and keeps the best ``beam``. Rounds are
-   joins again, in blocks of queries.
+   their neighbours in double precision and keeps the best ``beam``. A query
+   is done when all nodes of its beam are expanded; only the others go into the
+   next round. Rounds are joins again, in blocks of queries.
+
+Both kinds of rounds end by themselves: lists and beams only get better, and a
+node that left a beam cannot come back. ``SAFETY_ROUNDS`` raises an error.
 
 Graph building compares vectors rounded to 8 bits; scores of the search and of
 results are exact, from the original vectors. Recall is measured against brute
@@ -46,8 +51,9 @@ WIDTH = 40  # neighbours in a node's list
 REVERSE = 40  # sampled nodes that list a node
 RUN, ORDERS, CODE_BITS = 64, 4, 12
 BLOCK = 4096  # nodes in a block; queries in a block: a fourth
-MOST_ROUNDS, LEAST_CHANGE = 8, 0.005
-SEARCH_ROUNDS, EXPAND, BEAM = 5, 32, 160
+LEAST_CHANGE = 0.005
+EXPAND, BEAM = 32, 160
+SAFETY_ROUNDS = 200  # reaching it is an error, never a result
 ENTRIES = 256
 
 LISTS = "id long, ids array<long>, sims array<float>"
@@ -295,13 +301,15 @@ def neighbour_graph(
     for order in range(1, ORDERS):
         found = found.unionByName(first_lists(keyed, width, order))
     graph = scratch.save(merge_first(bare, found, width), "graph-0")
-    for turn in range(1, MOST_ROUNDS + 1):
+    for turn in range(1, SAFETY_ROUNDS + 1):
         following = scratch.save(descend(graph, width, reverse, turn), f"graph-{turn}")
         scratch.drop(f"graph-{turn - 1}")
         graph = following
         row = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("ids"))).first()
         if (row[0] or 0) <= LEAST_CHANGE * (row[1] or 1):
             break
+    else:
+        raise RuntimeError(f"neighbour lists not settled after {SAFETY_ROUNDS} rounds")
     return graph, keyed.select("id", "vec_id")
 
 
@@ -331,10 +339,10 @@ def _advance(state: pd.DataFrame, vectors: pd.DataFrame, size: int, beam: int) -
 
 def search_graph(
     queries: DataFrame, graph: DataFrame, nodes: DataFrame, size: int, scratch: Scratch,
-    rounds: int = SEARCH_ROUNDS, expand: int = EXPAND, beam: int = BEAM,
+    expand: int = EXPAND, beam: int = BEAM,
 ) -> DataFrame:
-    """Greedy search. ``queries``: query, vector, block, ``start`` (node ids).
-    Rows of BEAMS, best nodes first."""
+    """Greedy search until every node of every beam is expanded. ``queries``:
+    query, vector, block, ``start`` (node ids). Rows of BEAMS, best nodes first."""
     queries = queries.select("query", "block", "vector", "start")
     vectors = nodes.select("id", "vector")
 
@@ -345,11 +353,18 @@ def search_graph(
         moved = state.groupBy("block").cogroup(needed.groupBy("at")).applyInPandas(
             lambda s, v: _advance(s, v, size, beam), BEAMS
         )
-        return scratch.save(moved, name)
+        moved = scratch.save(moved, name)
+        scratch.drop(f"{name}-todo")
+        return moved
 
+    unfinished = F.exists("done", lambda d: ~d)
     none = [F.array().cast(f"array<{t}>").alias(n) for n, t in (("ids", "long"), ("sims", "double"), ("done", "boolean"))]
     beams = step(queries.select("query", "block", "vector", *none, F.col("start").alias("new")), "beam-0")
-    for turn in range(1, rounds + 1):
+    finished = beams.where(~unfinished)
+    for turn in range(1, SAFETY_ROUNDS + 1):
+        beams = beams.where(unfinished)
+        if beams.isEmpty():
+            break
         entries = F.transform(F.arrays_zip("ids", "done"), lambda e, i: F.struct(i.alias("i"), e["ids"].alias("id"), e["done"].alias("done")))
         chosen = F.slice(F.filter(entries, lambda e: ~e["done"]), 1, expand)
         open_ = beams.withColumn("chosen", F.transform(chosen, lambda e: e["id"]))
@@ -366,7 +381,10 @@ def search_graph(
             )
         )
         beams = step(state, f"beam-{turn}")
-    return beams
+        finished = finished.unionByName(beams.where(~unfinished))
+    else:
+        raise RuntimeError(f"search not settled after {SAFETY_ROUNDS} rounds")
+    return finished
 
 
 def nearest(

@@ -47,3 +47,25 @@ def test_few_rows(spark, n):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = neighbours.nearest(table, F.col("vec_id") % 20 == 0, 20).collect()
     assert len(got) == n * (n - 1)
+
+
+def test_search_goes_on_until_nothing_is_open(spark):
+    """On a chain each round comes one node nearer: more than five are needed."""
+    n, scratch = 16, neighbours.Scratch(spark, "test-chain")
+    nodes = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(n)], "id long, vector array<float>")
+    links = [(i, [x for x in (i - 1, i + 1) if 0 <= x < n]) for i in range(n)]
+    graph = spark.createDataFrame(links, "id long, ids array<long>")
+    queries = spark.createDataFrame([(0, 0, [1.0, 0.0], [0]), (1, 0, [1.0, 0.0], [n - 4])], "query long, block int, vector array<float>, start array<long>")
+    got = neighbours.search_graph(queries, graph, nodes, 2, scratch, expand=8, beam=8).collect()
+    scratch.close()
+    assert sorted(r["query"] for r in got) == [0, 1]
+    for r in got:
+        assert list(r["ids"]) == list(range(n - 1, n - 9, -1)) and all(r["done"])
+
+
+def test_safety_limit_raises(spark, monkeypatch):
+    rows = [(i, np.random.default_rng(i).standard_normal(8).tolist()) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(neighbours, "SAFETY_ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="not settled"):
+        neighbours.nearest(table, F.col("vec_id") % 20 == 0, 20)

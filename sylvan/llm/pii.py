@@ -9,16 +9,18 @@ a start only where a run of possible first characters starts (or where the
 last match ended).
 
 Disclosure: every base value found is a protected entity e. A term t that
-stands near it gives it away as far as its pointwise mutual information with
+stands in its documents gives it away as far as its pointwise mutual information with
 it, estimated from document counts, reaches the entity's whole information:
 
     disclosure(t, e) = log2(N df(t, e) / (df(t) df(e))) / log2(N / df(e))
 
-It is 1 if t occurs only near e, 0 if both are independent. From ``GENERALISE``
+It is 1 if t occurs only with e, 0 if both are independent. From ``GENERALISE``
 on the term is generalised (to a class name) in the documents that hold e, from
-``REMOVE`` on it is removed there. Chance is kept out: t must stand near e in
-at least ``LEAST_CONTEXTS`` different contexts, so that the words of a copied
-document are not held against it. Counts cover all documents.
+``REMOVE`` on it is removed there. Chance is kept out: t must stand with e in
+at least ``LEAST_DOCUMENTS`` documents of different texts, so that the words of
+a copied document are not held against it. Terms are runs of ``LEAST_TERM`` and
+more letters and digits, anywhere in the document but inside base spans and
+where they touch one. Counts cover all documents.
 
 An entity of very many documents is never gathered into one group: its pairs
 are counted with partial aggregation, and the join that brings its terms back
@@ -45,10 +47,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
-#: Characters looked at on either side of an entity, and the shortest term.
-CONTEXT_CHARS = 60
+#: The shortest term, and the fewest different texts that hold it and the entity.
 LEAST_TERM = 3
-LEAST_CONTEXTS = 3
+LEAST_DOCUMENTS = 3
 GENERALISE, REMOVE = 0.8, 0.95
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -122,35 +123,53 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), NOT_WORD), lambda w: F.length(w) >= LEAST_TERM))
 
 
-def near_terms(found: DataFrame) -> DataFrame:
-    """(rid, entity, context, term): the whole words around each base span,
-    without those of other spans."""
-    each = found.select("rid", "text", F.explode("base").alias("s"))
-    begin = F.greatest(F.col("s.start") - CONTEXT_CHARS, F.lit(0))
-    before = F.substring(F.col("text"), begin + 1, F.col("s.start") - begin)
-    after = F.substring(F.col("text"), F.col("s.stop") + 1, F.lit(CONTEXT_CHARS))
-    # a word that the limit cuts, and words that touch the entity, are left out
-    before = F.when(begin > 0, F.regexp_replace(before, r"^[\p{L}\p{N}]+", "")).otherwise(before)
-    before = F.regexp_replace(before, r"[\p{L}\p{N}@._%+-]+$", "")
-    after = F.when(F.length(after) == CONTEXT_CHARS, F.regexp_replace(after, r"[\p{L}\p{N}]+$", "")).otherwise(after)
-    after = F.regexp_replace(after, r"^[\p{L}\p{N}@._%+-]+", "")
-    around = each.select("rid", entity(F.col("s")).alias("entity"), F.concat_ws(" ", before, after).alias("around"))
-    words = F.filter(terms_of(F.col("around")), lambda w: ~w.rlike("^[0-9]"))
-    return around.select("rid", "entity", F.xxhash64(F.lower("around")).alias("context"), F.explode(words).alias("term"))
+def outside(text: Column, base: Column) -> Column:
+    """The text without its base spans and the words that touch them."""
+    ordered = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))
+
+    def cut(state: Column, s: Column) -> Column:
+        gap = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), F.concat(state["gaps"], F.array(gap)).alias("gaps"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("gaps"))
+    gaps = F.aggregate(
+        ordered, begin, cut,
+        lambda state: F.concat(state["gaps"], F.array(F.substring(text, state["at"] + 1, F.length(text)))),
+    )
+    last = F.size(base)
+
+    def trim(gap: Column, i: Column) -> Column:
+        gap = F.when(i > 0, F.regexp_replace(gap, r"^[\p{L}\p{N}@._%+-]++", "")).otherwise(gap)
+        return F.when(i < last, F.regexp_replace(gap, r"(?<![\p{L}\p{N}@._%+-])[\p{L}\p{N}@._%+-]++\z", "")).otherwise(gap)
+
+    return F.array_join(F.transform(gaps, trim), " ")
+
+
+def shared_terms(found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(entity, term, df_et) of the pairs that stand together in at least
+    ``LEAST_DOCUMENTS`` different texts, ``df_et`` counting copies as well."""
+    text_key = (F.xxhash64("text"), F.length("text"))
+    copies = found.groupBy(*text_key).agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("copies")).select("rid", "copies")
+    texts = scratch.save(
+        found.select("rid", F.array_distinct(F.transform("base", entity)).alias("entities")).join(copies, "rid"), "texts"
+    )
+    # only an entity of so many texts can have such a pair
+    each = texts.select("rid", "copies", F.explode("entities").alias("entity"))
+    known = each.groupBy("entity").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= LEAST_DOCUMENTS)
+    of_text = each.join(known, "entity", "left_semi").groupBy("rid", "copies").agg(F.collect_list("entity").alias("entities"))
+    words = found.select("rid", terms_of(outside(F.col("text"), F.col("base"))).alias("terms"))
+    pairs = of_text.join(words, "rid").select("copies", F.explode("entities").alias("entity"), "terms")
+    return (
+        pairs.select("copies", "entity", F.explode("terms").alias("term"))
+        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("df_et"))
+        .where(F.col("texts") >= LEAST_DOCUMENTS).drop("texts")
+    )
 
 
 def disclosures(found: DataFrame, documents: DataFrame, total: int, scratch: Scratch) -> DataFrame:
     """(entity, term, disclosure) of the terms to be generalised or removed.
     ``found``: rows with base spans; ``documents``: all rows (text)."""
-    near = scratch.save(near_terms(found), "near")
-    together = (
-        near.groupBy("entity", "term", "context", "rid").agg(F.lit(1).alias("one"))
-        .groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-        .where(F.col("contexts") >= LEAST_CONTEXTS)
-    )
-    pairs = near.select("entity", "term", "rid").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_et"))
-    candidates = scratch.save(together.select("entity", "term").join(pairs, ["entity", "term"]), "candidates")
+    candidates = scratch.save(shared_terms(found, scratch), "candidates")
     # all terms are counted first: a common word is one row for each task by
     # then (Spark would move a semi join on the candidates below the count)
     df_t = documents.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))

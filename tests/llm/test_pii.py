@@ -126,3 +126,33 @@ def test_query_and_native_plan(spark):
         assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert [row[f"n_{k}"] for k in PATTERNS] == [sum(s[0] == k for s in base) for k in PATTERNS]
         assert row["spans"].startswith(joined)
+
+
+def added_terms(spark, rows):
+    texts = dict(rows)
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r["row"]["doc_id"]: [texts[r["row"]["doc_id"]][s["start"] : s["stop"]] for s in r["added"]] for r in found}
+
+
+def common_words(rnd, n):
+    return " ".join(rnd.choice("green river stone walk light paper window seven orange table music forest".split()) for _ in range(n))
+
+
+def test_one_signature_in_different_documents(spark):
+    """Equal surroundings of an entity are no copies when the documents differ."""
+    rnd = random.Random(8)
+    block = f"{common_words(rnd, 20)} regards Falconer, room 4711b, jd.smith@mail.example.com {common_words(rnd, 20)}"
+    rows = [(i, f"{common_words(rnd, 30)} {i} {block}") for i in range(6)]
+    rows += [(10 + i, f"{common_words(rnd, 20)} regards room") for i in range(200)]
+    got = added_terms(spark, rows)
+    assert all(got[i] == (["Falconer", "4711b"] if i < 6 else []) for i in got), got
+
+
+def test_distant_term(spark):
+    """A term far from the entity in the same documents; true copies count once."""
+    rnd = random.Random(9)
+    rows = [(i, f"Falconer {common_words(rnd, 60)} a@b.example.org {common_words(rnd, 60)} 2217") for i in range(5)]
+    rows += [(10 + i, common_words(rnd, 20)) for i in range(200)]
+    rows += [(300 + i, f"zebra {common_words(random.Random(1), 60)} q@w.example.org") for i in range(8)]
+    got = added_terms(spark, rows)
+    assert all(got[i] == (["Falconer", "2217"] if i < 5 else []) for i in got), got

@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product: NN-descent builds a
 neighbour graph, queries search it greedily.
 
-1. Equal vectors become one node (named by its smallest id); only the ids that
+1. Equal vectors become one node; only the different ids that
    can appear in a result (the smallest k + 1) are kept with it, so a vector
    that a third of the rows share is one node.
 2. First lists: several random orders (signs of random projections, then one
@@ -31,7 +31,9 @@ force by ``recall_against_brute_force``.
 
 Corner cases: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, neither do vectors of another length than the most
-frequent one; null ids take no part; a repeated id counts once for each vector.
+frequent one; null ids take no part; repeated rows count once. An id with several
+vectors is searched for with each of them, and is a neighbour once, by its best
+score.
 Fewer candidates than k give fewer rows. An empty table gives no rows.
 """
 
@@ -68,17 +70,19 @@ def usable(vector: str) -> Column:
 
 def distinct_vectors(table: DataFrame, id_col: str, vector_col: str, k: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
     """Nodes (id, vector), their members (id, vec_id: the k + 1 smallest) and
-    the vectors' length."""
+    the vectors' length. Nodes are named by a number of their own: an id may
+    have several vectors."""
     rows = table.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector")).where(
         F.col("vec_id").isNotNull() & usable("vector")
     )
     lengths = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     size = lengths[0]["n"] if lengths else 0
-    rows = rows.where(F.size("vector") == size)
+    rows = rows.where(F.size("vector") == size).distinct()
     same = Window.partitionBy("vector").orderBy("vec_id")
     # a limit on the rank is applied before the shuffle, so no vector is hot
     ranked = rows.withColumn("rank", F.row_number().over(same)).where(F.col("rank") <= k + 1)
-    members = scratch.save(ranked.withColumn("id", F.min("vec_id").over(Window.partitionBy("vector"))), "members")
+    named = ranked.withColumn("own", F.monotonically_increasing_id())
+    members = scratch.save(named.withColumn("id", F.min("own").over(Window.partitionBy("vector"))).drop("own"), "members")
     return members.where("rank = 1").select("id", "vector"), members.select("id", "vec_id"), size
 
 
@@ -291,11 +295,11 @@ def descend(nodes: DataFrame, width: int, reverse: int, turn: int) -> DataFrame:
 def neighbour_graph(
     nodes: DataFrame, size: int, scratch: Scratch, width: int = WIDTH, reverse: int = REVERSE, seed: int = 1
 ) -> tuple[DataFrame, DataFrame]:
-    """NN-descent: a written table of NODES, and (id, vec_id) for its ids. A
-    node's id is its place in the first random order, so that its block, a run
+    """NN-descent: a written table of NODES, and (id, name) for its ids, where
+    ``name`` is the id that ``nodes`` has. A node's id is its place in the first random order, so that its block, a run
     of ``BLOCK`` places, is known from the id alone."""
     placed, _ = with_global_position(order_keys(nodes, size, seed), ["key0", "id"], position="at")
-    keyed = scratch.save(placed.withColumnRenamed("id", "vec_id").withColumn("id", F.col("at") - 1).drop("at"), "keyed")
+    keyed = scratch.save(placed.withColumnRenamed("id", "name").withColumn("id", F.col("at") - 1).drop("at"), "keyed")
     bare = keyed.select("id", F.floor(F.col("id") / BLOCK).cast("int").alias("block"), "code", "scale")
     found = first_lists(keyed, width, 0)
     for order in range(1, ORDERS):
@@ -310,7 +314,7 @@ def neighbour_graph(
             break
     else:
         raise RuntimeError(f"neighbour lists not settled after {SAFETY_ROUNDS} rounds")
-    return graph, keyed.select("id", "vec_id")
+    return graph, keyed.select("id", "name")
 
 
 BEAMS = "query long, block int, ids array<long>, sims array<double>, done array<boolean>"
@@ -398,14 +402,14 @@ def nearest(
     graph, numbers = neighbour_graph(nodes, size, scratch, seed=seed)
     # from here on a node goes by its number
     numbers = numbers.withColumnRenamed("id", "number")
-    renamed = lambda df: df.join(numbers.withColumnRenamed("vec_id", "id"), "id").drop("id").withColumnRenamed("number", "id")
+    renamed = lambda df: df.join(numbers.withColumnRenamed("name", "id"), "id").drop("id").withColumnRenamed("number", "id")
     nodes, members = scratch.save(renamed(nodes), "numbered-nodes"), scratch.save(renamed(members), "numbered-members")
 
     # queries by node: rows of one vector are searched for once
     rows = table.select(F.col(id_col), F.col(vector_col).alias("vector")).where(
         is_query & F.col(id_col).isNotNull() & usable("vector") & (F.size("vector") == size)
     )
-    asked = rows.select(F.col(id_col).alias("query_id"), "vector").join(nodes, "vector").select("query_id", "id")
+    asked = rows.select(F.col(id_col).alias("query_id"), "vector").join(nodes, "vector").select("query_id", "id").distinct()
     asked = scratch.save(asked, "asked")
     wanted = asked.select("id").distinct()
     start = F.concat(F.array("id"), "ids").alias("start")
@@ -413,11 +417,12 @@ def nearest(
         F.col("id").alias("query"), F.floor(F.col("block") / 4).cast("int").alias("block"), "vector", start
     )
     beams = search_graph(scratch.save(queries, "queries"), graph, nodes, size, scratch)
-    # the k + 1 best ids of each searched node, its own row among them
-    hits = beams.select("query", F.explode(F.slice(F.arrays_zip("ids", "sims"), 1, k + 1)).alias("h")).select(
+    # the k + 1 best ids of each searched node, its own row among them; nodes
+    # may share ids, so all of the beam counts
+    hits = beams.select("query", F.explode(F.arrays_zip("ids", "sims")).alias("h")).select(
         "query", F.col("h.ids").alias("id"), F.col("h.sims").alias("score")
     )
-    ids = hits.join(members, "id").select("query", "score", "vec_id")
+    ids = hits.join(members, "id").groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ids = ids.withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= k + 1)
     best = ids.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("best"))

@@ -69,3 +69,23 @@ def test_safety_limit_raises(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "SAFETY_ROUNDS", 1)
     with pytest.raises(RuntimeError, match="not settled"):
         neighbours.nearest(table, F.col("vec_id") % 20 == 0, 20)
+
+
+def test_repeated_rows(spark):
+    """A query row stored many times, a near candidate stored many times, and an
+    id with several vectors."""
+    rnd = np.random.default_rng(4)
+    unit = [(v / np.linalg.norm(v)).tolist() for v in rnd.standard_normal((60, 8))]
+    rows = list(enumerate(unit))
+    x = {i: np.array([v], dtype=np.float32).astype(np.float64) for i, v in rows}
+    near = max((i for i in x if i), key=lambda i: (x[i] @ x[0].T).item())
+    many = [(7, (np.array(unit[0]) + 0.01 * rnd.standard_normal(8)).tolist()) for _ in range(25)]
+    table = spark.createDataFrame(rows + [rows[0]] * 30 + [rows[20]] + [rows[near]] * 30 + many, "vec_id long, embedding array<float>")
+    x[7] = np.array([unit[7], *[v for _, v in many]], dtype=np.float32).astype(np.float64)
+    of = {}
+    for r in sorted(neighbours.nearest(table, F.col("vec_id") % 20 == 0, 20).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        of.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert sorted(of) == [0, 20, 40]
+    for q, got in of.items():
+        want = sorted((i for i in x if i != q), key=lambda i: -(x[i] @ x[q][0]).max())[:20]
+        assert got == want, q

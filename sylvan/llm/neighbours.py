@@ -69,7 +69,7 @@ def usable(vector: str) -> Column:
 
 
 def distinct_vectors(table: DataFrame, id_col: str, vector_col: str, k: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
-    """Nodes (id, vector), their members (id, vec_id: the k + 1 smallest) and
+    """Nodes (id, vector, key: the smallest vec_id), their members (id, vec_id: the k + 1 smallest) and
     the vectors' length. Nodes are named by a number of their own: an id may
     have several vectors."""
     rows = table.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector")).where(
@@ -83,7 +83,7 @@ def distinct_vectors(table: DataFrame, id_col: str, vector_col: str, k: int, scr
     ranked = rows.withColumn("rank", F.row_number().over(same)).where(F.col("rank") <= k + 1)
     named = ranked.withColumn("own", F.monotonically_increasing_id())
     members = scratch.save(named.withColumn("id", F.min("own").over(Window.partitionBy("vector"))).drop("own"), "members")
-    return members.where("rank = 1").select("id", "vector"), members.select("id", "vec_id"), size
+    return members.where("rank = 1").select("id", "vector", F.col("vec_id").alias("key")), members.select("id", "vec_id"), size
 
 
 def _directions(size: int, seed: int) -> np.ndarray:
@@ -317,28 +317,32 @@ def neighbour_graph(
     return graph, keyed.select("id", "name")
 
 
-BEAMS = "query long, block int, ids array<long>, sims array<double>, done array<boolean>"
+BEAMS = "query long, block int, ids array<long>, keys array<long>, sims array<double>, done array<boolean>"
 
 
 def _advance(state: pd.DataFrame, vectors: pd.DataFrame, size: int, beam: int) -> pd.DataFrame:
-    """One block of queries: score the candidates, keep the best ``beam``."""
+    """One block of queries: score the candidates, keep the best ``beam``; of
+    equal scores those with the smallest keys."""
     if not len(state):
-        return state[["query", "block"]].assign(ids=[], sims=[], done=[])
-    names, x = _unpack(vectors, vector=np.float32) if len(vectors) else (np.zeros(0, dtype=np.int64), np.zeros(0))
+        return state[["query", "block"]].assign(ids=[], keys=[], sims=[], done=[])
+    none = np.zeros(0, dtype=np.int64)
+    names, x, key = _unpack(vectors, vector=np.float32, key=np.int64) if len(vectors) else (none, np.zeros(0), none)
     x = x.reshape(-1, size).astype(np.float64)
     out = []
-    for query, block, vector, ids, sims, done, new in zip(
-        state["query"], state["block"], state["vector"], state["ids"], state["sims"], state["done"], state["new"]
+    for query, block, vector, ids, keys, sims, done, new in zip(
+        *(state[c] for c in ("query", "block", "vector", "ids", "keys", "sims", "done", "new"))
     ):
-        ids, sims, done = np.asarray(ids, dtype=np.int64), np.asarray(sims, dtype=np.float64), np.asarray(done, dtype=bool)
+        ids, keys = np.asarray(ids, dtype=np.int64), np.asarray(keys, dtype=np.int64)
+        sims, done = np.asarray(sims, dtype=np.float64), np.asarray(done, dtype=bool)
         if new is not None and len(new):
             new = np.setdiff1d(np.asarray(new, dtype=np.int64), ids)
-            scores = x[np.searchsorted(names, new)] @ np.asarray(vector, dtype=np.float64)
-            ids, sims = np.concatenate([ids, new]), np.concatenate([sims, scores])
+            at = np.searchsorted(names, new)
+            scores = x[at] @ np.asarray(vector, dtype=np.float64)
+            ids, keys, sims = np.concatenate([ids, new]), np.concatenate([keys, key[at]]), np.concatenate([sims, scores])
             done = np.concatenate([done, np.zeros(len(new), dtype=bool)])
-        best = np.lexsort((ids, -sims))[:beam]
-        out.append((query, block, ids[best], sims[best], done[best]))
-    return pd.DataFrame(out, columns=["query", "block", "ids", "sims", "done"])
+        best = np.lexsort((ids, keys, -sims))[:beam]
+        out.append((query, block, ids[best], keys[best], sims[best], done[best]))
+    return pd.DataFrame(out, columns=["query", "block", "ids", "keys", "sims", "done"])
 
 
 def search_graph(
@@ -346,14 +350,15 @@ def search_graph(
     expand: int = EXPAND, beam: int = BEAM,
 ) -> DataFrame:
     """Greedy search until every node of every beam is expanded. ``queries``:
-    query, vector, block, ``start`` (node ids). Rows of BEAMS, best nodes first."""
+    query, vector, block, ``start`` (node ids); ``nodes``: id, vector, ``key``
+    (the smallest vec_id, which decides ties). Rows of BEAMS, best nodes first."""
     queries = queries.select("query", "block", "vector", "start")
-    vectors = nodes.select("id", "vector")
+    vectors = nodes.select("id", "vector", "key")
 
     def step(state: DataFrame, name: str) -> DataFrame:
         """``state``: BEAMS columns, vector and ``new`` candidates."""
         state = scratch.save(state, f"{name}-todo")
-        needed = deliver(state.select(F.col("block").alias("at"), F.explode("new").alias("id")), vectors, {"vector": "float32"})
+        needed = deliver(state.select(F.col("block").alias("at"), F.explode("new").alias("id")), vectors, {"vector": "float32", "key": "int64"})
         moved = state.groupBy("block").cogroup(needed.groupBy("at")).applyInPandas(
             lambda s, v: _advance(s, v, size, beam), BEAMS
         )
@@ -362,7 +367,7 @@ def search_graph(
         return moved
 
     unfinished = F.exists("done", lambda d: ~d)
-    none = [F.array().cast(f"array<{t}>").alias(n) for n, t in (("ids", "long"), ("sims", "double"), ("done", "boolean"))]
+    none = [F.array().cast(f"array<{t}>").alias(n) for n, t in (("ids", "long"), ("keys", "long"), ("sims", "double"), ("done", "boolean"))]
     beams = step(queries.select("query", "block", "vector", *none, F.col("start").alias("new")), "beam-0")
     finished = beams.where(~unfinished)
     for turn in range(1, SAFETY_ROUNDS + 1):
@@ -380,7 +385,7 @@ def search_graph(
         state = (
             open_.join(reached, "query", "left").join(queries.select("query", "vector"), "query")
             .select(
-                "query", "block", "vector", "ids", "sims", done.alias("done"),
+                "query", "block", "vector", "ids", "keys", "sims", done.alias("done"),
                 F.array_except(F.coalesce("reached", F.array().cast("array<long>")), F.col("ids")).alias("new"),
             )
         )
@@ -399,7 +404,9 @@ def nearest(
     spark = table.sparkSession
     scratch = Scratch(spark, "neighbours")
     nodes, members, size = distinct_vectors(table, id_col, vector_col, k, scratch)
-    graph, numbers = neighbour_graph(nodes, size, scratch, seed=seed)
+    # lists and beams are wide enough for any k
+    beam = max(BEAM, 2 * (k + 1))
+    graph, numbers = neighbour_graph(nodes.drop("key"), size, scratch, width=max(WIDTH, k + 1), seed=seed)
     # from here on a node goes by its number
     numbers = numbers.withColumnRenamed("id", "number")
     renamed = lambda df: df.join(numbers.withColumnRenamed("name", "id"), "id").drop("id").withColumnRenamed("number", "id")
@@ -416,7 +423,7 @@ def nearest(
     queries = graph.join(wanted, "id", "left_semi").join(nodes, "id").select(
         F.col("id").alias("query"), F.floor(F.col("block") / 4).cast("int").alias("block"), "vector", start
     )
-    beams = search_graph(scratch.save(queries, "queries"), graph, nodes, size, scratch)
+    beams = search_graph(scratch.save(queries, "queries"), graph, nodes, size, scratch, max(EXPAND, beam // 5), beam)
     # the k + 1 best ids of each searched node, its own row among them; nodes
     # may share ids, so all of the beam counts
     hits = beams.select("query", F.explode(F.arrays_zip("ids", "sims")).alias("h")).select(

@@ -52,7 +52,7 @@ def test_few_rows(spark, n):
 def test_search_goes_on_until_nothing_is_open(spark):
     """On a chain each round comes one node nearer: more than five are needed."""
     n, scratch = 16, neighbours.Scratch(spark, "test-chain")
-    nodes = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(n)], "id long, vector array<float>")
+    nodes = spark.createDataFrame([(i, [float(i), 1.0], i) for i in range(n)], "id long, vector array<float>, key long")
     links = [(i, [x for x in (i - 1, i + 1) if 0 <= x < n]) for i in range(n)]
     graph = spark.createDataFrame(links, "id long, ids array<long>")
     queries = spark.createDataFrame([(0, 0, [1.0, 0.0], [0]), (1, 0, [1.0, 0.0], [n - 4])], "query long, block int, vector array<float>, start array<long>")
@@ -89,3 +89,22 @@ def test_repeated_rows(spark):
     for q, got in of.items():
         want = sorted((i for i in x if i != q), key=lambda i: -(x[i] @ x[q][0]).max())[:20]
         assert got == want, q
+
+
+def test_ties_at_the_cut(spark):
+    """Where more nodes tie than a beam holds, the smallest vec_ids stay."""
+    n, scratch = 60, neighbours.Scratch(spark, "test-ties")
+    nodes = spark.createDataFrame([(i, [1.0, float(i)], 1000 - i) for i in range(n)], "id long, vector array<float>, key long")
+    graph = spark.createDataFrame([(i, [x for x in range(n) if x != i]) for i in range(n)], "id long, ids array<long>")
+    queries = spark.createDataFrame([(0, 0, [1.0, 0.0], [0])], "query long, block int, vector array<float>, start array<long>")
+    (row,) = neighbours.search_graph(queries, graph, nodes, 2, scratch, expand=8, beam=8).collect()
+    scratch.close()
+    assert list(row["ids"]) == list(range(n - 1, n - 9, -1))
+
+
+def test_many_neighbours(spark):
+    """A k above the usual beam."""
+    rows = [(i, np.random.default_rng(i).standard_normal(8).tolist()) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = neighbours.nearest(table, F.col("vec_id") % 100 == 0, 200).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in got) == [(q, k) for q in (0, 100, 200) for k in range(1, 201)]

@@ -16,8 +16,8 @@ neighbour graph, queries search it greedily.
    joins in blocks of ``BLOCK`` nodes that are near in a random order: a
    member's vector travels once for each block that needs it, the finds of one
    block for another travel in one row, and a task holds one block.
-4. Search: a query starts from its own node's list if it is a row of the table,
-   else from entry nodes; each round expands the best nodes not yet expanded, scores
+4. Search: a query is a row of the table and starts from its own node's list;
+   each round expands the best nodes not yet expanded, scores
    their neighbours in double precision and keeps the best ``beam``. A query
    is done when all nodes of its beam are expanded; only the others go into the
    next round. Rounds are joins again, in blocks of queries.
@@ -56,7 +56,6 @@ BLOCK = 4096  # nodes in a block; queries in a block: a fourth
 LEAST_CHANGE = 0.005
 EXPAND, BEAM = 32, 160
 SAFETY_ROUNDS = 200  # reaching it is an error, never a result
-ENTRIES = 256
 
 LISTS = "id long, ids array<long>, sims array<float>"
 NODES = "id long, block int, code binary, scale float, ids array<long>, sims array<float>, fresh array<boolean>"

@@ -10,8 +10,11 @@ does the same with a running sum of a count column (for value counts).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,8 +112,6 @@ def with_weighted_position(
     each one covers; it covers ``end - weight + 1 .. end``. Returns the frame
     and the total weight. The running sum inside a partition is a pandas
     ``cumsum`` over the partition's sorted Arrow batches (``mapInPandas``)."""
-    from pyspark import TaskContext
-
     ranged, partitions = _range_sorted_checkpoint(df, order, num_partitions)
     offsets, total = _partition_offsets(ranged, partitions, F.col(weight))
     schema = T.StructType([*ranged.schema.fields, T.StructField(end, T.LongType())])
@@ -126,6 +127,75 @@ def with_weighted_position(
     return ranged.mapInPandas(running_end, schema), total
 
 
+def with_run_position(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    position: str = "pos",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add the 0-based position of each row among the rows of its ``keys``, in
+    ``order`` (rows that are equal under it: by the hash of the row).
+
+    The rows are shuffled once, by range on (keys, order), so a key that holds
+    a third of all rows is spread over many tasks. What crosses a partition's
+    edge is carried: each partition reports its rows, its first and last key
+    (as a hash; neighbours in the order are told apart by it) and the length of
+    its last run, one row per partition through the driver."""
+    ranged, partitions = _range_sorted_checkpoint(df, [*keys, *order], num_partitions)
+    marked = ranged.withColumn("__key", F.xxhash64(*[F.struct(F.col(f"`{k}`").isNull(), F.col(f"`{k}`")) for k in keys]))
+    ends = {r["pid"]: r for r in marked.select("__key").mapInArrow(_run_ends, "pid int, first long, last long, rows long, tail long").collect()}
+    carried, open_key, open_rows = {}, None, 0
+    for pid in sorted(ends):
+        r = ends[pid]
+        carried[pid] = open_rows if r["first"] == open_key else 0
+        # a partition of a single run hands on what it was handed
+        open_rows = r["tail"] + (carried[pid] if r["tail"] == r["rows"] else 0)
+        open_key = r["last"]
+    schema = T.StructType([*ranged.schema.fields, T.StructField(position, T.LongType())])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, n = None, carried.get(TaskContext.get().partitionId(), 0)
+        for batch in batches:
+            key = batch.column("__key").to_numpy()
+            if not len(key):
+                continue
+            at, last, n = _run_positions(key, last, n)
+            columns = [c for c, name in zip(batch.columns, batch.schema.names) if name != "__key"]
+            names = [name for name in batch.schema.names if name != "__key"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(at, pa.int64())], [*names, position])
+
+    return marked.mapInArrow(place, schema)
+
+
+def _run_positions(key: np.ndarray, last: int | None, n: int) -> tuple[np.ndarray, int, int]:
+    """Positions in runs of equal keys, after a run of ``last`` that is at
+    position ``n`` now (``last`` None: the run before the first batch has the
+    first key); the key and position that the next batch goes on from."""
+    index = np.arange(len(key), dtype=np.int64)
+    change = np.flatnonzero(key[1:] != key[:-1]) + 1
+    starts = np.concatenate(([0], change))
+    at = index - np.repeat(starts, np.diff(np.append(starts, len(key))))
+    if last is None or key[0] == last:
+        at[: change[0] if len(change) else len(key)] += n
+    return at, int(key[-1]), int(at[-1]) + 1
+
+
+def _run_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    first = last = None
+    rows = n = 0
+    for batch in batches:
+        key = batch.column("__key").to_numpy()
+        if len(key):
+            first = int(key[0]) if first is None else first
+            _, last, n = _run_positions(key, last, n)
+            rows += len(key)
+    if rows:
+        values = [[TaskContext.get().partitionId()], [first], [last], [rows], [n]]
+        types = [pa.int32(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], ["pid", "first", "last", "rows", "tail"])
+
+
 def chunk_bounds(total: int, n_chunks: int) -> list[tuple[int, int]]:
     """Truncating rule of the original workflow: chunk k covers the 1-based positions
     ``floor(k*N/n) + 1`` .. ``floor(k*N/n) + max(N div n, 1)``; for N = 0

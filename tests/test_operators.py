@@ -5,6 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from sylvan.operators import ordering
 from sylvan.operators.columns import relocate, select_any_of
 from sylvan.operators.dedup import keep_first
 from sylvan.operators.filters import all_true, any_true, discard_empty, is_empty_source
@@ -399,3 +400,19 @@ def test_export_scan_decodes_latin1(spark):
         fh.write(text.encode("latin-1"))
     rows = read_trait_export(spark, folder).orderBy("ord").collect()
     assert [r.AccSpeciesName for r in rows] == ["Größe Pflanze", None]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 50])
+def test_run_position(spark, partitions):
+    """Positions inside each key, also of a key that spans partitions."""
+    import random
+
+    rnd = random.Random(partitions)
+    rows = [(rnd.choice([None, 1, 1, 1, 1, 2, 3]), rnd.choice(["a", "b", None]), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, s string, i long")
+    got = {r["i"]: r["pos"] for r in ordering.with_run_position(df, ["k", "s"], ["i"], num_partitions=partitions).collect()}
+    seen = {}
+    for k, s, i in rows:
+        assert got[i] == seen.get((k, s), 0)
+        seen[k, s] = got[i] + 1
+    assert ordering.with_run_position(df.where("false"), ["k"], ["i"], num_partitions=partitions).count() == 0

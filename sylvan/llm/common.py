@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,19 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Bound the rows of one Arrow batch for the jobs run inside; the session's
+    own setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def texts_of(column: pd.Series) -> list[str]:
     """The column's texts; a null text is empty."""
     return ["" if t is None else t for t in column.tolist()]

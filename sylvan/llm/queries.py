@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, lines, neighbours, packing, pii, quality, simhash, tokenfile, toxicity, training, urls
+from sylvan.llm import bpe, chat, lexical, lines, neighbours, packing, pii, quality, simhash, spelling, tokenfile, toxicity, training, urls
 from sylvan.llm.common import read
 from sylvan.session import Scratch
 
@@ -96,6 +96,24 @@ def op10_bpe(spark, sf_dir):
     )
 
 
+def op11_spelling(spark, sf_dir):
+    words = spelling.count_words(read(spark, sf_dir, "documents"), noise=97)
+    return spelling.spelling_forms(words, Scratch(spark, "spelling"))
+
+
+def op12_chat(spark, sf_dir):
+    marks = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    template = chat.InstTemplate()
+    back = chat.join_pieces(chat.format_conversations(rows, template), template)
+    return back.drop("rewritten_turn")
+
+
+def op13_lexical(spark, sf_dir):
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -107,5 +125,8 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_spelling": op11_spelling,
+    "op12_chat": op12_chat,
+    "op13_lexical": op13_lexical,
 }
-ORACLE_SQL: dict[str, str] = {"op5_urls": urls.oracle_sql(URL_RULES)}
+ORACLE_SQL: dict[str, str] = {"op5_urls": urls.oracle_sql(URL_RULES), "op13_lexical": lexical.oracle_sql(20)}

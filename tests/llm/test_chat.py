@@ -1,0 +1,130 @@
+"""Chat formatting against rendering whole conversations."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+
+from sylvan.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+TEMPLATE = chat.InstTemplate()
+PIECES = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]", "\\", "\\\\", " ", "ok", "é", "\n", "<", "[", "😀"]
+
+
+def expected(rows, template=TEMPLATE):
+    by = defaultdict(list)
+    for conv, turn, role, text in rows:
+        by[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for conv, turns in by.items():
+        turns = [t[2:] for t in sorted(turns, key=lambda t: t[:3])]
+        whole = template.render([(template.escape(r), template.escape(t)) for r, t in turns])
+        loss = "".join(t for r, t in turns if r == "assistant")
+        digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        out[conv] = (len(turns), digest("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), digest(loss), len(whole), None)
+    return out
+
+
+def read_back(spark, rows, template=TEMPLATE, **options):
+    frame = rows if hasattr(rows, "columns") else spark.createDataFrame(rows, SCHEMA)
+    return {r["conv_id"]: tuple(r)[1:] for r in chat.join_pieces(chat.format_conversations(frame, template, **options), template).collect()}
+
+
+def odd_text(rnd):
+    return "".join(rnd.choice(PIECES) for _ in range(rnd.randrange(0, 8)))
+
+
+def conversations(rnd, n):
+    roles = ["user", "assistant", "system", "tool", "", "we[ROLE]ird\\", "[/ROLE]"]
+    return [(c, t, rnd.choice(roles), odd_text(rnd)) for c in range(n) for t in range(rnd.randrange(1, 9))]
+
+
+def test_escape_is_reversible():
+    rnd = random.Random(1)
+    for _ in range(3000):
+        turns = [(rnd.choice(["user", "assistant", "system", odd_text(rnd)]), odd_text(rnd)) for _ in range(3)]
+        turns = [(r if r in ("user", "assistant", "system") else r + "x", t) for r, t in turns]
+        assert all(TEMPLATE.unescape(TEMPLATE.escape(t)) == t for _, t in turns)
+        assert TEMPLATE.parse(TEMPLATE.render([(TEMPLATE.escape(r), TEMPLATE.escape(t)) for r, t in turns])) == turns
+
+
+@pytest.mark.parametrize("pieces", [64, 3, None])
+def test_against_whole_rendering(spark, pieces):
+    rows = conversations(random.Random(2), 60)
+    assert read_back(spark, rows, piece_turns=pieces) == expected(rows)
+
+
+def test_long_conversation_in_pieces(spark):
+    rows = [(7, i, ["user", "assistant"][i % 2], f"text {i} </s>" * 3) for i in range(700)] + [(8, 0, "user", "hello")]
+    made = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), TEMPLATE)
+    sizes = [len(r["spans"]) for r in made.where("conv_id = 7").collect()]
+    assert sum(sizes) == 700 and max(sizes) == chat.PIECE_TURNS
+    assert read_back(spark, rows) == expected(rows)
+
+
+def test_spans_and_loss_mask(spark):
+    rows = [(1, 0, "user", "[INST] hi"), (1, 1, "assistant", " a\\</s> "), (1, 2, "assistant", "")]
+    piece = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), TEMPLATE).first()
+    text = piece["formatted"]
+    assert [text[s["start"] : s["end"]] for s in piece["spans"]] == ["<s>[INST] \\[INST] hi [/INST]", "  a\\\\\\</s>  </s>", "  </s>"]
+    masked = [text[s["loss_start"] : s["loss_end"]] for s in piece["spans"] if s["loss_start"] is not None]
+    assert [TEMPLATE.unescape(m) for m in masked] == [" a\\</s> ", ""]
+
+
+def test_odd_rows(spark):
+    rows = [(None, None, "user", "a"), (None, 1, "assistant", None), (3, None, None, "q"), (3, 0, "user", ""), (3, 0, "user", ""),
+            (4, 2, "assistant", "x" * 300_000), (4, 1, "user", ""), (5, 1, "assistant", ""), (-1, 0, "user", "</s>[INST] ok [/INST]")]
+    clashing = ["key", "piece", "at", "context", "formatted", "spans", "pos"]
+    frame = spark.createDataFrame([(*r, *["?"] * len(clashing)) for r in rows], SCHEMA + "".join(f", {c} string" for c in clashing))
+    assert read_back(spark, frame) == expected(rows)
+    assert read_back(spark, frame.where("false")) == {}
+
+
+def odd_templates():
+    """Defined here, so that they reach the workers by value."""
+
+    class LastOnly(chat.InstTemplate):
+        """Drops the text of all but the last assistant turn, as templates do
+        that strip old reasoning."""
+
+        def render(self, turns):
+            last = max((i for i, t in enumerate(turns) if t[0] == "assistant"), default=-1)
+            return chat.InstTemplate.render(self, [(r, t if r != "assistant" or i == last else "...") for i, (r, t) in enumerate(turns)])
+
+    class Closing(chat.InstTemplate):
+        """A mark at the end that the next turn takes away."""
+
+        def render(self, turns):
+            return chat.InstTemplate.render(self, turns) + "<end>"
+
+    class Numbered(chat.InstTemplate):
+        """A turn depends on how many stand before it."""
+
+        def render(self, turns):
+            return "".join(f"{i}:" + chat.InstTemplate.render(self, [t]) for i, t in enumerate(turns))
+
+    return LastOnly(), Closing(), Numbered()
+
+
+def test_rewritten_history_is_detected(spark):
+    last_only, closing, _ = odd_templates()
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "bb"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (2, 0, "user", "a"), (2, 1, "assistant", "b")]
+    made = {r["conv_id"]: r for r in chat.format_conversations(spark.createDataFrame(rows, SCHEMA), last_only).collect()}
+    assert made[1]["rewritten_turn"] == 3 and made[1]["spans"] is None and made[1]["kept_chars"] == len("<s>[INST] a [/INST] ")
+    assert made[2]["rewritten_turn"] is None and len(made[2]["spans"]) == 2
+    assert read_back(spark, rows, last_only)[1][:4] == (None,) * 4 and read_back(spark, rows, last_only)[1][5] == 3
+    closed = {r["conv_id"]: r for r in chat.format_conversations(spark.createDataFrame(rows, SCHEMA), closing).collect()}
+    assert closed[1]["rewritten_turn"] == 1 and closed[1]["formatted"].endswith("<end>")
+
+
+def test_template_that_looks_further_back(spark):
+    """Pieces would render it wrongly: found out, not returned."""
+    rows = [(1, i, "user", f"t{i}") for i in range(20)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    numbered = odd_templates()[2]
+    with pytest.raises(Exception, match="looks further back|no turn starts"):
+        read_back(spark, rows, numbered, piece_turns=4)
+    whole = chat.format_conversations(frame, numbered, piece_turns=None).collect()
+    assert [len(r["spans"]) for r in whole] == [20] and whole[0]["formatted"].startswith("0:<s>[INST] t0 [/INST]1:")

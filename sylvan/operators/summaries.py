@@ -7,16 +7,16 @@ p, h = (n-1)p, lo = floor(h), hi = ceil(h), and the value is
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sylvan.functions.nulls import is_missing
 from sylvan.functions.numeric import nan_to_null
-from sylvan.operators.ordering import with_weighted_position
 from sylvan.session import Scratch, write_intermediate
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -43,93 +43,162 @@ def group_summary(
     )
 
 
-def _long_numeric(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Unpivot numeric columns to (by..., column, value double, na boolean)."""
-    items = [
-        F.struct(
-            F.lit(c).alias("column"),
-            nan_to_null(F.col(f"`{c}`")).alias("value"),
-        )
-        for c in columns
-    ]
-    return df.select(*[F.col(f"`{b}`") for b in by], F.explode(F.array(*items)).alias("_x")).select(
-        *[F.col(f"`{b}`") for b in by], "_x.column", "_x.value"
-    )
+#: Steps that a power of two is cut into by the first pass, and equal steps that
+#: each later pass cuts a bracket into.
+PER_OCTAVE = 1024
+STEPS = 1 << 16
 
 
-def value_counts(long: DataFrame, by: Sequence[str], value: str, scratch: Scratch | None = None) -> DataFrame:
-    """(by..., _v, _n): how often each value occurs, missing ones included. A
-    partial aggregate: a value that a third of the rows share is one row.
-    Written, as the summaries below read it more than once."""
-    counted = long.groupBy(*[F.col(f"`{b}`") for b in by], F.col(f"`{value}`").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    return write_intermediate(counted, "value-counts", scratch)
+def _same(by: Sequence[str], names: Sequence[str], *more: Column) -> Column:
+    return reduce(lambda x, y: x & y, [*[F.col(f"`{b}`").eqNullSafe(F.col(n)) for b, n in zip(by, names)], *more])
 
 
-def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact type-7 quantiles (by..., prob, quantile) from ``value_counts``.
+def _long(df: DataFrame, by: Sequence[str], columns: Sequence[str], numbers: Sequence[int]) -> DataFrame:
+    """(by..., _i, _v): the values of the columns with these numbers, as
+    doubles, missing ones NULL."""
+    values = F.posexplode(F.array(*[nan_to_null(F.col(f"`{columns[i]}`")).cast("double") for i in numbers])).alias("_at", "_v")
+    number = F.col("_at") if list(numbers) == list(range(len(numbers))) else F.element_at(F.array(*[F.lit(i) for i in numbers]), F.col("_at") + 1)
+    return df.select(*[F.col(f"`{b}`") for b in by], values).select(*[F.col(f"`{b}`") for b in by], number.alias("_i"), "_v")
 
-    The counts are range partitioned on (by, value) and get count-weighted
-    positions (see ``with_weighted_position``). A group is a run of
-    consecutive positions, so its ranks are positions; each is joined to the
-    one row that covers it. No task holds a group, nothing but partition
-    totals goes through the driver.
-    """
-    known = counts.where(F.col("_v").isNotNull()).select(*[F.col(f"`{b}`") for b in by], "_v", "_n")
-    positioned, _ = with_weighted_position(known, [*by, "_v"], "_n", end="_end")
-    positioned = positioned.withColumn("_start", F.col("_end") - F.col("_n") + 1)
-    keys = [f"_b{i}" for i in range(len(by))]
-    groups = positioned.groupBy(*[F.col(f"`{b}`") for b in by]).agg(F.min("_start").alias("_first"), F.sum("_n").alias("_size"))
-    groups = groups.toDF(*keys, "_first", "_size")
-    ranks = groups.select(*keys, "_first", "_size", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-    h = (F.col("_size") - 1) * F.col("prob")
-    ranks = ranks.withColumns({"_lo": F.col("_first") + F.floor(h), "_hi": F.col("_first") + F.ceil(h), "_frac": h - F.floor(h)})
-    same = reduce(lambda a, b: a & b, [F.col(f"`{b}`").eqNullSafe(F.col(k)) for b, k in zip(by, keys)])
-    covers = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) <= F.col("_end"))
-    picked = positioned.join(ranks, same & (covers("_lo") | covers("_hi")))
-    ends = picked.groupBy(*[F.col(f"`{b}`") for b in by], "prob").agg(
-        F.max(F.when(covers("_lo"), F.col("_v"))).alias("_x"), F.max(F.when(covers("_hi"), F.col("_v"))).alias("_y"),
-        F.max("_frac").alias("_frac"),
+
+def _magnitude(v: Column) -> Column:
+    """A value's step on a logarithmic scale with sign, in the order of the
+    values: some 10,000 for data over ten powers of two, and no more than 4.3
+    million for all doubles."""
+    steps = F.floor((F.least(F.log2(F.abs(v)), F.lit(1100.0)) + 1075) * PER_OCTAVE).cast("int")
+    return F.when(v == 0, 0).when(v < 0, -steps).otherwise(steps)
+
+
+def _step(v: Column, low: Column, high: Column) -> Column:
+    """A value's step between the ends of its bracket, in the order of the
+    values. Halves keep the span finite; infinite ends have their own steps."""
+    low, high = F.greatest(low, F.lit(-sys.float_info.max)), F.least(high, F.lit(sys.float_info.max))
+    at = (v / 2 - low / 2) / (high / 2 - low / 2) * (STEPS - 1)
+    return F.when(v < low, -1).when(v > high, STEPS).when(low < high, F.floor(at).cast("int")).otherwise(0)
+
+
+def _counted(rows: DataFrame, by: Sequence[str | Column], step: Column) -> DataFrame:
+    """Rows, least, largest and summed value per step: a partial aggregate, so
+    no more than the steps are shuffled, however many rows a group has."""
+    return rows.groupBy(*by, step.alias("_s")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_v").alias("_sum")
     )
-    value = F.when((F.col("_frac") == 0) | (F.col("_x") == F.col("_y")), F.col("_x")).otherwise(
-        (1 - F.col("_frac")) * F.col("_x") + F.col("_frac") * F.col("_y")
+
+
+def _profile(df: DataFrame, by: Sequence[str], columns: Sequence[str], scratch: Scratch | None) -> DataFrame:
+    """The first pass: every column's values counted per group and step of the
+    logarithmic scale, missing ones too."""
+    keys = [F.col(f"`{b}`") for b in by]
+    counts = _counted(_long(df, by, columns, range(len(columns))), [*keys, "_i"], F.when(F.col("_v").isNotNull(), _magnitude(F.col("_v"))))
+    return write_intermediate(counts, "profile", scratch)
+
+
+def select_ranks(
+    df: DataFrame, by: Sequence[str], columns: Sequence[str], profile: DataFrame, probs: Sequence[float], scratch: Scratch | None = None
+) -> DataFrame:
+    """The values at the ranks that ``probs`` need: (by..., _i, _size, _rank,
+    _value), ``_i`` the number of the column.
+
+    Radix selection: the first pass (``_profile``) has counted the values per
+    step of a scale that keeps their order; running counts over the steps of a
+    group show the one that holds a rank. A step whose least and largest value
+    are equal is the answer. Any other is the next pass's bracket, between these
+    two values, and is counted in ``STEPS`` equal steps; most data end there.
+    Every pass parts the two ends, so the result is exact whatever the values.
+    Only counts are shuffled: nothing is sorted, range partitioned or
+    checkpointed."""
+    keys = [F.col(f"`{b}`") for b in by]
+    names = [f"_b{i}" for i in range(len(by))]
+    group = Window.partitionBy(*keys, "_i")
+    earlier = group.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    held = profile.where(F.col("_s").isNotNull()).withColumns(
+        {"_size": F.sum("_n").over(group), "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0))}
     )
-    return ends.select(*[F.col(f"`{b}`") for b in by], "prob", value.alias("quantile"))
+    ends = F.array_distinct(F.array(*[f((F.col("_size") - 1) * F.lit(float(p))).cast("long") for p in probs for f in (F.floor, F.ceil)]))
+    inside = lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_n"))
+    found = held.select(*keys, "_i", "_size", "_min", "_max", "_before", F.explode(F.filter(ends, inside)).alias("_rank"))
+    found = found.select(*keys, "_i", "_size", "_rank", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), (F.col("_rank") - F.col("_before")).alias("_at"))
+    done = None
+    while True:
+        if done is not None:  # a pass over the data: once
+            found = write_intermediate(found, "ranks", scratch)
+        settled = found.where("_lo = _hi").select(*keys, "_i", "_size", "_rank", F.col("_lo").alias("_value"))
+        done = settled if done is None else done.unionByName(settled)
+        left = found.where("_lo < _hi")
+        open_ = [r["_i"] for r in left.select("_i").distinct().collect()]  # numbers of columns
+        if not open_:
+            return done
+        brackets = left.select(*keys, "_i", "_lo", "_hi").distinct().toDF(*names, "_bi", "_lo", "_hi")
+        rows = _long(df, by, columns, sorted(open_)).join(
+            brackets, _same(by, names, F.col("_i") == F.col("_bi"), F.col("_lo") <= F.col("_v"), F.col("_v") <= F.col("_hi"))
+        )
+        counts = _counted(rows, [*keys, "_i", "_lo", "_hi"], _step(F.col("_v"), F.col("_lo"), F.col("_hi")))
+        earlier = Window.partitionBy(*keys, "_i", "_lo", "_hi").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        counts = counts.select(*[F.col(f"`{b}`").alias(n) for b, n in zip(by, names)], F.struct("_i", "_lo", "_hi").alias("_c"), "_n", "_min", "_max", "_before")
+        same = [F.col(c) == F.col(f"_c.{c}") for c in ("_i", "_lo", "_hi")]
+        found = left.join(counts, _same(by, names, *same, inside(F.col("_at")))).select(
+            *keys, "_i", "_size", "_rank", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), (F.col("_at") - F.col("_before")).alias("_at")
+        )
+
+
+def _type7(by: Sequence[str], selected: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(by..., _i, _q): the quantiles, from the few selected values of each group."""
+    keys = [*[F.col(f"`{b}`") for b in by], F.col("_i")]
+    value_at = F.map_from_entries(F.collect_list(F.struct("_rank", "_value")))
+    groups = selected.groupBy(*keys).agg(F.first("_size").alias("_size"), value_at.alias("_at"))
+
+    def quantile(p: float) -> Column:
+        h = (F.col("_size") - 1) * F.lit(float(p))
+        x, y = F.element_at("_at", F.floor(h).cast("long")), F.element_at("_at", F.ceil(h).cast("long"))
+        frac = h - F.floor(h)
+        return F.when((frac == 0) | (x == y), x).otherwise((1 - frac) * x + frac * y)
+
+    return groups.select(*keys, F.array(*[quantile(p) for p in probs]).alias("_q"))
 
 
 def exact_quantiles(
     long: DataFrame, group: str, value: str, probs: Sequence[float] = QUARTILES, scratch: Scratch | None = None
 ) -> DataFrame:
-    """Exact type-7 quantiles of ``value`` per ``group``: (group, prob, quantile)."""
-    return quantiles_of_counts(value_counts(long, [group], value, scratch), [group], probs)
-
-
-def _summary(long: DataFrame, by: Sequence[str], scratch: Scratch | None, approx: bool = False) -> DataFrame:
-    """R ``summary()`` of ``value`` per group of a long table: (by..., length,
-    min, q1, median, mean, q3, max, n_na), everything from the value counts;
-    with ``approx`` the quartiles have a rank error of 1/10000 instead."""
-    counts = value_counts(long, by, "value", scratch)
+    """Exact type-7 quantiles of ``value`` per ``group``: (group, prob,
+    quantile); see ``select_ranks``. ``long`` is read once per pass."""
+    profile = _profile(long, [group], [value], scratch)
+    quantiles = _type7([group], select_ranks(long, [group], [value], profile, probs, scratch), probs)
+    named = F.map_from_arrays(F.array(*[F.lit(float(p)) for p in probs]), F.col("_q"))
+    return quantiles.select(F.col(f"`{group}`"), F.explode(named).alias("prob", "quantile"))
+
+
+def _summary(df: DataFrame, by: Sequence[str], columns: Sequence[str], scratch: Scratch | None, approx: bool = False) -> DataFrame:
+    """R ``summary()`` of each column per group: (by..., column, length, min,
+    q1, median, mean, q3, max, n_na). With ``approx`` the quartiles have a rank
+    error of 1/10000."""
     keys = [F.col(f"`{b}`") for b in by]
-    known = F.when(F.col("_v").isNotNull(), F.col("_n"))
-    stats = counts.groupBy(*keys).agg(
-        F.sum("_n").alias("length"), F.min("_v").alias("min"),
-        F.try_divide(F.sum(F.col("_v") * F.col("_n")), F.sum(known)).alias("mean"), F.max("_v").alias("max"),
-        F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).cast("long").alias("n_na"),
+    profile = _profile(df, by, columns, scratch)
+    known = F.when(F.col("_s").isNotNull(), F.col("_n"))
+    stats = profile.groupBy(*keys, "_i").agg(
+        F.sum("_n").alias("length"), F.min("_min").alias("min"), F.max("_max").alias("max"),
+        F.try_divide(F.sum("_sum"), F.sum(known)).alias("mean"), (F.sum("_n") - F.coalesce(F.sum(known), F.lit(0))).alias("n_na"),
     )
-    quarter = lambda p: F.max(F.when(F.col("prob") == p, F.col("quantile")))
-    names = [f"_q{i}" for i in range(len(by))]
     if approx:
-        rank = F.percentile_approx(F.col("_v"), list(QUARTILES), 10000)
-        quartiles = long.withColumnRenamed("value", "_v").groupBy(*keys).agg(rank.alias("_q"))
-        quartiles = quartiles.select(*keys, *[F.col("_q")[i] for i in range(3)])
+        rank = F.percentile_approx("_v", list(QUARTILES), 10000)
+        quartiles = _long(df, by, columns, range(len(columns))).groupBy(*keys, "_i").agg(rank.alias("_q"))
     else:
-        quartiles = quantiles_of_counts(counts, by).groupBy(*keys).agg(*[quarter(p) for p in QUARTILES])
-    quartiles = quartiles.toDF(*names, "q1", "median", "q3")
-    same = reduce(lambda a, b: a & b, [F.col(f"`{b}`").eqNullSafe(F.col(n)) for b, n in zip(by, names)])
-    return stats.join(quartiles, same, "left").select(
-        *keys, "length", "min", "q1", "median", "mean", "q3", "max", "n_na"
+        quartiles = _type7(by, select_ranks(df, by, columns, profile, QUARTILES, scratch), QUARTILES)
+    names = [f"_b{i}" for i in range(len(by))]
+    quartiles = quartiles.toDF(*names, "_qi", "_q")
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_i") + 1)
+    return stats.join(quartiles, _same(by, names, F.col("_i") == F.col("_qi")), "left").select(
+        *keys, name.alias("column"), "length", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), "mean",
+        F.col("_q")[2].alias("q3"), "max", "n_na",
     )
 
 
+def _one_row_each(df: DataFrame, columns: Sequence[str], stats: DataFrame) -> DataFrame:
+    """A summary row for every column, also of a table without rows."""
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(stats.drop("length"), "column", "left").fillna(0, ["n_na"])
+
+
 def summary_of_summaries(
     summary: DataFrame,
     by: str = "trait_domain",
@@ -145,10 +214,11 @@ def summary_of_summaries(
     ``min, q1, median, mean, q3, max, n_na``. ``approx=True`` uses
     ``percentile_approx`` for the quartiles.
     """
-    kept = summary.where((F.col(n_col) > min_n) & F.col(f"`{by}`").isNotNull())
+    # read once per pass: written, as it is usually an aggregate itself
+    kept = write_intermediate(summary.where((F.col(n_col) > min_n) & F.col(f"`{by}`").isNotNull()), "kept", scratch)
     numeric = [f.name for f in kept.schema.fields if f.name != by and isinstance(f.dataType, T.NumericType)]
     others = [f.name for f in kept.schema.fields if f.name != by and f.name not in numeric]
-    stats = _summary(_long_numeric(kept, [by], numeric), [by, "column"], scratch, approx)
+    stats = _summary(kept, [by], numeric, scratch, approx)
     if others:
         text = kept.select(by, F.explode(F.array(*[F.lit(c) for c in others])).alias("column"))
         text = text.groupBy(by, "column").agg(F.count(F.lit(1)).alias("length"))
@@ -156,31 +226,23 @@ def summary_of_summaries(
     return stats
 
 
-def _one_row_each(df: DataFrame, columns: Sequence[str], stats: DataFrame) -> DataFrame:
-    """A summary row for every column, also of a table without rows."""
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return names.join(stats.drop("length"), "column", "left").fillna(0, ["n_na"])
-
-
 def describe_numeric(
     df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact", scratch: Scratch | None = None
 ) -> DataFrame:
     """``summary()`` of numeric columns: one row per column with
     ``min, q1, median, mean, q3, max, n_na`` (A10, numeric part).
 
-    The columns are unpivoted and counted per value in one pass over the
-    table; everything else comes from these counts, on one distributed path
-    whatever the number of distinct values. ``method="approx"`` uses
-    ``percentile_approx`` for the quartiles.
+    One pass over the table gives all but the quartiles, which take another
+    one for most data (``select_ranks``): give a table that is cheap to read
+    again. ``method="approx"`` uses ``percentile_approx`` for the quartiles.
     """
     if method not in ("exact", "approx"):
         raise ValueError("method must be 'exact' or 'approx'")
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    stats = _summary(_long_numeric(df, [], list(columns)), ["column"], scratch, method == "approx") if columns else None
-    if stats is None:
+    if not columns:
         return df.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
-    return _one_row_each(df, columns, stats)
+    return _one_row_each(df, columns, _summary(df, [], list(columns), scratch, method == "approx"))
 
 
 SUMMARY_SCHEMA = "column string, min double, q1 double, median double, mean double, q3 double, max double, n_na long"

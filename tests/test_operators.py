@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from sylvan.operators import ordering
+from sylvan.operators import ordering, summaries
 from sylvan.operators.columns import relocate, select_any_of
 from sylvan.operators.dedup import keep_first
 from sylvan.operators.filters import all_true, any_true, discard_empty, is_empty_source
@@ -416,3 +416,51 @@ def test_run_position(spark, partitions):
         assert got[i] == seen.get((k, s), 0)
         seen[k, s] = got[i] + 1
     assert ordering.with_run_position(df.where("false"), ["k"], ["i"], num_partitions=partitions).count() == 0
+
+
+def test_rank_selection(spark, monkeypatch):
+    """Values that differ in their last bits only, over all magnitudes, in
+    groups of one row, of equal rows and of a third of all; counts of prefixes
+    are all that is shuffled."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(2)
+    rows = [("near", 1.0 + i * 2.0**-52) for i in range(300)] + [("wide", rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300)) for _ in range(400)]
+    rows += [("one", 3.5), (None, 1.0), (None, 2.0), ("none", None)] + [("same", 7.25)] * 600 + [("ends", math.inf), ("ends", -math.inf), ("ends", 0.0)]
+    rnd.shuffle(rows)
+    plans = []
+    write = summaries.write_intermediate
+
+    def watched(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args)
+
+    monkeypatch.setattr(summaries, "write_intermediate", watched)
+    probs = (0.0, 0.25, 0.5, 0.9, 1.0)
+    found = exact_quantiles(spark.createDataFrame(rows, "g string, v double"), "g", "v", probs)
+    got = {(r["g"], r["prob"]): r["quantile"] for r in found.collect()}
+    for group in ("near", "wide", "one", "same", None):
+        values = np.array([v for g, v in rows if g == group])
+        for p in probs:
+            assert got[group, p] == pytest.approx(np.quantile(values, p), rel=1e-15), (group, p)
+    assert (got["ends", 0.0], got["ends", 0.5], got["ends", 1.0]) == (-math.inf, 0.0, math.inf)
+    assert not any(g == "none" for g, _ in got)
+    assert len(plans) >= 2 and not any("rangepartitioning" in p for p in [*plans, found._jdf.queryExecution().executedPlan().toString()])
+
+
+def test_rank_selection_in_many_passes(spark, monkeypatch):
+    """Coarse steps cost passes, not exactness."""
+    import numpy as np
+
+    rnd = np.random.default_rng(4)
+    values = np.concatenate([rnd.normal(size=300), np.exp(rnd.normal(size=200) * 100), np.repeat(0.5, 200)])
+    rows = [(int(i % 3 > 0), float(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    monkeypatch.setattr(summaries, "STEPS", 40)
+    monkeypatch.setattr(summaries, "PER_OCTAVE", 0.05)
+    got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles(df, "g", "v").collect()}
+    assert len(got) == 6
+    for (g, p), q in got.items():
+        assert q == pytest.approx(np.quantile([v for h, v in rows if h == g], p), rel=1e-15)

@@ -41,6 +41,9 @@ from sylvan.session import Scratch
 #: A gap shorter than this is left as padding: filling it would cost a cut for
 #: a handful of tokens.
 LEAST_GAP = 16
+#: Rows of the plan for each token of the capacity, at most (before equal ranges
+#: are put together).
+PLAN_ROWS = 32
 
 
 class Packs:
@@ -63,6 +66,13 @@ class Packs:
             insort(self.spaces, free)
         self.runs[free].append((count, slots))
 
+    def count(self) -> int:
+        return sum(count for runs in self.runs.values() for count, _ in runs)
+
+    def slots(self) -> int:
+        """Rows that the plan has now."""
+        return sum(len(slots) for runs in self.runs.values() for _, slots in runs)
+
     def take(self, free: int) -> tuple[int, list[tuple]]:
         run = self.runs[free].pop()
         if not self.runs[free]:
@@ -93,11 +103,17 @@ class Packs:
 
 def pack_lengths(counts: dict[int, int], capacity: int) -> list[tuple]:
     """The plan for ``counts`` (tail length: documents): rows of (tail, start,
-    length, first rank, last rank + 1, first sequence, offset)."""
+    length, first rank, last rank + 1, first sequence, offset).
+
+    Its size depends on the capacity alone. Placing one length uses up runs of
+    packs or splits the last one that it needs, so each length adds at most
+    three runs, of at most ``capacity`` slots each. Filling gaps is held to
+    ``PLAN_ROWS`` times the capacity; a plan that would grow beyond it keeps the
+    gaps that are left then as padding."""
     packs = Packs(capacity)
     for tail in sorted(counts, reverse=True):
         packs.place(tail, 0, tail, 0, counts[tail])
-    fill_gaps(packs)
+    fill_gaps(packs, PLAN_ROWS * capacity)
     plan, sequence = [], 0
     for free in packs.spaces:
         for count, slots in packs.runs[free]:
@@ -109,21 +125,26 @@ def pack_lengths(counts: dict[int, int], capacity: int) -> list[tuple]:
     return plan
 
 
-def fill_gaps(packs: Packs) -> None:
+def fill_gaps(packs: Packs, most_slots: int) -> None:
     """Take the emptiest packs apart and cut their pieces into the gaps of the
-    fullest others, while the gaps can hold a whole pack's tokens."""
+    others. A turn takes as many of a run of equal packs as all gaps have room
+    for, the run's own gaps included, so the turns follow the runs, not the
+    packs; it ends when less than a whole pack's room is left, when a turn no
+    longer saves packs, or at ``most_slots`` slots in the plan."""
     capacity = packs.capacity
-    while True:
+    while packs.spaces and packs.spaces[-1] >= LEAST_GAP:
         gaps = sum(free * count for free in packs.spaces if free >= LEAST_GAP for count, _ in packs.runs[free])
-        donor = packs.spaces[-1] if packs.spaces else 0
-        # the other packs must have room for what one emptiest pack holds
-        if donor < LEAST_GAP or gaps - donor < capacity - donor:
+        n, slots, all_packs = gaps // capacity, packs.slots(), packs.count()
+        if n == 0 or slots + capacity > most_slots:
             return
-        count, slots = packs.take(donor)
-        n = max(1, min(count, (gaps - count * donor) // capacity))
-        packs.add(donor, count - n, [(t, s, z, r + n) for t, s, z, r in slots])
-        for tail, start, length, rank in slots:
+        donor = packs.spaces[-1]
+        count, pieces = packs.take(donor)
+        n = min(n, count)
+        packs.add(donor, count - n, [(t, s, z, r + n) for t, s, z, r in pieces])
+        for tail, start, length, rank in pieces:
             _pour(packs, tail, start, length, rank, n)
+        if packs.count() >= all_packs:
+            return
 
 
 def _pour(packs: Packs, tail: int, start: int, length: int, rank: int, count: int) -> None:
@@ -215,7 +236,7 @@ def pack_documents(
         .withColumn("whole", F.col("whole") + F.col("whole_base"))
         .drop("tail_base", "whole_base", "task")
     )
-    # the plan is bounded by the capacity (its rows by cuts of the histogram)
+    # the plan is bounded by the capacity alone (see pack_lengths), some 2 MB
     placed = ranked.join(
         F.broadcast(planned.withColumnRenamed("tail", "of_tail")),
         (F.col("tail") == F.col("of_tail")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")),

@@ -92,3 +92,20 @@ def test_query(spark):
     assert sum(r["length"] for r in rows) == sum(map(len, docs.values()))
     used = len({r["sequence_id"] for r in rows}) * 1024
     assert sum(map(len, docs.values())) / used > 0.98
+
+
+def test_plan_does_not_grow_with_the_documents():
+    rng = np.random.default_rng(1)
+    shape = np.bincount(np.exp(rng.normal(6.2, 1.1, size=200_000)).astype(int) % 1024, minlength=1024)[1:]
+    for peak in (None, 300):  # with and without a length that a third of the documents have
+        sizes = []
+        for docs in (10**6, 10**9, 10**12):
+            share = shape / shape.sum() if peak is None else shape / shape.sum() * 2 / 3 + (np.arange(1, 1024) == peak) / 3
+            counts = {t + 1: int(n) for t, n in enumerate(share * docs) if n >= 1}
+            plan = packing.pack_lengths(counts, 1024)
+            tokens = sum(t * n for t, n in counts.items())
+            sequences = max(first + b - a for _, _, _, a, b, first, _ in plan)
+            assert sum(z * (b - a) for _, _, z, a, b, _, _ in plan) == tokens
+            assert 0 <= 1 - tokens / sequences / 1024 < 0.01
+            sizes.append(len(packing._by_range(plan)))
+        assert max(sizes) < 1.2 * sizes[0] and max(sizes) < packing.PLAN_ROWS * 1024

@@ -5,14 +5,20 @@ The library's own result is reproduced, not approximated. Its split pattern
 never joins what stands before a single space or line feed with what stands
 after it, so where a text has no other white space and no two such characters
 in a row, the stretches between them have the same ids wherever they stand.
-Stretches seen before are looked up; new ones are encoded by the library. Any
-other text goes to the library whole.
+Stretches seen before are looked up. A new one of letters only (with a line feed
+before or a mark behind it) is a match of the pattern by itself: its bytes are
+merged by tiktoken, from the vocabulary's own merges, whose order is checked to
+be that of its ids. Other new stretches are encoded by the library, and so is,
+whole, any other text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 
@@ -27,9 +33,12 @@ RUNS = ("  ", " \n", "\n ", "\n\n")
 
 MARKS = ".,;:!?"
 
-#: Words held by one Python worker; the cache starts afresh beyond it.
-CACHE_WORDS = 400_000
-#: Longer words are not kept, so the cache is bounded in bytes too.
+#: Bytes that the words held by one Python worker take, about: those in use and
+#: those of the generation before, each up to half.
+CACHE_BYTES = 160_000_000
+#: What a word takes beside its characters and ids: two objects and their place.
+WORD_BYTES = 190
+#: Longer words are not kept.
 LONGEST_HELD = 64
 #: Characters whose words are looked up together, and words encoded together.
 AT_ONCE = 2_000_000
@@ -39,18 +48,58 @@ _held: dict[str, WordEncoder] = {}
 
 
 class Held(dict):
-    """Word -> its ids (bytes); a word not seen yet gets an empty value, to be
+    """Word -> its ids (bytes). A word of the generation before comes back when
+    it is met, so the frequent ones are never learned twice; of those not seen
+    yet, words of letters are merged at once, others get an empty value, to be
     filled before the batch is put together."""
 
-    def __init__(self):
+    def __init__(self, piece: Callable[[str], bytes] | None, marks: dict[str, bytes], before: dict | None = None):
+        self.piece, self.marks = piece, marks
+        self.before = before or {}
         self.new: list[str] = []
-
-    def __missing__(self, word: str) -> bytearray:
-        value = self[word] = bytearray()
-        self.new.append(word)
+        self.bytes = 0
+
+    def _letters(self, word: str) -> bytes | None:
+        """The ids of a stretch of letters, a mark or line feed before them."""
+        if word.isalpha():
+            return self.piece(" " + word)
+        if word[:1] in ("\n", "\x01") and word[1:].isalpha():
+            return self.marks[word[0]] + self.piece(word[1:])
+        return None
+
+    def __missing__(self, word: str) -> bytes | bytearray:
+        value = self.before.get(word)
+        if value is None and self.piece is not None:
+            value = self._letters(word)
+            if value is None and word[-1:] in MARKS and word[-2:-1].isalpha() and (word[:-1].isalpha() or word[0] in "\n\x01" and word[1:-1].isalpha()):
+                value = self[word[:-1]] + self.marks[word[-1]]
+        if value is None:
+            value = bytearray()
+            self.new.append(word)
+        self[word] = value
+        self.bytes += WORD_BYTES + len(word) + len(value)
         return value
 
 
+def piece_encoder(library) -> Callable[[str], bytes] | None:
+    """Encodes a single match of the split pattern, by the library's merges;
+    None if their order isn't that of the ids, by which tiktoken merges."""
+    import tiktoken
+
+    model = json.loads(library.to_str())["model"]
+    vocabulary = model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocabulary[a + b] for a, b in merges]
+    # a byte is written as itself where it can be printed, else from U+0100 on
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    letter = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))}
+    if any(x >= y for x, y in zip(made, made[1:])) or not all(c in vocabulary for c in letter):
+        return None
+    ranks = {bytes(map(letter.__getitem__, t)): vocabulary[t] for t in [*letter, *(a + b for a, b in merges)]}
+    merge = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    return lambda piece: array("I", merge(piece.encode())).tobytes()
+
+
 def cut(text: str) -> list[str]:
     """The stretches of a text: a line feed opens one, a space before one is
     left out, and the first one is marked."""
@@ -76,8 +125,8 @@ class WordEncoder:
         # bytes of each id: the vocabulary writes a byte as one character
         tokens = [self.library.id_to_token(i) or "" for i in range(self.library.get_vocab_size())]
         self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        self.marks = {m: self._ids(m).tobytes() for m in MARKS}
-        self.held = Held()
+        self.marks = {m: self._ids(m).tobytes() for m in (*MARKS, "\n")} | {"\x01": b""}
+        self.held = Held(piece_encoder(self.library), self.marks)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -107,19 +156,8 @@ class WordEncoder:
         which it cuts between them, and taken apart by their bytes."""
         held, new = self.held, self.held.new
         held.new = []
-        alone: list[str] = []
-        ended: list[str] = []
-        words: list[str] = []
-        for word in new:
-            if word in ("", "\n") or word[0] == "\x01":
-                alone.append(word)
-            elif word[-1] in MARKS and word[:-1].isalpha():
-                ended.append(word)
-                held[word[:-1]]  # may be new as well
-            else:
-                words.append(word)
-        words += held.new
-        held.new = []
+        alone = [w for w in new if w in ("", "\n") or w[0] == "\x01"]
+        words = [w for w in new if not (w in ("", "\n") or w[0] == "\x01")]
         for word in alone:
             self._fill(word, self._ids(word[1:] if word[:1] == "\x01" else word or " ").tobytes())
         for at in range(0, len(words), WORDS_AT_ONCE):
@@ -131,16 +169,17 @@ class WordEncoder:
             for word, end in zip(some, (4 * ends).tolist()):
                 self._fill(word, raw[last:end])
                 last = end
-        for word in ended:  # letters, then a single mark: two matches of the pattern
-            self._fill(word, held[word[:-1]] + self.marks[word[-1]])
-        for word in [w for w in (*alone, *ended, *words) if len(w) > LONGEST_HELD]:
+        for word in [w for w in new if len(w) > LONGEST_HELD]:
             del held[word]  # the batch still has its value
-        if len(held) > CACHE_WORDS:
-            self.held = Held()
+        if held.bytes > CACHE_BYTES // 2:
+            held.before = {}  # what has not been met in a whole generation goes
+            self.held = Held(held.piece, self.marks, held)
 
     def _fill(self, word: str, ids: bytes) -> None:
         self.held[word] += ids  # for the batch that has met it
         self.held[word] = bytes(ids)
+        self.held.bytes += len(ids)
+        self.held.bytes += len(ids)
 
 
 def encoder(path: str) -> WordEncoder:

@@ -76,6 +76,8 @@ class Held(dict):
         if value is None:
             value = bytearray()
             self.new.append(word)
+        elif len(word) > LONGEST_HELD:
+            return value
         self[word] = value
         self.bytes += WORD_BYTES + len(word) + len(value)
         return value

@@ -135,7 +135,8 @@ def train(sample: pd.DataFrame, seed: int = 11) -> FactorModel | None:
         weight=np.zeros(BUCKETS + DENSE), factors=rng.standard_normal((BUCKETS + DENSE, FACTORS)) * 0.05, bias=0.0
     )
     scorer = Scorer(model)
-    docs = [scorer.inputs(t) for t in texts_of(sample["text"])]
+    docs = [(at.astype(np.int32), x) for at, x in map(scorer.inputs, texts_of(sample["text"]))]
+    scorer.index.clear()
     seen_in = np.bincount(np.concatenate([np.unique(at) for at, _ in docs]), minlength=BUCKETS + DENSE)
     shared = seen_in >= LEAST_DOCS
     shared[BUCKETS:] = True

@@ -7,13 +7,16 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Labelled rows taken of each class, and the longest text among them
 #: (characters; longer documents are scored whole but not trained on).
 SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 20_000
+#: Characters of all sampled texts together: rows beyond it, in the order of
+#: their hash, are left out, so the driver's memory has a bound in bytes.
+SAMPLE_TOTAL = 24_000_000
 
 
 def bucket_of(id_col: str, modulus: int):
@@ -34,11 +37,12 @@ def labelled_sample(
     held_out: int,
     rows: int = SAMPLE_ROWS,
     chars: int = SAMPLE_CHARS,
+    total: int = SAMPLE_TOTAL,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> pd.DataFrame:
-    """At most ``rows`` labelled documents of each class (columns text, y,
-    weight), never those whose remainder is ``held_out``. The ids are chosen by
+    """At most ``rows`` labelled documents of each class and ``total``
+    characters (columns text, y, weight), never those whose remainder is ``held_out``. The ids are chosen by
     hash from the label table alone; ``weight`` undoes the choice: it is the
     number of labelled rows that a row stands for."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & (bucket_of(id_col, modulus) != held_out))
@@ -48,14 +52,16 @@ def labelled_sample(
     chosen = parts[0].unionByName(parts[1])
     # at most 2 * rows ids
     texts = docs.where(F.length(text_col) <= chars).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = (
+    sampled = (
         texts.join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id")
         .groupBy("id")
         .agg(F.min("text").alias("text"), F.max("y").alias("y"))
         .select("text", "y", F.xxhash64("id").alias("h"))
-        .toPandas()
-        .sort_values(["h", "text"], ignore_index=True)
     )
+    # the sample's rows only: their number is bounded
+    so_far = Window.orderBy("h", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sampled = sampled.withColumn("chars", F.sum(F.length("text")).over(so_far)).where(F.col("chars") <= total).drop("chars")
+    found = sampled.toArrow().to_pandas().sort_values(["h", "text"], ignore_index=True)
     counts = found["y"].value_counts()
     found["weight"] = [totals[y] / counts[y] for y in found["y"]]
     return found[["text", "y", "weight"]]

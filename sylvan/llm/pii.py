@@ -184,6 +184,21 @@ def disclosures(found: DataFrame, documents: DataFrame, total: int, scratch: Scr
     return scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
 
 
+def standing_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """(rid, term, disclosure): the disclosing terms of a document's entities
+    that stand in the document itself, each with its worst disclosure. Pairs are
+    made from a document's own entities and words and then looked up, so an
+    entity of many documents and many terms makes no more rows than stand
+    together."""
+    telling = terms.select("entity").distinct()
+    each = found.select("rid", F.explode(F.array_distinct(F.transform("base", entity))).alias("entity")).join(telling, "entity", "left_semi")
+    of_text = each.groupBy("rid").agg(F.collect_list("entity").alias("entities"))
+    words = found.select("rid", terms_of(F.col("text")).alias("words"))
+    pairs = of_text.join(words, "rid").select("rid", F.explode("entities").alias("entity"), "words")
+    pairs = pairs.select("rid", "entity", F.explode("words").alias("term"))
+    return pairs.join(terms, ["entity", "term"]).groupBy("rid", "term").agg(F.max("disclosure").alias("disclosure"))
+
+
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Per row: ``row`` (its columns but for the text), ``source`` (the text as
     it was), ``text`` (empty for null), ``base`` (spans of the four kinds) and
@@ -199,12 +214,8 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     found = marked.where(F.size("base") > 0)
     total = marked.count()
     terms = scratch.save(disclosures(found, marked, total, scratch), "terms")
-    # the terms of the entities of each document, worst disclosure first
-    of_row = (
-        found.select("rid", F.explode(F.array_distinct(F.transform("base", entity))).alias("entity"))
-        .join(terms, "entity").groupBy("rid", "term").agg(F.max("disclosure").alias("disclosure"))
-        .groupBy("rid").agg(F.collect_list(F.struct("term", "disclosure")).alias("terms"))
-    )
+    # no more of them than the document has words
+    of_row = standing_terms(found, terms).groupBy("rid").agg(F.collect_list(F.struct("term", "disclosure")).alias("terms"))
     no_span = F.array().cast(f"array<{SPAN}>")
     joined = found.join(of_row, "rid", "left")
     listed = F.array_join(F.transform(F.array_sort("terms"), lambda t: t["term"]), "|")

@@ -156,3 +156,59 @@ def test_distant_term(spark):
     rows += [(300 + i, f"zebra {common_words(random.Random(1), 60)} q@w.example.org") for i in range(8)]
     got = added_terms(spark, rows)
     assert all(got[i] == (["Falconer", "2217"] if i < 5 else []) for i in got), got
+
+
+def test_terms_of_an_entity_meet_only_the_documents_they_stand_in(spark):
+    """One address in many documents, each with a term of its own and one that
+    all share: rows follow what stands together, not documents times terms."""
+    n = 300
+    span = "struct<kind:string,start:int,stop:int,value:string>"
+    rows = [(i, f"shared word{i} text", [("email", 0, 5, "a@b.co")]) for i in range(n)]
+    found = spark.createDataFrame(rows, f"rid long, text string, base array<{span}>")
+    key = found.select(F.transform("base", pii.entity)[0].alias("e")).first()["e"]
+    terms = spark.createDataFrame([(key, f"word{i}", 0.9) for i in range(n)] + [(key, "shared", 0.5)], "entity string, term string, disclosure double")
+    assert found.select(F.transform("base", pii.entity)[0].alias("e")).schema["e"].dataType.simpleString() == "string"
+    got = sorted(tuple(r) for r in pii.standing_terms(found, terms).collect())
+    assert got == sorted([(i, f"word{i}", 0.9) for i in range(n)] + [(i, "shared", 0.5) for i in range(n)])
+
+
+def test_disclosure_against_brute_force(spark):
+    """Counts, mutual information and the spans added, from a plain reading."""
+    import math
+    import random
+
+    rnd = random.Random(6)
+    people = [(f"p{i}@mail.org", f"nickname{i}", f"town{i}") for i in range(6)]
+    texts = []
+    for d in range(140):
+        mail, nick, town = rnd.choice(people)
+        words = [rnd.choice(["river", "stone", "green", "walk"]) + str(rnd.randrange(3)) for _ in range(12)]
+        if d % 2:
+            words += [mail, nick] + ([town] if rnd.random() < 0.5 else [])
+        elif rnd.random() < 0.3:
+            words += [town]
+        rnd.shuffle(words)
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["row"]["doc_id"]: {(s["start"], s["stop"], s["value"]) for s in r["added"]} for r in pii.find_personal_data(docs).collect()}
+    held = [set(t.lower().split()) for t in texts]
+    total = len(texts)
+    for d, text in enumerate(texts):
+        want = set()
+        mails = [m for m, _, _ in people if m in text.split()]
+        for mail in mails:
+            df_e = sum(mail in h for h in held)
+            for term in {w for w in text.split() if "@" not in w and len(w) >= pii.LEAST_TERM}:
+                both = len({t for t, h in zip(texts, held) if mail in h and term in h})
+                if both < pii.LEAST_DOCUMENTS:
+                    continue
+                df_et = sum(mail in h and term in h for h in held)
+                df_t = sum(term in h for h in held)
+                share = math.log2(total * df_et / (df_t * df_e)) / math.log2(total / df_e)
+                if share >= pii.GENERALISE:
+                    action = "remove" if share >= pii.REMOVE else "generalise"
+                    at = -1
+                    padded = f" {text} "
+                    while (at := padded.find(f" {term} ", at + 1)) >= 0:
+                        want.add((at, at + len(term), action))
+        assert got[d] == want, (d, text)

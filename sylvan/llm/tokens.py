@@ -35,7 +35,7 @@ MARKS = ".,;:!?"
 
 #: Bytes that the words held by one Python worker take, about: those in use and
 #: those of the generation before, each up to half.
-CACHE_BYTES = 160_000_000
+CACHE_BYTES = 64_000_000
 #: What a word takes beside its characters and ids: two objects and their place.
 WORD_BYTES = 190
 #: Longer words are not kept.

@@ -19,7 +19,8 @@ either, if equal). Its surviving pivot is no commoner than that, so it lies in
 the prefix of the other word as well. So the pivots of every word meet the
 prefix bigrams of the others in an equi-join on (side, length, the untouched
 characters with the pivot at its end): three lengths for either pivot, six rows
-a word. What meets is verified by the edit distance. No pair of near words is
+a word. What meets is verified by the edit distance, after a look at the sets of
+letters (64 bits), of which one edit changes two at most. No pair of near words is
 lost, no bucket is capped, and a common bigram makes no hot key, as the key
 holds all characters on the untouched side.
 
@@ -115,12 +116,16 @@ def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
     ranks = scratch.save(ranks, "ranks")
     # at most 8,100 rows: bigrams of the letters that words are made of
     known = grams.join(F.broadcast(ranks), "gram")
-    listed = known.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("df", "gram", "at"))).alias("g"))
+    bit = lambda c: F.shiftleft(F.lit(1).cast("long"), F.ascii(c) % 64)
+    listed = known.groupBy("word").agg(
+        F.sort_array(F.collect_list(F.struct("df", "gram", "at"))).alias("g"), F.bit_or(bit(F.col("gram"))).alias("letters")
+    )
+    listed = listed.withColumn("letters", F.col("letters").bitwiseOR(bit(F.substring("word", -1, 1))))
     last = F.element_at("g", PREFIX_GRAMS)
     inside = lambda x: F.struct(x["df"].alias("df"), x["gram"].alias("gram")) <= F.col("last")
     listed = listed.withColumn("last", F.struct(last["df"].alias("df"), last["gram"].alias("gram")))
     prefix = F.transform(F.filter("g", inside), lambda x: F.struct(x["at"].alias("at"), x["df"].alias("df")))
-    listed = listed.select("word", "last", F.sort_array(prefix).alias("prefix"))
+    listed = listed.select("word", "letters", "last", F.sort_array(prefix).alias("prefix"))
     listed = scratch.save(listed.withColumn("pair", _least_pair(F.col("prefix"))), "grams")
 
     def key(side: str, word: Column, at: Column) -> Column:
@@ -128,18 +133,20 @@ def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
         return F.substring(word, F.lit(1), at + 1) if side == "before" else F.substring(word, at, F.length(word))
 
     word = F.col("word")
-    index = listed.select("word", "last", F.explode("prefix.at").alias("at"))
-    index = index.select("word", "last", length.alias("length"), F.explode(F.array(
+    index = listed.select("word", "letters", "last", F.explode("prefix.at").alias("at"))
+    index = index.select("word", "letters", "last", length.alias("length"), F.explode(F.array(
         F.struct(F.lit("before").alias("side"), key("before", word, F.col("at")).alias("part")),
         F.struct(F.lit("behind").alias("side"), key("behind", word, F.col("at")).alias("part")),
     )).alias("k"))
-    probes = listed.select("word", "last", F.explode(F.array(*[
+    probes = listed.select("word", "letters", "last", F.explode(F.array(*[
         F.struct(F.lit(side).alias("side"), key(side, word, at).alias("part"), (length + d).alias("length"))
         for side, at in (("before", F.col("pair.first")), ("behind", F.col("pair.second"))) for d in (-1, 0, 1)
     ])).alias("k"))
-    x = probes.select(F.col("word").alias("x"), F.col("last").alias("x_last"), "k.side", "k.part", "k.length")
-    y = index.select(F.col("word").alias("y"), F.col("last").alias("y_last"), "k.side", "k.part", "length")
-    met = x.join(y, ["side", "part", "length"]).where((F.col("x") != F.col("y")) & (F.col("x_last") <= F.col("y_last")))
+    x = probes.select(F.col("word").alias("x"), F.col("last").alias("x_last"), F.col("letters").alias("x_letters"), "k.side", "k.part", "k.length")
+    y = index.select(F.col("word").alias("y"), F.col("last").alias("y_last"), F.col("letters").alias("y_letters"), "k.side", "k.part", "length")
+    # one edit brings in or takes away two letters at most
+    alike = F.bit_count(F.col("x_letters").bitwiseXOR(F.col("y_letters"))) <= 2
+    met = x.join(y, ["side", "part", "length"]).where(alike & (F.col("x") != F.col("y")) & (F.col("x_last") <= F.col("y_last")))
     near = met.where(F.levenshtein("x", "y", 1) == 1)
     return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 

@@ -116,7 +116,7 @@ def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
     ranks = scratch.save(ranks, "ranks")
     # at most 8,100 rows: bigrams of the letters that words are made of
     known = grams.join(F.broadcast(ranks), "gram")
-    bit = lambda c: F.shiftleft(F.lit(1).cast("long"), F.ascii(c) % 64)
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)
     listed = known.groupBy("word").agg(
         F.sort_array(F.collect_list(F.struct("df", "gram", "at"))).alias("g"), F.bit_or(bit(F.col("gram"))).alias("letters")
     )

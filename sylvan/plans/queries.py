@@ -335,7 +335,7 @@ def q_snapshot_version_order(spark, sf_dir):
     folder = shared_scratch(spark, "folder.v1")
     region = read_table(spark, sf_dir, "region")
     nation = read_table(spark, sf_dir, "nation")
-    region.limit(1).write.parquet(f"{folder}/x.parquet")
+    region.write.parquet(f"{folder}/x.parquet")
     region.where("r_regionkey = 0").write.parquet(f"{folder}/x_2023-05-01_9.parquet")
     region.where("r_regionkey > 0").write.parquet(f"{folder}/x_2023-05-01_10.parquet")
     nation.selectExpr("n_nationkey as r_regionkey", "n_name as r_name").write.parquet(f"{folder}/undated.parquet")

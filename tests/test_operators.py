@@ -464,3 +464,10 @@ def test_rank_selection_in_many_passes(spark, monkeypatch):
     assert len(got) == 6
     for (g, p), q in got.items():
         assert q == pytest.approx(np.quantile([v for h, v in rows if h == g], p), rel=1e-15)
+
+
+def test_column_names(spark):
+    from sylvan.operators.columns import column_names
+
+    df = spark.range(3).selectExpr("id as b", "id as a", "cast(id as string) as `odd name`")
+    assert list(column_names(df)) == ["b", "a", "odd name"]

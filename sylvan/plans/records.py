@@ -9,22 +9,25 @@ from pyspark.sql import functions as F
 
 from sylvan.functions.numeric import to_number_or_null
 from sylvan.operators.columns import clean_names, select_any_of
-from sylvan.operators.filters import discard_empty_sources
 from sylvan.operators.ordering import assign_chunks, cluster_by_first
 from sylvan.operators.summaries import describe_dates, describe_logical, describe_numeric, describe_strings, null_profile
 from sylvan.session import Scratch
 from sylvan.sources.catalog import RECORD_COLUMNS, RECORD_NEST_ORDER
-from sylvan.sources.snapshots import PART, SNAPSHOT, read_latest, save_parts
+from sylvan.sources.snapshots import PART, has_values, newest, open_versions, save_parts
 
 
 def combine_sources(spark: SparkSession, root: str, names: Sequence[str] | None = None, ordinal: str | None = None) -> DataFrame:
     """Newest snapshot of every source under ``root`` (or of ``names``),
-    sources without any value dropped, unioned by column name, names cleaned.
+    sources without any value left out (the manifest counts the rows with
+    one: no pass over the data), unioned by column name, names cleaned.
     The source name stays in column ``snapshot_name``; ``ordinal`` (a clean
     name) adds the rows' order in the files."""
-    data = read_latest(spark, root, names, ordinal=ordinal)
-    columns = [c for c in data.columns if c not in (SNAPSHOT, ordinal)]
-    return clean_names(discard_empty_sources(data, SNAPSHOT, columns))
+    chosen = newest(spark, root, names)
+    if not chosen:
+        raise FileNotFoundError(f"no snapshots under {root}")
+    kept = [v for v in chosen.values() if has_values(spark, v)]
+    data = open_versions(spark, kept or chosen.values(), ordinal=ordinal)
+    return clean_names(data if kept else data.where(F.lit(False)))
 
 
 def conform_records(df: DataFrame, ordinal: str | None = None) -> DataFrame:

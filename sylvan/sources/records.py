@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,7 +99,8 @@ def ingest_traits(
     column: str = "trait_name",
 ) -> list[str]:
     """Store the requested traits that are not yet under ``root`` (all of
-    them when ``force``), one snapshot per trait, in a single write (C11).
+    them when ``force``), one snapshot per trait, in a single write (C11)
+    balanced by trait: neither the files nor the plan grow with tasks x traits.
 
     ``match="contains"`` is the original presence test (a stored name
     containing the trait name counts as present). Returns the traits that
@@ -115,8 +117,9 @@ def ingest_traits(
         todo = [r["item"] for r in missing_items(requested, present, match=match).collect()]
     if not todo:
         return []
+    numbers = dict(enumerate(sorted(set(todo))))
+    wanted = spark.createDataFrame(pa.table({PART: pa.array(numbers, pa.int32()), "__sylvan_item": pa.array(numbers.values(), pa.string())}))
     records = read_trait_records(source, todo, taxonomy, citation, column)
-    numbers = {k: name for k, name in enumerate(sorted(todo))}
-    of = F.create_map(*[F.lit(x) for k, name in numbers.items() for x in (name, k)])
-    save_parts(records.withColumn(PART, of[F.col(column)]), root, numbers, preset, keep_empty=False)
+    numbered = records.join(wanted, F.col(f"`{column}`") == F.col("__sylvan_item")).drop("__sylvan_item")
+    save_parts(numbered, root, numbers, preset, keep_empty=False, balance=True)
     return sorted(todo)

@@ -5,15 +5,17 @@ Layout:
     <root>/data/<id>/part-*.parquet        the rows of one version
     <root>/manifest/part-*.parquet         one row per version, appended last
 
-A manifest row holds the name, version, path, schema, row count and hash of a
-version, all as plain columns (nothing passes through partition names, which
-would guess types). A version exists once its manifest row does, also without
-rows; a reader opens the paths it has chosen and no others.
-
-A save writes the data once; the row count and an order-independent hash are
-observed during that write. If they and the schema (names and types) equal the
-newest version of the name, the staged data is deleted and nothing is
-published.
+A manifest row holds the name, version, path, schema, row count, hash and the
+number of rows with a value of a version, all as plain columns (nothing passes
+through partition names, which would guess types). A version exists once its
+manifest row does, also without rows; a reader opens the paths it has chosen
+and no others, with one scan for each schema among them.
+
+A save writes the data once. The row count, an order-independent hash and the
+rows with a value are observed during the write of a single name; of a write
+of several names they are one aggregate, keyed by name, over what was written.
+If they and the schema (names and types) equal the newest version of the name,
+the staged data is deleted and nothing is published.
 """
 
 from __future__ import annotations
@@ -21,25 +23,30 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sylvan.functions.names import entry_version, logical_name
+from sylvan.operators.filters import has_data, is_empty_source
 from sylvan.operators.reshape import union_by_name
 from sylvan.session import delete_path
 
 # zstd levels of the named compression presets
 PRESETS = {"fast": 1, "balanced": 3, "high": 9, "archive": 19}
 
-MANIFEST = "name string, version string, path string, columns string, rows long, hash string, written long"
+MANIFEST = "name string, version string, path string, columns string, rows long, hash string, written long, filled long"
 # Reserved column that splits one write into several named tables.
 PART = "__sylvan_part"
 # Column of ``read_latest`` that names the source.
 SNAPSHOT = "snapshot_name"
+# A row's place in the order of the sources: name, writing task, file, row.
+ORDINAL = "struct<source:int,task:bigint,file:string,row:bigint>"
 
 
 @dataclass(frozen=True)
@@ -50,11 +57,20 @@ class Version:
     columns: str
     rows: int
     hash: str
+    filled: int | None = None  # rows with a value; None in manifests of before
+
+    @property
+    def layout(self) -> tuple:
+        return tuple((f["name"], json.dumps(f["type"])) for f in json.loads(self.columns)["fields"])
 
     @property
     def content(self) -> tuple:
-        fields = json.loads(self.columns)["fields"]
-        return [(f["name"], json.dumps(f["type"])) for f in fields], self.rows, self.hash
+        return self.layout, self.rows, self.hash
+
+    @property
+    def place(self) -> str:
+        """The end of the path, the same in every spelling of the root."""
+        return "/".join(self.path.split("/")[-2:])
 
 
 def new_version() -> str:
@@ -84,18 +100,16 @@ def row_hash(schema: T.StructType) -> Column:
     return F.xxhash64(*parts) if parts else F.lit(0).cast("long")
 
 
-def _measures(schema: T.StructType, part: Column | None = None, tag: str = "") -> list[Column]:
-    h = row_hash(schema).cast("decimal(38,0)")
-    one = F.lit(1)
-    if part is not None:
-        h, one = F.when(part, h), F.when(part, one)
+def _measures(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Rows, order-independent hash and rows with a value, of ``columns``."""
+    h = row_hash(df.select(*[F.col(f"`{c}`") for c in columns]).schema).cast("decimal(38,0)")
     total = F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string")
-    return [F.count(one).alias(f"rows{tag}"), total.alias(f"hash{tag}")]
+    return [F.count(F.lit(1)).alias("rows"), total.alias("hash"), F.count_if(has_data(df, columns)).alias("filled")]
 
 
 def fingerprint(df: DataFrame) -> tuple[int, str]:
     """Order-independent (rows, hash sum) of a table, as the manifest has it."""
-    row = df.agg(*_measures(df.schema)).first()
+    row = df.agg(*_measures(df, df.columns)).first()
     return row["rows"], row["hash"]
 
 
@@ -113,7 +127,7 @@ def newest(spark: SparkSession, root: str, names=None) -> dict[str, Version]:
         return {}
     if names is not None:
         manifest = manifest.where(F.col("name").isin([str(n) for n in names]))
-    row = F.struct("name", "version", "path", "columns", "rows", "hash")
+    row = F.struct("name", "version", "path", "columns", "rows", "hash", "filled")
     rows = manifest.groupBy("name").agg(F.max_by(row, F.struct("written", "version")).alias("r")).select("r.*").collect()
     return {r["name"]: Version(**r.asDict()) for r in rows}
 
@@ -125,7 +139,7 @@ def latest_versions(spark: SparkSession, root: str, names=None) -> dict[str, str
 
 def _publish(spark: SparkSession, root: str, versions: list[Version]) -> None:
     written = int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1e6)
-    rows = [(v.name, v.version, v.path, v.columns, v.rows, v.hash, written) for v in versions]
+    rows = [(v.name, v.version, v.path, v.columns, v.rows, v.hash, written, v.filled) for v in versions]
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
 
 
@@ -155,38 +169,54 @@ def save_parts(
     skip_unchanged: bool = True,
     version: str | None = None,
     keep_empty: bool = True,
+    balance: bool = False,
 ) -> dict[str, str]:
     """Write the rows of each number in column ``PART`` as a new version of
     ``names[number]``, all in one job. Returns the versions published: not
     those that equal the newest one, nor, without ``keep_empty``, those
-    without rows."""
+    without rows. ``balance`` shuffles the rows by number first, in partitions
+    of about equal size (a large name in several, many small ones in one), so
+    files do not number tasks times names; without it rows stay in their tasks
+    and in order."""
     spark = df.sparkSession
     staged = f"{root}/data/{uuid.uuid4().hex}"
     plain = T.StructType([f for f in df.schema.fields if f.name != PART])
-    measures = [m for k in names for m in _measures(plain, F.col(PART) == k, str(k))]
-    seen = Observation(f"snapshot-{uuid.uuid4().hex}")
-    _writer(df.observe(seen, *measures), preset).partitionBy(PART).parquet(staged)
-    got = seen.get
+    got = _write_measured(df.hint("rebalance", F.col(PART)) if balance else df, staged, plain, list(names), preset)
     version = version or new_version()
     old = newest(spark, root, names.values()) if skip_unchanged else {}
     fresh, gone = [], []
     for k, name in names.items():
-        path = f"{staged}/{PART}={k}"
-        made = Version(name, version, path, plain.json(), got[f"rows{k}"], got[f"hash{k}"])
+        made = Version(name, version, f"{staged}/{PART}={k}", plain.json(), *got.get(k, (0, "0", 0)))
         same = name in old and old[name].content == made.content
         if same or (made.rows == 0 and not keep_empty):
-            gone.append(path)
+            gone.append(made)
         else:
             fresh.append(made)
     if fresh:
-        for path in gone:
-            delete_path(spark, path)
+        for made in gone:
+            if made.rows:
+                delete_path(spark, made.path)
         _publish(spark, root, fresh)
     else:
         delete_path(spark, staged)
     return {v.name: v.version for v in fresh}
 
 
+def _write_measured(
+    df: DataFrame, staged: str, plain: T.StructType, numbers: list[int], preset: str
+) -> dict[int, tuple[int, str, int]]:
+    """Write ``df`` by ``PART``; (rows, hash, rows with a value) of each number."""
+    columns = plain.names
+    if len(numbers) == 1:  # no key: measured in passing
+        seen = Observation(f"snapshot-{uuid.uuid4().hex}")
+        _writer(df.observe(seen, *_measures(df, columns)), preset).partitionBy(PART).parquet(staged)
+        return {numbers[0]: (seen.get["rows"], seen.get["hash"], seen.get["filled"])}
+    _writer(df, preset).partitionBy(PART).parquet(staged)
+    written = df.sparkSession.read.schema(T.StructType([*plain.fields, T.StructField(PART, T.IntegerType())])).parquet(staged)
+    found = written.groupBy(PART).agg(*_measures(written, columns)).collect()  # one row a name
+    return {r[PART]: (r["rows"], r["hash"], r["filled"]) for r in found}
+
+
 def open_version(spark: SparkSession, found: Version) -> DataFrame:
     """The rows of one version; a version without rows is an empty table."""
     schema = T.StructType.fromJson(json.loads(found.columns))
@@ -199,28 +229,60 @@ def read_latest(spark: SparkSession, root: str, names=None, name_col: str = SNAP
     """All newest snapshots under ``root`` as one table, with the logical name
     in ``name_col`` (S6). Only the chosen versions are opened; they are unioned
     by column name with the type check of ``union_by_name``. ``ordinal`` adds a
-    total order: (place of the name, file, split, row in the split)."""
+    total order: (place of the name, writing task, file, row in the file)."""
     chosen = newest(spark, root, names)
     if not chosen:
         raise FileNotFoundError(f"no snapshots under {root}")
-    frames = []
-    for place, name in enumerate(sorted(chosen)):
-        frame = open_version(spark, chosen[name])
-        taken = {name_col, ordinal} & set(frame.columns)
+    return open_versions(spark, chosen.values(), name_col, ordinal)
+
+
+def has_values(spark: SparkSession, found: Version) -> bool:
+    """Whether a version holds any value, from the manifest (a manifest row of
+    before it was counted: by looking for a first row that has one)."""
+    return not is_empty_source(open_version(spark, found)) if found.filled is None else found.filled > 0
+
+
+def open_versions(spark: SparkSession, versions: Iterable[Version], name_col: str = SNAPSHOT, ordinal: str | None = None) -> DataFrame:
+    """Versions of different names as one table, in the order of the names:
+    one scan for each schema, a row's name found by joining its file's folder
+    with the chosen versions (a local table whose size Spark knows)."""
+    groups: dict[tuple, list[tuple[int, Version]]] = {}
+    for place, found in enumerate(sorted(versions, key=lambda v: v.name)):
+        taken = {name_col, ordinal} & {column for column, _ in found.layout}
         if taken:
-            raise ValueError(f"snapshot {name!r} has a column {sorted(taken)[0]!r}; give another name")
-        extra = [F.lit(name).alias(name_col)]
-        if ordinal is not None:
-            empty = chosen[name].rows == 0
-            order = F.struct(
-                F.lit(place).alias("source"),
-                (F.lit("") if empty else F.col("_metadata.file_path")).alias("file"),
-                (F.lit(0).cast("long") if empty else F.col("_metadata.file_block_start")).alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            )
-            extra.append(order.alias(ordinal))
-        frames.append(frame.select(*extra, *[F.col(f"`{c}`") for c in frame.columns]))
-    return union_by_name(frames)
+            raise ValueError(f"snapshot {found.name!r} has a column {sorted(taken)[0]!r}; give another name")
+        groups.setdefault(found.layout, []).append((place, found))
+    return union_by_name([_open_group(spark, group, name_col, ordinal) for group in groups.values()])
+
+
+def _open_group(spark: SparkSession, group: list[tuple[int, Version]], name_col: str, ordinal: str | None) -> DataFrame:
+    """Versions of one schema, by one scan of their folders."""
+    schema = T.StructType.fromJson(json.loads(group[0][1].columns))
+    columns = [F.col(f"`{c}`") for c in schema.names]
+    opened = [(place, v) for place, v in group if v.rows]
+    if not opened:
+        extra = [F.lit(None).cast("string").alias(name_col)] + ([F.lit(None).cast(ORDINAL).alias(ordinal)] if ordinal else [])
+        return spark.createDataFrame([], schema).select(*extra, *columns)
+    files = spark.read.schema(schema).parquet(*[v.path for _, v in opened])
+    file = files.metadataColumn("_metadata")
+    folder = F.substring_index(F.substring_index(file["file_path"], "/", -3), "/", 2)
+    at = F.struct(
+        F.regexp_extract(file["file_name"], r"^part-(\d+)", 1).try_cast("long").alias("task"),
+        file["file_path"].alias("file"),
+        file["row_index"].alias("row"),
+    )
+    rows = files.select(folder.alias("__sylvan_folder"), *([at.alias("__sylvan_at")] if ordinal else []), *columns)
+    keys = pa.table({
+        "__sylvan_in": pa.array([v.place for _, v in opened], pa.string()),
+        "__sylvan_name": pa.array([v.name for _, v in opened], pa.string()),
+        "__sylvan_source": pa.array([place for place, _ in opened], pa.int32()),
+    })
+    named = rows.join(spark.createDataFrame(keys), F.col("__sylvan_folder") == F.col("__sylvan_in"))
+    extra = [F.col("__sylvan_name").alias(name_col)]
+    if ordinal:
+        order = F.struct(F.col("__sylvan_source").alias("source"), *[F.col("__sylvan_at")[c].alias(c) for c in ("task", "file", "row")])
+        extra.append(order.alias(ordinal))
+    return named.select(*extra, *columns)
 
 
 def read_latest_files(spark: SparkSession, folder: str, names=None, name_col: str = SNAPSHOT) -> DataFrame:

@@ -248,3 +248,64 @@ def test_record_chunks_keep_file_order(spark):
     # b first, then a, then NULL, then c
     want = [[("b", "9"), ("b", None)], [("b", "9"), ("a", "10")], [("a", "9"), ("a", "9")], [(None, "1"), ("c", "2")]]
     assert {k: sorted(v, key=str) for k, v in got.items()} == {f"data_{k}": sorted(v, key=str) for k, v in enumerate(want)}
+
+
+def test_many_names_one_scan_per_schema(spark, capsys):
+    """1,000 names of two schemas: two scans, joins that Spark broadcasts by
+    itself, and far fewer files than tasks x names."""
+    import os
+
+    from sylvan.sources.snapshots import PART, save_parts
+
+    root = tempfile.mkdtemp(prefix="sylvan-many-")
+    rows = spark.range(0, 4000, 1, 8)
+    part = (F.col("id") % 500).cast("int").alias(PART)
+    assert len(save_parts(rows.select("id", part), root, {k: f"a {k}" for k in range(500)}, balance=True)) == 500
+    assert len(save_parts(rows.select(F.col("id").cast("string").alias("text"), part), root, {k: f"b {k}" for k in range(500)}, balance=True)) == 500
+    files = sum(f.endswith(".parquet") for _, _, fs in os.walk(os.path.join(root, "data")) for f in fs)
+    assert files <= 1100  # 8 tasks x 1,000 names were 8,000
+    table = read_latest(spark, root, ordinal="ord")
+    table.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan parquet") == 2 and "SortMergeJoin" not in plan
+    got = table.collect()
+    assert len(got) == 8000 and len({tuple(r["ord"]) for r in got}) == 8000
+    assert {(r["snapshot_name"], r["id"], r["text"]) for r in got} == {
+        row for i in range(4000) for row in ((f"a {i % 500}", i, None), (f"b {i % 500}", None, str(i)))
+    }
+    # the places follow the names
+    names = sorted({r["snapshot_name"] for r in got})
+    assert all(names[r["ord"].source] == r["snapshot_name"] for r in got)
+
+
+def test_empty_sources_from_the_manifest(spark):
+    """Sources without a value are left out by the counts of the manifest; a
+    manifest of before (no count) is answered from the data."""
+    from sylvan.sources.snapshots import has_values, newest
+
+    root = tempfile.mkdtemp(prefix="sylvan-filled-")
+    save_snapshot(spark.createDataFrame([(1.0, None), (None, None)], "a double, b string"), root, "some")
+    save_snapshot(spark.createDataFrame([(float("nan"), None), (None, None)], "a double, b string"), root, "nothing")
+    save_snapshot(spark.createDataFrame([], "a double, c int"), root, "no rows")
+    found = newest(spark, root)
+    assert {n: (v.rows, v.filled) for n, v in found.items()} == {"some": (2, 1), "nothing": (2, 0), "no rows": (0, 0)}
+    assert combine_sources(spark, root).columns == ["snapshot_name", "a", "b"]
+    assert combine_sources(spark, root).count() == 2
+    assert combine_sources(spark, root, ["nothing", "no rows"]).count() == 0
+    old = {n: v.__class__(v.name, v.version, v.path, v.columns, v.rows, v.hash) for n, v in found.items()}
+    assert [has_values(spark, old[n]) for n in ("some", "nothing", "no rows")] == [True, False, False]
+
+
+def test_measures_of_one_and_of_many_names_agree(spark):
+    """A table saved alone and as one of several has the same manifest content."""
+    from sylvan.sources.snapshots import PART, newest, save_parts
+
+    root = tempfile.mkdtemp(prefix="sylvan-measures-")
+    table = spark.sql(
+        "select id, cast(id as double) / 3 as d, if(id % 2 = 0, null, map('k', id)) as m, array(struct(id as x)) as s, "
+        "timestamp_seconds(id) as t, cast(id as decimal(20, 3)) as n from range(50)"
+    )
+    save_snapshot(table, root, "alone")
+    save_parts(table.withColumn(PART, F.lit(0)), root, {0: "one of two", 1: "the other"})
+    found = newest(spark, root)
+    assert found["alone"].content == found["one of two"].content and found["the other"].rows == 0

@@ -14,11 +14,14 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sylvan.session import checkpoint_dir
+from sylvan.session import Scratch, checkpoint_dir
+
+#: Consecutive row numbers that ``cut_chunks`` counts as one block: 2 to this power.
+BLOCK_BITS = 16
 
 
 def _cols(order: Sequence[str | Column]) -> list[Column]:
@@ -42,14 +45,6 @@ def first_group(df: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(first), F.col(f"`{key}`") == F.col("_k"), "left_semi")  # one row
 
 
-def cluster_by_first(df: DataFrame, key: str, ordinal: str, into: str) -> DataFrame:
-    """Add ``into``: the smallest ``ordinal`` of the row's ``key``. Ordering by
-    (``into``, ``ordinal``) puts the groups in order of first appearance and
-    keeps the order inside each."""
-    first = df.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.min(F.col(f"`{ordinal}`")).alias(into))
-    return df.join(first, F.col(f"`{key}`").eqNullSafe(F.col("_key"))).drop("_key")
-
-
 def _range_sorted_checkpoint(
     df: DataFrame, order: Sequence[str | Column], num_partitions: int | None
 ) -> tuple[DataFrame, int]:
@@ -211,3 +206,95 @@ def assign_chunks(
         )
         return positioned.withColumn(chunk, F.explode(hits))
     raise ValueError("mode must be 'lossless' or 'truncating'")
+
+
+def with_running_total(df: DataFrame, order: Sequence[str | Column], weight: str, into: str) -> tuple[DataFrame, int]:
+    """Add the sum of ``weight`` over the rows before each row under ``order``
+    (a total order); also returns the sum over all rows."""
+    ranged, partitions = _range_sorted_checkpoint(df, order, None)
+    offsets, total = _partition_offsets(ranged, partitions, F.col(f"`{weight}`"))
+    numbered = ranged.withColumn("__pid", F.spark_partition_id())
+    earlier = Window.partitionBy("__pid").orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__pid") + 1)
+    inside = F.coalesce(F.sum(F.col(f"`{weight}`")).over(earlier), F.lit(0))
+    return numbered.withColumn(into, offset + inside).drop("__pid"), total
+
+
+def _block(df: DataFrame, ordinal: str) -> Column:
+    """Ordinals of one block of consecutive row numbers, in the ordinals' order:
+    the last integer of the ordinal without its low bits (an ordinal without
+    one is a block of its own)."""
+    dtype, c = df.schema[ordinal].dataType, F.col(f"`{ordinal}`")
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    shift = lambda x: F.shiftright(x.cast("long"), BLOCK_BITS)
+    if isinstance(dtype, whole):
+        return shift(c)
+    if isinstance(dtype, T.StructType) and dtype.fields and isinstance(dtype.fields[-1].dataType, whole):
+        last = dtype.names[-1]
+        return F.struct(*[c[n].alias(n) for n in dtype.names[:-1]], shift(c[last]).alias(last))
+    return c
+
+
+def _literal(value, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StructType) and value is not None:
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+    return F.lit(value).cast(dtype)
+
+
+def cut_chunks(
+    df: DataFrame, key: str, ordinal: str, n_chunks: int, mode: str, chunk: str, first: str, scratch: Scratch
+) -> tuple[DataFrame, int]:
+    """Split the rows into ``n_chunks`` consecutive chunks (modes as in
+    ``assign_chunks``), groups of ``key`` in order of first appearance, rows in
+    the order of ``ordinal`` inside each. Adds ``chunk`` and ``first`` (the
+    group's smallest ordinal) and returns the row count as well.
+
+    No row gets a position and no row is moved. Rows are counted by key and
+    block of 65,536 row numbers of a file (one pass over key and ordinal); prefix
+    sums of those counts show which block holds the first row of a chunk, and
+    only those blocks (at most two a chunk) are read again for it. A row's chunk
+    is then a comparison of its (first, ordinal) with these few rows.
+
+    ``ordinal`` is unique (rows that share one stay together) and is an integer
+    or a struct that ends in one; ordinals of other types are right too, but
+    counted one by one. A NULL key is a group, a NULL ordinal the smallest.
+    """
+    k, o = F.col(f"`{key}`"), F.col(f"`{ordinal}`")
+    narrow = df.select(k.alias("_key"), _block(df, ordinal).alias("_block"), o.alias("_at"))
+    counted = narrow.groupBy("_key", "_block").agg(F.min("_at").alias("_low"), F.count(F.lit(1)).alias("_n"))
+    blocks = scratch.save(counted, "blocks")
+    firsts = scratch.save(blocks.groupBy(F.col("_key").alias("_of")).agg(F.min("_low").alias(first)), "firsts")
+    ordered = blocks.join(firsts, F.col("_key").eqNullSafe(F.col("_of"))).select(first, "_key", "_block", "_n")
+    placed, total = with_running_total(ordered, [first, "_block"], "_n", "_before")
+    if mode == "lossless":
+        q, r = divmod(total, n_chunks)
+        bounds = [(i * q + min(i, r) + 1, None) for i in range(1, n_chunks)]
+    elif mode == "truncating":
+        bounds = chunk_bounds(total, n_chunks)
+    else:
+        raise ValueError("mode must be 'lossless' or 'truncating'")
+    wanted = sorted({p for pair in bounds for p in pair if p and p <= total})
+    cuts = _rows_at(narrow, placed, wanted, first, scratch)
+    at = F.struct(F.col(first).alias("first"), o.alias("at"))
+    types = {"first": firsts.schema[first].dataType, "at": df.schema[ordinal].dataType}
+    cut = {p: F.struct(*[_literal(v, types[name]).alias(name) for name, v in zip(types, row)]) for p, row in cuts.items()}
+    rows = df.join(firsts, k.eqNullSafe(F.col("_of"))).drop("_of")
+    if mode == "lossless":
+        value = sum((F.when(at >= cut[p], 1).otherwise(0) for p, _ in bounds if p in cut), F.lit(0))
+    else:
+        inside = [F.when((at >= cut[s]) & (at <= cut[e]), i) for i, (s, e) in enumerate(bounds) if s in cut and e in cut]
+        value = F.explode(F.array_compact(F.array(*inside, F.lit(None).cast("int"))))
+    return rows.withColumn(chunk, value.cast("int") if mode == "lossless" else value), total
+
+
+def _rows_at(narrow: DataFrame, placed: DataFrame, positions: list[int], first: str, scratch: Scratch) -> dict[int, tuple]:
+    """(first, ordinal) of the rows at the given positions, one row each."""
+    if not positions:
+        return {}
+    here = F.filter(F.array(*[F.lit(p).cast("long") for p in positions]), lambda p: (p > F.col("_before")) & (p <= F.col("_before") + F.col("_n")))
+    hit = placed.select(first, F.col("_key").alias("_hk"), F.col("_block").alias("_hb"), "_before", F.explode(here).alias("_p"))
+    hit = scratch.save(hit, "hit")  # a row for each position
+    same = F.col("_key").eqNullSafe(F.col("_hk")) & F.col("_block").eqNullSafe(F.col("_hb"))
+    inside = F.row_number().over(Window.partitionBy("_p").orderBy("_at"))
+    rows = narrow.join(hit, same).withColumn("_i", inside).where(F.col("_i") == F.col("_p") - F.col("_before"))
+    return {r["_p"]: (r[first], r["_at"]) for r in rows.select("_p", first, "_at").collect()}

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from sylvan.functions.numeric import to_number_or_null
 from sylvan.operators.columns import clean_names, select_any_of
-from sylvan.operators.ordering import assign_chunks, cluster_by_first
+from sylvan.operators.ordering import assign_chunks, cut_chunks
 from sylvan.operators.summaries import describe_dates, describe_logical, describe_numeric, describe_strings, null_profile
 from sylvan.session import Scratch
 from sylvan.sources.catalog import RECORD_COLUMNS, RECORD_NEST_ORDER
 from sylvan.sources.snapshots import PART, has_values, newest, open_versions, save_parts
 
+#: Rows that ``write_record_chunks`` gives a task.
+FILE_ROWS = 1 << 22
+
 
 def combine_sources(spark: SparkSession, root: str, names: Sequence[str] | None = None, ordinal: str | None = None) -> DataFrame:
     """Newest snapshot of every source under ``root`` (or of ``names``),
@@ -79,9 +82,17 @@ def write_chunks(
 
 
 def write_record_chunks(
-    df: DataFrame, root: str, name: str, ordinal: str, key: str = "trait_name", n_chunks: int = 4, mode: str = "lossless"
+    df: DataFrame, root: str, name: str, ordinal: str, key: str = "trait_name", n_chunks: int = 4, mode: str = "lossless",
+    preset: str = "archive", file_rows: int = FILE_ROWS,
 ) -> dict[str, str]:
     """The original's chunks: traits in order of first appearance, rows in file
-    order inside each; the ordinal is not written."""
-    clustered = cluster_by_first(df, key, ordinal, "__sylvan_first")
-    return write_chunks(clustered, root, name, ["__sylvan_first", ordinal], n_chunks, mode, drop=["__sylvan_first", ordinal])
+    order inside each; the ordinal is not written. Chunks come from counts of
+    (trait, file) blocks (``cut_chunks``); the rows are moved once, to be written
+    in order, in tasks of about ``file_rows`` rows whatever the session's
+    number of shuffle partitions."""
+    first = "__sylvan_first"
+    with Scratch(df.sparkSession, "chunks") as scratch:
+        rows, total = cut_chunks(df, key, ordinal, n_chunks, mode, PART, first, scratch)
+        order = [F.col(c) for c in (PART, first, f"`{ordinal}`")]
+        ranged = rows.repartitionByRange(max(n_chunks, -(-total // file_rows)), *order).sortWithinPartitions(*order)
+        return save_parts(ranged.drop(first, ordinal), root, {k: f"{name}_{k}" for k in range(n_chunks)}, preset)

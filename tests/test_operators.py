@@ -471,3 +471,37 @@ def test_column_names(spark):
 
     df = spark.range(3).selectExpr("id as b", "id as a", "cast(id as string) as `odd name`")
     assert list(column_names(df)) == ["b", "a", "odd name"]
+
+
+@pytest.mark.parametrize("mode", ["lossless", "truncating"])
+@pytest.mark.parametrize("total", [0, 1, 3, 10, 37, 1003])
+def test_cut_chunks_match_positions(spark, monkeypatch, capsys, total, mode):
+    """Chunks from block counts against positions by the whole order: groups of
+    unlike size, a NULL group, blocks of four rows, ordinals of both forms."""
+    import random
+
+    from sylvan.operators import ordering
+    from sylvan.session import Scratch
+
+    monkeypatch.setattr(ordering, "BLOCK_BITS", 2)
+    rnd = random.Random(total)
+    rows = [(rnd.choice(["a", "a", "a", "b", None, f"r{i % 7}"]), i) for i in range(total)]
+    rnd.shuffle(rows)
+    first = {}
+    for key, i in sorted(rows, key=lambda r: r[1]):
+        first.setdefault(key, i)
+    ordered = sorted(rows, key=lambda r: (first[r[0]], r[1]))
+    if mode == "lossless":
+        q, r = divmod(total, 4)
+        want = sorted((i, c) for c in range(4) for _, i in ordered[c * q + min(c, r) : (c + 1) * q + min(c + 1, r)])
+    else:
+        want = sorted((ordered[p - 1][1], c) for c, (s, e) in enumerate(chunk_bounds(total, 4)) for p in range(s, e + 1))
+    plain = spark.createDataFrame(rows, "k string, o int")
+    nested = plain.withColumn("o", F.struct((F.col("o") / 100).cast("int").alias("f"), (F.col("o") % 100).cast("long").alias("r")))
+    for df, back in ((plain, F.col("o")), (nested, F.col("o.f") * 100 + F.col("o.r"))):
+        with Scratch(spark, "cuts") as scratch:
+            cut, n = ordering.cut_chunks(df, "k", "o", 4, mode, "c", "first", scratch)
+            cut.explain()
+            assert n == total and sorted((r[0], r[1]) for r in cut.select(back, "c").collect()) == want
+    plan = capsys.readouterr().out
+    assert "rangepartitioning" not in plan and "SinglePartition" not in plan

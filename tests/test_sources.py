@@ -309,3 +309,26 @@ def test_measures_of_one_and_of_many_names_agree(spark):
     save_parts(table.withColumn(PART, F.lit(0)), root, {0: "one of two", 1: "the other"})
     found = newest(spark, root)
     assert found["alone"].content == found["one of two"].content and found["the other"].rows == 0
+
+
+def test_record_chunks_are_written_in_order(spark):
+    """Rows of a chunk in order, over several tasks, whatever the session's
+    number of shuffle partitions."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    from sylvan.plans.records import write_record_chunks
+    from sylvan.sources.snapshots import newest
+
+    out = tempfile.mkdtemp(prefix="sylvan-chunks-")
+    rows = spark.range(0, 1000, 1, 5).select(F.concat(F.lit("t"), F.col("id") % 3).alias("trait_name"), F.col("id").alias("v"), F.col("id").alias("ord"))
+    write_record_chunks(rows, out, "data", "ord", file_rows=100)
+    want = sorted(((f"t{i % 3}", i) for i in range(1000)), key=lambda r: (r[0], r[1]))
+    got = []
+    for name, version in sorted(newest(spark, out).items()):
+        files = sorted(f for f in os.listdir(version.path) if f.endswith(".parquet"))
+        assert len(files) > 1
+        for f in files:
+            got += [(r["trait_name"], r["v"]) for r in pq.ParquetFile(os.path.join(version.path, f)).read().to_pylist()]
+    assert got == want

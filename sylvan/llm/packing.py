@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sylvan.llm.common import small_batches, texts_of
-from sylvan.llm.tokens import encoder
+from sylvan.llm.tokens import CACHE_BYTES, encoder
 from sylvan.session import Scratch
 
 #: A gap shorter than this is left as padding: filling it would cost a cut for
@@ -168,7 +168,7 @@ def _pour(packs: Packs, tail: int, start: int, length: int, rank: int, count: in
             todo.append((start, length, rank + n, count - n))
 
 
-def _tokenised(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int, capacity: int) -> DataFrame:
+def _tokenised(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int, capacity: int, word_cache: int) -> DataFrame:
     """Per document: key, ids (little-endian unsigned 32-bit, end id
     included), n, and its ranks in the task (``task``)."""
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -178,7 +178,7 @@ def _tokenised(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: i
         seen = [0] * capacity
         whole = 0
         for batch in batches:
-            ids = [x + end for x in encoder(path).encode(texts_of(batch["text"]))]
+            ids = [x + end for x in encoder(path, word_cache).encode(texts_of(batch["text"]))]
             rows = []
             for x in ids:
                 n = len(x) // 4
@@ -204,15 +204,17 @@ def pack_documents(
     end_id: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",
+    word_cache: int = CACHE_BYTES,
 ) -> DataFrame:
     """One row per piece: the document's id, ``start`` (its ids before the
     piece), ``length``, ``ids`` (the piece's ids as little-endian unsigned
     32-bit integers), ``doc_tokens``, ``sequence_id`` (from 0, gapless) and
-    ``offset`` (in the sequence, gapless from 0)."""
+    ``offset`` (in the sequence, gapless from 0). ``word_cache``: bytes of
+    words that a Python worker holds while it tokenises."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "packing")
-    tokens = scratch.save(_tokenised(docs, id_col, text_col, vocabulary, end_id, capacity), "tokens")
+    tokens = scratch.save(_tokenised(docs, id_col, text_col, vocabulary, end_id, capacity, word_cache), "tokens")
 
     # documents per (task, tail) and full sequences per task, summed up over the tasks
     own = tokens.groupBy("task", "tail").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.floor(F.col("n") / capacity)).alias("whole"))

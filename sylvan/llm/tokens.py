@@ -118,7 +118,8 @@ def cut(text: str) -> list[str]:
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids (as bytes)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+        self.cache_bytes = cache_bytes
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -173,7 +174,7 @@ class WordEncoder:
                 last = end
         for word in [w for w in new if len(w) > LONGEST_HELD]:
             del held[word]  # the batch still has its value
-        if held.bytes > CACHE_BYTES // 2:
+        if held.bytes > self.cache_bytes // 2:
             held.before = {}  # what has not been met in a whole generation goes
             self.held = Held(held.piece, self.marks, held)
 
@@ -181,11 +182,12 @@ class WordEncoder:
         self.held[word] += ids  # for the batch that has met it
         self.held[word] = bytes(ids)
         self.held.bytes += len(ids)
-        self.held.bytes += len(ids)
 
 
-def encoder(path: str) -> WordEncoder:
-    """The encoder of a vocabulary file, one per Python worker."""
+def encoder(path: str, cache_bytes: int = CACHE_BYTES) -> WordEncoder:
+    """The encoder of a vocabulary file, one per Python worker, with room for
+    ``cache_bytes`` of words from now on."""
     if path not in _held:
         _held[path] = WordEncoder(path)
+    _held[path].cache_bytes = cache_bytes
     return _held[path]

@@ -23,6 +23,10 @@ from sylvan.llm.common import read, small_batches
 from sylvan.llm.queries import SIMHASH_DISTANCE, SIMHASH_SHINGLE
 from sylvan.session import Scratch
 
+#: Bytes of words that a worker of the packing stage holds: its process also
+#: keeps what the stages before it loaded.
+WORD_CACHE = 64_000_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go."""
@@ -50,7 +54,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences: one row per piece of a document."""
-    pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0)
+    pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0, word_cache=WORD_CACHE)
     return pieces.withColumn("ids_crc32", packing.ids_crc32(F.col("ids")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sylvan.operators.ordering import with_global_position
+from sylvan.operators.ordering import with_run_position
 
 # Column that numbers the pieces of a nested group; ``unnest`` drops it.
 PIECE = "__sylvan_piece"
@@ -79,18 +79,16 @@ def nest_by(
 
     Pieces are consecutive runs in ``order`` (without it, in the order of the
     columns), numbered by a reserved column that ``unnest`` drops; a group of
-    at most ``max_items`` rows is one row. Rows get global positions under
-    (keys, order) without any single-partition step, and a piece is a run of
-    positions inside the group, so no task ever holds more than that.
+    at most ``max_items`` rows is one row. Rows are sorted by range of
+    (keys, order), what a partition's edge cuts of a run of one key is carried
+    over it, and a piece is a run of positions inside the group, so no task ever
+    holds more than that and no group is joined with its own rows.
     """
     fields = [F.col(f"`{c}`") for c in columns]
     by = [F.col(f"`{k}`") for k in keys]
     sort = [order] if order else list(columns)
-    positioned, _ = with_global_position(df, [*keys, *sort], position="_pos")
-    # runs of one key are consecutive: its first position numbers its pieces
-    first = positioned.groupBy(*by).agg(F.min("_pos").alias("_first")).toDF(*[f"_k{i}" for i in range(len(keys))], "_first")
-    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    cut = positioned.join(first, same).withColumn(PIECE, F.floor((F.col("_pos") - F.col("_first")) / max_items).cast("long"))
+    positioned = with_run_position(df, keys, sort, position="_pos")
+    cut = positioned.withColumn(PIECE, F.floor(F.col("_pos") / max_items).cast("long"))
     items = F.sort_array(F.collect_list(F.struct(F.col("_pos").alias("_o"), F.struct(*fields).alias("_v"))))
     return cut.groupBy(*by, F.col(PIECE)).agg(F.transform(items, lambda x: x["_v"]).alias(into))
 

@@ -505,3 +505,20 @@ def test_cut_chunks_match_positions(spark, monkeypatch, capsys, total, mode):
             assert n == total and sorted((r[0], r[1]) for r in cut.select(back, "c").collect()) == want
     plan = capsys.readouterr().out
     assert "rangepartitioning" not in plan and "SinglePartition" not in plan
+
+
+def test_nest_moves_rows_by_one_range_and_one_key_exchange(spark, capsys):
+    """No join: a hot key, a NULL key and small ones, pieces in order, numbered
+    from 0 in each group."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 > 0, F.concat(F.lit("k"), F.col("id") % 50)).alias("g"), F.col("id").alias("o"))
+    nested = nest_by(df, ["g"], ["o"], "items", order="o", max_items=128)
+    nested.explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    groups = {}
+    for r in sorted(nested.collect(), key=lambda r: r[PIECE]):
+        groups.setdefault(r.g, []).append([i.o for i in r["items"]])
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.g, []).append(r.o)
+    assert groups == {g: [sorted(v)[i : i + 128] for i in range(0, len(v), 128)] for g, v in want.items()}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings every job of the library relies on. AQE re-plans joins at run
@@ -90,6 +92,47 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class Entry(NamedTuple):
+    """A file or folder in a listing; ``modified`` in seconds of the epoch."""
+
+    name: str
+    path: str
+    is_folder: bool
+    modified: float
+
+
+def list_folder(spark: SparkSession, path: str) -> list[Entry]:
+    """What a folder holds, in whatever file system Spark finds it in (a folder
+    that is not there holds nothing)."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    found = system.listStatus(target)
+    return [Entry(e.getPath().getName(), e.getPath().toString(), e.isDirectory(), e.getModificationTime() / 1000) for e in found]
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file unless ``target`` exists (then False). One step on HDFS;
+    a local file system looks first and renames then, and an object store is
+    only as good as its connector's rename."""
+    jvm = spark._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    conf = spark._jsc.hadoopConfiguration()
+    system = new.getFileSystem(conf)
+    system.mkdirs(new.getParent())
+    options = spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+    qualified = new.makeQualified(system.getUri(), system.getWorkingDirectory())
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), conf).rename(old, new, options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def write_intermediate(df, name: str, scratch: Scratch | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: cuts lineage, survives executor loss, and the re-read table has no

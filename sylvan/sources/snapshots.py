@@ -3,7 +3,8 @@
 Layout:
 
     <root>/data/<id>/part-*.parquet        the rows of one version
-    <root>/manifest/part-*.parquet         one row per version, appended last
+    <root>/manifest/part-<n>.parquet       commit n: one row per version, published last
+    <root>/staged/<id>/                    a manifest file that is being written
 
 A manifest row holds the name, version, path, schema, row count, hash and the
 number of rows with a value of a version, all as plain columns (nothing passes
@@ -16,12 +17,22 @@ rows with a value are observed during the write of a single name; of a write
 of several names they are one aggregate, keyed by name, over what was written.
 If they and the schema (names and types) equal the newest version of the name,
 the staged data is deleted and nothing is published.
+
+Commits are numbered. A saver looks at the manifest, writes its manifest file
+aside and renames it to the next number, which fails where that number is taken
+(``session.rename_new``): another saver came first, so the manifest is looked
+at again. Versions are therefore ordered by commit, not by the clocks of the
+machines that wrote them, and of two savers of one name the second always
+compares with what the first published; ``expect`` makes it stop instead. A
+crash before the rename leaves only files that no manifest row names; module
+``upkeep`` removes them and merges manifest files.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import re
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -35,20 +46,32 @@ from pyspark.sql import types as T
 from sylvan.functions.names import entry_version, logical_name
 from sylvan.operators.filters import has_data, is_empty_source
 from sylvan.operators.reshape import union_by_name
-from sylvan.session import delete_path
+from sylvan.session import delete_path, list_folder, rename_new
 
 # zstd levels of the named compression presets
 PRESETS = {"fast": 1, "balanced": 3, "high": 9, "archive": 19}
 
-MANIFEST = "name string, version string, path string, columns string, rows long, hash string, written long, filled long"
+MANIFEST = "name string, version string, path string, columns string, rows long, hash string, written long, filled long, commit long"
+# Name of the manifest file of a commit, also of one that merges all up to it.
+COMMIT_FILE = re.compile(r"part-(\d{20})(-merged-[0-9a-f]+)?\.parquet")
+# Times that a saver looks again because another one took its number.
+PUBLISH_ATTEMPTS = 100
 # Reserved column that splits one write into several named tables.
 PART = "__sylvan_part"
+# Order of the versions of a name (manifests of before have no commit).
+NEWEST = ["commit", "written", "version"]
+# Value of ``expect`` for a saver that takes any newest version.
+ANY = "*"
 # Column of ``read_latest`` that names the source.
 SNAPSHOT = "snapshot_name"
 # A row's place in the order of the sources: name, writing task, file, row.
 ORDINAL = "struct<source:int,task:bigint,file:string,row:bigint>"
 
 
+class SnapshotConflict(RuntimeError):
+    """The newest version of a name is not the one that the saver expected."""
+
+
 @dataclass(frozen=True)
 class Version:
     name: str
@@ -128,7 +151,7 @@ def newest(spark: SparkSession, root: str, names=None) -> dict[str, Version]:
     if names is not None:
         manifest = manifest.where(F.col("name").isin([str(n) for n in names]))
     row = F.struct("name", "version", "path", "columns", "rows", "hash", "filled")
-    rows = manifest.groupBy("name").agg(F.max_by(row, F.struct("written", "version")).alias("r")).select("r.*").collect()
+    rows = manifest.groupBy("name").agg(F.max_by(row, F.struct(*NEWEST)).alias("r")).select("r.*").collect()
     return {r["name"]: Version(**r.asDict()) for r in rows}
 
 
@@ -137,10 +160,29 @@ def latest_versions(spark: SparkSession, root: str, names=None) -> dict[str, str
     return {n: v.version for n, v in newest(spark, root, names).items()}
 
 
-def _publish(spark: SparkSession, root: str, versions: list[Version]) -> None:
+def last_commit(spark: SparkSession, root: str) -> int:
+    """Number of the last commit, from the names of the manifest files (0: none)."""
+    found = [COMMIT_FILE.fullmatch(e.name) for e in list_folder(spark, f"{root}/manifest")]
+    return max((int(m[1]) for m in found if m), default=0)
+
+
+def place_manifest(spark: SparkSession, root: str, rows: DataFrame, file: str) -> bool:
+    """Write manifest rows aside as one file and rename it to ``file`` in the
+    manifest; False, and nothing placed, where that file is there already."""
+    staged = f"{root}/staged/{uuid.uuid4().hex}"
+    rows.coalesce(1).write.parquet(staged)
+    try:
+        part = next(e.path for e in list_folder(spark, staged) if e.name.endswith(".parquet"))
+        return rename_new(spark, part, f"{root}/manifest/{file}")
+    finally:
+        delete_path(spark, staged)
+
+
+def _publish(spark: SparkSession, root: str, versions: list[Version], commit: int) -> bool:
+    """Publish versions as commit number ``commit``; False where it is taken."""
     written = int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1e6)
-    rows = [(v.name, v.version, v.path, v.columns, v.rows, v.hash, written, v.filled) for v in versions]
-    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    rows = [(v.name, v.version, v.path, v.columns, v.rows, v.hash, written, v.filled, commit) for v in versions]
+    return place_manifest(spark, root, spark.createDataFrame(rows, MANIFEST), f"part-{commit:020d}.parquet")
 
 
 def _writer(df: DataFrame, preset: str):
@@ -154,10 +196,15 @@ def save_snapshot(
     preset: str = "high",
     skip_unchanged: bool = True,
     version: str | None = None,
+    expect: str | None = ANY,
 ) -> str | None:
     """Write ``df`` as a new version of ``name``; return the version, or None
-    when skipped because the newest snapshot holds the same rows."""
-    saved = save_parts(df.withColumn(PART, F.lit(0)), root, {0: name}, preset, skip_unchanged, version)
+    when skipped because the newest snapshot holds the same rows. ``expect``:
+    the version that ``df`` was made from (None: there is none); if the newest
+    is another one when ``df`` is published, ``SnapshotConflict`` is raised and
+    nothing is."""
+    expected = None if expect == ANY else {name: expect}
+    saved = save_parts(df.withColumn(PART, F.lit(0)), root, {0: name}, preset, skip_unchanged, version, expect=expected)
     return saved.get(name)
 
 
@@ -170,35 +217,43 @@ def save_parts(
     version: str | None = None,
     keep_empty: bool = True,
     balance: bool = False,
+    expect: dict[str, str | None] | None = None,
 ) -> dict[str, str]:
     """Write the rows of each number in column ``PART`` as a new version of
-    ``names[number]``, all in one job. Returns the versions published: not
-    those that equal the newest one, nor, without ``keep_empty``, those
-    without rows. ``balance`` shuffles the rows by number first, in partitions
-    of about equal size (a large name in several, many small ones in one), so
-    files do not number tasks times names; without it rows stay in their tasks
-    and in order."""
+    ``names[number]``, all in one job and one commit. Returns the versions
+    published: not those that equal the newest one, nor, without
+    ``keep_empty``, those without rows. ``balance`` shuffles the rows by number
+    first, in partitions of about equal size (a large name in several, many
+    small ones in one), so files do not number tasks times names; without it
+    rows stay in their tasks and in order. ``expect``: as in ``save_snapshot``,
+    by name; a conflict of one name publishes none."""
     spark = df.sparkSession
     staged = f"{root}/data/{uuid.uuid4().hex}"
     plain = T.StructType([f for f in df.schema.fields if f.name != PART])
     got = _write_measured(df.hint("rebalance", F.col(PART)) if balance else df, staged, plain, list(names), preset)
     version = version or new_version()
-    old = newest(spark, root, names.values()) if skip_unchanged else {}
-    fresh, gone = [], []
-    for k, name in names.items():
-        made = Version(name, version, f"{staged}/{PART}={k}", plain.json(), *got.get(k, (0, "0", 0)))
-        same = name in old and old[name].content == made.content
-        if same or (made.rows == 0 and not keep_empty):
-            gone.append(made)
-        else:
-            fresh.append(made)
-    if fresh:
-        for made in gone:
-            if made.rows:
-                delete_path(spark, made.path)
-        _publish(spark, root, fresh)
+    made = [Version(name, version, f"{staged}/{PART}={k}", plain.json(), *got.get(k, (0, "0", 0))) for k, name in names.items()]
+    for _ in range(PUBLISH_ATTEMPTS):
+        commit = last_commit(spark, root) + 1  # before the look at the versions
+        old = newest(spark, root, names.values()) if skip_unchanged or expect else {}
+        for name, wanted in (expect or {}).items():
+            found = old[name].version if name in old else None
+            if found != wanted:
+                delete_path(spark, staged)
+                raise SnapshotConflict(f"newest version of {name!r} is {found}, not {wanted}")
+        same = {v.name for v in made if skip_unchanged and v.name in old and old[v.name].content == v.content}
+        fresh = [v for v in made if v.name not in same and (v.rows or keep_empty)]
+        if not fresh:
+            delete_path(spark, staged)
+            return {}
+        if _publish(spark, root, fresh, commit):
+            break
     else:
-        delete_path(spark, staged)
+        raise SnapshotConflict(f"no commit of {root} was free in {PUBLISH_ATTEMPTS} attempts")
+    published = {v.path for v in fresh}
+    for v in made:
+        if v.rows and v.path not in published:
+            delete_path(spark, v.path)
     return {v.name: v.version for v in fresh}
 
 

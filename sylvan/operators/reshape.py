@@ -15,6 +15,8 @@ from sylvan.operators.ordering import with_run_position
 PIECE = "__sylvan_piece"
 # Rows of a piece, unless the caller says otherwise.
 PIECE_ROWS = 10_000
+# Columns that looked-up names may become; further names stay in a map.
+MAX_COLUMNS = 2_000
 
 
 def pivot_to_map(
@@ -34,19 +36,29 @@ def pivot_to_map(
     return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.map_from_entries(entries).alias(into))
 
 
-def pivot_names(df: DataFrame, names_from: str, order: Sequence[str | Column]) -> list[str]:
-    """Distinct names in order of first appearance under ``order``: one row
-    per name, which the columns form needs before its schema can exist."""
+def pivot_names(df: DataFrame, names_from: str, order: Sequence[str | Column], limit: int | None = None) -> list[str]:
+    """Distinct names in order of first appearance under ``order``, the first
+    ``limit`` of them (each task sends its first ``limit``): the columns form
+    needs them before its schema can exist."""
     first = F.min(F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])).alias("_first")
     names = df.groupBy(F.col(f"`{names_from}`").alias("_name")).agg(first).orderBy("_first")
-    return [r["_name"] for r in names.select("_name").collect()]
+    return [r["_name"] for r in (names if limit is None else names.limit(limit)).select("_name").collect()]
 
 
-def map_to_columns(df: DataFrame, map_col: str, names: Iterable[str]) -> DataFrame:
-    """Project map entries to columns named after the keys."""
-    m = F.col(f"`{map_col}`")
-    rest = [F.col(f"`{c}`") for c in df.columns if c != map_col]
-    return df.select(*rest, *[m.getItem(n).alias(n) for n in names])
+def map_to_columns(df: DataFrame, map_col: str, names: Iterable[str], rest: str | None = None) -> DataFrame:
+    """Project map entries to columns named after the keys; with ``rest``, the
+    entries of all other keys stay in a map column of that name."""
+    m, names = F.col(f"`{map_col}`"), list(names)
+    others = [F.map_filter(m, lambda k, _: ~k.isin(names)).alias(rest)] if rest else []
+    kept = [F.col(f"`{c}`") for c in df.columns if c != map_col]
+    return df.select(*kept, *[m.getItem(n).alias(n) for n in names], *others)
+
+
+def map_to_first_columns(df: DataFrame, map_col: str, found: Sequence[str], max_columns: int, rest: str) -> DataFrame:
+    """``map_to_columns`` for names looked up with ``limit=max_columns + 1``:
+    where there are more than ``max_columns``, a map column ``rest`` holds the
+    entries of the others, so no value is lost and the width is bounded."""
+    return map_to_columns(df, map_col, found[:max_columns], rest if len(found) > max_columns else None)
 
 
 def pivot_wider(
@@ -57,13 +69,18 @@ def pivot_wider(
     names: Sequence[str] | None = None,
     order: Sequence[str | Column] | None = None,
     into: str = "covariates",
+    max_columns: int = MAX_COLUMNS,
+    rest: str = "others",
 ) -> DataFrame:
-    """Long -> wide: one map column, or, with ``names``, one column per name;
-    ``order`` looks the names up first (``pivot_names``)."""
+    """Long -> wide: one map column, or, with ``names``, one column per name.
+    ``order`` looks the names up first (``pivot_names``): the first
+    ``max_columns`` become columns, any others a map column ``rest``."""
     wide = pivot_to_map(df, keys, names_from, values_from, into)
-    if names is None and order is not None:
-        names = pivot_names(df, names_from, order)
-    return wide if names is None else map_to_columns(wide, into, names)
+    if names is not None:
+        return map_to_columns(wide, into, names)
+    if order is None:
+        return wide
+    return map_to_first_columns(wide, into, pivot_names(df, names_from, order, max_columns + 1), max_columns, rest)
 
 
 def nest_by(

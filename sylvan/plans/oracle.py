@@ -236,6 +236,15 @@ SQL: dict[str, str] = {
     "trait_merged_join": BASE + "select * from M",
     "trait_table": BASE + "select * from TT",
     "trait_table_long": BASE + "select * from TL",
+    "trait_table_overflow": BASE + """
+select * from TL where covariate not in (
+  select DataName from (
+    select DataName, row_number() over (order by trait, ord) as place from (
+      select trait, coalesce(DataName, 'NA') as DataName, OrigValueStr, ord,
+             row_number() over (partition by trait, Dataset, AccSpeciesName, ObservationID, coalesce(DataName, 'NA')
+                                order by ord) as rn
+      from XK where TraitID is null and coalesce(DataID not in (""" + EXCL + """), true) and not kept) where rn = 1 and OrigValueStr is not null)
+  group by DataName order by min(place) limit 2)""",
     "species_summary": BASE + "select * from SS",
     "group_summary_part": "select p_brand, p_type, count(*) as n, avg(v) as mean, stddev_samp(v) as sd, min(v) as min, "
     "max(v) as max from (select *, case when isnan(p_retailprice) then null else p_retailprice end as v from part) "
@@ -278,6 +287,11 @@ SQL: dict[str, str] = {
     "chunks_lossless": _chunks("lossless"),
     "chunks_truncating": _chunks("truncating"),
     "head_ordered": "select * from events order by event_id limit 1000",
+    "snapshot_upkeep": """
+select 'customer' as snapshot_name, count(*) as rows_read, cast(sum(cast(round(c_acctbal * 100) as bigint)) as bigint) as cents,
+       cast(null as bigint) as orderkey, 1 as versions, count(*) as rows from customer where c_acctbal > 0
+union all
+select 'orders', count(*), null, max(o_orderkey), 1, count(*) from orders""",
     "latest_snapshot": "select 'customer' as snapshot_name, c.*, n.n_name from customer c join nation n on c.c_nationkey = n.n_nationkey",
     "available_traits": "select distinct event_type as trait_name from events",
     "ingest_selected": "select event_type as trait_name, cast(event_id as varchar) as id, "

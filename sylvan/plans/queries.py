@@ -34,6 +34,7 @@ from sylvan.session import Scratch, shared_scratch
 from sylvan.sources.export import land_export, read_landed, read_trait_export
 from sylvan.sources.records import ingest_traits, trait_names
 from sylvan.sources.snapshots import read_latest, read_latest_files, save_snapshot
+from sylvan.sources.upkeep import compact_manifest, remove_unnamed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +114,13 @@ def q_trait_table_long(spark, sf_dir):
     return wide.select(*fixed, F.explode("covariates").alias("covariate", "covariate_value"))
 
 
+def q_trait_table_overflow(spark, sf_dir):
+    """The columns form with room for two covariates: what the others hold,
+    one row per measurement and covariate."""
+    wide = tr.trait_table(eav_view(spark, sf_dir), as_="columns", max_columns=2)
+    return wide.select(*wide.columns[:8], F.explode("other_covariates").alias("covariate", "covariate_value"))
+
+
 def q_species_summary(spark, sf_dir):
     # the summary needs the rows, not covariate columns: the map form has the
     # same rows and skips the column-name pass
@@ -281,6 +289,25 @@ def q_latest_snapshot(spark, sf_dir):
     return read_latest(spark, root, ["customer"])
 
 
+def q_snapshot_upkeep(spark, sf_dir):
+    """Three versions of customer and one of orders; the manifest merged with
+    the newest version of each, the rest removed; what is left, counted by
+    name beside the versions that the manifest and the folders hold."""
+    root = shared_scratch(spark, "snapshots")
+    customer = read_table(spark, sf_dir, "customer")
+    for table in (customer, customer.drop("c_acctbal"), customer.where("c_acctbal > 0")):
+        save_snapshot(table, root, "customer")
+    save_snapshot(read_table(spark, sf_dir, "orders"), root, "orders")
+    compact_manifest(spark, root, keep=1, grace=0)
+    remove_unnamed(spark, root, older_than=0)
+    versions = spark.read.parquet(f"{root}/manifest").groupBy("name").agg(F.count("*").alias("versions"), F.max("rows").alias("rows"))
+    # every data file there still is, by its name's folder
+    kept = read_latest(spark, root).groupBy("snapshot_name").agg(
+        F.count("*").alias("rows_read"), F.sum(F.round(F.col("c_acctbal") * 100).cast("long")).alias("cents"), F.max("o_orderkey").alias("orderkey")
+    )
+    return kept.join(versions, F.col("snapshot_name") == F.col("name")).drop("name")
+
+
 def _saved_in_turn(spark, name, *tables):
     root = shared_scratch(spark, "snapshots")
     for table in tables:
@@ -467,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "trait_merged_join": q_trait_merged_join,
     "trait_table": q_trait_table,
     "trait_table_long": q_trait_table_long,
+    "trait_table_overflow": q_trait_table_overflow,
     "species_summary": q_species_summary,
     "group_summary_part": q_group_summary_part,
     "domain_summary": q_domain_summary,
@@ -490,6 +518,7 @@ QUERIES: dict[str, Query] = {
     "chunks_truncating": q_chunks_truncating,
     "head_ordered": q_head_ordered,
     "latest_snapshot": q_latest_snapshot,
+    "snapshot_upkeep": q_snapshot_upkeep,
     "available_traits": q_available_traits,
     "ingest_selected": q_ingest_selected,
     "trait_table_from_export": q_trait_table_from_export,

@@ -32,7 +32,7 @@ from sylvan.operators.dedup import keep_first
 from sylvan.operators.filters import exclude_values
 from sylvan.operators.joins import lookup_join, null_safe_join
 from sylvan.operators.keysets import KeySet
-from sylvan.operators.reshape import map_to_columns, pivot_names, pivot_to_map
+from sylvan.operators.reshape import MAX_COLUMNS, map_to_columns, map_to_first_columns, pivot_names, pivot_to_map
 from sylvan.session import Scratch, write_intermediate
 from sylvan.sources.catalog import EXCLUDED_DATA_IDS, INVERTED_DOMAINS, trait_catalog
 
@@ -54,6 +54,7 @@ class ExportColumns:
 
 COLS = ExportColumns()
 TRAIT = "trait"  # the fan-out key added by C1
+OTHER_COVARIATES = "other_covariates"  # the map of those that became no column
 
 
 def _c(name: str):
@@ -191,9 +192,9 @@ def extract_covariates(
     )
 
 
-def covariate_names(covariates: DataFrame, cols: ExportColumns = COLS, into: str = TRAIT) -> list[str]:
+def covariate_names(covariates: DataFrame, cols: ExportColumns = COLS, into: str = TRAIT, limit: int | None = None) -> list[str]:
     """Pivot column order: by first trait (ascending), then file order."""
-    return pivot_names(covariates, cols.data_name, [into, cols.order])
+    return pivot_names(covariates, cols.data_name, [into, cols.order], limit)
 
 
 def covariates_wide(
@@ -202,15 +203,19 @@ def covariates_wide(
     names: Sequence[str] | None = None,
     cols: ExportColumns = COLS,
     into: str = TRAIT,
+    max_columns: int = MAX_COLUMNS,
 ) -> DataFrame:
     """One row per (trait, dataset, species, observation); covariates as
-    a ``covariates`` map (``as_="map"``, the scalable form) or as columns."""
+    a ``covariates`` map (``as_="map"``, the scalable form) or as columns. Of
+    names that are looked up, those after the first ``max_columns`` stay in a
+    map column ``other_covariates``; the driver sees no more than that."""
     wide = pivot_to_map(covariates, [into, cols.dataset, cols.species, cols.obs], cols.data_name, cols.value)
     if as_ == "map":
         return wide
-    if names is None:
-        names = covariate_names(covariates, cols, into)
-    return map_to_columns(wide, "covariates", names)
+    if names is not None:
+        return map_to_columns(wide, "covariates", names)
+    found = covariate_names(covariates, cols, into, max_columns + 1)
+    return map_to_first_columns(wide, "covariates", found, max_columns, OTHER_COVARIATES)
 
 
 def merge_values_covariates(
@@ -231,6 +236,7 @@ def combine_values_covariates(
     names: Sequence[str] | None = None,
     cols: ExportColumns = COLS,
     into: str = TRAIT,
+    max_columns: int = MAX_COLUMNS,
 ) -> DataFrame:
     """C6 + C7 fused: pivot the covariates and join them to the values in one
     aggregate over the union of both, grouped by (trait, dataset, species,
@@ -262,9 +268,10 @@ def combine_values_covariates(
     )
     if as_ == "map":
         return wide
-    if names is None:
-        names = covariate_names(covariates, cols, into)
-    return map_to_columns(wide, "covariates", names)
+    if names is not None:
+        return map_to_columns(wide, "covariates", names)
+    found = covariate_names(covariates, cols, into, max_columns + 1)
+    return map_to_first_columns(wide, "covariates", found, max_columns, OTHER_COVARIATES)
 
 
 def standardise_traits(
@@ -363,9 +370,14 @@ def trait_table(
     keep_scope: str = "global",
     invert: dict[str, str] | None = None,
     scratch: Scratch | None = None,
+    max_columns: int = MAX_COLUMNS,
 ) -> DataFrame:
     """The whole chain C1..C8 on a long export (the flagship query).
 
+    ``as_="map"`` needs no names and is the form for large exports. The columns
+    form looks the names up; the first ``max_columns`` become columns, any
+    others stay in a map column ``other_covariates``.
+
     ``keep_scope="global"`` is the original's rule (an item kept for any
     trait is a value item for all); ``"per_trait"`` keeps it per trait, which
     makes the choice of rows depend on the trait, so it runs on the fan-out."""
@@ -376,8 +388,7 @@ def trait_table(
         covariates = extract_covariates(exploded, pairs, exclude, cols)
         if as_ == "columns" and names is None:
             covariates = write_intermediate(covariates, "covariates", scratch)
-            names = covariate_names(covariates, cols)
-        merged = combine_values_covariates(values, covariates, how, as_, names, cols)
+        merged = combine_values_covariates(values, covariates, how, as_, names, cols, max_columns=max_columns)
         return standardise_traits(merged, catalog, invert, cols=cols)
     if keep_scope != "global":
         raise ValueError("keep_scope must be 'global' or 'per_trait'")
@@ -387,7 +398,7 @@ def trait_table(
         # the schema needs the names first: write the groups, read them twice
         grouped = write_intermediate(grouped, "measurements", scratch)
         each = grouped.select(TRAIT, F.explode("_covariates").alias("c")).select(TRAIT, F.col("c.k").alias("k"), F.col("c.o").alias("o"))
-        names = pivot_names(each, "k", [TRAIT, "o"])
+        found = pivot_names(each, "k", [TRAIT, "o"], max_columns + 1)
     has_value, has_cov = F.col("_value.v").isNotNull(), F.size("_covariates") > 0
     wanted = {"inner": has_value & has_cov, "left": has_value, "right": has_cov, "full": has_value | has_cov}[how]
     entries = F.map_from_entries(F.transform("_covariates", lambda c: F.struct(c["k"], c["v"])))
@@ -396,6 +407,8 @@ def trait_table(
         F.when(has_value, F.col("_value.v")).alias(cols.value), F.when(has_value, F.col("_value.u")).alias(cols.unit),
         entries.alias("covariates"),
     )
-    if as_ == "columns":
+    if as_ == "columns" and names is None:
+        merged = map_to_first_columns(merged, "covariates", found, max_columns, OTHER_COVARIATES)
+    elif as_ == "columns":
         merged = map_to_columns(merged, "covariates", names)
     return standardise_traits(merged, catalog, invert, cols=cols)

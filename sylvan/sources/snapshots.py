@@ -38,7 +38,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,16 +135,15 @@ def fingerprint(df: DataFrame) -> tuple[int, str]:
     return row["rows"], row["hash"]
 
 
-def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
-    except AnalysisException:  # no version was ever published here
+def manifest_rows(spark: SparkSession, root: str) -> DataFrame | None:
+    if not list_folder(spark, f"{root}/manifest"):  # no version was ever published here
         return None
+    return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
 def newest(spark: SparkSession, root: str, names=None) -> dict[str, Version]:
     """Newest version of each logical name (one row per name)."""
-    manifest = _manifest(spark, root)
+    manifest = manifest_rows(spark, root)
     if manifest is None:
         return {}
     if names is not None:

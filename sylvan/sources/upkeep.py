@@ -15,22 +15,16 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylvan.session import delete_path, list_folder
-from sylvan.sources.snapshots import COMMIT_FILE, MANIFEST, NEWEST, PART, place_manifest
+from sylvan.sources.snapshots import COMMIT_FILE, MANIFEST, NEWEST, PART, manifest_rows, place_manifest
 
 GRACE = 3600.0
 OLDER_THAN = 7 * 86400.0
 
 
-def _rows(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Rows of manifest files, each version once."""
-    return spark.read.schema(MANIFEST).parquet(*files).distinct()
-
-
 def compact_manifest(spark: SparkSession, root: str, keep: int | None = None, grace: float = GRACE) -> int:
     """Merge the manifest files into one; with ``keep``, only the newest
     ``keep`` versions of each name stay. Returns the files removed.
@@ -40,11 +34,9 @@ def compact_manifest(spark: SparkSession, root: str, keep: int | None = None, gr
     if keep is not None and keep < 1:
         raise ValueError("keep must be 1 or more")
     found = [e for e in list_folder(spark, f"{root}/manifest") if e.name.endswith(".parquet")]
-    if len(found) < 2 and keep is None:
-        return 0
-    rows = _rows(spark, [e.path for e in found]) if found else None
-    if rows is None:
+    if not found or (len(found) == 1 and keep is None):
         return 0
+    rows = spark.read.schema(MANIFEST).parquet(*[e.path for e in found]).distinct()  # each version once
     if keep is not None:
         place = F.row_number().over(Window.partitionBy("name").orderBy(*[F.desc(c) for c in NEWEST]))
         rows = rows.withColumn("_place", place).where(F.col("_place") <= keep).drop("_place")
@@ -71,12 +63,11 @@ def unnamed_folders(spark: SparkSession, root: str, older_than: float = OLDER_TH
     bare = {s.path for s in saves} - {p[2] for p in parts}
     if parts:
         listed = spark.createDataFrame(parts, "save string, part string, save_path string, path string")
-        try:
-            manifest = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
-            place = F.substring_index("path", "/", -2)
-            named = manifest.select(F.substring_index(place, "/", 1).alias("save"), F.substring_index(place, "/", -1).alias("part"))
-        except AnalysisException:  # nothing was ever published
-            named = spark.createDataFrame([], "save string, part string")
+        place = F.substring_index("path", "/", -2)
+        manifest = manifest_rows(spark, root)
+        if manifest is None:  # nothing was ever published
+            manifest = spark.createDataFrame([], MANIFEST)
+        named = manifest.select(F.substring_index(place, "/", 1).alias("save"), F.substring_index(place, "/", -1).alias("part"))
         counted = listed.join(named.distinct().withColumn("named", F.lit(1)), ["save", "part"], "left")
         folders = counted.groupBy("save_path").agg(
             F.count("named").alias("named"), F.collect_list(F.when(F.col("named").isNull(), F.col("path"))).alias("gone")

@@ -522,3 +522,35 @@ def test_nest_moves_rows_by_one_range_and_one_key_exchange(spark, capsys):
     for r in df.collect():
         want.setdefault(r.g, []).append(r.o)
     assert groups == {g: [sorted(v)[i : i + 128] for i in range(0, len(v), 128)] for g, v in want.items()}
+
+
+def test_pivot_width_is_bounded(spark, monkeypatch):
+    """100,000 names: the driver sees ``max_columns + 1`` of them, and no value
+    is lost."""
+    from sylvan.operators import reshape
+
+    rows = spark.range(100_000).select(
+        (F.col("id") % 50).alias("key"), F.concat(F.lit("n"), F.col("id")).alias("name"), F.col("id").cast("string").alias("v"), "id"
+    )
+    seen = []
+    look = reshape.pivot_names
+    monkeypatch.setattr(reshape, "pivot_names", lambda *a: seen.append(look(*a)) or seen[-1])
+    wide = reshape.pivot_wider(rows, ["key"], "name", "v", order=["id"], max_columns=30)
+    assert seen == [[f"n{i}" for i in range(31)]]
+    assert wide.columns == ["key", *[f"n{i}" for i in range(30)], "others"]
+    got = {r["key"]: r.asDict() for r in wide.collect()}
+    for key, row in got.items():
+        assert {n: v for n, v in row.items() if n.startswith("n") and v is not None} == ({f"n{key}": str(key)} if key < 30 else {})
+        assert row["others"] == {f"n{i}": str(i) for i in range(100_000) if i % 50 == key and i >= 30}
+
+
+def test_pivot_with_room_for_all_names_has_no_map(spark):
+    from sylvan.operators.reshape import pivot_wider
+
+    rows = spark.createDataFrame([(1, "a", "x", 1), (1, "b", None, 2), (2, None, "z", 3)], "key int, n string, v string, ord int")
+    rows = rows.fillna({"n": "NA"})
+    assert pivot_wider(rows, ["key"], "n", "v", order=["ord"], max_columns=3).columns == ["key", "a", "b", "NA"]
+    two = pivot_wider(rows, ["key"], "n", "v", order=["ord"], max_columns=2)
+    assert sorted(map(tuple, two.collect())) == [(1, "x", None, {}), (2, None, None, {"NA": "z"})]
+    assert pivot_wider(rows, ["key"], "n", "v", order=["ord"], max_columns=0).columns == ["key", "others"]
+    assert pivot_wider(rows.limit(0), ["key"], "n", "v", order=["ord"], max_columns=2).columns == ["key"]

@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import types as T
 
 from emulation import emulate_trait_table
@@ -299,3 +300,23 @@ def test_no_inversion_when_invert_is_empty(spark):
     df = spark.createDataFrame(golden_rows(), SCHEMA)
     got = {(r.observation_id, r.orig_value_str): r for r in tr.trait_table(df, as_="map", invert={}).collect()}
     assert got[(101, "20")].trait_value == 20.0 and got[(101, "20")].unit_name == "mm2 mg-1"
+
+
+@pytest.mark.parametrize("scope", ["global", "per_trait"])
+def test_columns_beyond_the_width_stay_in_a_map(spark, scope):
+    """Every covariate is in a column or in the map, as in the full table."""
+    df = spark.createDataFrame(golden_rows(), SCHEMA)
+    whole, narrow = (tr.trait_table(df, as_="columns", keep_scope=scope, max_columns=n) for n in (2000, 1))
+    assert "other_covariates" not in whole.columns and narrow.columns == [*whole.columns[:9], "other_covariates"]
+    fixed = whole.columns[:8]
+    names = whole.columns[8:]
+
+    def entries(row):
+        from sylvan.functions.names import clean_name_list
+
+        found = row.asDict()
+        rest = found.pop("other_covariates", None) or {}
+        found |= dict(zip(clean_name_list(list(rest)), rest.values()))
+        return tuple(str(found[c]) for c in fixed), {n: found.get(n) for n in names}
+
+    assert sorted(map(entries, whole.collect()), key=repr) == sorted(map(entries, narrow.collect()), key=repr)

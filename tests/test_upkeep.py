@@ -163,3 +163,12 @@ def test_manifest_of_before_has_no_commits(spark, root):
 
 def test_nothing_to_keep_up(spark, root):
     assert upkeep.compact_manifest(spark, root) == 0 and upkeep.remove_unnamed(spark, root, older_than=0) == []
+
+
+def test_crash_of_the_first_save(spark, root, monkeypatch):
+    with monkeypatch.context() as broken:
+        broken.setattr(snapshots, "rename_new", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            save_snapshot(ids(spark, 2), root, "t")
+    assert newest(spark, root) == {} and len(upkeep.remove_unnamed(spark, root, older_than=0)) == 1
+    assert data_folders(root) == []

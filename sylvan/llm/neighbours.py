@@ -26,7 +26,8 @@ Both kinds of rounds end by themselves: lists and beams only get better, and a
 node that left a beam cannot come back. ``SAFETY_ROUNDS`` raises an error.
 
 Graph building compares vectors rounded to 8 bits; scores of the search and of
-results are exact, from the original vectors. Recall is measured against brute
+results are exact, from the original vectors in their own type (float or
+double). Recall is measured against brute
 force by ``recall_against_brute_force``.
 
 Corner cases: vectors that are null, empty, zero, or hold null or non-finite
@@ -90,7 +91,12 @@ def _directions(size: int, seed: int) -> np.ndarray:
 
 
 def _matrix(column: pd.Series, size: int) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float32).reshape(-1, size)
+    return np.array(column.tolist(), dtype=np.float64).reshape(-1, size)
+
+
+def vector_kind(rows: DataFrame, column: str) -> str:
+    """The numpy type that holds a vector column's components exactly."""
+    return "float32" if rows.schema[column].dataType.elementType.typeName() == "float" else "float64"
 
 
 def order_keys(nodes: DataFrame, size: int, seed: int) -> DataFrame:
@@ -102,8 +108,10 @@ def order_keys(nodes: DataFrame, size: int, seed: int) -> DataFrame:
         planes = [_directions(size, seed + t) for t in range(ORDERS)]
         for batch in batches:
             x = _matrix(batch["vector"], size)
-            scale = np.abs(x).max(axis=1) / 127
-            codes = np.rint(x / scale[:, None]).astype(np.int8)
+            largest = np.abs(x).max(axis=1)
+            x = x / largest[:, None]  # no component too large or small for a float
+            codes = np.rint(x * 127).astype(np.int8)
+            scale = np.clip(largest / 127, 1e-15, 1e15)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             out = {"id": batch["id"], "code": [c.tobytes() for c in codes], "scale": scale}
             for t, plane in enumerate(planes):
@@ -319,13 +327,13 @@ def neighbour_graph(
 BEAMS = "query long, block int, ids array<long>, keys array<long>, sims array<double>, done array<boolean>"
 
 
-def _advance(state: pd.DataFrame, vectors: pd.DataFrame, size: int, beam: int) -> pd.DataFrame:
+def _advance(state: pd.DataFrame, vectors: pd.DataFrame, size: int, beam: int, kind: str) -> pd.DataFrame:
     """One block of queries: score the candidates, keep the best ``beam``; of
     equal scores those with the smallest keys."""
     if not len(state):
         return state[["query", "block"]].assign(ids=[], keys=[], sims=[], done=[])
     none = np.zeros(0, dtype=np.int64)
-    names, x, key = _unpack(vectors, vector=np.float32, key=np.int64) if len(vectors) else (none, np.zeros(0), none)
+    names, x, key = _unpack(vectors, vector=kind, key=np.int64) if len(vectors) else (none, np.zeros(0), none)
     x = x.reshape(-1, size).astype(np.float64)
     out = []
     for query, block, vector, ids, keys, sims, done, new in zip(
@@ -353,13 +361,14 @@ def search_graph(
     (the smallest vec_id, which decides ties). Rows of BEAMS, best nodes first."""
     queries = queries.select("query", "block", "vector", "start")
     vectors = nodes.select("id", "vector", "key")
+    kind = vector_kind(nodes, "vector")
 
     def step(state: DataFrame, name: str) -> DataFrame:
         """``state``: BEAMS columns, vector and ``new`` candidates."""
         state = scratch.save(state, f"{name}-todo")
-        needed = deliver(state.select(F.col("block").alias("at"), F.explode("new").alias("id")), vectors, {"vector": "float32", "key": "int64"})
+        needed = deliver(state.select(F.col("block").alias("at"), F.explode("new").alias("id")), vectors, {"vector": kind, "key": "int64"})
         moved = state.groupBy("block").cogroup(needed.groupBy("at")).applyInPandas(
-            lambda s, v: _advance(s, v, size, beam), BEAMS
+            lambda s, v: _advance(s, v, size, beam, kind), BEAMS
         )
         moved = scratch.save(moved, name)
         scratch.drop(f"{name}-todo")
@@ -445,12 +454,12 @@ def recall_against_brute_force(found: DataFrame, table: DataFrame, is_query: Col
     rows = table.where(F.col(id_col).isNotNull() & usable(vector_col)).select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"))
     asked = rows.where(is_query).toPandas()
     size = len(asked["vector"].iloc[0])
-    q, names = _matrix(asked["vector"], size).astype(np.float64), asked["vec_id"].to_numpy()
+    q, names = _matrix(asked["vector"], size), asked["vec_id"].to_numpy()
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = batch["vec_id"].to_numpy()
-            scores = q @ _matrix(batch["vector"], size).astype(np.float64).T
+            scores = q @ _matrix(batch["vector"], size).T
             scores[names[:, None] == ids[None, :]] = -np.inf
             best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
             yield pd.DataFrame({

@@ -108,3 +108,21 @@ def test_many_neighbours(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = neighbours.nearest(table, F.col("vec_id") % 100 == 0, 200).collect()
     assert sorted((r["query_id"], r["rank"]) for r in got) == [(q, k) for q in (0, 100, 200) for k in range(1, 201)]
+
+
+def test_double_vectors(spark):
+    """A column of doubles is scored from the doubles, also where a component
+    has no place in a float."""
+    rnd = np.random.default_rng(9)
+    rows = [(i, rnd.standard_normal(8).tolist()) for i in range(80)]
+    rows += [(100, [1e60] * 8), (120, [1e-60] * 8), (140, rows[0][1])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    x = {i: np.array(v) for i, v in rows}
+    of = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0, 20).collect():
+        assert abs(r["score"] - x[r["query_id"]] @ x[r["vec_id"]]) <= 1e-14 * max(1, abs(r["score"]))
+        of.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(of) == [0, 20, 40, 60, 100, 120, 140]
+    for q in (0, 20, 40, 60, 100, 140):
+        want = sorted((i for i in x if i != q), key=lambda i: (-(x[i] @ x[q]), i))[:20]
+        assert [i for _, i in sorted(of[q])] == want, q

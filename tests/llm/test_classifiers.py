@@ -148,3 +148,137 @@ def test_moved_threshold_keeps_order():
     scores = np.linspace(0, 1, 11)
     moved = training.move_threshold(scores, 0.4, 0.7)
     assert (np.diff(moved) > 0).all() and abs(moved[4] - 0.7) < 1e-12 and moved[0] == 0 and moved[-1] == 1
+
+
+def plain_probability(model, words, buckets, out_bias):
+    """The network word by word, window by window, in doubles."""
+    size, n = toxicity.SIZE, toxicity.FILTERS
+    rows = []
+    for word in words:
+        flat, _ = buckets.of(np.array([word - 1])) if word else (np.zeros(0, dtype=int), None)
+        rows.append(model.table[flat].sum(axis=0) / np.sqrt(len(flat)) if word else np.zeros(size))
+    pooled = []
+    for w in toxicity.WIDTHS:
+        padded = rows + [np.zeros(size)] * (w - 1)
+        answers = [np.concatenate(padded[i : i + w]) @ model.filters[w] for i in range(len(rows))]
+        pooled += [max(a[f] for a in answers) for f in range(n)]
+    hidden = np.maximum(np.array(pooled) + model.bias, 0)
+    return 1 / (1 + np.exp(-(hidden @ model.out + out_bias)))
+
+
+def small_network(seed):
+    """A network of doubles over words 1 to 6 of known buckets, and documents."""
+    rnd = np.random.default_rng(seed)
+    buckets = toxicity.Buckets()
+    for word in range(6):
+        buckets.add(sorted(rnd.choice(40, size=1 + word % 3, replace=False).tolist()))
+    buckets.settle()
+    draw = lambda *shape: rnd.standard_normal(shape)
+    n = toxicity.FILTERS * len(toxicity.WIDTHS)
+    filters = {w: draw(w * toxicity.SIZE, toxicity.FILTERS) * 0.3 for w in toxicity.WIDTHS}
+    model = toxicity.ConvModel(draw(toxicity.BUCKETS + 1, toxicity.SIZE) * 0.5, filters, draw(n) * 0.1, draw(n) * 0.3, 0.0, np.full(1, 0.5))
+    docs = [np.append(rnd.integers(1, 7, size), [0] * (toxicity.PAD + 1)) for size in (1, 2, 5, 9)]
+    return model, buckets, docs
+
+
+class Recorder:
+    """In the place of the optimiser: keeps the gradients it is given."""
+
+    def __init__(self, bias):
+        self.arrays, self.grads, self.rows = {"b": np.array([bias])}, {}, {}
+
+    def update(self, grads):
+        self.grads = grads
+
+    def update_rows(self, name, rows, grads):
+        self.rows = dict(zip(rows.tolist(), grads))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_gradients_of_the_convolution_are_those_of_a_plain_network(seed):
+    model, buckets, docs = small_network(seed)
+    y, adam = np.array([1.0, 0.0, 0.0, 1.0]), Recorder(0.2)
+    toxicity._step(model, adam, docs, y, buckets)
+
+    def loss(bias=0.2):
+        p = np.array([plain_probability(model, d, buckets, bias) for d in docs])
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+
+    def slope(array, at, step=1e-5):
+        held = array[at]
+        array[at] = held + step
+        up = loss()
+        array[at] = held - step
+        down = loss()
+        array[at] = held
+        return (up - down) / (2 * step)
+
+    rnd = np.random.default_rng(seed + 10)
+    arrays = {"out": model.out, "bias": model.bias} | {f"f{w}": model.filters[w] for w in toxicity.WIDTHS}
+    for name, array in arrays.items():
+        for i in rnd.choice(array.size, 12, replace=False):
+            at = np.unravel_index(i, array.shape)
+            assert abs(adam.grads[name][at] - slope(array, at)) < 2e-5, (name, at)
+    assert abs(adam.grads["b"][0] - (loss(0.2 + 1e-5) - loss(0.2 - 1e-5)) / 2e-5) < 2e-5
+    assert len(adam.rows) > 3
+    for row, grad in adam.rows.items():
+        for k in range(0, toxicity.SIZE, 5):
+            assert abs(grad[k] - slope(model.table, (row, k))) < 2e-5, (row, k)
+
+
+def test_scorer_is_the_plain_network():
+    model = toxicity.train(sample(60, ["vex"]))
+    scorer = toxicity.Scorer(model)
+    for text in ["", "vex", "ba ko vex! ri", *sample(6, ["vex"], seed=4)["text"]]:
+        words, buckets = toxicity.words_of(text), toxicity.Buckets()
+        for word in words:
+            buckets.add(toxicity.features(word))
+        buckets.settle()
+        numbers = [*range(1, len(words) + 1), *[0] * (toxicity.PAD + 1)]
+        assert abs(plain_probability(model, numbers, buckets, model.out_bias) - scorer.raw(text)) < 1e-4, text
+
+
+def test_gradient_of_the_line_model_is_that_of_all_labellings(monkeypatch):
+    """Forward-backward against the likelihood summed over every labelling."""
+    rnd = np.random.default_rng(6)
+    seen = {}
+
+    class Once:
+        def __init__(self, arrays, rate):
+            for name, array in arrays.items():
+                array[:] = rnd.standard_normal(array.shape) * 0.3
+            seen.update(arrays)
+
+        def update(self, grads):
+            seen["grads"] = grads
+
+    monkeypatch.setattr(lines, "Adam", Once)
+    monkeypatch.setattr(lines, "STEPS", 1)
+    monkeypatch.setattr(lines, "CHAIN", 4)
+    texts = ["A plain line.\nHOME | LOGIN\nAnother plain line, of words.\nA plain line.\n$$$ ### |||\nThe end.", "one\ntwo two two", "x", ""]
+    good = [1, 0, 1, 0]
+    lines.train(pd.DataFrame({"text": texts, "y": good, "weight": 1.0}))
+    chains = []
+    for text, y in zip(texts, good):
+        x = lines.chain_features(lines.lines_of(text))
+        labels = lines.line_labels(x, y == 1) if len(x) else []
+        chains += [(x[a : a + 4], labels[a : a + 4]) for a in range(0, len(x), 4)]
+    total = sum(len(x) for x, _ in chains)
+    weights, pairs = seen["weights"], seen["pairs"]
+
+    def value(x, labels):
+        return sum((x @ weights)[i, a] for i, a in enumerate(labels)) + sum(pairs[a, b] for a, b in zip(labels, labels[1:]))
+
+    def loss():
+        miss = sum(np.log(sum(np.exp(value(x, z)) for z in product((0, 1), repeat=len(x)))) - value(x, y) for x, y in chains)
+        return miss / total + 0.5e-4 * ((weights**2).sum() + (pairs**2).sum())
+
+    for name, array in (("weights", weights), ("pairs", pairs)):
+        for at in np.ndindex(array.shape):
+            held = array[at]
+            array[at] = held + 1e-5
+            up = loss()
+            array[at] = held - 1e-5
+            down = loss()
+            array[at] = held
+            assert abs(seen["grads"][name][at] - (up - down) / 2e-5) < 1e-7, (name, at)

@@ -29,7 +29,7 @@ from sylvan.operators.summaries import (
 )
 from sylvan.plans import traits as tr
 from sylvan.plans.eav_view import eav_view, read_table
-from sylvan.plans.records import combine_sources, conform_records, quality_report, write_record_chunks
+from sylvan.plans.records import FILE_ROWS, combine_sources, conform_records, quality_report, write_record_chunks
 from sylvan.session import Scratch, shared_scratch
 from sylvan.sources.export import land_export, read_landed, read_trait_export
 from sylvan.sources.records import ingest_traits, trait_names
@@ -412,7 +412,8 @@ def q_ingest_unchanged(spark, sf_dir):
 def _chunked_records(spark, sf_dir, mode):
     """E3's last part: sources ingested, combined in file order, conformed,
     written as chunks, read back. Ids repeat or are NULL."""
-    events = _record_source(spark, sf_dir).repartitionByRange(3, "id").sortWithinPartitions("id")
+    source = _record_source(spark, sf_dir)
+    events = source.repartitionByRange(max(3, -(-source.count() // FILE_ROWS)), "id").sortWithinPartitions("id")
     odd = events.withColumn("url_source", F.col("id").cast("string")).withColumn("id", F.when(F.col("id") % 5 > 0, F.col("id") % 7))
     root, out = shared_scratch(spark, "records"), shared_scratch(spark, "chunks")
     save_snapshot(odd, root, "all")

@@ -15,8 +15,9 @@ from sylvan.session import Scratch
 from sylvan.sources.catalog import RECORD_COLUMNS, RECORD_NEST_ORDER
 from sylvan.sources.snapshots import PART, has_values, newest, open_versions, save_parts
 
-#: Rows that ``write_record_chunks`` gives a task.
-FILE_ROWS = 1 << 22
+#: Rows that ``write_record_chunks`` gives a task: what it sorts, and compresses
+#: into a file.
+FILE_ROWS = 1 << 19
 
 
 def combine_sources(spark: SparkSession, root: str, names: Sequence[str] | None = None, ordinal: str | None = None) -> DataFrame:

@@ -1,15 +1,18 @@
 """Token ids of texts by a public byte-level BPE vocabulary of the tokenizers
-library, with a bounded cache of words.
+library, a batch of texts at a time.
 
 The library's own result is reproduced, not approximated. Its split pattern
 never joins what stands before a single space or line feed with what stands
-after it, so where a text has no other white space and no two such characters
-in a row, the stretches between them have the same ids wherever they stand.
-Stretches seen before are looked up. A new one of letters only (with a line feed
-before or a mark behind it) is a match of the pattern by itself: its bytes are
-merged by tiktoken, from the vocabulary's own merges, whose order is checked to
-be that of its ids. Other new stretches are encoded by the library, and so is,
-whole, any other text.
+after it, nor a letter with a mark behind it. So where a text has no other white
+space and no two such characters in a row, the stretches that these open have
+the same ids wherever they stand. Texts are cut at all of them and their ids put
+together by Arrow, and each distinct stretch of a batch is encoded once.
+
+A stretch of letters with a space or line feed before it is a match of the
+pattern by itself: all those of a batch are merged in one call by tiktoken, from
+the vocabulary's own merges, whose order is checked to be that of its ids. Other
+stretches are looked up in a bounded cache; new ones are encoded by the library,
+and so is, whole, any other text.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from array import array
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import tiktoken
 
 # The split pattern of these vocabularies; [^\W\d_] and \d stand for \p{L} and
 # \p{N}, the same on the characters that PLAIN admits.
@@ -32,6 +37,13 @@ WORDS = re.compile("[\n -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞]*")
 RUNS = ("  ", " \n", "\n ", "\n\n")
 
 MARKS = ".,;:!?"
+# bytes that are no part of a letter of WORDS in UTF-8 (those with the lead byte
+# C2 are left out); the second bytes of \xd7 and \xf7 under their lead byte C3
+ODD = np.ones(256, dtype=bool)
+ODD[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = False
+NO_LETTER = (0x97, 0xB7)
+IS_MARK = np.zeros(256, dtype=bool)
+IS_MARK[list(MARKS.encode())] = True
 
 #: Bytes that the words held by one Python worker take, about: those in use and
 #: those of the generation before, each up to half.
@@ -40,18 +52,19 @@ CACHE_BYTES = 160_000_000
 WORD_BYTES = 190
 #: Longer words are not kept.
 LONGEST_HELD = 64
-#: Characters whose words are looked up together, and words encoded together.
-AT_ONCE = 2_000_000
+#: Characters whose words are looked up together, and words encoded together by the library.
+AT_ONCE = 4_000_000
 WORDS_AT_ONCE = 2_000
 
 _held: dict[str, WordEncoder] = {}
 
 
 class Held(dict):
-    """Word -> its ids (bytes). A word of the generation before comes back when
-    it is met, so the frequent ones are never learned twice; of those not seen
-    yet, words of letters are merged at once, others get an empty value, to be
-    filled before the batch is put together."""
+    """Word, with the space or line feed before it -> its ids (bytes). A word of
+    the generation before comes back when it is met, so the frequent ones are
+    never learned twice; of those not seen yet, words of letters are merged at
+    once, others get an empty value, to be filled before the batch is put
+    together."""
 
     def __init__(self, piece: Callable[[str], bytes] | None, marks: dict[str, bytes], before: dict | None = None):
         self.piece, self.marks = piece, marks
@@ -60,18 +73,18 @@ class Held(dict):
         self.bytes = 0
 
     def _letters(self, word: str) -> bytes | None:
-        """The ids of a stretch of letters, a mark or line feed before them."""
-        if word.isalpha():
-            return self.piece(" " + word)
-        if word[:1] in ("\n", "\x01") and word[1:].isalpha():
-            return self.marks[word[0]] + self.piece(word[1:])
+        """The ids of a stretch of letters, a space or line feed before them."""
+        if word.isalpha() or word[0] == " " and word[1:].isalpha():
+            return self.piece(word)
+        if word[0] == "\n" and word[1:].isalpha():
+            return self.marks["\n"] + self.piece(word[1:])
         return None
 
     def __missing__(self, word: str) -> bytes | bytearray:
         value = self.before.get(word)
         if value is None and self.piece is not None:
             value = self._letters(word)
-            if value is None and word[-1:] in MARKS and word[-2:-1].isalpha() and (word[:-1].isalpha() or word[0] in "\n\x01" and word[1:-1].isalpha()):
+            if value is None and word[-1] in MARKS and (word[:-1].isalpha() or word[0] in " \n" and word[1:-1].isalpha()):
                 value = self[word[:-1]] + self.marks[word[-1]]
         if value is None:
             value = bytearray()
@@ -83,11 +96,10 @@ class Held(dict):
         return value
 
 
-def piece_encoder(library) -> Callable[[str], bytes] | None:
-    """Encodes a single match of the split pattern, by the library's merges;
-    None if their order isn't that of the ids, by which tiktoken merges."""
-    import tiktoken
-
+def letter_encoder(library) -> tiktoken.Encoding | None:
+    """Merges each stretch that a space opens, and each line feed, by the
+    library's merges; None if their order isn't that of the ids, by which
+    tiktoken merges."""
     model = json.loads(library.to_str())["model"]
     vocabulary = model["vocab"]
     merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -98,21 +110,42 @@ def piece_encoder(library) -> Callable[[str], bytes] | None:
     if any(x >= y for x, y in zip(made, made[1:])) or not all(c in vocabulary for c in letter):
         return None
     ranks = {bytes(map(letter.__getitem__, t)): vocabulary[t] for t in [*letter, *(a + b for a, b in merges)]}
-    merge = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
-    return lambda piece: array("I", merge(piece.encode())).tobytes()
+    # without a special token tiktoken would look for an empty one
+    return tiktoken.Encoding("letters", pat_str=r"\n| ?[^ \n]+", mergeable_ranks=ranks, special_tokens={"\0": max(ranks.values()) + 1})
+
+
+def _stretches(data: bytes, ends: np.ndarray) -> np.ndarray:
+    """Where stretches begin in joined texts: at a space or line feed, at a mark
+    behind a letter and at the start of a text."""
+    letters = np.frombuffer(data, dtype=np.uint8)
+    opens = (letters == 32) | (letters == 10)
+    marks = np.flatnonzero(IS_MARK[letters])
+    marks = marks[marks > 1]
+    last, lead = letters[marks - 1], letters[marks - 2]
+    accented = (lead >= 0xC3) & (lead <= 0xC9) & (last >= 0x80) & ~((lead == 0xC3) & np.isin(last, NO_LETTER))
+    opens[marks[accented | (last < 0x80) & ~ODD[last]]] = True
+    starts = np.append(0, ends[:-1])
+    opens[starts[starts < ends]] = True
+    return np.flatnonzero(opens)
+
 
+def _parts(words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The offsets and bytes of an array of strings."""
+    _, edges, data = words.buffers()
+    edges = np.frombuffer(edges, dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+    return edges - edges[0], np.frombuffer(data, dtype=np.uint8)[edges[0] : edges[-1]]
 
-def cut(text: str) -> list[str]:
-    """The stretches of a text: a line feed opens one, a space before one is
-    left out, and the first one is marked."""
-    if not text:
-        return []
-    words = text.replace("\n", " \n").split(" ")
-    if words[0]:
-        words[0] = "\x01" + words[0]
-    else:  # the text starts with the white space of the second stretch
-        del words[0]
-    return words
+
+def _of_letters(words: pa.LargeStringArray) -> np.ndarray:
+    """Which words are a space or line feed and then letters only; long ones
+    are left out."""
+    edges, data = _parts(words)
+    begins, sizes = edges[:-1], np.diff(edges)
+    odd = ODD[data]
+    odd[1:] |= (data[:-1] == 0xC3) & np.isin(data[1:], NO_LETTER)
+    opened = (data[begins] == 32) | (data[begins] == 10)
+    odd[begins] = False
+    return opened & (sizes > 1) & (sizes <= LONGEST_HELD) & ~np.logical_or.reduceat(odd, begins)
 
 
 class WordEncoder:
@@ -128,12 +161,16 @@ class WordEncoder:
         # bytes of each id: the vocabulary writes a byte as one character
         tokens = [self.library.id_to_token(i) or "" for i in range(self.library.get_vocab_size())]
         self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        self.marks = {m: self._ids(m).tobytes() for m in (*MARKS, "\n")} | {"\x01": b""}
-        self.held = Held(piece_encoder(self.library), self.marks)
+        self.marks = {m: self._ids(m).tobytes() for m in (*MARKS, "\n")}
+        self.letters = letter_encoder(self.library)
+        self.held = Held(self.letters and self._piece, self.marks)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
+    def _piece(self, piece: str) -> bytes:
+        return array("I", self.letters._core_bpe.encode_single_piece(piece.encode())).tobytes()
+
     def _by_words(self, text: str) -> bool:
         return (
             WORDS.fullmatch(text) is not None
@@ -142,32 +179,69 @@ class WordEncoder:
         )
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        batch: list[list | None] = []
-        size, first = 0, 0
+        out = [b""] * len(texts)
+        batch: list[int] = []
+        size = 0
         for at, text in enumerate(texts):
-            batch.append(list(map(self.held.__getitem__, cut(text))) if self._by_words(text) else None)
-            size += len(text)
+            if self._by_words(text):
+                batch.append(at)
+                size += len(text)
+            else:
+                out[at] = self._ids(text).tobytes()
             if size > AT_ONCE or at == len(texts) - 1:
-                self._learn()
-                out += [self._ids(texts[first + k]).tobytes() if ids is None else b"".join(ids) for k, ids in enumerate(batch)]
-                batch, size, first = [], 0, at + 1
+                for k, ids in zip(batch, self._joined([texts[k] for k in batch])):
+                    out[k] = ids
+                batch, size = [], 0
         return out
 
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that are cut into stretches, each encoded once."""
+        raw = [t.encode() for t in texts]
+        data = b"".join(raw)
+        if not data:
+            return [b""] * len(texts)
+        ends = np.cumsum(np.array(list(map(len, raw)), dtype=np.int64))
+        begins = _stretches(data, ends)
+        edges = np.append(begins, len(data)).astype(np.int64)
+        words = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(edges), pa.py_buffer(data)).dictionary_encode()
+        distinct = words.dictionary
+        plain = _of_letters(distinct) if self.letters else np.zeros(len(distinct), dtype=bool)
+        others = distinct.filter(pa.array(~plain)).to_numpy(zero_copy_only=False)
+        ids = list(map(self.held.__getitem__, others))
+        self._learn()
+        # the ids of the distinct words: those of letters, then the others
+        encoded = pa.concat_arrays([self._merged(distinct.filter(pa.array(plain))), pa.array(ids, pa.large_binary())])
+        place = np.where(plain, np.cumsum(plain) - 1, plain.sum() + np.cumsum(~plain) - 1)
+        placed = encoded.take(pa.array(place[words.indices.to_numpy()]))
+        _, edges, body = placed.buffers()
+        # where the ids of the first stretch behind each text start
+        cuts = np.frombuffer(edges, dtype=np.int64)[np.searchsorted(begins, ends)].tolist()
+        body = memoryview(body)
+        return [bytes(body[a:b]) for a, b in zip([0, *cuts], cuts)]
+
+    def _merged(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The ids of words of letters, each opened by a space or line feed."""
+        if not len(words):
+            return pa.array([], pa.large_binary())
+        edges, data = _parts(words)
+        ids = self.letters.encode_to_numpy(data.tobytes().decode(), disallowed_special=()).astype("<u4")
+        at = 4 * np.searchsorted(np.cumsum(self.sizes[ids]), edges[1:]) + 4
+        offsets = np.append(0, at).astype(np.int64)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
     def _learn(self) -> None:
         """Encode the words not seen yet: given to the library as running text,
         which it cuts between them, and taken apart by their bytes."""
         held, new = self.held, self.held.new
         held.new = []
-        alone = [w for w in new if w in ("", "\n") or w[0] == "\x01"]
-        words = [w for w in new if not (w in ("", "\n") or w[0] == "\x01")]
+        alone = [w for w in new if w in (" ", "\n") or w[0] not in " \n"]
+        words = [w for w in new if w not in (" ", "\n") and w[0] in " \n"]
         for word in alone:
-            self._fill(word, self._ids(word[1:] if word[:1] == "\x01" else word or " ").tobytes())
+            self._fill(word, self._ids(word).tobytes())
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
-            spaced = [w if w[0] == "\n" else " " + w for w in some]
-            ids = self._ids("".join(spaced))
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in spaced])) + 1
+            ids = self._ids("".join(some))
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in some])) + 1
             raw, last = ids.tobytes(), 0
             for word, end in zip(some, (4 * ends).tolist()):
                 self._fill(word, raw[last:end])

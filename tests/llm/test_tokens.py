@@ -41,6 +41,38 @@ def test_word_cache_gives_the_librarys_ids():
     assert max(map(len, encoder.held)) <= tokens.LONGEST_HELD
 
 
+def test_words_of_a_batch_are_encoded_once():
+    class Counted(tokens.Held):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counted.asked += 1
+            return super().__getitem__(word)
+
+    text = "the river 12, walks on\nby élan2 stones"
+    encoder = tokens.WordEncoder(JSON)
+    encoder.held = Counted(encoder.held.piece, encoder.marks)
+    ids = Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+    assert encoder.encode([text] * 500) == [np.array(ids, dtype="<u4").tobytes()] * 500
+    assert Counted.asked <= 20  # not once for each of 500 * 7 words
+
+
+def test_stretches_of_letters_and_marks_give_the_librarys_ids():
+    rnd = random.Random(5)
+    parts = [*"abé×÷ªºµßɏÀÿ.,;:!?'-_19", "the", "'s", "élan", "ɏ", "x×", "÷y", "…", "«", "<|endoftext|", "q" * 70, "é" * 40]
+    texts = ["".join(rnd.choice(parts) + rnd.choice(["", "", " ", "\n"]) for _ in range(rnd.randrange(30))) for _ in range(3000)]
+    texts += ["", "x", ",", "x,", "é.", "é", " ", "\n", " x", "\nx", "x ", "x\n", "", " ,", ".\n"]
+    library = Tokenizer.from_file(JSON)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    encoder = tokens.WordEncoder(JSON)
+    assert sum(map(encoder._by_words, texts)) > 500
+    assert encoder.encode(texts) == want
+    assert encoder.encode(texts[::-1]) == want[::-1]
+    assert [encoder.encode([t])[0] for t in texts] == want
+    encoder.letters, encoder.held = None, tokens.Held(None, encoder.marks)  # merges not in the order of the ids
+    assert encoder.encode(texts) == want
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 257, 5000, 70_000])
 def test_coder_round_trip(n):
     rnd = np.random.default_rng(n)

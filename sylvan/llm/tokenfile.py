@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylvan.llm.common import small_batches, texts_of
-from sylvan.llm.tokens import encoder
+from sylvan.llm.tokens import AT_ONCE, encoder
 
 MAGIC = b"SYTB"
 VERSION = 1
@@ -87,8 +87,8 @@ class Model:
 
     def _frequencies(self) -> None:
         total = 1 << self.bits
-        for ids in self.pending:
-            self.counts += np.bincount(ids, minlength=self.alphabet)
+        if self.pending:
+            self.counts += np.bincount(np.concatenate(self.pending), minlength=self.alphabet)
         self.pending = []
         spare = total - self.alphabet
         freq = 1 + self.counts * spare // max(1, self.seen)
@@ -107,24 +107,37 @@ class Model:
     def _weights(self) -> None:
         share = self.hits[:, :2] / self.hits.sum(axis=1, keepdims=True)
         share = np.maximum(1, (share * ((1 << SHARE_BITS) - 8)).astype(np.uint64))
-        self.edge2 = share[:, 0].copy()
-        self.edge1 = share[:, 0] + share[:, 1]
+        # by context: where the parts of order 2, order 1 and order 0 begin, and the end
+        edges = np.zeros((32, 4), dtype=np.uint64)
+        edges[:, 1] = share[:, 0]
+        edges[:, 2] = share[:, 0] + share[:, 1]
+        edges[:, 3] = 1 << SHARE_BITS
+        self.edges = edges.reshape(-1)
+        self.widths = np.diff(self.edges, append=self.edges[-1:])
 
     def predict(self) -> None:
-        self.at2 = (self.last2 * np.uint32(0x9E3779B1) + self.last1 * np.uint32(0x85EBCA6B)) >> np.uint32(32 - ORDER2_BITS)
-        self.entry2 = self.after2[self.at2]
-        self.entry1 = self.after1[self.last1]
+        """What follows in each lane. Places in tables are of numpy's own index
+        type, for which ``take`` copies nothing."""
+        at2 = (self.last2 * np.uint32(0x9E3779B1) + self.last1 * np.uint32(0x85EBCA6B)) >> np.uint32(32 - ORDER2_BITS)
+        self.at2, self.at1 = at2.astype(np.intp), self.last1.astype(np.intp)
+        self.entry2 = self.after2.take(self.at2)
+        self.entry1 = self.after1.take(self.at1)
         self.id2 = self.entry2 >> np.uint32(2)
         self.id1 = self.entry1 >> np.uint32(2)
-        self.context = ((self.entry2 & np.uint32(3)) << np.uint32(3)) | ((self.entry1 & np.uint32(3)) << np.uint32(1)) | (
+        context = ((self.entry2 & np.uint32(3)) << np.uint32(3)) | ((self.entry1 & np.uint32(3)) << np.uint32(1)) | (
             self.id1 == self.id2
         )
-        self.low2 = self.edge2[self.context]
-        self.low1 = self.edge1[self.context]
+        self.context = context.astype(np.intp)
+
+    def part(self, hit2: np.ndarray, hit1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and width of the parts that were hit, and which lanes hit that of order 0."""
+        missed = ~(hit2 | hit1)
+        at = (self.context << 2) + ~hit2 + missed
+        return self.edges.take(at), self.widths.take(at), missed
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         fresh = ids << np.uint32(2)
-        for table, at, entry, hit in ((self.after2, self.at2, self.entry2, hit2), (self.after1, self.last1, self.entry1, hit1)):
+        for table, at, entry, hit in ((self.after2, self.at2, self.entry2, hit2), (self.after1, self.at1, self.entry1, hit1)):
             sure = entry & np.uint32(3)
             kept = np.where(sure > 0, entry - np.uint32(1), fresh)
             table[at] = np.where(hit, entry + (sure < 3), kept)
@@ -162,29 +175,20 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, bytes]:
     words = np.zeros(lanes * room, dtype=np.uint32)
     put = np.arange(lanes, dtype=np.int64) * room
     share, deep = np.uint64(SHARE_BITS), np.uint64(model.bits)
-    full = np.uint64(1 << SHARE_BITS)
     for step in range(steps):
         model.predict()
         x = by_step[step]
         hit2, hit1 = model.id2 == x, model.id1 == x
-        begin = np.where(hit1, model.low2, model.low1)
-        end = np.where(hit1, model.low1, full)
-        begin[hit2] = 0
-        np.copyto(end, model.low2, where=hit2)
+        begin, width, missed = model.part(hit2, hit1)
         unit = span >> share
         low += unit * begin
-        span = unit * (end - begin)
-        rest = np.flatnonzero(~(hit2 | hit1))
-        if len(rest):
-            part = model.parts[x[rest]]
-            unit = span[rest] >> deep
-            low[rest] += unit * (part >> _WORD)
-            span[rest] = unit * (part & _MASK)
+        span = unit * width
+        _narrow(low, span, span >> deep, model.parts.take(x.astype(np.intp)), missed)
         model.learn(x, hit2, hit1)
         out = np.flatnonzero(span < _LEAST)
         if len(out):
-            word, low[out], span[out] = _shift(low[out], span[out])
-            at = put[out]
+            word, low[out], span[out] = _shift(low.take(out), span.take(out))
+            at = put.take(out)
             words[at] = word
             put[out] = at + 1
     # a multiple of 2^32 lies in the last interval: one word names it
@@ -194,6 +198,12 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, bytes]:
     return lanes, sizes.tobytes() + words.reshape(lanes, room)[used].astype("<u4").tobytes()
 
 
+def _narrow(low: np.ndarray, span: np.ndarray, unit: np.ndarray, part: np.ndarray, missed: np.ndarray) -> None:
+    """The part of its id, in the lanes that hit the part of order 0."""
+    low += np.where(missed, unit * (part >> _WORD), np.uint64(0))
+    np.copyto(span, unit * (part & _MASK), where=missed)
+
+
 def _shift(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The word to emit, and low and range after it."""
     crosses = ((low ^ (low + span)) >> _WORD) > 0
@@ -215,36 +225,28 @@ def decode_ids(coded: bytes, n: int, lanes: int, alphabet: int) -> np.ndarray:
     code = (words[get] << _WORD) | np.where(sizes > 1, words[get + 1], np.uint64(0))
     get += 2
     share, deep = np.uint64(SHARE_BITS), np.uint64(model.bits)
-    full, most = np.uint64(1 << SHARE_BITS), np.uint64((1 << model.bits) - 1)
+    most = np.uint64((1 << model.bits) - 1)
     by_step = np.empty((steps, lanes), dtype=np.uint32)
     for step in range(steps):
         model.predict()
         unit = span >> share
-        value = (code - low) // unit
-        in2, in12 = value < model.low2, value < model.low1
-        begin = np.where(in12, model.low2, model.low1)
-        end = np.where(in12, model.low1, full)
-        begin[in2] = 0
-        np.copyto(end, model.low2, where=in2)
+        above, at = code - low, model.context << 2
+        in2, in12 = above < unit * model.edges.take(at + 1), above < unit * model.edges.take(at + 2)
+        begin, width, missed = model.part(in2, in12)
         low += unit * begin
-        span = unit * (end - begin)
-        x = np.where(in2, model.id2, model.id1)
-        rest = np.flatnonzero(~in12)
-        if len(rest):
-            base = low[rest]
-            unit = span[rest] >> deep
-            symbol = model.slots()[np.minimum((code[rest] - base) // unit, most)]
-            x[rest] = symbol
-            part = model.parts[symbol]
-            low[rest] = base + unit * (part >> _WORD)
-            span[rest] = unit * (part & _MASK)
+        span = unit * width
+        unit = span >> deep  # not 0: a span from 2^32 on has lost 12 bits, and loses at most 20 for an alphabet up to 2^19
+        symbol = model.slots().take(np.minimum((code - low) // unit, most).astype(np.intp))
+        _narrow(low, span, unit, model.parts.take(symbol.astype(np.intp)), missed)
+        x = np.where(missed, symbol, np.where(in2, model.id2, model.id1))
         by_step[step] = x
         model.learn(x, model.id2 == x, model.id1 == x)
         out = np.flatnonzero(span < _LEAST)
         if len(out):
-            _, low[out], span[out] = _shift(low[out], span[out])
-            at = get[out]
-            code[out] = (code[out] << _WORD) | np.where(at < stop[out], words[np.minimum(at, len(words) - 1)], np.uint64(0))
+            _, low[out], span[out] = _shift(low.take(out), span.take(out))
+            at = get.take(out)
+            word = words.take(np.minimum(at, len(words) - 1))
+            code[out] = (code.take(out) << _WORD) | np.where(at < stop.take(out), word, np.uint64(0))
             get[out] = at + 1
     return by_step.T.reshape(-1)[:n]
 
@@ -280,6 +282,22 @@ def read_block(block: bytes) -> tuple[list, list[np.ndarray]]:
     return keys, np.split(flat, np.cumsum(lengths.astype(np.int64))[:-1]) if docs else []
 
 
+def _together(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
+    """The ids and texts of some batches: as many characters as are encoded together."""
+    keys: list = []
+    texts: list[str] = []
+    size = 0
+    for batch in batches:
+        keys += [None if gone else int(key) for key, gone in zip(batch["key"].tolist(), batch["key"].isna().tolist())]
+        more = texts_of(batch["text"])
+        texts += more
+        size += sum(map(len, more))
+        if size >= AT_ONCE:
+            yield keys, texts
+            keys, texts, size = [], [], 0
+    yield keys, texts
+
+
 def write_tokens(
     docs: DataFrame,
     path: str,
@@ -307,10 +325,9 @@ def write_tokens(
                 [(part, block, len(keys), size, write_block(keys, held, alphabet))], columns=["part", "block", "docs", "ids", "payload"]
             )
 
-        for batch in batches:
-            null = batch["key"].isna().tolist()
-            for key, gone, x in zip(batch["key"].tolist(), null, encoder(vocabulary).encode(texts_of(batch["text"]))):
-                keys.append(None if gone else int(key))
+        for some, texts in _together(batches):
+            for key, x in zip(some, encoder(vocabulary).encode(texts)):
+                keys.append(key)
                 held.append(x + end)
                 size += len(x) // 4 + 1
                 if size >= block_ids:

@@ -33,15 +33,12 @@ SPLIT = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)
 PLAIN = re.compile("[\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞]*")
 # characters of which only space and line feed are white space
 WORDS = re.compile("[\n -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞]*")
-# ends of a text count as white space for the pattern: a line feed there is not alone
-RUNS = ("  ", " \n", "\n ", "\n\n")
 
 MARKS = ".,;:!?"
 # bytes that are no part of a letter of WORDS in UTF-8 (those with the lead byte
-# C2 are left out); the second bytes of \xd7 and \xf7 under their lead byte C3
+# C2 are left out); \xd7 and \xf7 are seen by their second bytes
 ODD = np.ones(256, dtype=bool)
 ODD[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = False
-NO_LETTER = (0x97, 0xB7)
 IS_MARK = np.zeros(256, dtype=bool)
 IS_MARK[list(MARKS.encode())] = True
 
@@ -53,7 +50,7 @@ WORD_BYTES = 190
 #: Longer words are not kept.
 LONGEST_HELD = 64
 #: Characters whose words are looked up together, and words encoded together by the library.
-AT_ONCE = 4_000_000
+AT_ONCE = 8_000_000
 WORDS_AT_ONCE = 2_000
 
 _held: dict[str, WordEncoder] = {}
@@ -114,6 +111,22 @@ def letter_encoder(library) -> tiktoken.Encoding | None:
     return tiktoken.Encoding("letters", pat_str=r"\n| ?[^ \n]+", mergeable_ranks=ranks, special_tokens={"\0": max(ranks.values()) + 1})
 
 
+def _with_runs(raw: list[bytes]) -> list[int]:
+    """Which texts have white space behind white space. (A text's ends count as
+    white space for the pattern: a line feed there is not alone.)"""
+    letters = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    ends = np.cumsum(np.array(list(map(len, raw)), dtype=np.int64))
+    white = (letters == 32) | (letters == 10)
+    at = np.flatnonzero(white[:-1] & white[1:])
+    text = np.searchsorted(ends, at, side="right")
+    return np.unique(text[at + 1 < ends[text]]).tolist()
+
+
+def _times(lead: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where two bytes are \xd7 or \xf7."""
+    return (lead == 0xC3) & ((last == 0x97) | (last == 0xB7))
+
+
 def _stretches(data: bytes, ends: np.ndarray) -> np.ndarray:
     """Where stretches begin in joined texts: at a space or line feed, at a mark
     behind a letter and at the start of a text."""
@@ -122,7 +135,7 @@ def _stretches(data: bytes, ends: np.ndarray) -> np.ndarray:
     marks = np.flatnonzero(IS_MARK[letters])
     marks = marks[marks > 1]
     last, lead = letters[marks - 1], letters[marks - 2]
-    accented = (lead >= 0xC3) & (lead <= 0xC9) & (last >= 0x80) & ~((lead == 0xC3) & np.isin(last, NO_LETTER))
+    accented = (lead >= 0xC3) & (lead <= 0xC9) & (last >= 0x80) & ~_times(lead, last)
     opens[marks[accented | (last < 0x80) & ~ODD[last]]] = True
     starts = np.append(0, ends[:-1])
     opens[starts[starts < ends]] = True
@@ -142,7 +155,7 @@ def _of_letters(words: pa.LargeStringArray) -> np.ndarray:
     edges, data = _parts(words)
     begins, sizes = edges[:-1], np.diff(edges)
     odd = ODD[data]
-    odd[1:] |= (data[:-1] == 0xC3) & np.isin(data[1:], NO_LETTER)
+    odd[1:] |= _times(data[:-1], data[1:])
     opened = (data[begins] == 32) | (data[begins] == 10)
     odd[begins] = False
     return opened & (sizes > 1) & (sizes <= LONGEST_HELD) & ~np.logical_or.reduceat(odd, begins)
@@ -172,34 +185,32 @@ class WordEncoder:
         return array("I", self.letters._core_bpe.encode_single_piece(piece.encode())).tobytes()
 
     def _by_words(self, text: str) -> bool:
-        return (
-            WORDS.fullmatch(text) is not None
-            and not any(run in text for run in RUNS)
-            and not any(s in text for s in self.special)
-        )
+        return WORDS.fullmatch(text) is not None and not any(s in text for s in self.special)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = [b""] * len(texts)
-        batch: list[int] = []
+        out: list[bytes] = []
+        batch: list[str] = []
         size = 0
         for at, text in enumerate(texts):
-            if self._by_words(text):
-                batch.append(at)
-                size += len(text)
-            else:
-                out[at] = self._ids(text).tobytes()
+            batch.append(text)
+            size += len(text)
             if size > AT_ONCE or at == len(texts) - 1:
-                for k, ids in zip(batch, self._joined([texts[k] for k in batch])):
-                    out[k] = ids
+                out += self._encode(batch)
                 batch, size = [], 0
         return out
 
-    def _joined(self, texts: list[str]) -> list[bytes]:
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        raw = [t.encode() if self._by_words(t) else None for t in texts]
+        for k in _with_runs([t or b"" for t in raw]):
+            raw[k] = None
+        ids = self._joined([t or b"" for t in raw])
+        return [self._ids(text).tobytes() if t is None else x for text, t, x in zip(texts, raw, ids)]
+
+    def _joined(self, raw: list[bytes]) -> list[bytes]:
         """The ids of texts that are cut into stretches, each encoded once."""
-        raw = [t.encode() for t in texts]
         data = b"".join(raw)
         if not data:
-            return [b""] * len(texts)
+            return [b""] * len(raw)
         ends = np.cumsum(np.array(list(map(len, raw)), dtype=np.int64))
         begins = _stretches(data, ends)
         edges = np.append(begins, len(data)).astype(np.int64)
